@@ -1,0 +1,23 @@
+"""Join helpers: broadcast a dimension only behind a checked size bound."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast dimension must stay far below executor memory: rows * row width.
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def small_enough(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows (a bounded job), so the check stays
+    cheap even when the answer is "no".
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint when the size check passes; otherwise leave the choice to
+    AQE (sort-merge / shuffled hash join, skew-join splitting on hot keys)."""
+    return F.broadcast(df) if small_enough(df, max_rows) else df
