@@ -90,35 +90,42 @@ def zone_grid(rings: DataFrame, zones: DataFrame | None = None, step: int = S.GR
 
 
 def ring_moments(rings: DataFrame) -> DataFrame:
-    """Shoelace sums per ring, oriented counter-clockwise: twice the area and
-    six times the area-weighted centre (x and y)."""
+    """Shoelace sums per ring, oriented counter-clockwise.
+
+    Coordinates are taken relative to the ring's first vertex so that the
+    cross products stay small (no cancellation between ~-74 x 40 terms).
+    Returns ``wa`` (twice the area) and ``wx``/``wy`` such that a zone's
+    centroid is ``sum(wx) / (3 * sum(wa))`` over its rings."""
+    x0, y0 = F.element_at("pts", 1)["lon"], F.element_at("pts", 1)["lat"]
+
     def sums(acc, i):
         a, b = F.element_at("pts", i + 1), F.element_at("pts", i + 2)
-        cross = a["lon"] * b["lat"] - b["lon"] * a["lat"]
-        return F.struct(
-            (acc["a2"] + cross).alias("a2"),
-            (acc["cx"] + (a["lon"] + b["lon"]) * cross).alias("cx"),
-            (acc["cy"] + (a["lat"] + b["lat"]) * cross).alias("cy"))
+        xi, yi, xj, yj = a["lon"] - x0, a["lat"] - y0, b["lon"] - x0, b["lat"] - y0
+        cross = xi * yj - xj * yi
+        return F.struct((acc["a2"] + cross).alias("a2"),
+                        (acc["cx"] + (xi + xj) * cross).alias("cx"),
+                        (acc["cy"] + (yi + yj) * cross).alias("cy"))
 
     zero = F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy"))
-    m = valid_rings(rings).withColumn(
-        "m", F.aggregate(F.sequence(F.lit(0), F.size("pts") - 2), zero, sums))
-    sign = F.signum(F.col("m.a2"))
+    m = valid_rings(rings).withColumns({
+        "m": F.aggregate(F.sequence(F.lit(0), F.size("pts") - 2), zero, sums),
+        "x0": x0, "y0": y0})
+    a2, sign = F.col("m.a2"), F.signum(F.col("m.a2"))
     return m.select("ring_id", "location_id",
-                    (F.col("m.a2") * sign).alias("a2"),
-                    (F.col("m.cx") * sign).alias("cx"),
-                    (F.col("m.cy") * sign).alias("cy"))
+                    (a2 * sign).alias("wa"),
+                    ((a2 * 3 * F.col("x0") + F.col("m.cx")) * sign).alias("wx"),
+                    ((a2 * 3 * F.col("y0") + F.col("m.cy")) * sign).alias("wy"))
 
 
 def zone_centroids(rings: DataFrame, zones: DataFrame | None = None, digits: int = 9) -> DataFrame:
     """Area-weighted centroid of all rings of each zone (rings assumed disjoint)."""
     m = ring_moments(rings)
     c = (m.groupBy("location_id")
-          .agg(F.sum("a2").alias("a2"), F.sum("cx").alias("cx"), F.sum("cy").alias("cy"))
-          .where(F.col("a2") != 0)
+          .agg(F.sum("wa").alias("wa"), F.sum("wx").alias("wx"), F.sum("wy").alias("wy"))
+          .where(F.col("wa") != 0)
           .select("location_id",
-                  F.round(F.col("cx") / (F.col("a2") * 3), digits).alias("center_lon"),
-                  F.round(F.col("cy") / (F.col("a2") * 3), digits).alias("center_lat")))
+                  F.round(F.col("wx") / (F.col("wa") * 3), digits).alias("center_lon"),
+                  F.round(F.col("wy") / (F.col("wa") * 3), digits).alias("center_lat")))
     if zones is not None:
         c = zones.select("location_id", "borough", "zone_name").join(c, "location_id", "inner")
     return c

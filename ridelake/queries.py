@@ -178,3 +178,74 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["REGISTRY", "flagship", "F"]
+
+
+# --------------------------------------------------------------- geo and silver
+from .operators import geo  # noqa: E402
+from .plans import silver as SV  # noqa: E402
+
+
+def _grid(fx: Fixtures) -> DataFrame:
+    return geo.zone_grid(fx.rings(), fx.zones)
+
+
+@register("zone_grid")
+def _zone_grid(fx: Fixtures) -> DataFrame:
+    return _grid(fx)
+
+
+@register("grid_coverage")
+def _grid_coverage(fx: Fixtures) -> DataFrame:
+    return geo.grid_coverage(fx.rings(), _grid(fx))
+
+
+@register("zone_centroids")
+def _zone_centroids(fx: Fixtures) -> DataFrame:
+    return geo.zone_centroids(fx.rings(), fx.zones)
+
+
+@register("zones_per_borough")
+def _zones_per_borough(fx: Fixtures) -> DataFrame:
+    return geo.zones_per_borough(fx.zones)
+
+
+@register("era_union")
+def _era_union(fx: Fixtures) -> DataFrame:
+    return clean.era_union(fx.raw_eras())
+
+
+@register("clean_values")
+def _clean_values(fx: Fixtures) -> DataFrame:
+    c = clean.clean_values(clean.era_union(fx.raw_eras()))
+    return c.select("vtype", "pickup_datetime", "dropoff_datetime", "trip_distance", "rate_code_id",
+                    "store_and_fwd_flag", "payment_type", "improvement_surcharge_applicable",
+                    "congestion_surcharge_applicable", "airport_fee_applicable",
+                    "cbd_convenience_fee_applicable")
+
+
+@register("normalize_flag")
+def _normalize_flag(fx: Fixtures) -> DataFrame:
+    from .functions.columns import normalize_flag
+    u = clean.era_union(fx.raw_eras())
+    return (u.groupBy("store_and_fwd_raw", normalize_flag("store_and_fwd_raw").alias("store_and_fwd_flag"))
+             .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("normalize_category")
+def _normalize_category(fx: Fixtures) -> DataFrame:
+    from .functions.columns import normalize_category
+    u = clean.era_union(fx.raw_eras())
+    return (u.groupBy("payment_type_raw", normalize_category("payment_type_raw").alias("payment_type"))
+             .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("geocode")
+def _geocode(fx: Fixtures) -> DataFrame:
+    c = clean.clean_values(clean.era_union(fx.raw_eras()))
+    return geo.geocode(c, _grid(fx)).select("vtype", "pickup_datetime", "pickup_location_id",
+                                            "dropoff_location_id")
+
+
+@register("silver_trips")
+def _silver_trips(fx: Fixtures) -> DataFrame:
+    return SV.silver_trips(fx.raw_eras(), _grid(fx))
