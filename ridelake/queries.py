@@ -249,3 +249,78 @@ def _geocode(fx: Fixtures) -> DataFrame:
 @register("silver_trips")
 def _silver_trips(fx: Fixtures) -> DataFrame:
     return SV.silver_trips(fx.raw_eras(), _grid(fx))
+
+
+# --------------------------------------------------------------- lake bookkeeping
+from . import schema as SC  # noqa: E402
+from .session import work_path  # noqa: E402
+from .sources import lake, weather as WX  # noqa: E402
+
+
+def _inventory(fx: Fixtures) -> DataFrame:
+    return lake.partition_inventory(fx.trips)
+
+
+@register("partition_inventory")
+def _partition_inventory(fx: Fixtures) -> DataFrame:
+    return _inventory(fx)
+
+
+@register("coverage_summary")
+def _coverage_summary(fx: Fixtures) -> DataFrame:
+    return lake.coverage_summary(_inventory(fx))
+
+
+@register("month_calendar")
+def _month_calendar(fx: Fixtures) -> DataFrame:
+    return lake.month_calendar(_inventory(fx), first_months=SC.VEHICLES)
+
+
+@register("missing_months")
+def _missing_months(fx: Fixtures) -> DataFrame:
+    inv = _inventory(fx)
+    return lake.missing_months(lake.month_calendar(inv, first_months=SC.VEHICLES), inv)
+
+
+@register("file_period_parse")
+def _file_period_parse(fx: Fixtures) -> DataFrame:
+    return lake.parse_file_period(fx.view("fx_file_names"))
+
+
+@register("weather_years_needed")
+def _weather_years_needed(fx: Fixtures) -> DataFrame:
+    return WX.years_needed(fx.trips, fx.weather.select(F.year("ts").alias("year")))
+
+
+# --------------------------------------------------------------- sources and sinks (written, read back)
+@register("weather_json_explode")
+def _weather_json_explode(fx: Fixtures) -> DataFrame:
+    path = work_path(fx.spark, "bronze-weather")
+    WX.write_weather_documents(fx.weather, path)
+    return WX.read_weather_json(fx.spark, path)
+
+
+@register("weather_roundtrip")
+def _weather_roundtrip(fx: Fixtures) -> DataFrame:
+    path = work_path(fx.spark, "silver-weather")
+    WX.write_weather(fx.weather, path)
+    return fx.spark.read.parquet(path)
+
+
+@register("silver_roundtrip")
+def _silver_roundtrip(fx: Fixtures) -> DataFrame:
+    path = work_path(fx.spark, "silver-trips")
+    SV.write_silver(SV.silver_trips(fx.raw_eras(), _grid(fx)), path)
+    return SV.read_silver(fx.spark, path).select(*SC.FINAL_COLS, "year", "month")
+
+
+@register("incremental_load")
+def _incremental_load(fx: Fixtures) -> DataFrame:
+    from .streaming.incremental import incremental_load, write_bronze
+    spark = fx.spark
+    bronze = write_bronze(fx.raw_eras(keep_file_month=True), work_path(spark, "bronze-trips"))
+    silver, ckpt = work_path(spark, "silver-stream"), work_path(spark, "stream-ckpt")
+    grid = _grid(fx).checkpoint()     # cut lineage: computed once, reused by every batch
+    incremental_load(spark, bronze, grid, silver, ckpt)
+    incremental_load(spark, bronze, grid, silver, ckpt)   # a rerun finds nothing new
+    return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")

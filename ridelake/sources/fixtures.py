@@ -89,7 +89,8 @@ FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey
 """
 
 # Hourly weather for every hour in which some trip starts, except a few
-# missing hours; measures are functions of an hour number h.
+# missing hours and the latest year (not fetched yet); measures are functions
+# of an hour number h.
 FX_WEATHER = """
 SELECT ts,
   CAST(h % 400 AS DOUBLE) / 10 - 5 AS temperature_c,
@@ -103,7 +104,7 @@ FROM (
   SELECT ts, (CAST(year(ts) AS BIGINT) * 366 + dayofyear(ts)) * 24 + hour(ts) AS h
   FROM (SELECT DISTINCT CAST(date_trunc('HOUR', pu) AS {ntz}) AS ts FROM {fx_base}) d
 ) w
-WHERE h % 211 <> 0
+WHERE h % 211 <> 0 AND year(ts) < 2025
 """
 
 # Zone rings in vertex form (units of 1e-4 degree, closed rings): one rectangle
@@ -161,12 +162,13 @@ SELECT b.*, """ + _GPS + """,
   CASE WHEN l_partkey % 41 = 0 THEN CAST(250 AS DOUBLE)
        ELSE CAST(l_partkey % 700 AS DOUBLE) / 10 - 3 END AS dist,
   l_extendedprice / 1500 AS fare,
-  l_extendedprice / 1500 + l_discount * 10 + CAST(0.5 AS DOUBLE) AS tot
+  l_extendedprice / 1500 + l_discount * 10 + CAST(0.5 AS DOUBLE) AS tot,
+  CASE WHEN day(pu) = 1 AND l_orderkey % 3 = 0 THEN pu - INTERVAL '1' DAY ELSE pu END AS file_ts
 FROM {fx_base} b
 """
 
 FX_RAW_ERA1 = """
-SELECT vtype,
+SELECT vtype, file_ts AS _file_ts,
   CASE WHEN l_orderkey % 43 = 0 THEN 'n/a' ELSE CAST(pu AS STRING) END AS Trip_Pickup_DateTime,
   CAST(dof AS STRING) AS Trip_Dropoff_DateTime,
   CASE l_suppkey % 3 WHEN 0 THEN 'VTS' WHEN 1 THEN 'CMT' ELSE 'DDS' END AS vendor_name,
@@ -193,7 +195,7 @@ WHERE year(pu) < 2021
 """
 
 FX_RAW_ERA2 = """
-SELECT vtype,
+SELECT vtype, file_ts AS _file_ts,
   pu AS tpep_pickup_datetime,
   dof AS tpep_dropoff_datetime,
   l_suppkey % 2 + 1 AS VendorID,
@@ -220,7 +222,7 @@ WHERE year(pu) BETWEEN 2021 AND 2022
 """
 
 FX_RAW_ERA3 = """
-SELECT vtype,
+SELECT vtype, file_ts AS _file_ts,
   pu AS pickup_datetime,
   dof AS dropOff_datetime,
   'HV000' || CAST(l_suppkey % 4 + 2 AS STRING) AS hvfhs_license_num,
@@ -242,6 +244,15 @@ FROM {fx_raw_rows}
 WHERE year(pu) >= 2023
 """
 
+# Monthly file names as published ("<type>_tripdata_YYYY-MM.parquet"), one per
+# line item, plus unfinished downloads whose names must not match.
+FX_FILE_NAMES = """
+SELECT vtype,
+  vtype || '_tripdata_' || CAST(year(pu) AS STRING) || '-' || lpad(CAST(month(pu) AS STRING), 2, '0')
+    || CASE WHEN l_orderkey % 97 = 0 THEN '.parquet.part' ELSE '.parquet' END AS file_name
+FROM {fx_base}
+"""
+
 # name -> (sql, names of the inputs it reads)
 VIEWS = {
     "fx_base": (FX_BASE, ["lineitem", "orders", "customer", "supplier"]),
@@ -251,6 +262,7 @@ VIEWS = {
     "fx_ring_params": (FX_RING_PARAMS, ["supplier"]),
     "fx_ring_vertices": (FX_RING_VERTICES, ["fx_ring_params"]),
     "fx_raw_rows": (FX_RAW_ROWS, ["fx_base"]),
+    "fx_file_names": (FX_FILE_NAMES, ["fx_base"]),
     "fx_raw_era1": (FX_RAW_ERA1, ["fx_raw_rows"]),
     "fx_raw_era2": (FX_RAW_ERA2, ["fx_raw_rows"]),
     "fx_raw_era3": (FX_RAW_ERA3, ["fx_raw_rows"]),
@@ -311,8 +323,11 @@ class Fixtures:
     def weather(self) -> DataFrame:
         return self.view("fx_weather_hourly")
 
-    def raw_eras(self) -> list[DataFrame]:
-        return [self.view(f"fx_raw_era{i}") for i in (1, 2, 3)]
+    def raw_eras(self, keep_file_month: bool = False) -> list[DataFrame]:
+        """The three raw schema eras; ``_file_ts`` (month of the file a row sits in)
+        is kept only for writing a bronze lake."""
+        eras = [self.view(f"fx_raw_era{i}") for i in (1, 2, 3)]
+        return eras if keep_file_month else [e.drop("_file_ts") for e in eras]
 
     def rings(self) -> DataFrame:
         """Rings as ``ring_id, location_id, pts array<struct<lon,lat>>`` (vertices in order)."""

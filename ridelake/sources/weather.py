@@ -36,8 +36,11 @@ def weather_documents(hourly: DataFrame) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
         *[F.col(c).alias(var) for var, c in zip(S.WEATHER_VARS, S.WEATHER_COLS)])))
     docs = v.groupBy("year").agg(items.alias("items"))
-    hourly_struct = F.struct(*[F.transform("items", lambda x, k=k: x[k]).alias(k)
-                               for k in ["time"] + S.WEATHER_VARS])
+
+    def field(name):
+        return F.transform("items", lambda x: x[name]).alias(name)
+
+    hourly_struct = F.struct(*[field(k) for k in ["time"] + S.WEATHER_VARS])
     return docs.select("year", F.to_json(F.struct(hourly_struct.alias("hourly"))).alias("value"))
 
 
