@@ -95,8 +95,10 @@ def weekday_name(idx: str | Column) -> Column:
 
 
 def hour_start(ts: str | Column) -> Column:
-    """Start of the hour, kept as a naive local timestamp."""
-    return F.date_trunc("hour", col_of(ts)).cast("timestamp_ntz")
+    """Start of the hour as a naive local timestamp, built from the fields so no
+    session time zone (and no DST gap) is involved."""
+    t = col_of(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
 
 
 def in_scope(distance: str | Column = "trip_distance", fare: str | Column = "fare_amount") -> Column:

@@ -20,15 +20,17 @@ from pyspark.sql import functions as F
 from ..plans.silver import silver_trips
 
 
-def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts") -> list[str]:
+def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts",
+                 mode: str = "overwrite") -> list[str]:
     """Write raw era frames as a bronze lake ``<root>/era<i>/vtype=/year=/month=``.
-    ``month_col`` (a timestamp column) gives the month of the file a row sits in."""
+    ``month_col`` (a timestamp column) gives the month of the file a row sits in;
+    ``mode="append"`` adds newly arrived files next to the existing ones."""
     paths = []
     for i, f in enumerate(frames, start=1):
         path = f"{root.rstrip('/')}/era{i}"
         (f.withColumns({"year": F.year(month_col), "month": F.month(month_col)})
           .drop(month_col)
-          .write.mode("overwrite").partitionBy("vtype", "year", "month").parquet(path))
+          .write.mode(mode).partitionBy("vtype", "year", "month").parquet(path))
         paths.append(path)
     return paths
 
