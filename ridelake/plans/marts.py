@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import columns as C
-from ..operators.joins import maybe_broadcast
+from ..operators.joins import maybe_broadcast, small_enough
 
 FEE_AVG_COLS = {
     "extra": "surcharge_soir_nuit",
@@ -143,8 +143,10 @@ def zone_flows(trips: DataFrame, zones: DataFrame) -> DataFrame:
                   .groupBy("pickup_location_id", "dropoff_location_id")
                   .agg(_count().alias("n")))
     z = zones.select("location_id", "borough")
-    zb = maybe_broadcast(z.withColumnsRenamed({"location_id": "pu_id", "borough": "depart"}))
-    zd = maybe_broadcast(z.withColumnsRenamed({"location_id": "do_id", "borough": "arrivee"}))
+    if small_enough(z):          # one size check for both roles of the dimension
+        z = F.broadcast(z)
+    zb = z.withColumnsRenamed({"location_id": "pu_id", "borough": "depart"})
+    zd = z.withColumnsRenamed({"location_id": "do_id", "borough": "arrivee"})
     return (pairs.join(zb, pairs.pickup_location_id == zb.pu_id, "inner")
                  .join(zd, pairs.dropoff_location_id == zd.do_id, "inner")
                  .groupBy("depart", "arrivee").agg(F.sum("n").alias("courses")))
@@ -347,6 +349,10 @@ def weather_at_trip(trips: DataFrame, zones: DataFrame, weather: DataFrame,
         start = F.lit(hour).cast("timestamp_ntz")
         t = t.where((F.col("pickup_datetime") >= start)
                     & (F.col("pickup_datetime") < start + F.expr("INTERVAL 1 HOUR")))
+        if {"year", "month"} <= set(trips.columns):
+            # the lake is partitioned by pickup year/month: prune to one folder
+            y, m = int(hour[0:4]), int(hour[5:7])
+            t = t.where((F.col("year") == y) & (F.col("month") == m))
     z = maybe_broadcast(zones.select("location_id", "zone_name"))
     w = maybe_broadcast(weather.select("ts", "temperature_c", "precipitation_mm").dropDuplicates(["ts"]))
     return (t.select("pickup_datetime", "pickup_location_id")

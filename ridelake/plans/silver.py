@@ -2,8 +2,9 @@
 
 One plan for all input eras (``unionByName`` of canonical projections), two
 lookups against the grid (broadcast when the size check passes), one filter,
-one partitioned write. No shuffle on the broadcast path except the optional
-rebalance before the write (which fixes small files per partition).
+one partitioned write. No shuffle at all on the broadcast path (the write
+only sorts locally by partition columns); an optional rebalance exists for
+unclustered inputs.
 """
 from __future__ import annotations
 
@@ -25,9 +26,14 @@ def silver_trips(raw_frames: list[DataFrame], grid: DataFrame, strict: bool = Fa
 
 
 def write_silver(df: DataFrame, path: str, partition_cols=("vtype", "year", "month"),
-                 rebalance: bool = True) -> None:
+                 rebalance: bool = False) -> None:
     """Partitioned Parquet write. Dynamic partition overwrite replaces only the
-    partitions present in ``df`` (re-running a month is idempotent)."""
+    partitions present in ``df`` (re-running a month is idempotent).
+
+    Monthly bronze files are already clustered by month, so each task writes
+    to about one partition folder and no shuffle is needed. ``rebalance=True``
+    adds an AQE rebalance on the partition columns (one full shuffle) for
+    inputs that are not clustered, to avoid many small files."""
     out = df.hint("rebalance", *partition_cols) if rebalance else df
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -310,7 +310,8 @@ def _weather_roundtrip(fx: Fixtures) -> DataFrame:
 @register("silver_roundtrip")
 def _silver_roundtrip(fx: Fixtures) -> DataFrame:
     path = work_path(fx.spark, "silver-trips")
-    SV.write_silver(SV.silver_trips(fx.raw_eras(), _grid(fx)), path)
+    # the fixture rows come out of a join, not clustered by month: rebalance first
+    SV.write_silver(SV.silver_trips(fx.raw_eras(), _grid(fx)), path, rebalance=True)
     return SV.read_silver(fx.spark, path).select(*SC.FINAL_COLS, "year", "month")
 
 
