@@ -206,7 +206,8 @@ def _zone_centroids(fx: Fixtures) -> DataFrame:
 
 @register("zones_per_borough")
 def _zones_per_borough(fx: Fixtures) -> DataFrame:
-    return geo.zones_per_borough(fx.zones)
+    # the zone table holds the zones that have geometry (one row per zone with a valid ring)
+    return geo.zones_per_borough(geo.zone_centroids(fx.rings(), fx.zones))
 
 
 @register("era_union")

@@ -80,3 +80,13 @@ def test_silver_plan_has_no_python_and_no_shuffle(spark):
     # the only exchanges are the broadcasts of the grid
     exchanges = [line for line in p.splitlines() if "Exchange" in line and "(" in line and "+-" in line]
     assert exchanges and all("BroadcastExchange" in e for e in exchanges)
+
+
+def test_gold_marts_write_and_read_back(spark, lake):
+    from ridelake.plans.gold import write_gold
+    root = work_path(spark, "plans-gold")
+    names = write_gold(spark, lake["trips"], lake["zones"], lake["weather"], root,
+                       names=["volumes", "top_zones", "kpi_cards"])
+    assert names == ["volumes", "top_zones", "kpi_cards"]
+    assert spark.read.parquet(f"{root}/kpi_cards").count() == 1
+    assert spark.read.parquet(f"{root}/top_zones").count() <= 10
