@@ -41,6 +41,6 @@ def write_gold(spark: SparkSession, trips: DataFrame, zones: DataFrame, weather:
     built = marts(spark, trips, zones, weather)
     written = []
     for name in names or list(built):
-        built[name]().coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+        built[name]().write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
         written.append(name)
     return written
