@@ -156,9 +156,11 @@ def flow_nodes(flows: DataFrame, digits: int = 6) -> DataFrame:
     """Chord sectors: node size = outgoing + incoming (diagonal counted twice),
     share of the total, sector [angle_start, angle_end] clockwise from 90 deg
     in label order. Cumulative sums are taken on exact integer counts."""
-    sizes = (flows.select(F.col("depart").alias("label"), "courses")
-                  .unionByName(flows.select(F.col("arrivee").alias("label"), "courses"))
-                  .groupBy("label").agg(F.sum("courses").alias("node_size")))
+    # one pass over flows: each flow counts for its origin and its destination
+    roles = F.array(F.struct(F.col("depart").alias("label"), F.col("courses").alias("c")),
+                    F.struct(F.col("arrivee").alias("label"), F.col("courses").alias("c")))
+    sizes = (flows.select(F.inline(roles))
+                  .groupBy("label").agg(F.sum("c").alias("node_size")))
     everything = Window.partitionBy(F.lit(0))
     ordered = everything.orderBy("label").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = F.sum("node_size").over(everything)
@@ -175,6 +177,9 @@ def flow_ribbons(flows: DataFrame, digits: int = 6) -> DataFrame:
     """Ribbon end angles: outgoing cursor per origin in destination order, incoming
     cursor per destination in origin order, both from the sector's start angle;
     internal flows consume angle but are not drawn."""
+    # flows (a small aggregate) feeds both the node sizes and the ribbon cursors:
+    # materialise it once instead of re-running the trip scan for each use
+    flows = flows.checkpoint()
     nodes = flow_nodes(flows, digits=12).select("label", "node_size", "angle_start")
     f = flows.where(F.col("courses") > 0)
     out_w = Window.partitionBy("depart").orderBy("arrivee").rowsBetween(Window.unboundedPreceding, -1)
@@ -196,15 +201,14 @@ def flow_ribbons(flows: DataFrame, digits: int = 6) -> DataFrame:
 
 def flow_matrix(flows: DataFrame) -> DataFrame:
     """Dense origin x destination matrix (pivot, missing cells 0). Rows and
-    columns are the union of origin and destination labels."""
-    labels = (flows.select(F.col("depart").alias("label"))
-                   .unionByName(flows.select(F.col("arrivee").alias("label"))).distinct())
-    # every label appears as a row, with a zero self-cell if it has no outgoing flow
-    rows = labels.select(F.col("label").alias("depart"), F.col("label").alias("arrivee"),
-                         F.lit(0).cast("long").alias("courses"))
-    return (flows.select("depart", "arrivee", F.col("courses").cast("long"))
-                 .unionByName(rows)
-                 .groupBy("depart").pivot("arrivee").agg(F.sum("courses"))
+    columns are the union of origin and destination labels: every flow also
+    emits a zero self-cell for both of its labels, so flows is read once."""
+    cells = F.array(
+        F.struct(F.col("depart").alias("d"), F.col("arrivee").alias("a"), F.col("courses").cast("long").alias("c")),
+        F.struct(F.col("depart").alias("d"), F.col("depart").alias("a"), F.lit(0).cast("long").alias("c")),
+        F.struct(F.col("arrivee").alias("d"), F.col("arrivee").alias("a"), F.lit(0).cast("long").alias("c")))
+    return (flows.select(F.inline(cells))
+                 .groupBy(F.col("d").alias("depart")).pivot("a").agg(F.sum("c"))
                  .na.fill(0)
                  .orderBy("depart"))
 
@@ -247,16 +251,18 @@ def price_histogram(spark: SparkSession, trips: DataFrame, zones: DataFrame,
 
 def price_density(hist: DataFrame, digits: int = 9) -> DataFrame:
     """Density per period on a dense bin axis (global min..max bin, gaps 0):
-    n / (sum(n) * bin_width). ``hist`` is small (periods x bins)."""
-    everything = Window.partitionBy(F.lit(0))
-    bounds = hist.withColumns({"lo": F.min("bin").over(everything), "hi": F.max("bin").over(everything)})
-    axis = (bounds.select("periode", "lo", "hi").distinct()
-                  .select("periode", F.explode(F.sequence("lo", "hi")).alias("bin")))
-    dense = (axis.join(hist, ["periode", "bin"], "left")
-                 .withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("long")))
-    per = Window.partitionBy("periode")
+    n / (sum(n) * bin_width). ``hist`` is small (periods x bins, bins bounded by
+    the ratio cap) and is read once: each period's bins become one map."""
+    per = hist.groupBy("periode").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"),
+        F.min("bin").alias("pmin"), F.max("bin").alias("pmax"), F.sum("n").alias("total"))
+    everything = Window.partitionBy(F.lit(0))          # one row per period
+    bounds = per.withColumns({"lo": F.min("pmin").over(everything), "hi": F.max("pmax").over(everything)})
+    axis = bounds.select("periode", "m", "total", F.explode(F.sequence("lo", "hi")).alias("bin"))
+    dense = axis.select("periode", "bin", "total",
+                        F.coalesce(F.col("m")[F.col("bin")], F.lit(0)).cast("long").alias("n"))
     return dense.select("periode", "bin", "n",
-                        F.round(F.col("n") / (F.sum("n").over(per) * S.PRICE_BIN_WIDTH), digits).alias("density"))
+                        F.round(F.col("n") / (F.col("total") * S.PRICE_BIN_WIDTH), digits).alias("density"))
 
 
 def smooth(col: str, order: Window) -> F.Column:
@@ -276,6 +282,7 @@ def price_ridgeline(hist: DataFrame, digits: int = 9) -> DataFrame:
     period: baseline = n_periods - 1 - rank(period)."""
     dens = price_density(hist, digits=17).withColumn(
         "d", F.col("n") / (F.sum("n").over(Window.partitionBy("periode")) * S.PRICE_BIN_WIDTH))
+    # (d is recomputed unrounded from the exact integer counts)
     order = Window.partitionBy("periode").orderBy("bin")
     s1 = dens.withColumn("s1", smooth("d", order))
     s2 = s1.withColumn("y", smooth("s1", order))
@@ -362,25 +369,54 @@ def weather_at_trip(trips: DataFrame, zones: DataFrame, weather: DataFrame,
 
 
 # --------------------------------------------------------------- KPI row
+def hourly_profile(trips: DataFrame) -> DataFrame:
+    """One row per (vtype, pickup hour) with every count the KPI row needs:
+    all trips, trips with a pickup zone, in-scope trips and their ratio sum.
+    Bounded by types x hours of the calendar, whatever the trip volume."""
+    scope = C.in_scope()
+    r = C.ratio("fare_amount", "trip_distance")
+    return (trips.groupBy("vtype", C.hour_start("pickup_datetime").alias("ts"))
+                 .agg(_count().alias("n_all"), F.count("pickup_location_id").alias("n_zone"),
+                      F.sum(F.when(scope, r)).alias("s"), F.count(F.when(scope, F.lit(1))).alias("n")))
+
+
 def kpi_cards(spark: SparkSession, trips: DataFrame, weather: DataFrame) -> DataFrame:
     """The six headline values (numbers and their display strings) in one row.
-    Inputs are the small aggregated frames; combined with scalar subqueries."""
-    vol = volumes_by_type_year(trips)
-    meteo = price_by_weather(trips, weather, digits=12)
-    overall = price_per_distance(trips, digits=12)
-    return spark.sql("""
+
+    Trips are scanned once, into the hourly profile, which is checkpointed
+    (reliably, in the shared checkpoint folder) because four parts of the
+    row read it; volumes by (type, year), the zone fill rate, the global mean
+    fare per distance and the rain deviation all come from that small frame
+    (means as sum / count)."""
+    w = maybe_broadcast(weather.select("ts", "precipitation_mm").dropDuplicates(["ts"])
+                               .withColumn("has_weather", F.lit(True)))
+    return spark.sql(f"""
+        WITH prof AS (SELECT * FROM {{prof}}),
+        vol AS (
+          SELECT vtype, year(ts) AS year, sum(n_all) AS courses,
+                 round(sum(n_zone) / sum(n_all) * 100, 1) AS pct
+          FROM prof GROUP BY vtype, year(ts)),
+        hours AS (SELECT ts, sum(s) AS s, sum(n) AS n FROM prof GROUP BY ts),
+        cls AS (
+          SELECT CASE WHEN w.has_weather THEN
+                   CASE WHEN w.precipitation_mm > {S.RAIN_THRESHOLD_MM}D THEN 'pluie' ELSE 'sec' END END AS conditions,
+                 sum(h.s) AS s, sum(h.n) AS n
+          FROM hours h LEFT JOIN {{w}} w ON h.ts = w.ts
+          GROUP BY 1),
+        m AS (SELECT sum(s) / sum(n) AS mean_all FROM cls),
+        k AS (
+          SELECT CAST(sum(courses) AS BIGINT) AS total_courses,
+                 count(DISTINCT vtype) AS n_types,
+                 CASE WHEN min(year) = max(year) THEN CAST(min(year) AS STRING)
+                      ELSE CAST(min(year) AS STRING) || '-' || CAST(max(year) AS STRING) END AS periode,
+                 round(sum(courses * pct) / sum(courses), 1) AS pct_global,
+                 round((SELECT mean_all FROM m), 6) AS prix_km_moyen,
+                 round(coalesce((SELECT 100 * (s / n / (SELECT mean_all FROM m) - 1)
+                                 FROM cls WHERE conditions = 'pluie'), 0.0D), 6) AS delta_pluie
+          FROM vol)
         SELECT total_courses, n_types, periode, pct_global, prix_km_moyen, delta_pluie,
                translate(format_number(total_courses, 0), ',', ' ') AS total_txt,
                format_string('%.2f $/km', prix_km_moyen) AS prix_txt,
                format_string('%+.1f %%', delta_pluie) AS pluie_txt,
                format_string('%.1f %%', pct_global) AS pct_txt
-        FROM (
-          SELECT CAST(sum(courses) AS BIGINT) AS total_courses,
-                 count(DISTINCT vtype) AS n_types,
-                 CASE WHEN min(year) = max(year) THEN CAST(min(year) AS STRING)
-                      ELSE CAST(min(year) AS STRING) || '-' || CAST(max(year) AS STRING) END AS periode,
-                 round(sum(courses * pct_zone_resolue) / sum(courses), 1) AS pct_global,
-                 round((SELECT first(prix_km_moyen) FROM {overall}), 6) AS prix_km_moyen,
-                 round(coalesce((SELECT avg(ecart_pct) FROM {meteo} WHERE conditions = 'pluie'), 0.0D), 6)
-                   AS delta_pluie
-          FROM {vol})""", vol=vol, meteo=meteo, overall=overall)
+        FROM k""", prof=hourly_profile(trips).checkpoint(), w=w)
