@@ -81,18 +81,18 @@ def fees_by_month_head(trips: DataFrame, vtype: str = "yellow", n: int = 14) ->
 
 def fee_series(trips: DataFrame) -> DataFrame:
     """Monthly fee averages as a long series; all-NULL points dropped; a type with
-    no amount at all gets one row with ``has_amounts = false``."""
+    no amount at all gets one row with ``has_amounts = false``. The monthly
+    aggregate (types x months x 6 fees) is read once."""
     monthly = fees_by_month(trips).select("mois", "vtype", *FEE_AVG_COLS.values())
-    long = (monthly.unpivot(["mois", "vtype"], list(FEE_AVG_COLS.values()), "fee", "value")
-                   .where(F.col("value").isNotNull()))
-    with_values = long.select("vtype").distinct()
-    empty_types = (monthly.select("vtype").distinct()
-                          .join(with_values, "vtype", "left_anti")
-                          .select("vtype", F.lit(None).cast("string").alias("mois"),
-                                  F.lit(None).cast("string").alias("fee"),
-                                  F.lit(None).cast("double").alias("value"),
-                                  F.lit(False).alias("has_amounts")))
-    return long.withColumn("has_amounts", F.lit(True)).unionByName(empty_types)
+    long = monthly.unpivot(["mois", "vtype"], list(FEE_AVG_COLS.values()), "fee", "value")
+    per_type = Window.partitionBy("vtype")
+    flagged = long.withColumns({
+        "has_amounts": F.max(F.col("value").isNotNull()).over(per_type),
+        "k": F.row_number().over(per_type.orderBy("mois", "fee"))})
+    keep = F.col("value").isNotNull() | (~F.col("has_amounts") & (F.col("k") == 1))
+    return flagged.where(keep).select(
+        F.when(F.col("has_amounts"), F.col("mois")).alias("mois"), "vtype",
+        F.when(F.col("has_amounts"), F.col("fee")).alias("fee"), "value", "has_amounts")
 
 
 def fee_applicability(trips: DataFrame) -> DataFrame:

@@ -279,7 +279,7 @@ def _month_calendar(fx: Fixtures) -> DataFrame:
 
 @register("missing_months")
 def _missing_months(fx: Fixtures) -> DataFrame:
-    inv = _inventory(fx)
+    inv = _inventory(fx).checkpoint()     # small; read by the calendar and the anti join
     return lake.missing_months(lake.month_calendar(inv, first_months=SC.VEHICLES), inv)
 
 
