@@ -8,13 +8,21 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+_checked: dict[tuple[int, int, int], bool] = {}
+
+
 def small_enough(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Reads at most ``max_rows + 1`` rows (a bounded job), so the check stays
-    cheap even when the answer is "no".
+    cheap even when the answer is "no". The answer is remembered per logical
+    plan (``semanticHash``) and set of input files, so a dimension used by many
+    queries is counted once, and a table that gained files is counted again.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.semanticHash(), hash(tuple(sorted(df.inputFiles()))), max_rows)
+    if key not in _checked:
+        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _checked[key]
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
