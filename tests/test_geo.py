@@ -99,3 +99,24 @@ def test_zones_per_borough(spark):
     assert got == {"A": 2, "B": 1}
     assert geo.valid_rings(rings_df(spark, [(1, 1, [(0.0, 0.0)] * 3)])).count() == 0
     assert F is not None
+
+
+def test_scanline_equals_raycast_on_irregular_rings(spark):
+    import random
+    rnd = random.Random(3)
+    rings = []
+    for rid in range(6):
+        cx, cy = -74.0 + 0.03 * rid, 40.7 + 0.01 * (rid % 2)
+        pts = []
+        for k in range(9):      # star-shaped, non-convex polygon
+            import math as m
+            ang = 2 * m.pi * k / 9
+            r = 0.01 + 0.006 * rnd.random()
+            pts.append((cx + r * m.cos(ang), cy + r * m.sin(ang)))
+        pts.append(pts[0])
+        rings.append((rid, rid % 3, pts))
+    rings.append((10, 7, list(reversed(square(-74.0005, 40.6905, 0.02)))))   # clockwise, overlaps
+    r = rings_df(spark, rings)
+    a = sorted(map(tuple, geo.zone_grid(r, method="scanline").collect()))
+    b = sorted(map(tuple, geo.zone_grid(r, method="raycast").collect()))
+    assert a == b and len(a) > 1000
