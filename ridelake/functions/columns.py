@@ -101,6 +101,23 @@ def hour_start(ts: str | Column) -> Column:
     return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
 
 
+def year_month(ts: str | Column) -> Column:
+    """'yyyy-MM' of a naive timestamp, from its fields (no session time zone)."""
+    t = col_of(ts)
+    return F.format_string("%04d-%02d", F.year(t), F.month(t))
+
+
+def year_text(ts: str | Column) -> Column:
+    return F.format_string("%04d", F.year(col_of(ts)))
+
+
+def iso_minute(ts: str | Column) -> Column:
+    """'yyyy-MM-ddTHH:mm' of a naive timestamp, from its fields."""
+    t = col_of(ts)
+    return F.format_string("%04d-%02d-%02dT%02d:%02d", F.year(t), F.month(t), F.dayofmonth(t),
+                           F.hour(t), F.minute(t))
+
+
 def in_scope(distance: str | Column = "trip_distance", fare: str | Column = "fare_amount") -> Column:
     """Analysis scope: distance in [0.5, 50] and fare > 2.5 (both pushable to the scan)."""
     return (col_of(distance).between(F.lit(S.SCOPE_MIN_DISTANCE), F.lit(S.SCOPE_MAX_DISTANCE))

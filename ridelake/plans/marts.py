@@ -68,7 +68,7 @@ def fees_by_month(trips: DataFrame, digits: int = 6) -> DataFrame:
     for c, name in FEE_AVG_COLS.items():
         aggs.append(F.round(F.avg(c), digits).alias(name))
         aggs.append(F.round(F.sum(c), digits - 2).alias(f"{name}_total"))
-    return (trips.groupBy(F.date_format("pickup_datetime", "yyyy-MM").alias("mois"), "vtype")
+    return (trips.groupBy(C.year_month("pickup_datetime").alias("mois"), "vtype")
                  .agg(*aggs)
                  .orderBy("mois", "vtype"))
 
@@ -237,8 +237,8 @@ def price_histogram(spark: SparkSession, trips: DataFrame, zones: DataFrame,
     return spark.sql(f"""
         WITH base AS (
           SELECT CASE WHEN (SELECT count(DISTINCT year) FROM {{trips}}) = 1
-                      THEN date_format(pickup_datetime, 'yyyy-MM')
-                      ELSE date_format(pickup_datetime, 'yyyy') END AS periode,
+                      THEN format_string('%04d-%02d', year(pickup_datetime), month(pickup_datetime))
+                      ELSE format_string('%04d', year(pickup_datetime)) END AS periode,
                  try_divide(fare_amount, trip_distance) AS prix_km
           FROM {{trips}}
           WHERE pickup_location_id = {zone_sql}

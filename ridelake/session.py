@@ -6,7 +6,6 @@ local fallback is only created when the session does not name one (tests).
 """
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,8 +66,8 @@ def local_path(path: str) -> str:
 
 
 def apply_session_conf(spark: SparkSession) -> None:
-    """Set the runtime-changeable subset of SESSION_CONF on an existing session."""
-    for k, v in SESSION_CONF.items():
-        if k.startswith("spark.sql."):
-            spark.conf.set(k, v)
-    os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
+    """What a query needs from a session it did not create: a checkpoint folder
+    (small multi-use aggregates are checkpointed). Other settings of the
+    caller's session are left alone; the library is time-zone independent
+    (naive timestamps throughout) and passes write modes per write."""
+    ensure_checkpoint_dir(spark)

@@ -1,8 +1,9 @@
 """Ride-shaped test views derived from the driver's TPC-H-like tables.
 
 Each view is one SQL text that runs unchanged in Spark SQL and in DuckDB (the
-only dialect switches are the naive-timestamp literal keyword and the string
-type name), so the Spark operators and the DuckDB oracle read identical input.
+only dialect switches are the naive-timestamp literal keyword and the name of
+the make-timestamp function), so the Spark operators and the DuckDB oracle
+read identical input. No expression goes through the session time zone.
 All views are derived from ``lineitem`` / ``orders`` / ``customer`` /
 ``supplier`` / ``nation`` / ``region`` and grow with them.
 
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .tables import Tables
 
-SPARK = {"ntz": "TIMESTAMP_NTZ"}
-DUCK = {"ntz": "TIMESTAMP"}
+SPARK = {"ntz": "TIMESTAMP_NTZ", "mk_ts": "make_timestamp_ntz"}
+DUCK = {"ntz": "TIMESTAMP", "mk_ts": "make_timestamp"}
 
 # One row per line item with the keys the ride views need.
 FX_BASE = """
@@ -102,7 +103,7 @@ SELECT ts,
   CAST(h % 4 AS INT) AS code_meteo
 FROM (
   SELECT ts, (CAST(year(ts) AS BIGINT) * 366 + dayofyear(ts)) * 24 + hour(ts) AS h
-  FROM (SELECT DISTINCT CAST(date_trunc('HOUR', pu) AS {ntz}) AS ts FROM {fx_base}) d
+  FROM (SELECT DISTINCT {mk_ts}(year(pu), month(pu), day(pu), hour(pu), 0, 0) AS ts FROM {fx_base}) d
 ) w
 WHERE h % 211 <> 0 AND year(ts) < 2025
 """

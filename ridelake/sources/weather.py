@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions import columns as C
 
 
 def explode_hourly(raw: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def weather_documents(hourly: DataFrame) -> DataFrame:
     A year holds at most 8,784 hours, so each group is bounded by the calendar."""
     v = hourly.withColumn("year", F.year("ts"))
     items = F.array_sort(F.collect_list(F.struct(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
+        C.iso_minute("ts").alias("time"),
         *[F.col(c).alias(var) for var, c in zip(S.WEATHER_VARS, S.WEATHER_COLS)])))
     docs = v.groupBy("year").agg(items.alias("items"))
 

@@ -158,3 +158,17 @@ def test_thousands_format(spark):
 
 def test_fixture_intro_dates_are_library_dates():
     assert S.INTRO_DATE["congestion_surcharge"] == date(2019, 2, 1)
+
+
+def test_time_helpers_ignore_session_time_zone(spark):
+    # 02:30 on 2024-03-10 does not exist in New York; every helper must keep it
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(datetime(2024, 3, 10, 2, 30),)], "x timestamp_ntz")
+        r = df.select(C.hour_start("x").alias("h"), C.year_month("x").alias("ym"),
+                      C.iso_minute("x").alias("iso"), F.hour("x").alias("hh")).first()
+        assert r["h"] == datetime(2024, 3, 10, 2, 0)
+        assert (r["ym"], r["iso"], r["hh"]) == ("2024-03", "2024-03-10T02:30", 2)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
