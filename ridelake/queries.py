@@ -172,9 +172,13 @@ def _quality_filter_strict(fx: Fixtures) -> DataFrame:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw eras -> silver (canonical, cleaned, geocoded, filtered) -> top-10 pickup zones."""
+    from .operators import geo as _geo
+    from .plans import silver as _silver
     apply_session_conf(spark)
     fx = Fixtures(spark, sf_dir)
-    return M.top_zones(fx.trips, fx.zones)
+    trips = _silver.silver_trips(fx.raw_eras(), _geo.zone_grid(fx.rings(), fx.zones))
+    return M.top_zones(trips, fx.zones)
 
 
 __all__ = ["REGISTRY", "flagship", "F"]
