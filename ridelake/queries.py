@@ -6,10 +6,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import clean
+from . import schema as SC
+from .functions.columns import normalize_category, normalize_flag, sentinel_to_null
+from .operators import clean, geo
 from .plans import marts as M
-from .session import apply_session_conf
+from .plans import silver as SV
+from .session import apply_session_conf, work_path
+from .sources import lake
+from .sources import weather as WX
 from .sources.fixtures import Fixtures
+from .streaming.incremental import incremental_load, write_bronze
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -149,13 +155,11 @@ def _kpi_cards(fx: Fixtures) -> DataFrame:
 
 @register("sentinel_dates")
 def _sentinel_dates(fx: Fixtures) -> DataFrame:
-    from .functions.columns import sentinel_to_null
     return fx.trips.select("vtype", "pickup_datetime",
                            sentinel_to_null("dropoff_datetime").alias("dropoff_datetime"))
 
 
 def _sentinel_cleaned(fx: Fixtures) -> DataFrame:
-    from .functions.columns import sentinel_to_null
     return fx.trips.select("vtype", "pickup_datetime",
                            sentinel_to_null("dropoff_datetime").alias("dropoff_datetime"),
                            "total_amount")
@@ -173,20 +177,13 @@ def _quality_filter_strict(fx: Fixtures) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw eras -> silver (canonical, cleaned, geocoded, filtered) -> top-10 pickup zones."""
-    from .operators import geo as _geo
-    from .plans import silver as _silver
     apply_session_conf(spark)
     fx = Fixtures(spark, sf_dir)
-    trips = _silver.silver_trips(fx.raw_eras(), _geo.zone_grid(fx.rings(), fx.zones))
+    trips = SV.silver_trips(fx.raw_eras(), geo.zone_grid(fx.rings(), fx.zones))
     return M.top_zones(trips, fx.zones)
 
 
-__all__ = ["REGISTRY", "flagship", "F"]
-
-
 # --------------------------------------------------------------- geo and silver
-from .operators import geo  # noqa: E402
-from .plans import silver as SV  # noqa: E402
 
 
 def _grid(fx: Fixtures) -> DataFrame:
@@ -230,7 +227,6 @@ def _clean_values(fx: Fixtures) -> DataFrame:
 
 @register("normalize_flag")
 def _normalize_flag(fx: Fixtures) -> DataFrame:
-    from .functions.columns import normalize_flag
     u = clean.era_union(fx.raw_eras())
     return (u.groupBy("store_and_fwd_raw", normalize_flag("store_and_fwd_raw").alias("store_and_fwd_flag"))
              .agg(F.count(F.lit(1)).alias("n")))
@@ -238,7 +234,6 @@ def _normalize_flag(fx: Fixtures) -> DataFrame:
 
 @register("normalize_category")
 def _normalize_category(fx: Fixtures) -> DataFrame:
-    from .functions.columns import normalize_category
     u = clean.era_union(fx.raw_eras())
     return (u.groupBy("payment_type_raw", normalize_category("payment_type_raw").alias("payment_type"))
              .agg(F.count(F.lit(1)).alias("n")))
@@ -257,9 +252,6 @@ def _silver_trips(fx: Fixtures) -> DataFrame:
 
 
 # --------------------------------------------------------------- lake bookkeeping
-from . import schema as SC  # noqa: E402
-from .session import work_path  # noqa: E402
-from .sources import lake, weather as WX  # noqa: E402
 
 
 def _inventory(fx: Fixtures) -> DataFrame:
@@ -322,7 +314,6 @@ def _silver_roundtrip(fx: Fixtures) -> DataFrame:
 
 @register("incremental_load")
 def _incremental_load(fx: Fixtures) -> DataFrame:
-    from .streaming.incremental import incremental_load, write_bronze
     spark = fx.spark
     bronze = write_bronze(fx.raw_eras(keep_file_month=True), work_path(spark, "bronze-trips"))
     silver, ckpt = work_path(spark, "silver-stream"), work_path(spark, "stream-ckpt")
