@@ -198,19 +198,19 @@ def geocode(df: DataFrame, grid: DataFrame, step: int = S.GRID_STEP,
         salt = (F.lit(200_000_000) + F.pmod(F.xxhash64(*df.columns), F.lit(1_000_000))).cast("int")
         keyed = keyed.withColumns({k: F.coalesce(F.col(k), salt)
                                    for k in ("pu_lon_k", "do_lon_k")})
-    gp = g.selectExpr("lon_key AS pu_lon_k", "lat_key AS pu_lat_k", "location_id AS gps_pu")
-    gd = g.selectExpr("lon_key AS do_lon_k", "lat_key AS do_lat_k", "location_id AS gps_do")
+    # one grid, two roles (pickup and drop-off), as two aliases of the same plan
     if use_broadcast:
-        gp, gd = F.broadcast(gp), F.broadcast(gd)
-    out = (keyed.join(gp, ["pu_lon_k", "pu_lat_k"], "left")
-                .join(gd, ["do_lon_k", "do_lat_k"], "left")
-                .withColumns({
-                    "pickup_location_id": F.coalesce(F.col("gps_pu"), F.col("pub_pickup_zone")),
-                    "dropoff_location_id": F.coalesce(F.col("gps_do"), F.col("pub_dropoff_zone")),
-                }))
-    return out.drop("pu_lon_k", "pu_lat_k", "do_lon_k", "do_lat_k", "gps_pu", "gps_do",
-                    "pub_pickup_zone", "pub_dropoff_zone", "pickup_longitude", "pickup_latitude",
-                    "dropoff_longitude", "dropoff_latitude")
+        g = F.broadcast(g)
+    gp, gd = g.alias("gp"), g.alias("gd")
+    on_pu = (F.col("pu_lon_k") == F.col("gp.lon_key")) & (F.col("pu_lat_k") == F.col("gp.lat_key"))
+    on_do = (F.col("do_lon_k") == F.col("gd.lon_key")) & (F.col("do_lat_k") == F.col("gd.lat_key"))
+    keep = [c for c in df.columns if c not in (
+        "pub_pickup_zone", "pub_dropoff_zone", "pickup_longitude", "pickup_latitude",
+        "dropoff_longitude", "dropoff_latitude")]
+    return (keyed.alias("t").join(gp, on_pu, "left").join(gd, on_do, "left")
+                 .select(*[F.col(f"t.{c}") for c in keep],
+                         F.coalesce(F.col("gp.location_id"), F.col("t.pub_pickup_zone")).alias("pickup_location_id"),
+                         F.coalesce(F.col("gd.location_id"), F.col("t.pub_dropoff_zone")).alias("dropoff_location_id")))
 
 
 def grid_coverage(rings: DataFrame, grid: DataFrame, step: int = S.GRID_STEP,
