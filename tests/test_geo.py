@@ -120,3 +120,26 @@ def test_scanline_equals_raycast_on_irregular_rings(spark):
     a = sorted(map(tuple, geo.zone_grid(r, method="scanline").collect()))
     b = sorted(map(tuple, geo.zone_grid(r, method="raycast").collect()))
     assert a == b and len(a) > 1000
+
+
+def test_geocode_with_a_hot_cell_and_many_missing_points(spark):
+    # a third of the rows in one cell, a third without GPS: both join paths agree
+    grid = geo.zone_grid(rings_df(spark, [(1, 10, square(-74.0005, 40.6005, 0.01)),
+                                          (2, 11, square(-73.9805, 40.6005, 0.01))]))
+    rows = []
+    for i in range(3000):
+        if i % 3 == 0:
+            rows.append((-73.9955, 40.6055, None, None, None, 5))
+        elif i % 3 == 1:
+            rows.append((None, None, None, None, i % 7, None))
+        else:
+            rows.append((-73.9805 + 0.0001 * (i % 90), 40.6010 + 0.0001 * (i % 80), -73.9955, 40.6055, None, None))
+    pts = spark.createDataFrame(rows, "pickup_longitude double, pickup_latitude double, "
+                                      "dropoff_longitude double, dropoff_latitude double, "
+                                      "pub_pickup_zone int, pub_dropoff_zone int")
+    a = geo.geocode(pts, grid).groupBy("pickup_location_id", "dropoff_location_id").count()
+    b = geo.geocode(pts, grid, max_broadcast_rows=0).groupBy("pickup_location_id", "dropoff_location_id").count()
+    ra, rb = sorted(map(tuple, a.collect()), key=repr), sorted(map(tuple, b.collect()), key=repr)
+    assert ra == rb
+    assert sum(r[2] for r in ra) == 3000
+    assert dict(((r[0], r[1]), r[2]) for r in ra)[(10, 5)] == 1000
