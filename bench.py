@@ -22,7 +22,8 @@ from ridelake.plans import silver as SV  # noqa: E402
 from ridelake.session import get_spark, work_path  # noqa: E402
 from ridelake.sources import lake  # noqa: E402
 from ridelake.sources.fixtures import Fixtures  # noqa: E402
-from ridelake.streaming.incremental import write_bronze  # noqa: E402
+from ridelake.sources import weather as WX  # noqa: E402
+from ridelake.streaming.incremental import incremental_load, write_bronze  # noqa: E402
 
 
 def run(df) -> None:
@@ -56,6 +57,8 @@ def main() -> int:
     SV.write_silver(fx.trips, trips_path)
     fx.zones.write.parquet(zones_path)
     fx.weather.write.parquet(weather_path)
+    bronze_weather = work_path(spark, "bench-bronze-weather")
+    WX.write_weather_documents(fx.weather, bronze_weather)
     setup = round(time.perf_counter() - t_setup, 3)
     rings = spark.read.parquet(rings_path)
     trips = spark.read.parquet(trips_path)
@@ -70,6 +73,10 @@ def main() -> int:
     raw = [spark.read.parquet(p) for p in bronze]
     timed("silver_trips", lambda: SV.write_silver(
         SV.silver_trips([r.drop("year", "month") for r in raw], grid), silver_path))
+    stream_out, stream_ckpt = work_path(spark, "bench-stream"), work_path(spark, "bench-stream-ckpt")
+    timed("incremental_load", lambda: incremental_load(spark, bronze, grid, stream_out, stream_ckpt))
+    timed("weather_json", lambda: WX.write_weather(
+        WX.read_weather_json(spark, bronze_weather), work_path(spark, "bench-weather-silver")))
 
     # ---- gold
     timed("volumes_by_type_year", lambda: run(M.volumes_by_type_year(trips)))
