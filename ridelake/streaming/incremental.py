@@ -35,37 +35,48 @@ def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts"
     return paths
 
 
-def load_era_stream(spark: SparkSession, bronze_path: str, grid: DataFrame, silver_path: str,
-                    checkpoint: str, era_name: str, max_files_per_trigger: int | None = None) -> int:
-    """Process every bronze file of one era not yet in ``checkpoint``; returns the
-    number of micro-batches run (0 when nothing was new)."""
+def start_era_stream(spark: SparkSession, bronze_path: str, grid: DataFrame, silver_path: str,
+                     checkpoint: str, era_name: str, max_files_per_trigger: int | None = None):
+    """Start the stream of one era; returns (query, list of processed batch ids)."""
     schema = spark.read.parquet(bronze_path).schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(bronze_path)
-    grid_local = grid
     batches: list[int] = []
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        out = (silver_trips([batch.drop("year", "month")], grid_local)
+        out = (silver_trips([batch.drop("year", "month")], grid)
                .withColumn("ingest_batch", F.lit(f"{era_name}-{batch_id:06d}")))
+        # dynamic overwrite of this batch's own partitions: a replay replaces, never appends
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("ingest_batch", "vtype", "year", "month").parquet(silver_path))
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(process)
+               .queryName(f"silver-{era_name}-{abs(hash(checkpoint)) % 10**8}")
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True)
                .start())
+    return q, batches
+
+
+def load_era_stream(spark: SparkSession, bronze_path: str, grid: DataFrame, silver_path: str,
+                    checkpoint: str, era_name: str, max_files_per_trigger: int | None = None) -> int:
+    """Process every bronze file of one era not yet in ``checkpoint``; returns the
+    number of micro-batches run (0 when nothing was new)."""
+    q, batches = start_era_stream(spark, bronze_path, grid, silver_path, checkpoint, era_name,
+                                  max_files_per_trigger)
     q.awaitTermination()
     return len(batches)
 
 
 def incremental_load(spark: SparkSession, bronze_paths: list[str], grid: DataFrame,
                      silver_path: str, checkpoint_root: str) -> int:
-    """Run every era stream once; returns the total number of batches processed."""
-    n = 0
-    for i, p in enumerate(bronze_paths, start=1):
-        n += load_era_stream(spark, p, grid, silver_path, f"{checkpoint_root.rstrip('/')}/era{i}", f"era{i}")
-    return n
+    """Run every era stream once, concurrently (each writes only its own
+    ``ingest_batch=`` partitions); returns the total number of batches processed."""
+    started = [start_era_stream(spark, p, grid, silver_path, f"{checkpoint_root.rstrip('/')}/era{i}", f"era{i}")
+               for i, p in enumerate(bronze_paths, start=1)]
+    for q, _ in started:
+        q.awaitTermination()
+    return sum(len(b) for _, b in started)
