@@ -198,7 +198,8 @@ def geocode(df: DataFrame, grid: DataFrame, step: int = S.GRID_STEP,
         salt = (F.lit(200_000_000) + F.pmod(F.xxhash64(*df.columns), F.lit(1_000_000))).cast("int")
         keyed = keyed.withColumns({k: F.coalesce(F.col(k), salt)
                                    for k in ("pu_lon_k", "do_lon_k")})
-    # one grid, two roles (pickup and drop-off), as two aliases of the same plan
+    # one grid, two roles (pickup and drop-off), as two aliases of the same plan:
+    # the broadcast is built once and reused by the second lookup (ReusedExchange)
     if use_broadcast:
         g = F.broadcast(g)
     gp, gd = g.alias("gp"), g.alias("gd")

@@ -90,3 +90,13 @@ def test_gold_marts_write_and_read_back(spark, lake):
     assert names == ["volumes", "top_zones", "kpi_cards"]
     assert spark.read.parquet(f"{root}/kpi_cards").count() == 1
     assert spark.read.parquet(f"{root}/top_zones").count() <= 10
+
+
+def test_grid_broadcast_is_built_once(spark):
+    fx = Fixtures(spark, SF)
+    grid_path = work_path(spark, "plans-grid2")
+    geo.zone_grid(fx.rings(), fx.zones).write.parquet(grid_path)
+    q = SV.silver_trips(fx.raw_eras()[:2], spark.read.parquet(grid_path))
+    q.collect()                       # the adaptive plan is final after execution
+    p = plan(q)
+    assert "ReusedExchange" in p
