@@ -411,11 +411,13 @@ def kpi_cards(spark: SparkSession, trips: DataFrame, weather: DataFrame) -> Data
                  CASE WHEN min(year) = max(year) THEN CAST(min(year) AS STRING)
                       ELSE CAST(min(year) AS STRING) || '-' || CAST(max(year) AS STRING) END AS periode,
                  round(sum(courses * pct) / sum(courses), 1) AS pct_global,
+                 array_join(transform(array_sort(collect_list(named_struct('v', vtype, 'y', year))),
+                                      x -> x.v || ' ' || CAST(x.y AS STRING)), ', ') AS perimetre,
                  round((SELECT mean_all FROM m), 6) AS prix_km_moyen,
                  round(coalesce((SELECT 100 * (s / n / (SELECT mean_all FROM m) - 1)
                                  FROM cls WHERE conditions = 'pluie'), 0.0D), 6) AS delta_pluie
           FROM vol)
-        SELECT total_courses, n_types, periode, pct_global, prix_km_moyen, delta_pluie,
+        SELECT total_courses, n_types, periode, perimetre, pct_global, prix_km_moyen, delta_pluie,
                translate(format_number(total_courses, 0), ',', ' ') AS total_txt,
                format_string('%.2f $/km', prix_km_moyen) AS prix_txt,
                format_string('%+.1f %%', delta_pluie) AS pluie_txt,
