@@ -71,8 +71,7 @@ def main() -> int:
     grid = spark.read.parquet(grid_path)
     silver_path = work_path(spark, "bench-silver")
     raw = [spark.read.parquet(p) for p in bronze]
-    timed("silver_trips", lambda: SV.write_silver(
-        SV.silver_trips([r.drop("year", "month") for r in raw], grid), silver_path))
+    timed("silver_trips", lambda: SV.write_silver(SV.silver_trips_by_source(raw, grid), silver_path))
     stream_out, stream_ckpt = work_path(spark, "bench-stream"), work_path(spark, "bench-stream-ckpt")
     timed("incremental_load", lambda: incremental_load(spark, bronze, grid, stream_out, stream_ckpt))
     timed("weather_json", lambda: WX.write_weather(

@@ -5,6 +5,12 @@ lookups against the grid (broadcast when the size check passes), one filter,
 one partitioned write. No shuffle at all on the broadcast path (the write
 only sorts locally by partition columns); an optional rebalance exists for
 unclustered inputs.
+
+Rows are partitioned by pickup month, and a monthly file may hold rides of the
+neighbouring month. Batch loads therefore carry the month of the bronze file
+each row came from (``source_month``) as the innermost partition level, so
+re-running some files replaces exactly those files' rows, wherever their
+pickup month put them, and leaves every other file's rows alone.
 """
 from __future__ import annotations
 
@@ -15,6 +21,27 @@ from .. import schema as S
 from ..operators import clean, geo
 
 
+SOURCE_COL = "source_month"
+SILVER_PARTITIONS = ("vtype", "year", "month")
+
+
+def tag_source(raw: DataFrame, file_month: F.Column | None = None) -> DataFrame:
+    """Label each raw row with the month of the bronze file it sits in
+    ('yyyy-MM'); by default from the bronze partition columns ``year``/``month``,
+    which are then dropped (silver derives its own from the pickup time)."""
+    if file_month is None:
+        file_month = F.format_string("%04d-%02d", F.col("year"), F.col("month"))
+    return raw.withColumn(SOURCE_COL, file_month).drop("year", "month")
+
+
+def silver_trips_by_source(raw_frames: list[DataFrame], grid: DataFrame,
+                           strict: bool = False) -> DataFrame:
+    """Silver rows of bronze frames read from ``vtype=/year=/month=`` folders,
+    each row keeping its ``source_month`` for replace-by-source writes."""
+    return silver_trips([tag_source(r) for r in raw_frames], grid, strict,
+                        keep=("vtype", SOURCE_COL))
+
+
 def silver_trips(raw_frames: list[DataFrame], grid: DataFrame, strict: bool = False,
                  keep: tuple[str, ...] = ("vtype",)) -> DataFrame:
     canon = clean.era_union(raw_frames, keep=keep)
@@ -25,15 +52,21 @@ def silver_trips(raw_frames: list[DataFrame], grid: DataFrame, strict: bool = Fa
     return clean.with_partition_columns(kept).select(*S.FINAL_COLS, "year", "month", *extra)
 
 
-def write_silver(df: DataFrame, path: str, partition_cols=("vtype", "year", "month"),
+def write_silver(df: DataFrame, path: str, partition_cols: tuple[str, ...] | None = None,
                  rebalance: bool = False) -> None:
     """Partitioned Parquet write. Dynamic partition overwrite replaces only the
-    partitions present in ``df`` (re-running a month is idempotent).
+    partitions present in ``df``. With a ``source_month`` column (default
+    layout ``vtype=/year=/month=/source_month=``) a partition holds one source
+    file's rows of one pickup month, so re-running any subset of bronze files
+    is idempotent: their rows are replaced, other files' rows in the same
+    pickup month stay. Without it a re-run must cover whole pickup months.
 
     Monthly bronze files are already clustered by month, so each task writes
     to about one partition folder and no shuffle is needed. ``rebalance=True``
     adds an AQE rebalance on the partition columns (one full shuffle) for
     inputs that are not clustered, to avoid many small files."""
+    if partition_cols is None:
+        partition_cols = SILVER_PARTITIONS + ((SOURCE_COL,) if SOURCE_COL in df.columns else ())
     out = df.hint("rebalance", *partition_cols) if rebalance else df
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

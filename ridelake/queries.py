@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schema as SC
-from .functions.columns import normalize_category, normalize_flag, sentinel_to_null
+from .functions.columns import normalize_category, normalize_flag, sentinel_to_null, year_month
 from .operators import clean, geo
 from .plans import marts as M
 from .plans import silver as SV
@@ -307,8 +307,11 @@ def _weather_roundtrip(fx: Fixtures) -> DataFrame:
 @register("silver_roundtrip")
 def _silver_roundtrip(fx: Fixtures) -> DataFrame:
     path = work_path(fx.spark, "silver-trips")
+    # each row keeps the month of the file it came from (replace-by-source layout)
+    eras = [SV.tag_source(e, year_month("_file_ts")).drop("_file_ts")
+            for e in fx.raw_eras(keep_file_month=True)]
     # the fixture rows come out of a join, not clustered by month: rebalance first
-    SV.write_silver(SV.silver_trips(fx.raw_eras(), _grid(fx)), path, rebalance=True)
+    SV.write_silver(SV.silver_trips(eras, _grid(fx), keep=("vtype", SV.SOURCE_COL)), path, rebalance=True)
     return SV.read_silver(fx.spark, path).select(*SC.FINAL_COLS, "year", "month")
 
 

@@ -2,7 +2,7 @@
 from datetime import datetime
 
 from ridelake.operators import geo
-from ridelake.plans.silver import silver_trips
+from ridelake.plans.silver import SOURCE_COL, silver_trips, silver_trips_by_source, write_silver
 from ridelake.schema import RING_SCHEMA
 from ridelake.session import work_path
 from ridelake.streaming.incremental import incremental_load, write_bronze
@@ -54,3 +54,24 @@ def test_rerun_adds_nothing_and_order_does_not_matter(spark):
     assert got == want
     assert len(got) == 7 and all(r[1] == 42 for r in got)
     assert sum(1 for r in got if r[4] == 2) == 4      # the stray landed in its pickup month
+
+
+def test_batch_rerun_of_one_file_replaces_only_its_rows(spark):
+    g = grid(spark).checkpoint()
+    bronze_root, silver, flat = (work_path(spark, n) for n in ("b-bronze", "b-silver", "b-flat"))
+    (era,) = write_bronze([month_file(spark, 1, stray=True).unionByName(month_file(spark, 2))], bronze_root)
+    write_silver(silver_trips_by_source([spark.read.parquet(era)], g), silver)
+    full = read_sorted(spark, silver)
+    assert len(full) == 7
+    assert {r[SOURCE_COL] for r in spark.read.parquet(silver).where("month = 2").collect()} == \
+        {"2021-01", "2021-02"}
+
+    # January's file again, alone: its stray ride sits in pickup month 2
+    january = spark.read.parquet(era).where("year = 2021 AND month = 1")
+    write_silver(silver_trips_by_source([january], g), silver)
+    assert read_sorted(spark, silver) == full
+
+    # without the source level, the same re-run replaces all of pickup month 2
+    write_silver(silver_trips_by_source([spark.read.parquet(era)], g).drop(SOURCE_COL), flat)
+    write_silver(silver_trips_by_source([january], g).drop(SOURCE_COL), flat)
+    assert len(read_sorted(spark, flat)) == 4
