@@ -68,8 +68,12 @@ def fees_by_month(trips: DataFrame, digits: int = 6) -> DataFrame:
     for c, name in FEE_AVG_COLS.items():
         aggs.append(F.round(F.avg(c), digits).alias(name))
         aggs.append(F.round(F.sum(c), digits - 2).alias(f"{name}_total"))
-    return (trips.groupBy(C.year_month("pickup_datetime").alias("mois"), "vtype")
+    # group on integer fields; the 'yyyy-MM' text is built per group, not per trip
+    t = F.col("pickup_datetime")
+    return (trips.groupBy(F.year(t).alias("y"), F.month(t).alias("m"), "vtype")
                  .agg(*aggs)
+                 .select(F.format_string("%04d-%02d", "y", "m").alias("mois"), "vtype",
+                         *[c for n in FEE_AVG_COLS.values() for c in (n, f"{n}_total")])
                  .orderBy("mois", "vtype"))
 
 
@@ -104,12 +108,18 @@ def fee_applicability(trips: DataFrame) -> DataFrame:
 
 
 def fee_status(trips: DataFrame) -> DataFrame:
-    """Three-state status of each fee ('not_yet' / 'not_charged' / 'charged') by type."""
-    items = F.array(*[F.struct(F.lit(f).alias("fee"), F.col(f).alias("amount"),
-                               F.col(f"{f}_applicable").alias("app")) for f in S.FEES])
-    long = trips.select("vtype", F.inline(items))
-    return (long.groupBy("vtype", "fee", C.fee_status("amount", "app").alias("status"))
-                .agg(_count().alias("courses")))
+    """Three-state status of each fee ('not_yet' / 'not_charged' / 'charged') by type.
+
+    One aggregation with a conditional count per (fee, status) instead of one
+    row per trip and fee: trips are neither multiplied nor shuffled, only the
+    per-type counters are; empty (fee, status) pairs are dropped afterwards."""
+    states = ("not_yet", "not_charged", "charged")
+    counts = [F.count(F.when(C.fee_status(f, f"{f}_applicable") == s, F.lit(1))).alias(f"{f}:{s}")
+              for f in S.FEES for s in states]
+    wide = trips.groupBy("vtype").agg(*counts)
+    items = F.array(*[F.struct(F.lit(f).alias("fee"), F.lit(s).alias("status"),
+                               F.col(f"`{f}:{s}`").alias("courses")) for f in S.FEES for s in states])
+    return wide.select("vtype", F.inline(items)).where(F.col("courses") > 0)
 
 
 # --------------------------------------------------------------- zones / flows

@@ -44,13 +44,19 @@ def get_spark(master: str | None = None, app_name: str = "ridelake",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only if none is named."""
+    """Return the shared checkpoint folder. A local one is created only when the
+    session names none and runs in local mode (tests); a cluster session without
+    ``spark.checkpoint.dir`` is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not sc.master.startswith("local"):
+            # a folder on the driver's disk is not visible to executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(work tables and lineage cuts are written there)")
         named = tempfile.mkdtemp(prefix="ridelake-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
