@@ -15,13 +15,33 @@ from . import marts as M
 
 def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
           weather: DataFrame) -> dict[str, Callable[[], DataFrame]]:
-    """Name -> builder of each gold mart (lazy: nothing runs until an action)."""
-    flows = lambda: M.zone_flows(trips, zones)
-    hist = lambda: M.price_histogram(spark, trips, zones)
+    """Name -> builder of each gold mart (lazy: nothing runs until a builder is called).
+
+    Several marts are views of the same small aggregate: the hourly profile
+    (volumes, price by weather, KPI row), the borough flows (flows, matrix,
+    nodes, ribbons), the price histogram (histogram, ridgeline) and the
+    monthly fee table (fees, fee series). Each such aggregate is computed
+    from the trips once, on first use, and checkpointed (it is bounded by the
+    calendar, the zones or the bins, not by the trip volume), so building all
+    marts scans the trip table six times instead of once per mart.
+    """
+    shared: dict[str, DataFrame] = {}
+
+    def once(name: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        def get() -> DataFrame:
+            if name not in shared:
+                shared[name] = build().checkpoint()
+            return shared[name]
+        return get
+
+    prof = once("profile", lambda: M.hourly_profile(trips))
+    flows = once("flows", lambda: M.zone_flows(trips, zones))
+    hist = once("hist", lambda: M.price_histogram(spark, trips, zones))
+    monthly = once("monthly", lambda: M.fees_by_month(trips))
     return {
-        "volumes": lambda: M.volumes_by_type_year(trips),
-        "fees_by_month": lambda: M.fees_by_month(trips),
-        "fee_series": lambda: M.fee_series(trips),
+        "volumes": lambda: M.volumes_from_profile(prof()),
+        "fees_by_month": monthly,
+        "fee_series": lambda: M.fee_series_from_monthly(monthly()),
         "zone_flows": flows,
         "flow_matrix": lambda: M.flow_matrix(flows()),
         "flow_nodes": lambda: M.flow_nodes(flows()),
@@ -29,9 +49,9 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
         "price_histogram": hist,
         "price_ridgeline": lambda: M.price_ridgeline(hist()),
         "heatmap": lambda: M.heatmap_dense(M.heatmap_year(trips)),
-        "price_by_weather": lambda: M.price_by_weather(trips, weather),
+        "price_by_weather": lambda: M.price_by_weather_from_profile(prof(), weather),
         "top_zones": lambda: M.top_zones(trips, zones),
-        "kpi_cards": lambda: M.kpi_cards(spark, trips, weather),
+        "kpi_cards": lambda: M.kpi_cards_from_profile(spark, prof(), weather),
     }
 
 

@@ -39,6 +39,16 @@ def volumes_by_type_year(trips: DataFrame) -> DataFrame:
                  .orderBy("vtype", "year"))
 
 
+def volumes_from_profile(prof: DataFrame) -> DataFrame:
+    """``volumes_by_type_year`` from the hourly profile (same counts: the profile
+    keeps, per type and hour, all trips and those with a pickup zone)."""
+    return (prof.groupBy("vtype", F.year("ts").alias("year"))
+                .agg(F.sum("n_all").alias("courses"),
+                     F.count_distinct(F.month("ts")).alias("mois"),
+                     F.round(F.sum("n_zone") / F.sum("n_all") * 100, 1).alias("pct_zone_resolue"))
+                .orderBy("vtype", "year"))
+
+
 def volumes_by_type_month(trips: DataFrame) -> DataFrame:
     return (trips.groupBy("vtype", "year", "month")
                  .agg(_count().alias("courses"),
@@ -87,7 +97,12 @@ def fee_series(trips: DataFrame) -> DataFrame:
     """Monthly fee averages as a long series; all-NULL points dropped; a type with
     no amount at all gets one row with ``has_amounts = false``. The monthly
     aggregate (types x months x 6 fees) is read once."""
-    monthly = fees_by_month(trips).select("mois", "vtype", *FEE_AVG_COLS.values())
+    return fee_series_from_monthly(fees_by_month(trips))
+
+
+def fee_series_from_monthly(monthly: DataFrame) -> DataFrame:
+    """``fee_series`` from an already computed ``fees_by_month`` table."""
+    monthly = monthly.select("mois", "vtype", *FEE_AVG_COLS.values())
     long = monthly.unpivot(["mois", "vtype"], list(FEE_AVG_COLS.values()), "fee", "value")
     per_type = Window.partitionBy("vtype")
     flagged = long.withColumns({
@@ -343,6 +358,18 @@ def price_by_weather(trips: DataFrame, weather: DataFrame, digits: int = 6) -> D
     hourly = (scoped_ratio(trips)
               .groupBy(C.hour_start("pickup_datetime").alias("ts"))
               .agg(F.sum("prix_km").alias("s"), _count().alias("n")))
+    return price_by_weather_hourly(hourly, weather, digits)
+
+
+def price_by_weather_from_profile(prof: DataFrame, weather: DataFrame, digits: int = 6) -> DataFrame:
+    """``price_by_weather`` from the hourly profile (in-scope sums per hour)."""
+    hourly = (prof.where(F.col("n") > 0).groupBy("ts")
+                  .agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
+    return price_by_weather_hourly(hourly, weather, digits)
+
+
+def price_by_weather_hourly(hourly: DataFrame, weather: DataFrame, digits: int = 6) -> DataFrame:
+    """Class means and deviation from in-scope ratio sums ``s`` and counts ``n`` per hour ``ts``."""
     w = maybe_broadcast(weather.select("ts", "precipitation_mm").dropDuplicates(["ts"])
                                .withColumn("has_weather", F.lit(True)))
     classes = (hourly.join(w, "ts", "left")
@@ -399,6 +426,11 @@ def kpi_cards(spark: SparkSession, trips: DataFrame, weather: DataFrame) -> Data
     row read it; volumes by (type, year), the zone fill rate, the global mean
     fare per distance and the rain deviation all come from that small frame
     (means as sum / count)."""
+    return kpi_cards_from_profile(spark, hourly_profile(trips).checkpoint(), weather)
+
+
+def kpi_cards_from_profile(spark: SparkSession, prof: DataFrame, weather: DataFrame) -> DataFrame:
+    """``kpi_cards`` from an already materialised hourly profile."""
     w = maybe_broadcast(weather.select("ts", "precipitation_mm").dropDuplicates(["ts"])
                                .withColumn("has_weather", F.lit(True)))
     return spark.sql(f"""
@@ -432,4 +464,4 @@ def kpi_cards(spark: SparkSession, trips: DataFrame, weather: DataFrame) -> Data
                format_string('%.2f $/km', prix_km_moyen) AS prix_txt,
                format_string('%+.1f %%', delta_pluie) AS pluie_txt,
                format_string('%.1f %%', pct_global) AS pct_txt
-        FROM k""", prof=hourly_profile(trips).checkpoint(), w=w)
+        FROM k""", prof=prof, w=w)
