@@ -89,3 +89,29 @@ def test_fee_series_flags_types_without_amounts(spark):
     fhv = [r for r in s if r["vtype"] == "fhv"]
     assert len(fhv) == 1 and fhv[0]["has_amounts"] is False
     assert [(r["fee"], r["value"]) for r in s if r["vtype"] == "yellow"] == [("surcharge_soir_nuit", 1.0)]
+
+
+def test_fee_status_counts_every_state_once(spark):
+    import itertools
+    from collections import Counter
+    from ridelake.schema import FEES
+    amounts = [None, 0.0, 2.5, -1.0]
+    flags = [True, False, None]
+    rows = []
+    for vt, (a, f) in zip(itertools.cycle(["yellow", "green"]), itertools.product(amounts, flags)):
+        rows.append((vt, *([a] * len(FEES)), *([f] * len(FEES))))
+    schema = ", ".join(["vtype string"] + [f"{x} double" for x in FEES]
+                       + [f"{x}_applicable boolean" for x in FEES])
+    got = {(r["vtype"], r["fee"], r["status"]): r["courses"]
+           for r in M.fee_status(spark.createDataFrame(rows, schema)).collect()}
+
+    def status(a, f):   # NULL applicability is not "not yet": the amount decides
+        if f is False:
+            return "not_yet"
+        return "not_charged" if (a or 0.0) == 0 else "charged"
+
+    want = Counter()
+    for r in rows:
+        for i, fee in enumerate(FEES):
+            want[(r[0], fee, status(r[1 + i], r[1 + len(FEES) + i]))] += 1
+    assert got == dict(want)
