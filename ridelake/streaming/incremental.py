@@ -6,9 +6,11 @@ already seen), run with ``trigger(availableNow=True)`` so one call processes
 exactly the files that arrived since the last call and then stops.
 
 ``foreachBatch`` may replay a batch after a failure; every batch therefore
-writes into its own ``ingest_batch=<era>-<id>`` partition with dynamic
+writes into its own ``ingest_batch=<era>-<id>`` partitions with dynamic
 partition overwrite, so a replay replaces its own output instead of appending
-a second copy. Rows are partitioned by pickup month, never by the month of
+a second copy. The batch level is the innermost one
+(``vtype=/year=/month=/ingest_batch=``), as ``source_month`` is for batch
+loads: the folder tree follows the readers' pruning keys first. Rows are partitioned by pickup month, never by the month of
 the file they came from, so a stray ride of the next month cannot mark that
 month as "done" (the ledger is keyed by file, not by output folder).
 """
@@ -50,7 +52,7 @@ def start_era_stream(spark: SparkSession, bronze_path: str, grid: DataFrame, sil
                .withColumn("ingest_batch", F.lit(f"{era_name}-{batch_id:06d}")))
         # dynamic overwrite of this batch's own partitions: a replay replaces, never appends
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("ingest_batch", "vtype", "year", "month").parquet(silver_path))
+            .partitionBy("vtype", "year", "month", "ingest_batch").parquet(silver_path))
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(process)
