@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ensure_checkpoint_dir
 from . import marts as M
 
 
@@ -25,6 +26,7 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
     calendar, the zones or the bins, not by the trip volume), so building all
     marts scans the trip table six times instead of once per mart.
     """
+    ensure_checkpoint_dir(spark)     # shared aggregates are checkpointed there
     shared: dict[str, DataFrame] = {}
 
     def once(name: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
