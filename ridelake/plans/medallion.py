@@ -54,10 +54,13 @@ def build_zones(rings: DataFrame, names: DataFrame, paths: LakePaths) -> None:
     geo.zone_grid(rings, names).write.mode("overwrite").parquet(paths.grid)
 
 
-def build_trips(spark: SparkSession, bronze_eras: list[str], paths: LakePaths) -> int:
-    """Incremental silver load of every bronze file not yet processed."""
+def build_trips(spark: SparkSession, bronze_eras: list[str], paths: LakePaths,
+                max_files_per_trigger: int | None = None) -> int:
+    """Incremental silver load of every bronze file not yet processed (in
+    micro-batches of at most ``max_files_per_trigger`` files when given)."""
     grid = spark.read.parquet(paths.grid)
-    return incremental_load(spark, bronze_eras, grid, paths.trips, paths.stream_checkpoint)
+    return incremental_load(spark, bronze_eras, grid, paths.trips, paths.stream_checkpoint,
+                            max_files_per_trigger)
 
 
 def build_weather(spark: SparkSession, bronze_weather: str, paths: LakePaths) -> bool:
@@ -79,10 +82,10 @@ def quality_report(trips: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
 
 
 def build_lake(spark: SparkSession, bronze_eras: list[str], rings: DataFrame, names: DataFrame,
-               bronze_weather: str, root: str) -> LakePaths:
+               bronze_weather: str, root: str, max_files_per_trigger: int | None = None) -> LakePaths:
     paths = LakePaths(root)
     build_zones(rings, names, paths)
-    build_trips(spark, bronze_eras, paths)
+    build_trips(spark, bronze_eras, paths, max_files_per_trigger)
     build_weather(spark, bronze_weather, paths)
     trips = spark.read.parquet(paths.trips)
     zones = spark.read.parquet(paths.zones)

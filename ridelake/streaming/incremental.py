@@ -74,10 +74,18 @@ def load_era_stream(spark: SparkSession, bronze_path: str, grid: DataFrame, silv
 
 
 def incremental_load(spark: SparkSession, bronze_paths: list[str], grid: DataFrame,
-                     silver_path: str, checkpoint_root: str) -> int:
+                     silver_path: str, checkpoint_root: str,
+                     max_files_per_trigger: int | None = None) -> int:
     """Run every era stream once, concurrently (each writes only its own
-    ``ingest_batch=`` partitions); returns the total number of batches processed."""
-    started = [start_era_stream(spark, p, grid, silver_path, f"{checkpoint_root.rstrip('/')}/era{i}", f"era{i}")
+    ``ingest_batch=`` partitions); returns the total number of batches processed.
+
+    ``max_files_per_trigger`` bounds each micro-batch (``availableNow`` still
+    processes everything new, in several batches). For a first load of the
+    whole history this keeps each batch's job a bounded share of the input:
+    every finished batch is committed to the ledger, so a failure reruns only
+    the batch in flight."""
+    started = [start_era_stream(spark, p, grid, silver_path, f"{checkpoint_root.rstrip('/')}/era{i}", f"era{i}",
+                                max_files_per_trigger)
                for i, p in enumerate(bronze_paths, start=1)]
     for q, _ in started:
         q.awaitTermination()

@@ -75,3 +75,17 @@ def test_batch_rerun_of_one_file_replaces_only_its_rows(spark):
     write_silver(silver_trips_by_source([spark.read.parquet(era)], g).drop(SOURCE_COL), flat)
     write_silver(silver_trips_by_source([january], g).drop(SOURCE_COL), flat)
     assert len(read_sorted(spark, flat)) == 4
+
+
+def test_bounded_micro_batches_give_the_same_table(spark):
+    g = grid(spark).checkpoint()
+    root, one, many = (work_path(spark, n) for n in ("mb-bronze", "mb-one", "mb-many"))
+    (era,) = write_bronze([month_file(spark, 1, stray=True)], root)
+    for m in (2, 3):
+        write_bronze([month_file(spark, m, stray=True)], root, mode="append")
+    n_files = len(spark.read.parquet(era).inputFiles())
+    assert incremental_load(spark, [era], g, one, work_path(spark, "mb-ck1")) == 1
+    assert incremental_load(spark, [era], g, many, work_path(spark, "mb-ck2"),
+                            max_files_per_trigger=1) == n_files
+    assert read_sorted(spark, many) == read_sorted(spark, one)
+    assert len(read_sorted(spark, many)) == 12
