@@ -334,6 +334,14 @@ def heatmap_year(trips: DataFrame, year: int | None = None) -> DataFrame:
              .agg(_count().alias("courses")))
 
 
+def heatmap_from_profile(prof: DataFrame) -> DataFrame:
+    """``heatmap_year`` (all years) from the hourly profile: an hour start has the
+    year, weekday and hour of every pickup in it, so the counts are the same."""
+    return (prof.groupBy(F.year("ts").alias("year"), "vtype",
+                         C.weekday_index("ts").alias("jour"), F.hour("ts").alias("heure"))
+                .agg(F.sum("n_all").alias("courses")))
+
+
 def heatmap_dense(heat: DataFrame) -> DataFrame:
     """Dense 7 x 24 grid per (year, vtype) with 0 for empty cells and weekday names.
     ``heat`` is read once: each group's cells become one map (at most 168 entries)."""

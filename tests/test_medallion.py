@@ -55,6 +55,7 @@ def test_gold_marts_from_shared_aggregates_equal_direct_queries(spark):
         "flow_ribbons": M.flow_ribbons(M.zone_flows(trips, zones)),
         "price_ridgeline": M.price_ridgeline(M.price_histogram(spark, trips, zones)),
         "price_by_weather": M.price_by_weather(trips, weather),
+        "heatmap": M.heatmap_dense(M.heatmap_year(trips)),
         "kpi_cards": M.kpi_cards(spark, trips, weather),
     }
     for name, want in direct.items():
