@@ -19,12 +19,13 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
     """Name -> builder of each gold mart (lazy: nothing runs until a builder is called).
 
     Several marts are views of the same small aggregate: the hourly profile
-    (volumes, heatmap, price by weather, KPI row), the borough flows (flows, matrix,
-    nodes, ribbons), the price histogram (histogram, ridgeline) and the
-    monthly fee table (fees, fee series). Each such aggregate is computed from
-    the trips once, on first use, and checkpointed (it is bounded by the
-    calendar, the zones or the bins, not by the trip volume), so building all
-    marts scans the trip table five times instead of once or more per mart.
+    (volumes, heatmap, price by weather, KPI row), the zone-pair counts
+    (borough flows with matrix, nodes and ribbons; top zones; the histogram's
+    zone), the price histogram (histogram, ridgeline) and the monthly fee
+    table (fees, fee series). Each is computed from the trips once, on first
+    use, and checkpointed (it is bounded by the calendar, the zones or the
+    bins, not by the trip volume), so building all marts scans the trip
+    table four times instead of once or more per mart.
     """
     ensure_checkpoint_dir(spark)     # shared aggregates are checkpointed there
     shared: dict[str, DataFrame] = {}
@@ -37,8 +38,10 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
         return get
 
     prof = once("profile", lambda: M.hourly_profile(trips))
-    flows = once("flows", lambda: M.zone_flows(trips, zones))
-    hist = once("hist", lambda: M.price_histogram(spark, trips, zones))
+    pairs = once("pairs", lambda: M.zone_pairs(trips))
+    flows = once("flows", lambda: M.zone_flows_from_pairs(pairs(), zones))
+    hist = once("hist", lambda: M.price_histogram(
+        spark, trips, zones, top=M.top_zone_in_scope_from_pairs(pairs(), zones)))
     monthly = once("monthly", lambda: M.fees_by_month(trips))
     return {
         "volumes": lambda: M.volumes_from_profile(prof()),
@@ -52,7 +55,7 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
         "price_ridgeline": lambda: M.price_ridgeline(hist()),
         "heatmap": lambda: M.heatmap_dense(M.heatmap_from_profile(prof())),
         "price_by_weather": lambda: M.price_by_weather_from_profile(prof(), weather),
-        "top_zones": lambda: M.top_zones(trips, zones),
+        "top_zones": lambda: M.top_zones_from_pairs(pairs(), zones),
         "kpi_cards": lambda: M.kpi_cards_from_profile(spark, prof(), weather),
     }
 

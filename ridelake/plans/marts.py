@@ -138,35 +138,65 @@ def fee_status(trips: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------- zones / flows
-def top_zones(trips: DataFrame, zones: DataFrame, k: int = 10) -> DataFrame:
-    """Top-k pickup zones over all trips (ties broken by borough, zone name)."""
-    counts = (trips.where(F.col("pickup_location_id").isNotNull())
-                   .groupBy("pickup_location_id").agg(_count().alias("courses")))
+def zone_pairs(trips: DataFrame) -> DataFrame:
+    """Trips and in-scope trips per (pickup id, drop-off id), NULL ids included.
+    Bounded by the square of the number of zones, whatever the trip volume; the
+    flows, the top zones and the top in-scope zone all derive from it."""
+    return (trips.groupBy("pickup_location_id", "dropoff_location_id")
+                 .agg(_count().alias("n_all"),
+                      F.count(F.when(C.in_scope(), F.lit(1))).alias("n_scope")))
+
+
+def _top_named(counts: DataFrame, zones: DataFrame, k: int) -> DataFrame:
+    """Top-k of per-pickup-zone counts ``courses`` by (borough, zone name)."""
     z = maybe_broadcast(zones.select("location_id", "borough", "zone_name"))
     named = counts.join(z, counts.pickup_location_id == z.location_id, "inner")
     per_name = named.groupBy("borough", "zone_name").agg(F.sum("courses").alias("courses"))
     return per_name.orderBy(F.desc("courses"), "borough", "zone_name").limit(k)
 
 
-def zone_counts_in_scope(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    counts = (trips.where(C.in_scope() & F.col("pickup_location_id").isNotNull())
+def top_zones(trips: DataFrame, zones: DataFrame, k: int = 10) -> DataFrame:
+    """Top-k pickup zones over all trips (ties broken by borough, zone name)."""
+    counts = (trips.where(F.col("pickup_location_id").isNotNull())
                    .groupBy("pickup_location_id").agg(_count().alias("courses")))
+    return _top_named(counts, zones, k)
+
+
+def top_zones_from_pairs(pairs: DataFrame, zones: DataFrame, k: int = 10) -> DataFrame:
+    """``top_zones`` from the zone-pair counts."""
+    counts = (pairs.where(F.col("pickup_location_id").isNotNull())
+                   .groupBy("pickup_location_id").agg(F.sum("n_all").alias("courses")))
+    return _top_named(counts, zones, k)
+
+
+def _named_in_scope(counts: DataFrame, zones: DataFrame) -> DataFrame:
     z = maybe_broadcast(zones.select("location_id", "zone_name"))
     return (counts.join(z, counts.pickup_location_id == z.location_id, "inner")
                   .select("location_id", "zone_name", "courses"))
 
 
+def zone_counts_in_scope(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    counts = (trips.where(C.in_scope() & F.col("pickup_location_id").isNotNull())
+                   .groupBy("pickup_location_id").agg(_count().alias("courses")))
+    return _named_in_scope(counts, zones)
+
+
 def top_zone_in_scope(trips: DataFrame, zones: DataFrame, k: int = 1) -> DataFrame:
     """Most frequent pickup zone among in-scope trips, chosen by id (ties: lowest id)."""
     return (zone_counts_in_scope(trips, zones)
             .orderBy(F.desc("courses"), "location_id").limit(k))
 
 
-def zone_flows(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    """Trips between boroughs (origin zone <> destination zone), zones joined twice."""
-    pairs = (trips.where(F.col("pickup_location_id") != F.col("dropoff_location_id"))
-                  .groupBy("pickup_location_id", "dropoff_location_id")
-                  .agg(_count().alias("n")))
+def top_zone_in_scope_from_pairs(pairs: DataFrame, zones: DataFrame, k: int = 1) -> DataFrame:
+    """``top_zone_in_scope`` from the zone-pair counts (zones without an in-scope trip left out)."""
+    counts = (pairs.where(F.col("pickup_location_id").isNotNull())
+                   .groupBy("pickup_location_id").agg(F.sum("n_scope").alias("courses"))
+                   .where(F.col("courses") > 0))
+    return _named_in_scope(counts, zones).orderBy(F.desc("courses"), "location_id").limit(k)
+
+
+def _flows(pairs: DataFrame, zones: DataFrame) -> DataFrame:
+    """Borough flows from per-(pickup id, drop-off id) counts ``n`` of different zones."""
     z = zones.select("location_id", "borough")
     if small_enough(z):          # one size check for both roles of the dimension
         z = F.broadcast(z)
@@ -177,6 +207,21 @@ def zone_flows(trips: DataFrame, zones: DataFrame) -> DataFrame:
                  .groupBy("depart", "arrivee").agg(F.sum("n").alias("courses")))
 
 
+def zone_flows(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Trips between boroughs (origin zone <> destination zone), zones joined twice."""
+    pairs = (trips.where(F.col("pickup_location_id") != F.col("dropoff_location_id"))
+                  .groupBy("pickup_location_id", "dropoff_location_id")
+                  .agg(_count().alias("n")))
+    return _flows(pairs, zones)
+
+
+def zone_flows_from_pairs(pairs: DataFrame, zones: DataFrame) -> DataFrame:
+    """``zone_flows`` from the zone-pair counts."""
+    return _flows(pairs.where(F.col("pickup_location_id") != F.col("dropoff_location_id"))
+                       .select("pickup_location_id", "dropoff_location_id", F.col("n_all").alias("n")),
+                  zones)
+
+
 def flow_nodes(flows: DataFrame, digits: int = 6) -> DataFrame:
     """Chord sectors: node size = outgoing + incoming (diagonal counted twice),
     share of the total, sector [angle_start, angle_end] clockwise from 90 deg
@@ -250,14 +295,16 @@ def price_per_distance(trips: DataFrame, digits: int = 9) -> DataFrame:
 
 
 def price_histogram(spark: SparkSession, trips: DataFrame, zones: DataFrame,
-                    location_id: int | None = None) -> DataFrame:
+                    location_id: int | None = None, top: DataFrame | None = None) -> DataFrame:
     """Histogram of fare/distance (bins of 0.5, ratio < 20) for one start zone
     (default: the most frequent in-scope zone, chosen by id) per period
     ('yyyy-MM' when the data holds one year, else 'yyyy').
 
     The zone id and the year count are scalar subqueries: Catalyst runs them
-    once and inlines the value, nothing is collected by this code."""
-    top = top_zone_in_scope(trips, zones).select("location_id")
+    once and inlines the value, nothing is collected by this code. ``top`` may
+    give the one-row frame holding the chosen ``location_id`` (e.g. from the
+    zone-pair counts)."""
+    top = (top if top is not None else top_zone_in_scope(trips, zones)).select("location_id")
     zone_sql = str(int(location_id)) if location_id is not None else "(SELECT location_id FROM {top})"
     return spark.sql(f"""
         WITH base AS (

@@ -56,6 +56,10 @@ def test_gold_marts_from_shared_aggregates_equal_direct_queries(spark):
         "price_ridgeline": M.price_ridgeline(M.price_histogram(spark, trips, zones)),
         "price_by_weather": M.price_by_weather(trips, weather),
         "heatmap": M.heatmap_dense(M.heatmap_year(trips)),
+        "top_zones": M.top_zones(trips, zones),
+        "zone_flows": M.zone_flows(trips, zones),
+        "flow_matrix": M.flow_matrix(M.zone_flows(trips, zones)),
+        "price_histogram": M.price_histogram(spark, trips, zones),
         "kpi_cards": M.kpi_cards(spark, trips, weather),
     }
     for name, want in direct.items():
