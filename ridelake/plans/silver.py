@@ -14,7 +14,7 @@ pickup month put them, and leaves every other file's rows alone.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -77,3 +77,34 @@ def write_silver(df: DataFrame, path: str, partition_cols: tuple[str, ...] | Non
 def read_silver(spark, path: str) -> DataFrame:
     """Read a partitioned silver table back; partition columns are discovered."""
     return spark.read.parquet(path)
+
+
+def read_by_schema(spark: SparkSession, root: str, folders: list[str]) -> list[DataFrame]:
+    """Month folders of one bronze tree as one DataFrame per Parquet schema.
+
+    Each folder's schema comes from its own footer (Spark's schema inference,
+    a metadata read); folders with the same schema are read together, with
+    ``basePath`` so that ``vtype``/``year``/``month`` stay partition columns.
+    So the tree costs one scan per schema era, not one job per month."""
+    groups: dict[str, list[str]] = {}
+    for folder in folders:
+        groups.setdefault(spark.read.parquet(folder).schema.json(), []).append(folder)
+    return [spark.read.option("basePath", root).parquet(*paths) for paths in groups.values()]
+
+
+def load_bronze_tree(spark: SparkSession, root: str, grid: DataFrame, silver_path: str) -> int:
+    """Batch incremental silver load of a bronze tree ``<root>/vtype=/year=/month=``
+    whose monthly files have drifting schemas. Months whose source is already in
+    silver are skipped (ledger = the ``source_month`` partitions of silver
+    itself); the others are read one DataFrame per schema era, built into
+    silver in one plan and written by source month. Returns the number of month
+    folders loaded. Re-running after a failure repeats only what is missing, and
+    a month written twice replaces itself."""
+    from ..sources.lake import bronze_months, loaded_sources, pending_months
+    todo = pending_months(bronze_months(spark, root), loaded_sources(spark, silver_path))
+    # folder names only (one per month and type), needed by the reader on the driver
+    folders = sorted(r["folder"] for r in todo.select("folder").collect())
+    if not folders:
+        return 0
+    write_silver(silver_trips_by_source(read_by_schema(spark, root, folders), grid), silver_path)
+    return len(folders)

@@ -2,7 +2,8 @@
 month calendar, missing months and coverage per vehicle type."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -65,3 +66,37 @@ def coverage_summary(inventory: DataFrame) -> DataFrame:
 
 def published_first_months() -> dict[str, str]:
     return dict(S.VEHICLES)
+
+
+def parquet_files(spark: SparkSession, root: str) -> DataFrame:
+    """One row per Parquet file under a partitioned ``root`` (path plus the
+    partition columns). Listed by the binary-file source with the content
+    column pruned: no file is opened, so files of unlike schemas never meet."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .load(root).drop("content", "length", "modificationTime"))
+
+
+def bronze_months(spark: SparkSession, root: str) -> DataFrame:
+    """Month folders of a bronze tree ``<root>/vtype=/year=/month=/*.parquet``:
+    ``folder, vtype, year, month, source_month`` ('yyyy-MM' of the file's month)."""
+    files = parquet_files(spark, root)
+    return files.select(
+        F.regexp_replace("path", "/[^/]+$", "").alias("folder"), "vtype",
+        F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
+        F.format_string("%04d-%02d", F.col("year").cast("int"), F.col("month").cast("int")).alias("source_month"),
+    ).distinct()
+
+
+def loaded_sources(spark: SparkSession, silver_path: str) -> DataFrame:
+    """(vtype, source_month) already present in a replace-by-source silver table
+    (from its file listing; empty when the table does not exist yet)."""
+    try:
+        files = parquet_files(spark, silver_path)
+        return files.select("vtype", F.col("source_month").cast("string")).distinct()
+    except AnalysisException:
+        return spark.createDataFrame([], "vtype string, source_month string")
+
+
+def pending_months(months: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Bronze month folders whose rows are not in silver yet (anti join on the source)."""
+    return months.join(loaded, ["vtype", "source_month"], "left_anti")

@@ -89,3 +89,38 @@ def test_bounded_micro_batches_give_the_same_table(spark):
                             max_files_per_trigger=1) == n_files
     assert read_sorted(spark, many) == read_sorted(spark, one)
     assert len(read_sorted(spark, many)) == 12
+
+
+def test_bronze_tree_of_unlike_schemas_loads_pending_months_only(spark):
+    from ridelake.plans.silver import load_bronze_tree, read_by_schema
+    g = grid(spark).checkpoint()
+    root, silver = work_path(spark, "tree-bronze"), work_path(spark, "tree-silver")
+    old = ("Trip_Pickup_DateTime string, Trip_Dropoff_DateTime string, Passenger_Count string, "
+           "Start_Lon double, Start_Lat double, Fare_Amt double, Total_Amt double")
+    new = ("tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, passenger_count bigint, "
+           "pickup_longitude double, pickup_latitude double, fare_amount double, total_amount double")
+
+    def write(vtype, year, month, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{root}/vtype={vtype}/year={year}/month={month:02d}")
+
+    write("yellow", 2009, 1, [("2009-01-05 08:00:00", "2009-01-05 08:30:00", "1", -73.995, 40.605, 9.0, 10.0),
+                              ("2009-02-01 00:05:00", "2009-02-01 00:20:00", "2", -73.995, 40.605, 7.0, 8.0)], old)
+    write("yellow", 2009, 2, [("2009-02-03 09:00:00", "2009-02-03 09:10:00", "x", -73.995, 40.605, 5.0, 6.0)], old)
+    write("yellow", 2015, 1, [(datetime(2015, 1, 2, 7), datetime(2015, 1, 2, 7, 20), 3, -73.995, 40.605, 11.0, 12.0)],
+          new)
+    months = [f"{root}/vtype=yellow/year=2009/month=01", f"{root}/vtype=yellow/year=2009/month=02",
+              f"{root}/vtype=yellow/year=2015/month=01"]
+    assert len(read_by_schema(spark, root, months)) == 2           # two schema eras
+
+    assert load_bronze_tree(spark, root, g, silver) == 3
+    assert load_bronze_tree(spark, root, g, silver) == 0           # nothing new
+    write("yellow", 2015, 2, [(datetime(2015, 2, 2, 7), datetime(2015, 2, 2, 7, 20), 1, -73.995, 40.605, 4.0, 5.0)],
+          new)
+    assert load_bronze_tree(spark, root, g, silver) == 1           # only the new month
+    got = spark.read.parquet(silver)
+    assert got.count() == 5
+    assert sorted((r["year"], r["month"], r["source_month"]) for r in got.collect()) == [
+        (2009, 1, "2009-01"), (2009, 2, "2009-01"), (2009, 2, "2009-02"), (2015, 1, "2015-01"), (2015, 2, "2015-02")]
+    assert {r["pickup_location_id"] for r in got.collect()} == {42}
+    assert sorted((r["passenger_count"] for r in got.collect() if r["year"] == 2009),
+                  key=lambda v: -1 if v is None else v) == [None, 1, 2]   # 'x' is not a number
