@@ -14,6 +14,8 @@ pickup month put them, and leaves every other file's rows alone.
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,16 +81,21 @@ def read_silver(spark, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_by_schema(spark: SparkSession, root: str, folders: list[str]) -> list[DataFrame]:
-    """Month folders of one bronze tree as one DataFrame per Parquet schema.
+def read_by_schema(spark: SparkSession, root: str, files: list[str],
+                   threads: int = 16) -> list[DataFrame]:
+    """Bronze files of one tree as one DataFrame per Parquet schema.
 
-    Each folder's schema comes from its own footer (Spark's schema inference,
-    a metadata read); folders with the same schema are read together, with
-    ``basePath`` so that ``vtype``/``year``/``month`` stay partition columns.
-    So the tree costs one scan per schema era, not one job per month."""
+    Each file's schema comes from its own footer (Spark's schema inference, a
+    metadata read; a few run at once from driver threads); files with the
+    same schema are read together, with ``basePath`` so that
+    ``vtype``/``year``/``month`` stay partition columns. The tree costs one
+    scan per schema era, not one job per month, and a month folder holding
+    files of two schemas is still read correctly."""
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
     groups: dict[str, list[str]] = {}
-    for folder in folders:
-        groups.setdefault(spark.read.parquet(folder).schema.json(), []).append(folder)
+    for path, schema in zip(files, schemas):
+        groups.setdefault(schema, []).append(path)
     return [spark.read.option("basePath", root).parquet(*paths) for paths in groups.values()]
 
 
@@ -96,15 +103,16 @@ def load_bronze_tree(spark: SparkSession, root: str, grid: DataFrame, silver_pat
     """Batch incremental silver load of a bronze tree ``<root>/vtype=/year=/month=``
     whose monthly files have drifting schemas. Months whose source is already in
     silver are skipped (ledger = the ``source_month`` partitions of silver
-    itself); the others are read one DataFrame per schema era, built into
-    silver in one plan and written by source month. Returns the number of month
-    folders loaded. Re-running after a failure repeats only what is missing, and
-    a month written twice replaces itself."""
-    from ..sources.lake import bronze_months, loaded_sources, pending_months
-    todo = pending_months(bronze_months(spark, root), loaded_sources(spark, silver_path))
-    # folder names only (one per month and type), needed by the reader on the driver
-    folders = sorted(r["folder"] for r in todo.select("folder").collect())
-    if not folders:
+    itself); the files of the others are read one DataFrame per schema era,
+    built into silver in one plan and written by source month. Returns the
+    number of (type, month) sources loaded. Re-running after a failure repeats
+    only what is missing, and a month written twice replaces itself."""
+    from ..sources.lake import bronze_files, loaded_sources, pending_files
+    todo = pending_files(bronze_files(spark, root), loaded_sources(spark, silver_path))
+    # file names only (metadata, a few per month), needed by the reader on the driver
+    rows = todo.select("path", "vtype", "source_month").collect()
+    if not rows:
         return 0
-    write_silver(silver_trips_by_source(read_by_schema(spark, root, folders), grid), silver_path)
-    return len(folders)
+    files = sorted(r["path"] for r in rows)
+    write_silver(silver_trips_by_source(read_by_schema(spark, root, files), grid), silver_path)
+    return len({(r["vtype"], r["source_month"]) for r in rows})

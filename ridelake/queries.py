@@ -315,6 +315,22 @@ def _silver_roundtrip(fx: Fixtures) -> DataFrame:
     return SV.read_silver(fx.spark, path).select(*SC.FINAL_COLS, "year", "month")
 
 
+@register("bronze_tree_load")
+def _bronze_tree_load(fx: Fixtures) -> DataFrame:
+    spark = fx.spark
+    # the reference's bronze layout: one vtype=/year=/month= tree (month of the file),
+    # files of all schema eras side by side
+    root = work_path(spark, "bronze-tree")
+    for era in fx.raw_eras(keep_file_month=True):
+        (era.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
+            .write.mode("append").partitionBy("vtype", "year", "month").parquet(root))
+    silver = work_path(spark, "silver-tree")
+    grid = _grid(fx).checkpoint()     # computed once, read by both loads
+    SV.load_bronze_tree(spark, root, grid, silver)
+    SV.load_bronze_tree(spark, root, grid, silver)   # a rerun finds nothing pending
+    return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")
+
+
 @register("incremental_load")
 def _incremental_load(fx: Fixtures) -> DataFrame:
     spark = fx.spark

@@ -76,15 +76,13 @@ def parquet_files(spark: SparkSession, root: str) -> DataFrame:
                  .load(root).drop("content", "length", "modificationTime"))
 
 
-def bronze_months(spark: SparkSession, root: str) -> DataFrame:
-    """Month folders of a bronze tree ``<root>/vtype=/year=/month=/*.parquet``:
-    ``folder, vtype, year, month, source_month`` ('yyyy-MM' of the file's month)."""
-    files = parquet_files(spark, root)
-    return files.select(
-        F.regexp_replace("path", "/[^/]+$", "").alias("folder"), "vtype",
-        F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
-        F.format_string("%04d-%02d", F.col("year").cast("int"), F.col("month").cast("int")).alias("source_month"),
-    ).distinct()
+def bronze_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files of a bronze tree ``<root>/vtype=/year=/month=/*.parquet``:
+    ``path, vtype, year, month, source_month`` ('yyyy-MM' of the file's month)."""
+    y, m = F.col("year").cast("int"), F.col("month").cast("int")
+    return parquet_files(spark, root).select(
+        "path", "vtype", y.alias("year"), m.alias("month"),
+        F.format_string("%04d-%02d", y, m).alias("source_month"))
 
 
 def loaded_sources(spark: SparkSession, silver_path: str) -> DataFrame:
@@ -97,6 +95,6 @@ def loaded_sources(spark: SparkSession, silver_path: str) -> DataFrame:
         return spark.createDataFrame([], "vtype string, source_month string")
 
 
-def pending_months(months: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Bronze month folders whose rows are not in silver yet (anti join on the source)."""
-    return months.join(loaded, ["vtype", "source_month"], "left_anti")
+def pending_files(files: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Bronze files of the months whose rows are not in silver yet (anti join on the source)."""
+    return files.join(loaded, ["vtype", "source_month"], "left_anti")
