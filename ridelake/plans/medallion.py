@@ -63,6 +63,13 @@ def build_trips(spark: SparkSession, bronze_eras: list[str], paths: LakePaths,
                             max_files_per_trigger)
 
 
+def build_trips_from_tree(spark: SparkSession, bronze_root: str, paths: LakePaths) -> int:
+    """Batch incremental silver load of a bronze tree in the reference's layout
+    (``vtype=/year=/month=``, drifting schemas): every month not yet in silver."""
+    from .silver import load_bronze_tree
+    return load_bronze_tree(spark, bronze_root, spark.read.parquet(paths.grid), paths.trips)
+
+
 def build_weather(spark: SparkSession, bronze_weather: str, paths: LakePaths) -> bool:
     """Weather JSON -> hourly table (full overwrite by year). No input: nothing written."""
     try:
