@@ -16,6 +16,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from ridelake.operators import geo  # noqa: E402
 from ridelake.plans import marts as M  # noqa: E402
 from ridelake.plans.gold import write_gold  # noqa: E402
@@ -52,6 +54,10 @@ def main() -> int:
     t_setup = time.perf_counter()
     run(spark.range(1000).selectExpr("sum(id)"))            # JVM warm-up
     bronze = write_bronze(fx.raw_eras(keep_file_month=True), work_path(spark, "bench-bronze"))
+    tree = work_path(spark, "bench-bronze-tree")      # the same files in one vtype=/year=/month= tree
+    for era in fx.raw_eras(keep_file_month=True):
+        (era.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
+            .write.mode("append").partitionBy("vtype", "year", "month").parquet(tree))
     rings_path = work_path(spark, "bench-rings")
     fx.rings().write.parquet(rings_path)
     trips_path, zones_path, weather_path = (work_path(spark, n) for n in ("bench-trips", "bench-zones", "bench-weather"))
@@ -73,6 +79,7 @@ def main() -> int:
     silver_path = work_path(spark, "bench-silver")
     raw = [spark.read.parquet(p) for p in bronze]
     timed("silver_trips", lambda: SV.write_silver(SV.silver_trips_by_source(raw, grid), silver_path))
+    timed("silver_from_tree", lambda: SV.load_bronze_tree(spark, tree, grid, work_path(spark, "bench-silver-tree")))
     stream_out, stream_ckpt = work_path(spark, "bench-stream"), work_path(spark, "bench-stream-ckpt")
     timed("incremental_load", lambda: incremental_load(spark, bronze, grid, stream_out, stream_ckpt))
     timed("weather_json", lambda: WX.write_weather(
