@@ -87,3 +87,15 @@ def with_fee_applicability(df: DataFrame, intro: dict | None = None) -> DataFram
 
 def with_partition_columns(df: DataFrame, ts: str = "pickup_datetime") -> DataFrame:
     return df.withColumns({"year": F.year(ts), "month": F.month(ts)})
+
+
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key; among rows sharing a key the smallest (by the other
+    columns, in order) is kept. Unlike ``dropDuplicates`` the choice does not
+    depend on the order rows arrive in, so a partition recomputed after a lost
+    executor keeps the same row as the first attempt."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.select(*keys).distinct()
+    return (df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+              .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import columns as C
+from ..operators.clean import one_per_key
 from ..operators.joins import maybe_broadcast, small_enough
 
 FEE_AVG_COLS = {
@@ -425,7 +426,7 @@ def price_by_weather_from_profile(prof: DataFrame, weather: DataFrame, digits: i
 
 def price_by_weather_hourly(hourly: DataFrame, weather: DataFrame, digits: int = 6) -> DataFrame:
     """Class means and deviation from in-scope ratio sums ``s`` and counts ``n`` per hour ``ts``."""
-    w = maybe_broadcast(weather.select("ts", "precipitation_mm").dropDuplicates(["ts"])
+    w = maybe_broadcast(one_per_key(weather.select("ts", "precipitation_mm"), ["ts"])
                                .withColumn("has_weather", F.lit(True)))
     classes = (hourly.join(w, "ts", "left")
                      .withColumn("conditions", F.when(F.col("has_weather"),
@@ -454,7 +455,7 @@ def weather_at_trip(trips: DataFrame, zones: DataFrame, weather: DataFrame,
             y, m = int(hour[0:4]), int(hour[5:7])
             t = t.where((F.col("year") == y) & (F.col("month") == m))
     z = maybe_broadcast(zones.select("location_id", "zone_name"))
-    w = maybe_broadcast(weather.select("ts", "temperature_c", "precipitation_mm").dropDuplicates(["ts"]))
+    w = maybe_broadcast(one_per_key(weather.select("ts", "temperature_c", "precipitation_mm"), ["ts"]))
     return (t.select("pickup_datetime", "pickup_location_id")
              .join(z, F.col("pickup_location_id") == z.location_id, "inner")
              .join(w, C.hour_start("pickup_datetime") == w.ts, "inner")
@@ -486,7 +487,7 @@ def kpi_cards(spark: SparkSession, trips: DataFrame, weather: DataFrame) -> Data
 
 def kpi_cards_from_profile(spark: SparkSession, prof: DataFrame, weather: DataFrame) -> DataFrame:
     """``kpi_cards`` from an already materialised hourly profile."""
-    w = maybe_broadcast(weather.select("ts", "precipitation_mm").dropDuplicates(["ts"])
+    w = maybe_broadcast(one_per_key(weather.select("ts", "precipitation_mm"), ["ts"])
                                .withColumn("has_weather", F.lit(True)))
     return spark.sql(f"""
         WITH prof AS (SELECT * FROM {{prof}}),

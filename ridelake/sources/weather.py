@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import columns as C
+from ..operators.clean import one_per_key
 
 
 def explode_hourly(raw: DataFrame) -> DataFrame:
     """One row per hour from ``hourly{time[], <measure>[]...}``; index-aligned
     (``arrays_zip``), missing values stay NULL, measures renamed and typed.
-    Duplicate hours are dropped so a later join cannot multiply trips."""
+    Duplicate hours are reduced to one row (deterministically) so a later
+    join cannot multiply trips."""
     h = F.col("hourly")
     zipped = F.arrays_zip(*[h[v].alias(v) for v in ["time"] + S.WEATHER_VARS])
     rows = raw.select(F.inline(zipped))
@@ -19,7 +21,7 @@ def explode_hourly(raw: DataFrame) -> DataFrame:
         F.to_timestamp_ntz(F.col("time")).alias("ts"),
         *[F.col(v).cast("double").alias(c) for v, c in zip(S.WEATHER_VARS[:-1], S.WEATHER_COLS[:-1])],
         F.col("weather_code").cast("int").alias("code_meteo"))
-    return out.where(F.col("ts").isNotNull()).dropDuplicates(["ts"])
+    return one_per_key(out.where(F.col("ts").isNotNull()), ["ts"])
 
 
 def read_weather_json(spark: SparkSession, path: str) -> DataFrame:

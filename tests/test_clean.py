@@ -172,3 +172,14 @@ def test_time_helpers_ignore_session_time_zone(spark):
         assert (r["ym"], r["iso"], r["hh"]) == ("2024-03", "2024-03-10T02:30", 2)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_one_per_key_keeps_the_same_row_whatever_the_order(spark):
+    from ridelake.operators.clean import one_per_key
+    rows = [(1, 0.5, None), (1, 0.2, 3.0), (1, 0.2, 1.0), (2, None, 7.0), (2, 0.1, 2.0)]
+    schema = "ts int, precipitation_mm double, temperature_c double"
+    outs = []
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        df = spark.createDataFrame(order, schema).repartition(3)
+        outs.append(sorted(tuple(r) for r in one_per_key(df, ["ts"]).collect()))
+    assert outs[0] == outs[1] == outs[2] == [(1, 0.2, 1.0), (2, None, 7.0)]
