@@ -90,9 +90,14 @@ def loaded_sources(spark: SparkSession, silver_path: str) -> DataFrame:
     (from its file listing; empty when the table does not exist yet)."""
     try:
         files = parquet_files(spark, silver_path)
-        return files.select("vtype", F.col("source_month").cast("string")).distinct()
-    except AnalysisException:
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
         return spark.createDataFrame([], "vtype string, source_month string")
+    if "source_month" not in files.columns:
+        raise ValueError(f"{silver_path} is not partitioned by source_month; "
+                         "load a bronze tree into a table of its own layout")
+    return files.select("vtype", F.col("source_month").cast("string")).distinct()
 
 
 def pending_files(files: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -124,3 +124,15 @@ def test_bronze_tree_of_unlike_schemas_loads_pending_months_only(spark):
     assert {r["pickup_location_id"] for r in got.collect()} == {42}
     assert sorted((r["passenger_count"] for r in got.collect() if r["year"] == 2009),
                   key=lambda v: -1 if v is None else v) == [None, 1, 2]   # 'x' is not a number
+
+
+def test_tree_load_refuses_a_table_of_another_layout(spark):
+    import pytest
+    from ridelake.sources.lake import loaded_sources
+    missing = work_path(spark, "no-such-table")
+    assert loaded_sources(spark, missing).count() == 0
+    other = work_path(spark, "flat-table")
+    spark.createDataFrame([("yellow", 2021, 1, 1.0)], "vtype string, year int, month int, x double") \
+        .write.partitionBy("vtype", "year", "month").parquet(other)
+    with pytest.raises(ValueError):
+        loaded_sources(spark, other)
