@@ -3,29 +3,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 # A broadcast dimension must stay far below executor memory: rows * row width.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+
+# bytes per value of fixed-width types; strings and nested values are counted
+# generously, plus a per-row overhead (hashed relation entry, row header)
+_FIXED_WIDTH = {"ByteType": 1, "BooleanType": 1, "ShortType": 2, "IntegerType": 4, "DateType": 4,
+                "FloatType": 4, "LongType": 8, "DoubleType": 8, "TimestampType": 8,
+                "TimestampNTZType": 8}
+_VARIABLE_WIDTH = 64
+_NESTED_WIDTH = 256
+_ROW_OVERHEAD = 32
+
+
+def row_width(schema: StructType) -> int:
+    """Conservative in-memory width of one row of ``schema`` in bytes."""
+    def width(t) -> int:
+        name = type(t).__name__
+        if name in _FIXED_WIDTH:
+            return _FIXED_WIDTH[name]
+        return _NESTED_WIDTH if isinstance(t, (ArrayType, MapType, StructType)) else _VARIABLE_WIDTH
+    return _ROW_OVERHEAD + sum(width(f.dataType) for f in schema.fields)
 
 
 _checked: dict[tuple[int, int, int], bool] = {}
 
 
-def small_enough(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def small_enough(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and at most ``max_bytes``
+    at its estimated row width (whichever bound is lower decides).
 
     Reads at most ``max_rows + 1`` rows (a bounded job), so the check stays
     cheap even when the answer is "no". The answer is remembered per logical
     plan (``semanticHash``) and set of input files, so a dimension used by many
     queries is counted once, and a table that gained files is counted again.
     """
+    max_rows = min(max_rows, max_bytes // row_width(df.schema))
     key = (df.semanticHash(), hash(tuple(sorted(df.inputFiles()))), max_rows)
     if key not in _checked:
         _checked[key] = df.limit(max_rows + 1).count() <= max_rows
     return _checked[key]
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint when the size check passes; otherwise leave the choice to
     AQE (sort-merge / shuffled hash join, skew-join splitting on hot keys)."""
-    return F.broadcast(df) if small_enough(df, max_rows) else df
+    return F.broadcast(df) if small_enough(df, max_rows, max_bytes) else df

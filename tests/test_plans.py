@@ -100,3 +100,16 @@ def test_grid_broadcast_is_built_once(spark):
     q.collect()                       # the adaptive plan is final after execution
     p = plan(q)
     assert "ReusedExchange" in p
+
+
+def test_broadcast_bound_counts_bytes_as_well_as_rows(spark):
+    from ridelake.operators.joins import row_width, small_enough
+    narrow = spark.range(100).selectExpr("CAST(id AS INT) AS a", "CAST(id AS INT) AS b")
+    wide = spark.range(100).selectExpr("id", "CAST(id AS STRING) AS name", "array(id) AS xs")
+    assert row_width(narrow.schema) == 32 + 4 + 4
+    assert row_width(wide.schema) == 32 + 8 + 64 + 256
+    assert small_enough(narrow, max_rows=1000)
+    assert not small_enough(narrow, max_rows=99)
+    # 100 rows fit the row bound but not a byte budget of 99 wide rows
+    assert not small_enough(wide, max_rows=1000, max_bytes=99 * row_width(wide.schema))
+    assert small_enough(wide, max_rows=1000, max_bytes=100 * row_width(wide.schema))
