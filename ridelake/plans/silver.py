@@ -102,17 +102,21 @@ def read_by_schema(spark: SparkSession, root: str, files: list[str],
 def load_bronze_tree(spark: SparkSession, root: str, grid: DataFrame, silver_path: str) -> int:
     """Batch incremental silver load of a bronze tree ``<root>/vtype=/year=/month=``
     whose monthly files have drifting schemas. Months whose source is already in
-    silver are skipped (ledger = the ``source_month`` partitions of silver
-    itself); the files of the others are read one DataFrame per schema era,
+    silver are skipped (ledger = the ``source_month`` partitions of silver and
+    a hidden ``_loaded_sources`` table beside them, which also remembers months
+    whose rows were all rejected); the files of the others are read one DataFrame per schema era,
     built into silver in one plan and written by source month. Returns the
     number of (type, month) sources loaded. Re-running after a failure repeats
     only what is missing, and a month written twice replaces itself."""
-    from ..sources.lake import bronze_files, loaded_sources, pending_files
+    from ..sources.lake import bronze_files, loaded_sources, pending_files, record_sources
     todo = pending_files(bronze_files(spark, root), loaded_sources(spark, silver_path))
     # file names only (metadata, a few per month), needed by the reader on the driver
     rows = todo.select("path", "vtype", "source_month").collect()
     if not rows:
         return 0
     files = sorted(r["path"] for r in rows)
+    sources = sorted({(r["vtype"], r["source_month"]) for r in rows})
     write_silver(silver_trips_by_source(read_by_schema(spark, root, files), grid), silver_path)
-    return len({(r["vtype"], r["source_month"]) for r in rows})
+    # months whose rows were all rejected leave no partition: the ledger remembers them
+    record_sources(spark, silver_path, sources)
+    return len(sources)

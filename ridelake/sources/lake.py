@@ -85,19 +85,42 @@ def bronze_files(spark: SparkSession, root: str) -> DataFrame:
         F.format_string("%04d-%02d", y, m).alias("source_month"))
 
 
-def loaded_sources(spark: SparkSession, silver_path: str) -> DataFrame:
-    """(vtype, source_month) already present in a replace-by-source silver table
-    (from its file listing; empty when the table does not exist yet)."""
+LEDGER_DIR = "_loaded_sources"     # hidden from readers of the table (leading underscore)
+
+
+def _listing_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        files = parquet_files(spark, silver_path)
+        return parquet_files(spark, path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
             raise
-        return spark.createDataFrame([], "vtype string, source_month string")
+        return None
+
+
+def loaded_sources(spark: SparkSession, silver_path: str) -> DataFrame:
+    """(vtype, source_month) already loaded into a replace-by-source silver table:
+    the sources in its ledger (also those that left no row after cleaning) and
+    those present as partitions. Empty when the table does not exist yet."""
+    empty = spark.createDataFrame([], "vtype string, source_month string")
+    files = _listing_or_none(spark, silver_path)
+    if files is None:
+        return empty
     if "source_month" not in files.columns:
         raise ValueError(f"{silver_path} is not partitioned by source_month; "
                          "load a bronze tree into a table of its own layout")
-    return files.select("vtype", F.col("source_month").cast("string")).distinct()
+    present = files.select("vtype", F.col("source_month").cast("string"))
+    ledger = f"{silver_path.rstrip('/')}/{LEDGER_DIR}"
+    if _listing_or_none(spark, ledger) is not None:
+        present = present.unionByName(spark.read.parquet(ledger).select("vtype", "source_month"))
+    return present.distinct()
+
+
+def record_sources(spark: SparkSession, silver_path: str, sources: list[tuple[str, str]]) -> None:
+    """Append loaded (vtype, source_month) pairs to the table's ledger. Written
+    after the silver write: a failure in between only means those months are
+    loaded again, and their replace-by-source write replaces itself."""
+    (spark.createDataFrame(sources, "vtype string, source_month string").coalesce(1)
+          .write.mode("append").parquet(f"{silver_path.rstrip('/')}/{LEDGER_DIR}"))
 
 
 def pending_files(files: DataFrame, loaded: DataFrame) -> DataFrame:

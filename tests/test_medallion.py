@@ -66,3 +66,23 @@ def test_gold_marts_from_shared_aggregates_equal_direct_queries(spark):
         got = built[name]()
         assert got.columns == want.columns, name
         assert _rows(got) == _rows(want), name
+
+
+def test_trips_from_a_bronze_tree_equal_the_silver_build(spark):
+    from pyspark.sql import functions as F
+    from ridelake.plans.medallion import build_trips_from_tree, build_zones
+    from ridelake.schema import FINAL_COLS
+    fx = Fixtures(spark, SF)
+    tree = work_path(spark, "m-tree")
+    for era in fx.raw_eras(keep_file_month=True):
+        (era.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
+            .write.mode("append").partitionBy("vtype", "year", "month").parquet(tree))
+    paths = LakePaths(work_path(spark, "m-tree-lake"))
+    build_zones(fx.rings(), fx.zones, paths)
+    n = build_trips_from_tree(spark, tree, paths)
+    assert n == spark.read.parquet(tree).select("vtype", "year", "month").distinct().count()
+    assert build_trips_from_tree(spark, tree, paths) == 0
+    got = spark.read.parquet(paths.trips).select(*FINAL_COLS, "year", "month")
+    want = silver_trips(fx.raw_eras(), geo.zone_grid(fx.rings(), fx.zones))
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
