@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.projection import ConicConformal, rings_to_wgs84
 from ..operators import geo
 from ..sources import weather as WX
 from ..streaming.incremental import incremental_load
@@ -48,8 +49,14 @@ class LakePaths:
         return f"{self.root}/gold"
 
 
-def build_zones(rings: DataFrame, names: DataFrame, paths: LakePaths) -> None:
-    """Zone table (id, borough, name, centroid) and the grid lookup, both written."""
+def build_zones(rings: DataFrame, names: DataFrame, paths: LakePaths,
+                crs: ConicConformal | None = None) -> None:
+    """Zone table (id, borough, name, centroid) and the grid lookup, both written.
+    With ``crs`` the ring vertices are (easting, northing) in that projection
+    (the published polygons use EPSG:2263, ``NY_LONG_ISLAND_FTUS``) and are
+    brought to degrees first, vertex by vertex, as built-in expressions."""
+    if crs is not None:
+        rings = rings.withColumn("pts", rings_to_wgs84("pts", crs))
     geo.zone_centroids(rings, names).write.mode("overwrite").parquet(paths.zones)
     geo.zone_grid(rings, names).write.mode("overwrite").parquet(paths.grid)
 

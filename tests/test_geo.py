@@ -143,3 +143,50 @@ def test_geocode_with_a_hot_cell_and_many_missing_points(spark):
     assert ra == rb
     assert sum(r[2] for r in ra) == 3000
     assert dict(((r[0], r[1]), r[2]) for r in ra)[(10, 5)] == 1000
+
+
+def test_state_plane_rings_come_back_to_degrees(spark):
+    from pyspark.sql import functions as F
+    from ridelake.functions.projection import NY_LONG_ISLAND_FTUS as NY_LONG_ISLAND
+    from ridelake.functions.projection import (US_SURVEY_FOOT_M, ConicConformal, rings_to_wgs84,
+                                               to_easting_northing, to_lon_lat)
+    from ridelake.plans.medallion import LakePaths, build_zones
+    from ridelake.session import work_path
+    from ridelake.sources.fixtures import Fixtures
+
+    # the worked example for a two-parallel conic conformal projection published
+    # with the EPSG guidance (Texas South Central, Clarke 1866, US survey feet)
+    texas = ConicConformal(a=6378206.4, inv_f=294.9786982, lat1=28 + 23 / 60, lat2=30 + 17 / 60,
+                           lat0=27 + 50 / 60, lon0=-99.0, false_easting=2000000.0, false_northing=0.0,
+                           unit=US_SURVEY_FOOT_M)
+    one = spark.range(1)
+    x, y = to_easting_northing(F.lit(-96.0), F.lit(28.5), texas)
+    r = one.select(x.alias("x"), y.alias("y")).first()
+    assert abs(r["x"] - 2963503.91) < 0.005 and abs(r["y"] - 254759.80) < 0.005
+    lon, lat = to_lon_lat(F.lit(r["x"]), F.lit(r["y"]), texas)
+    back = one.select(lon.alias("lon"), lat.alias("lat")).first()
+    assert abs(back["lon"] + 96.0) < 1e-9 and abs(back["lat"] - 28.5) < 1e-9
+
+    # fixture rings written in EPSG:2263 feet, as the zone polygons are published
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    rings = fx.rings()
+
+    def to_feet(p):
+        px, py = to_easting_northing(p["lon"], p["lat"])
+        return F.struct(px.alias("lon"), py.alias("lat"))
+    feet = rings.withColumn("pts", F.transform("pts", to_feet))
+    again = feet.withColumn("pts", rings_to_wgs84("pts"))
+    pairs = (rings.select("ring_id", F.col("pts").alias("p1"))
+             .join(again.select("ring_id", F.col("pts").alias("p2")), "ring_id"))
+    worst = (pairs.select(F.explode(F.arrays_zip("p1", "p2")).alias("z"))
+             .select(F.max(F.greatest(F.abs(F.col("z.p1.lon") - F.col("z.p2.lon")),
+                                      F.abs(F.col("z.p1.lat") - F.col("z.p2.lat"))))).first()[0])
+    assert worst < 1e-9
+
+    paths = LakePaths(work_path(spark, "g-feet"))
+    build_zones(feet, fx.zones, paths, crs=NY_LONG_ISLAND)
+    got = spark.read.parquet(paths.grid).select("lon_key", "lat_key", "location_id")
+    want = geo.zone_grid(rings, fx.zones).select("lon_key", "lat_key", "location_id")
+    # cells whose centre lies on an edge may flip under a 1e-11 degree change; nothing else
+    differ = got.exceptAll(want).count() + want.exceptAll(got).count()
+    assert differ <= 0.01 * want.count()
