@@ -93,7 +93,9 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key; among rows sharing a key the smallest (by the other
     columns, in order) is kept. Unlike ``dropDuplicates`` the choice does not
     depend on the order rows arrive in, so a partition recomputed after a lost
-    executor keeps the same row as the first attempt."""
+    executor keeps the same row as the first attempt. ``min`` of a struct is a
+    sort-based aggregate: meant for tables bounded by the calendar or the
+    zones (weather hours), not for facts."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
