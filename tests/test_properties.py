@@ -56,3 +56,19 @@ def test_flag_rule_matches_model(spark, values):
         return "Y" if t in ("1", "Y", "TRUE") else "N" if t in ("0", "N", "FALSE") else None
     df = spark.createDataFrame([(v,) for v in values], "x string")
     assert [r[0] for r in df.select(C.normalize_flag("x")).collect()] == [model(v) for v in values]
+
+
+def test_state_plane_round_trip_over_the_city(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+    from ridelake.functions.projection import to_easting_northing, to_lon_lat
+    rng = np.random.default_rng(11)
+    pts = [(float(x), float(y)) for x, y in zip(rng.uniform(-74.30, -73.65, 2000), rng.uniform(40.45, 40.95, 2000))]
+    df = spark.createDataFrame(pts, "lon double, lat double")
+    x, y = to_easting_northing(F.col("lon"), F.col("lat"))
+    lon, lat = to_lon_lat(x, y)
+    worst = df.select(F.max(F.greatest(F.abs(lon - F.col("lon")), F.abs(lat - F.col("lat"))))).first()[0]
+    assert worst < 1e-9
+    # northings of the city, in US survey feet north of the false origin (40°10' N)
+    ys = df.select(F.min(y), F.max(y)).first()
+    assert 100_000 < ys[0] < ys[1] < 350_000
