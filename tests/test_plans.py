@@ -113,3 +113,19 @@ def test_broadcast_bound_counts_bytes_as_well_as_rows(spark):
     # 100 rows fit the row bound but not a byte budget of 99 wide rows
     assert not small_enough(wide, max_rows=1000, max_bytes=99 * row_width(wide.schema))
     assert small_enough(wide, max_rows=1000, max_bytes=100 * row_width(wide.schema))
+
+
+def test_quality_filter_runs_below_the_grid_lookups(spark):
+    fx = Fixtures(spark, SF)
+    grid_path = work_path(spark, "plans-grid3")
+    geo.zone_grid(fx.rings(), fx.zones).write.parquet(grid_path)
+    bronze = work_path(spark, "plans-bronze3")
+    fx.raw_eras()[1].write.parquet(bronze)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        SV.silver_trips([spark.read.parquet(bronze)], spark.read.parquet(grid_path)).explain()
+    lines = buf.getvalue().splitlines()
+    joins = [i for i, line in enumerate(lines) if "BroadcastHashJoin" in line]
+    quality = [i for i, line in enumerate(lines) if "Filter" in line and "tpep_pickup_datetime" in line]
+    # the tree prints parents first: the trip filter is deeper than both lookups
+    assert len(joins) == 2 and quality and min(quality) > max(joins)
