@@ -98,9 +98,9 @@ def main() -> int:
     timed("weather_at_trip", lambda: run(M.weather_at_trip(trips, zones, weather)))
     timed("kpi_cards", lambda: run(M.kpi_cards(spark, trips, weather)))
     timed("missing_months", lambda: run(lake.missing_months(
-        lake.month_calendar(lake.partition_inventory(trips), first_months=dict(
+        lake.month_calendar(lake.partition_inventory_at(spark, trips_path), first_months=dict(
             yellow="2009-01", green="2013-08", fhv="2015-01", fhvhv="2019-02")),
-        lake.partition_inventory(trips))))
+        lake.partition_inventory_at(spark, trips_path))))
     # the whole gold layer as the lake build writes it (shared aggregates computed once)
     timed("gold_build", lambda: write_gold(spark, trips, zones, weather, work_path(spark, "bench-gold")))
     timed("silver_scan_year", lambda: run(M.heatmap_year(spark.read.parquet(silver_path), year=2021)))

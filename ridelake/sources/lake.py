@@ -17,6 +17,14 @@ def partition_inventory(df: DataFrame) -> DataFrame:
     return df.select("vtype", F.col("year").cast("int"), F.col("month").cast("int")).distinct()
 
 
+def partition_inventory_at(spark: SparkSession, root: str) -> DataFrame:
+    """``partition_inventory`` of a partitioned table on disk from its file
+    listing: one row per file instead of one per record (a scan of partition
+    columns alone still yields every row), and no file is opened."""
+    return (parquet_files(spark, root)
+            .select("vtype", F.col("year").cast("int"), F.col("month").cast("int")).distinct())
+
+
 def file_inventory(df: DataFrame) -> DataFrame:
     """Distinct source files of a file-based DataFrame, from the hidden metadata column."""
     return df.select(F.col("_metadata.file_path").alias("file_path")).distinct()

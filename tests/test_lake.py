@@ -42,3 +42,15 @@ def test_weather_json_roundtrip_keeps_nulls(spark):
     need = WX.years_needed(spark.createDataFrame([(2020,), (2022,)], "year int"),
                            hourly.selectExpr("year(ts) AS year"))
     assert [r["year"] for r in need.collect()] == [2022]
+
+
+def test_inventory_from_the_file_listing_equals_the_scan(spark):
+    from ridelake.plans import silver as SV
+    from ridelake.sources.fixtures import Fixtures
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    path = work_path(spark, "inv-trips")
+    SV.write_silver(fx.trips, path)
+    listed = lake.partition_inventory_at(spark, path)
+    scanned = lake.partition_inventory(spark.read.parquet(path))
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, scanned.collect()))
+    assert listed.schema == scanned.schema
