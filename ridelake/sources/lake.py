@@ -109,17 +109,21 @@ def loaded_sources(spark: SparkSession, silver_path: str) -> DataFrame:
     """(vtype, source_month) already loaded into a replace-by-source silver table:
     the sources in its ledger (also those that left no row after cleaning) and
     those present as partitions. Empty when the table does not exist yet."""
-    empty = spark.createDataFrame([], "vtype string, source_month string")
+    schema = "vtype string, source_month string"
+    empty = spark.createDataFrame([], schema)
     files = _listing_or_none(spark, silver_path)
     if files is None:
         return empty
-    if "source_month" not in files.columns:
+    if "source_month" in files.columns:
+        present = files.select("vtype", F.col("source_month").cast("string"))
+    elif files.limit(1).count() == 0:
+        present = empty          # only the ledger so far: every row was rejected
+    else:
         raise ValueError(f"{silver_path} is not partitioned by source_month; "
                          "load a bronze tree into a table of its own layout")
-    present = files.select("vtype", F.col("source_month").cast("string"))
     ledger = f"{silver_path.rstrip('/')}/{LEDGER_DIR}"
     if _listing_or_none(spark, ledger) is not None:
-        present = present.unionByName(spark.read.parquet(ledger).select("vtype", "source_month"))
+        present = present.unionByName(spark.read.schema(schema).parquet(ledger))
     return present.distinct()
 
 

@@ -136,3 +136,21 @@ def test_tree_load_refuses_a_table_of_another_layout(spark):
         .write.partitionBy("vtype", "year", "month").parquet(other)
     with pytest.raises(ValueError):
         loaded_sources(spark, other)
+
+
+def test_tree_month_with_every_row_rejected_is_loaded_once(spark):
+    from ridelake.plans.silver import load_bronze_tree
+    g = grid(spark).checkpoint()
+    root, silver = work_path(spark, "rej-bronze"), work_path(spark, "rej-silver")
+    # drop-off before pickup: the quality filter rejects the only ride
+    spark.createDataFrame([(datetime(2021, 3, 2, 9), datetime(2021, 3, 2, 8), -73.995, 40.605, 5.0, 6.0)],
+                          "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+                          "pickup_longitude double, pickup_latitude double, fare_amount double, "
+                          "total_amount double") \
+        .write.parquet(f"{root}/vtype=yellow/year=2021/month=03")
+    assert load_bronze_tree(spark, root, g, silver) == 1
+    assert load_bronze_tree(spark, root, g, silver) == 0
+    # a normal month arrives
+    month_file(spark, 4).drop("vtype", "_file_ts").write.parquet(f"{root}/vtype=yellow/year=2021/month=04")
+    assert load_bronze_tree(spark, root, g, silver) == 1
+    assert spark.read.parquet(silver).count() == 3
