@@ -6,7 +6,9 @@ all marts are aggregates bounded by types x months, zones or bins).
 """
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,9 +33,12 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
     shared: dict[str, DataFrame] = {}
 
     def once(name: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        lock = threading.Lock()      # marts may be built from several threads
+
         def get() -> DataFrame:
-            if name not in shared:
-                shared[name] = build().checkpoint()
+            with lock:
+                if name not in shared:
+                    shared[name] = build().checkpoint()
             return shared[name]
         return get
 
@@ -61,11 +66,18 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
 
 
 def write_gold(spark: SparkSession, trips: DataFrame, zones: DataFrame, weather: DataFrame,
-               root: str, names: list[str] | None = None) -> list[str]:
-    """Write the chosen marts (default: all) as ``<root>/<name>`` Parquet tables."""
+               root: str, names: list[str] | None = None, parallel: int = 4) -> list[str]:
+    """Write the chosen marts (default: all) as ``<root>/<name>`` Parquet tables.
+
+    The marts are independent jobs: ``parallel`` driver threads submit them at
+    once, so Spark overlaps their scans and fills the task slots one job's
+    tail leaves idle. Each shared aggregate is still computed once."""
     built = marts(spark, trips, zones, weather)
-    written = []
-    for name in names or list(built):
+    chosen = names or list(built)
+
+    def write(name: str) -> str:
         built[name]().write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
-        written.append(name)
-    return written
+        return name
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return list(pool.map(write, chosen))
