@@ -296,7 +296,8 @@ def price_per_distance(trips: DataFrame, digits: int = 9) -> DataFrame:
 
 
 def price_histogram(spark: SparkSession, trips: DataFrame, zones: DataFrame,
-                    location_id: int | None = None, top: DataFrame | None = None) -> DataFrame:
+                    location_id: int | None = None, top: DataFrame | None = None,
+                    years: DataFrame | None = None) -> DataFrame:
     """Histogram of fare/distance (bins of 0.5, ratio < 20) for one start zone
     (default: the most frequent in-scope zone, chosen by id) per period
     ('yyyy-MM' when the data holds one year, else 'yyyy').
@@ -304,12 +305,14 @@ def price_histogram(spark: SparkSession, trips: DataFrame, zones: DataFrame,
     The zone id and the year count are scalar subqueries: Catalyst runs them
     once and inlines the value, nothing is collected by this code. ``top`` may
     give the one-row frame holding the chosen ``location_id`` (e.g. from the
-    zone-pair counts)."""
+    zone-pair counts); ``years`` a frame whose ``year`` column holds the trip
+    years (e.g. from the hourly profile), for the one-year-or-many switch."""
     top = (top if top is not None else top_zone_in_scope(trips, zones)).select("location_id")
+    years = (years if years is not None else trips).select("year")
     zone_sql = str(int(location_id)) if location_id is not None else "(SELECT location_id FROM {top})"
     return spark.sql(f"""
         WITH base AS (
-          SELECT CASE WHEN (SELECT count(DISTINCT year) FROM {{trips}}) = 1
+          SELECT CASE WHEN (SELECT count(DISTINCT year) FROM {{years}}) = 1
                       THEN format_string('%04d-%02d', year(pickup_datetime), month(pickup_datetime))
                       ELSE format_string('%04d', year(pickup_datetime)) END AS periode,
                  try_divide(fare_amount, trip_distance) AS prix_km
@@ -319,7 +322,7 @@ def price_histogram(spark: SparkSession, trips: DataFrame, zones: DataFrame,
             AND fare_amount > {S.SCOPE_MIN_FARE}D
             AND try_divide(fare_amount, trip_distance) < {S.RATIO_CAP}D)
         SELECT periode, CAST(floor(prix_km / {S.PRICE_BIN_WIDTH}D) AS INT) AS bin, count(*) AS n
-        FROM base GROUP BY periode, bin""", trips=trips, top=top)
+        FROM base GROUP BY periode, bin""", trips=trips, top=top, years=years)
 
 
 def price_density(hist: DataFrame, digits: int = 9) -> DataFrame:
