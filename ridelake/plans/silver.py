@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import clean, geo
+from ..sources.lake import bronze_files, loaded_sources, pending_files, record_sources
 
 
 SOURCE_COL = "source_month"
@@ -82,7 +83,7 @@ def read_silver(spark, path: str) -> DataFrame:
 
 
 def read_by_schema(spark: SparkSession, root: str, files: list[str],
-                   threads: int = 16) -> list[DataFrame]:
+                   threads: int = 8) -> list[DataFrame]:
     """Bronze files of one tree as one DataFrame per Parquet schema.
 
     Each file's schema comes from its own footer (Spark's schema inference, a
@@ -104,11 +105,11 @@ def load_bronze_tree(spark: SparkSession, root: str, grid: DataFrame, silver_pat
     whose monthly files have drifting schemas. Months whose source is already in
     silver are skipped (ledger = the ``source_month`` partitions of silver and
     a hidden ``_loaded_sources`` table beside them, which also remembers months
-    whose rows were all rejected); the files of the others are read one DataFrame per schema era,
-    built into silver in one plan and written by source month. Returns the
-    number of (type, month) sources loaded. Re-running after a failure repeats
-    only what is missing, and a month written twice replaces itself."""
-    from ..sources.lake import bronze_files, loaded_sources, pending_files, record_sources
+    whose rows were all rejected); the files of the others are read one
+    DataFrame per schema era, built into silver in one plan and written by
+    source month. Returns the number of (type, month) sources loaded.
+    Re-running after a failure repeats only what is missing, and a month
+    written twice replaces itself."""
     todo = pending_files(bronze_files(spark, root), loaded_sources(spark, silver_path))
     # file names only (metadata, a few per month), needed by the reader on the driver
     rows = todo.select("path", "vtype", "source_month").collect()
