@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import schema as SC
 from .functions.columns import normalize_category, normalize_flag, sentinel_to_null, year_month
+from .functions.projection import rings_to_wgs84, to_easting_northing
 from .operators import clean, geo
 from .plans import marts as M
 from .plans import silver as SV
@@ -205,6 +206,18 @@ def _zone_centroids(fx: Fixtures) -> DataFrame:
     return geo.zone_centroids(fx.rings(), fx.zones)
 
 
+@register("zone_centroids_state_plane")
+def _zone_centroids_state_plane(fx: Fixtures) -> DataFrame:
+    """Zone rings as published, in EPSG:2263 feet (the fixture rings projected
+    forward), brought back to degrees by the library's reprojection: the
+    centroids must be those of the rings in degrees (6 decimals)."""
+    def to_feet(p):
+        x, y = to_easting_northing(p["lon"], p["lat"])
+        return F.struct(x.alias("lon"), y.alias("lat"))
+    feet = fx.rings().withColumn("pts", F.transform("pts", to_feet))
+    return geo.zone_centroids(feet.withColumn("pts", rings_to_wgs84("pts")), fx.zones, digits=6)
+
+
 @register("zones_per_borough")
 def _zones_per_borough(fx: Fixtures) -> DataFrame:
     # the zone table holds the zones that have geometry (one row per zone with a valid ring)
