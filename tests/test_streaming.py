@@ -154,3 +154,23 @@ def test_tree_month_with_every_row_rejected_is_loaded_once(spark):
     month_file(spark, 4).drop("vtype", "_file_ts").write.parquet(f"{root}/vtype=yellow/year=2021/month=04")
     assert load_bronze_tree(spark, root, g, silver) == 1
     assert spark.read.parquet(silver).count() == 3
+
+
+def test_tree_arrival_order_does_not_matter(spark):
+    from ridelake.plans.silver import load_bronze_tree
+    g = grid(spark).checkpoint()
+
+    def put(root, m):   # month m's file, holding one ride of month m + 1
+        month_file(spark, m, stray=True).drop("vtype", "_file_ts") \
+            .write.parquet(f"{root}/vtype=yellow/year=2021/month={m:02d}")
+
+    tables = []
+    for order in ([1, 2, 3], [3, 1, 2], [2, 3, 1]):
+        root, silver = work_path(spark, "ord-bronze"), work_path(spark, "ord-silver")
+        for m in order:
+            put(root, m)
+            assert load_bronze_tree(spark, root, g, silver) == 1
+        assert load_bronze_tree(spark, root, g, silver) == 0
+        tables.append(read_sorted(spark, silver))
+    assert tables[0] == tables[1] == tables[2]
+    assert len(tables[0]) == 12 and sum(1 for r in tables[0] if r[4] == 4) == 1
