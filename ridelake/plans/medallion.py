@@ -96,10 +96,18 @@ def quality_report(trips: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
 
 
 def build_lake(spark: SparkSession, bronze_eras: list[str], rings: DataFrame, names: DataFrame,
-               bronze_weather: str, root: str, max_files_per_trigger: int | None = None) -> LakePaths:
+               bronze_weather: str, root: str, max_files_per_trigger: int | None = None,
+               bronze_tree: str | None = None, crs: ConicConformal | None = None) -> LakePaths:
+    """Whole lake. Trips come from era folders through the streaming load, or,
+    with ``bronze_tree``, from one ``vtype=/year=/month=`` tree in the
+    reference's layout through the batch tree load; ``crs`` names the
+    projection of the ring vertices when they are not in degrees."""
     paths = LakePaths(root)
-    build_zones(rings, names, paths)
-    build_trips(spark, bronze_eras, paths, max_files_per_trigger)
+    build_zones(rings, names, paths, crs)
+    if bronze_tree is not None:
+        build_trips_from_tree(spark, bronze_tree, paths)
+    else:
+        build_trips(spark, bronze_eras, paths, max_files_per_trigger)
     build_weather(spark, bronze_weather, paths)
     trips = spark.read.parquet(paths.trips)
     zones = spark.read.parquet(paths.zones)

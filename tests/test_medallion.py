@@ -86,3 +86,26 @@ def test_trips_from_a_bronze_tree_equal_the_silver_build(spark):
     want = silver_trips(fx.raw_eras(), geo.zone_grid(fx.rings(), fx.zones))
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_build_lake_from_a_tree_and_state_plane_rings(spark):
+    from pyspark.sql import functions as F
+    from ridelake.functions.projection import NY_LONG_ISLAND_FTUS, to_easting_northing
+    fx = Fixtures(spark, SF)
+    tree = work_path(spark, "bl-tree")
+    for era in fx.raw_eras(keep_file_month=True):
+        (era.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
+            .write.mode("append").partitionBy("vtype", "year", "month").parquet(tree))
+
+    def to_feet(p):
+        x, y = to_easting_northing(p["lon"], p["lat"])
+        return F.struct(x.alias("lon"), y.alias("lat"))
+    feet = fx.rings().withColumn("pts", F.transform("pts", to_feet))
+    bronze_weather = work_path(spark, "bl-weather")
+    WX.write_weather_documents(fx.weather, bronze_weather)
+    paths = build_lake(spark, [], feet, fx.zones, bronze_weather, work_path(spark, "bl-lake"),
+                       bronze_tree=tree, crs=NY_LONG_ISLAND_FTUS)
+    trips = spark.read.parquet(paths.trips)
+    assert "source_month" in trips.columns
+    kpi = spark.read.parquet(f"{paths.gold}/kpi_cards").first()
+    assert kpi["total_courses"] == trips.count() > 0
