@@ -1,13 +1,16 @@
 """One registered query per operator, over the whole table it is meant for."""
 from __future__ import annotations
 
-from . import host_quality, simhash
+from . import decontaminate, host_quality, secrets, simhash
 
 QUERIES = {
     "op1_host_quality_rules": host_quality.op1_host_quality_rules,
+    "op7_credential_linking": secrets.op7_credential_linking,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
+    "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
 
 ORACLES = {
     "op1_host_quality_rules": host_quality.OP1_SQL,
+    "op7_credential_linking": secrets.OP7_SQL,
 }
