@@ -1,11 +1,13 @@
 """One registered query per operator, over the whole table it is meant for."""
 from __future__ import annotations
 
-from . import decontaminate, host_quality, secrets, simhash
+from . import bpe_codec, decontaminate, host_quality, secrets, simhash, tokens
 
 QUERIES = {
     "op1_host_quality_rules": host_quality.op1_host_quality_rules,
+    "op6_token_files": tokens.op6_token_files,
     "op7_credential_linking": secrets.op7_credential_linking,
+    "op8_bpe_tree_concatenation": bpe_codec.op8_bpe_tree_concatenation,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
