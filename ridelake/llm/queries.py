@@ -1,11 +1,13 @@
 """One registered query per operator, over the whole table it is meant for."""
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, host_quality, secrets, simhash, tokens, warc
+from . import bpe_codec, decontaminate, host_quality, ring, secrets, simhash, tokens, url_templates, warc
 
 QUERIES = {
     "op1_host_quality_rules": host_quality.op1_host_quality_rules,
+    "op2_bounded_load_ring": ring.op2_bounded_load_ring,
     "op3_warc_round_trip": warc.op3_warc_round_trip,
+    "op5_url_template_tree": url_templates.op5_url_template_tree,
     "op6_token_files": tokens.op6_token_files,
     "op7_credential_linking": secrets.op7_credential_linking,
     "op8_bpe_tree_concatenation": bpe_codec.op8_bpe_tree_concatenation,
@@ -16,5 +18,6 @@ QUERIES = {
 ORACLES = {
     "op1_host_quality_rules": host_quality.OP1_SQL,
     "op3_warc_round_trip": warc.OP3_SQL,
+    "op5_url_template_tree": url_templates.OP5_SQL,
     "op7_credential_linking": secrets.OP7_SQL,
 }
