@@ -1,12 +1,13 @@
 """One registered query per operator, over the whole table it is meant for."""
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, host_quality, ring, secrets, simhash, tokens, url_templates, warc
+from . import bpe_codec, decontaminate, host_quality, ring, secrets, simhash, token_counts, tokens, url_templates, warc
 
 QUERIES = {
     "op1_host_quality_rules": host_quality.op1_host_quality_rules,
     "op2_bounded_load_ring": ring.op2_bounded_load_ring,
     "op3_warc_round_trip": warc.op3_warc_round_trip,
+    "op4_viterbi_token_counts": token_counts.op4_viterbi_token_counts,
     "op5_url_template_tree": url_templates.op5_url_template_tree,
     "op6_token_files": tokens.op6_token_files,
     "op7_credential_linking": secrets.op7_credential_linking,
