@@ -79,9 +79,9 @@ def measures(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[s
 
 def _rule_failures(got: dict[str, str], rules: HostRules) -> Column:
     c = {k: F.col(v) for k, v in got.items()}
-    mean = c["word_chars"] / c["n_words"]
     return (c["base_failed"] | (c["n_symbols"] > rules.symbols_per_word * c["n_words"])
-            | (c["n_dup_lines"] > rules.dup_lines) | (mean < rules.min_word_chars) | (mean > rules.max_word_chars))
+            | (c["n_dup_lines"] > rules.dup_lines) | (c["word_chars"] < rules.min_word_chars * c["n_words"])
+            | (c["word_chars"] > rules.max_word_chars * c["n_words"]))
 
 
 def host_verdicts(measured: DataFrame, host_col: str, failed: Column, rules: HostRules) -> DataFrame:
