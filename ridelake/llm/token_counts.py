@@ -96,7 +96,7 @@ class Counter:
         coded = split.flatten().dictionary_encode()
         each = np.array([self.count(MARK + w) for w in coded.dictionary.to_pylist()], np.int64)
         total = np.r_[0, np.cumsum(each[coded.indices.to_numpy(zero_copy_only=False)])]
-        words = np.diff(offsets)
+        words = np.diff(offsets).astype(np.int64)
         pieces = total[offsets[1:]] - total[offsets[:-1]]
         none = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         return np.where(none, 0, words), np.where(none, 0, pieces)

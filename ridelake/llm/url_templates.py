@@ -1,9 +1,10 @@
 """URL filter by a tree of path templates (built-in expressions only).
 
 Per host, paths are read segment by segment. A segment value with enough
-support under its parent stays a branch, all others become the wildcard ``*``;
-branches of one parent whose labelled bad rates don't differ from the parent's
-by more than chance are merged into ``~``. The templates at the ends collect
+support under its parent stays a branch, all others become the wildcard ``*``.
+In order of their labelled bad rates, neighbouring branches of one parent that
+don't differ by more than chance (two-proportion test) are merged into ``{a|b}``;
+branches without labels are merged among themselves. The templates at the ends collect
 the labels of their pages; a template is rejected when its purity, smoothed by
 its host's, and that by the whole table's, is low. Explicit rules come first.
 
@@ -70,14 +71,15 @@ def templates(pages: DataFrame) -> DataFrame:
         total = here.groupBy("host", "template").agg(F.count(F.lit(1)).alias("all"))
         kept = found.where(F.col("n") >= MIN_SUPPORT).join(total, ["host", "template"]).where(F.col("n") * SHARE >= F.col("all"))
         kept = kept.withColumn("b", F.coalesce("b", F.lit(0)))
-        # branches of a parent (at most SHARE of them): labelled counts of all against each
-        family = Window.partitionBy("host", "template")
+        # branches of a parent, at most SHARE of them, by bad rate: a new group where two neighbours differ
+        along = Window.partitionBy("host", "template").orderBy(F.col("m") > 0, F.try_divide(F.col("b").cast("double"), F.col("m")), "seg")
         m, b = F.col("m").cast("double"), F.col("b").cast("double")
-        fm, fb = F.sum("m").over(family).cast("double"), F.sum("b").over(family).cast("double")
-        alike = F.pow(b * fm - fb * m, 2) <= Z2 * fb * (fm - fb) * m
-        kept = kept.select("host", "template", "seg", (alike & (F.count(F.lit(1)).over(family) > 1)).alias("alike"))
-        several = F.sum(F.when(F.col("alike"), 1).otherwise(0)).over(family) > 1
-        kept = kept.select("host", "template", "seg", F.when(F.col("alike") & several, "~").otherwise(F.col("seg")).alias("step"))
+        pm, pb = F.lag("m").over(along).cast("double"), F.lag("b").over(along).cast("double")
+        differ = F.pow(b * pm - pb * m, 2) * (m + pm) > Z2 * m * pm * (b + pb) * ((m + pm) - (b + pb))
+        kept = kept.withColumn("new", F.when(pm.isNull() | ((pm == 0) & (m > 0)) | differ, 1).otherwise(0))
+        kept = kept.withColumn("group", F.sum("new").over(along)).groupBy("host", "template", "group").agg(F.sort_array(F.collect_list("seg")).alias("segs"))
+        name = F.when(F.size("segs") > 1, F.concat(F.lit("{"), F.array_join("segs", "|"), F.lit("}"))).otherwise(F.get("segs", F.lit(0)))
+        kept = kept.select("host", "template", F.explode("segs").alias("seg"), name.alias("step"))
         kept = written(kept, "url-branches").withColumnsRenamed({"host": "h", "template": "t", "seg": "s"})
         rows = rows.join(kept, (rows["host"] == F.col("h")) & (rows["template"] == F.col("t")) & (_segment(k) == F.col("s")), "left")
         rows = rows.withColumn("template", F.when(_segment(k).isNull(), F.col("template")).otherwise(
@@ -146,11 +148,14 @@ def _oracle() -> str:
 f{k} AS (SELECT host, template, segs[{k + 1}] AS seg, count(*) AS n, count(bad) AS m, coalesce(sum(bad), 0) AS b
          FROM r{k} WHERE len(segs) > {k} GROUP BY ALL),
 a{k} AS (SELECT *, sum(n) OVER (PARTITION BY host, template) AS al FROM f{k}),
-k{k} AS (SELECT *, sum(m) OVER w::DOUBLE AS fm, sum(b) OVER w::DOUBLE AS fb, count(*) OVER w AS c
-         FROM a{k} WHERE n >= {MIN_SUPPORT} AND n * {SHARE} >= al WINDOW w AS (PARTITION BY host, template)),
-l{k} AS (SELECT *, pow(b::DOUBLE * fm - fb * m::DOUBLE, 2) <= {Z2}::DOUBLE * fb * (fm - fb) * m::DOUBLE AND c > 1 AS alike FROM k{k}),
-s{k} AS (SELECT host, template, seg, CASE WHEN alike AND count(*) FILTER (alike) OVER (PARTITION BY host, template) > 1
-         THEN '~' ELSE seg END AS step FROM l{k}),
+k{k} AS (SELECT *, lag(m) OVER w AS pm, lag(b) OVER w AS pb FROM a{k} WHERE n >= {MIN_SUPPORT} AND n * {SHARE} >= al
+         WINDOW w AS (PARTITION BY host, template ORDER BY m > 0, b::DOUBLE / nullif(m, 0)::DOUBLE NULLS FIRST, seg)),
+l{k} AS (SELECT *, sum(CASE WHEN pm IS NULL OR (pm = 0 AND m > 0) OR pow(b::DOUBLE * pm - pb * m::DOUBLE, 2) * (m + pm)::DOUBLE
+         > {Z2}::DOUBLE * m::DOUBLE * pm * (b + pb)::DOUBLE * ((m + pm) - (b + pb))::DOUBLE THEN 1 ELSE 0 END)
+         OVER (PARTITION BY host, template ORDER BY m > 0, b::DOUBLE / nullif(m, 0)::DOUBLE NULLS FIRST, seg) AS grp FROM k{k}),
+g{k} AS (SELECT host, template, list(seg ORDER BY seg) AS found FROM l{k} GROUP BY host, template, grp),
+s{k} AS (SELECT host, template, unnest(found) AS seg, CASE WHEN len(found) > 1 THEN '{{' || array_to_string(found, '|') || '}}'
+         ELSE found[1] END AS step FROM g{k}),
 r{k + 1} AS (SELECT page_id, r.host, path, segs, bad, CASE WHEN len(segs) > {k} THEN r.template || '/' || coalesce(step, '*')
          ELSE r.template END AS template FROM r{k} r LEFT JOIN s{k} s
          ON r.host = s.host AND r.template = s.template AND segs[{k + 1}] = s.seg),"""

@@ -1,0 +1,54 @@
+import public_tokenizers as P
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline as C
+from ridelake.llm.decontaminate import item_words
+from test_decontaminate import brute_distance
+from test_host_quality import brute as brute_quality
+from test_secrets import base as brute_spans
+from test_simhash import brute_fp, brute_groups
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bench = [item_words(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = {i: t for i, t in rows.items() if not brute_quality(t)[-1]}
+    ids = sorted(rows)
+    groups = brute_groups([brute_fp(rows[i]) for i in ids])
+    rows = {ids[g]: rows[ids[g]] for g in set(groups)}
+
+    def leaks(text):
+        region = item_words(text)
+        return any(len(set(b) & set(region)) >= 0.6 * len(set(b)) and brute_distance(b, region) <= int(0.2 * len(b)) for b in bench)
+    rows = {i: t for i, t in rows.items() if not leaks(t)}
+    for i, t in rows.items():
+        out, at = "", 0
+        for a, _, b in brute_spans(t):
+            out += t[at:a] + ("[SECRET]" if b > at else "")
+            at = max(at, b)
+        rows[i] = out + t[at:]
+    lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    want = {i: lib.encode(t, add_special_tokens=False).ids for i, t in rows.items()}
+    got = {r["doc_id"]: r["ids"] for r in C.run(spark, SF).collect()}
+    assert got == want
+
+
+def test_stages_keep_the_columns_of_documents(spark, odd_docs, tmp_path):
+    docs = odd_docs
+    for name, stage in C.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == odd_docs.columns, name
+        docs.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    assert [r["doc_id"] for r in C.STAGES[-1][1](spark, docs, SF).collect()] == [8]
+
+
+def test_secret_stage_keeps_every_document(spark, odd_docs):
+    out = dict(C.STAGES)["secret_scans"](spark, odd_docs, SF)
+    assert out.count() == odd_docs.count()
+    assert out.where("doc_id = -9").select("text", "n_chars").first() == ("[SECRET]", 8)
+    assert out.where(F.col("text").isNull()).count() == 2
