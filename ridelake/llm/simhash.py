@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_names, read, written
@@ -56,16 +56,22 @@ def fingerprint(text: bytes, size: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text_hash, fp`` (fp as a signed 64-bit number) per row; null text is empty."""
-    cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"),
+    """``doc_id, row_key, text_hash, fp`` (fp as a signed 64-bit number) per row; null text is
+    empty. The two hashes, of id and text and of the text, stand for the row in joins."""
+    key, text_hash = _keys(id_col, text_col)
+    cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("row_key"), text_hash.alias("text_hash"),
                        F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(x.as_buffer().to_pybytes(), size) for x in batch.column(2)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], ["doc_id", "text_hash", "fp"])
+            fps = np.array([fingerprint(x.as_buffer().to_pybytes(), size) for x in batch.column(3)], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps.view(np.int64))], ["doc_id", "row_key", "text_hash", "fp"])
 
-    return cols.mapInArrow(run, "doc_id long, text_hash long, fp long")
+    return cols.mapInArrow(run, "doc_id long, row_key long, text_hash long, fp long")
+
+
+def _keys(id_col: str, text_col: str) -> tuple[Column, Column]:
+    return F.xxhash64(F.col(id_col), F.col(text_col)), F.xxhash64(F.col(text_col))
 
 
 def segments(max_bits: int, count: int) -> list[tuple[int, int, int]]:
@@ -194,6 +200,18 @@ def near_links(fps: DataFrame, max_bits: int = 4, n_segments: int | None = None,
             .mapInArrow(verify, "a long, b long"))
 
 
+def _found(docs: DataFrame, size: int, max_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The written marks of all rows, and ``fp, root, component_id`` of each distinct fingerprint."""
+    marks = written(fingerprints(docs, size, id_col, text_col), "simhash-marks")
+    distinct = written(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    trees = components(written(near_links(distinct, max_bits), "simhash-links"))
+    # one row per fingerprint: its root (itself without links), then each root's smallest document
+    rooted = written(distinct.join(trees.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return marks, written(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
+
+
 def groups(docs: DataFrame, size: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text_hash, fp, component_id`` per row of ``docs``.
 
@@ -201,32 +219,24 @@ def groups(docs: DataFrame, size: int = 4, max_bits: int = 4, id_col: str = "doc
     of at most ``max_bits`` bits (equal fingerprints link). Null text is empty:
     fingerprint zero. Null doc_id: takes part, but is never a component_id unless
     all of its component are null (then null). Repeated rows link to each other."""
-    marks = written(fingerprints(docs, size, id_col, text_col), "simhash-marks")
-    distinct = written(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    links = written(near_links(distinct, max_bits), "simhash-links")
-    trees = components(links)
-    # one row per fingerprint: its root (itself without links), then each root's smallest document
-    rooted = distinct.join(trees.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = written(rooted, "simhash-rooted")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    final = written(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
+    marks, final = _found(docs, size, max_bits, id_col, text_col)
     return marks.join(final, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def one_per_group(docs: DataFrame, size: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` of which each group keeps one: the smallest doc_id (null last),
     of equal ids the smallest text hash, of repeated rows any one."""
-    found = groups(docs, size, max_bits, id_col, text_col)
+    marks, final = _found(docs, size, max_bits, id_col, text_col)
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash", "row_key")
     # one winner per fingerprint first (map-side), then per component
-    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")
-    win = found.groupBy("fp", "component_id").agg(F.min(order).alias("w"))
-    tree = win.groupBy(F.coalesce("component_id", "fp").alias("g"), F.col("component_id").isNull().alias("x")).agg(F.min("w").alias("w"))
-    kept = written(tree.select(F.col("w.doc_id").alias("kid"), F.col("w.text_hash").alias("khash")).distinct(), "simhash-kept")
-    kid, khash = free_names(docs, "kid", "khash")
-    kept = kept.select(F.col("kid").alias(kid), F.col("khash").alias(khash))
-    rows = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(kid)) & (F.xxhash64(F.col(text_col)) == F.col(khash)))
-    return rows.dropDuplicates([kid, khash]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    win = marks.groupBy("fp").agg(F.min(order).alias("w")).join(final, "fp")
+    win = win.groupBy("root").agg(F.min("w").alias("w"))
+    a, b = free_names(docs, "row_key", "text_hash")
+    kept = written(win.select(F.col("w.row_key").alias(a), F.col("w.text_hash").alias(b)), "simhash-kept")
+    key, text_hash = _keys(id_col, text_col)
+    # one shuffle of the texts: repeated rows meet in the partition of the join
+    rows = docs.withColumns({a: key, b: text_hash}).join(kept, [a, b])
+    return rows.dropDuplicates([a, b]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
