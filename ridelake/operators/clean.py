@@ -90,14 +90,16 @@ def with_partition_columns(df: DataFrame, ts: str = "pickup_datetime") -> DataFr
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key; among rows sharing a key the smallest (by the other
-    columns, in order) is kept. Unlike ``dropDuplicates`` the choice does not
-    depend on the order rows arrive in, so a partition recomputed after a lost
-    executor keeps the same row as the first attempt. ``min`` of a struct is a
-    sort-based aggregate: meant for tables bounded by the calendar or the
-    zones (weather hours), not for facts."""
+    """One row per key: the one with the fewest NULLs, of those the smallest by the other
+    columns in order (NULL last). Unlike ``dropDuplicates`` the choice does not depend
+    on the order rows arrive in, so a partition recomputed after a lost executor keeps
+    the same row as the first attempt. ``min`` of a struct is a sort-based
+    aggregate: meant for tables bounded by the calendar or the zones (weather
+    hours), not for facts."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    return (df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-              .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]))
+    nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in rest])
+    order = F.struct(nulls.alias("nulls"), *[F.struct(F.col(c).isNull().alias("null"), F.col(c).alias("value")).alias(c) for c in rest])
+    return (df.groupBy(*keys).agg(F.min(order).alias("_row"))
+              .select(*keys, *[F.col(f"_row.{c}.value").alias(c) for c in rest]))

@@ -1,9 +1,8 @@
 """Zone lookup: rings -> grid cells (rasterise), zone centroids, point -> zone.
 
 Rasterising is an explode, never a nested loop or a join of cells with
-edges: each ring enumerates only the grid rows of its own bounding box (spread
-over tasks by a repartition), computes the crossings of its edges with each
-row once, and emits the cells between pairs of crossings (even-odd rule).
+edges: each edge emits its crossings with the grid rows that it spans, and the
+cells between pairs of a row's crossings are emitted (even-odd rule).
 The per-cell ray cast (``point_in_ring``, a higher-order ``aggregate`` over
 the edges) is kept as the reference form and gives the same cells.
 """
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import columns as C
-from .joins import maybe_broadcast, small_enough
 
 TILE = 32  # cells per tile side: a tile is at most 1,024 candidate cells
 
@@ -72,43 +70,32 @@ def candidate_cells(rings: DataFrame, step: int = S.GRID_STEP, tile: int = TILE,
 def scanline_cells(rings: DataFrame, step: int = S.GRID_STEP) -> DataFrame:
     """(ring_id, location_id, lon_key, lat_key) of every cell centre inside each ring.
 
-    One row per (ring, grid row) is exploded and spread over tasks; for that row
-    the crossings of the ring's edges with the horizontal line through the cell
-    centres are computed once (O(vertices)), sorted, and the cells between
-    consecutive pairs of crossings are emitted. A centre ``px`` is inside when
-    ``x[2j] <= px < x[2j+1]``: exactly the even-odd ray cast of
-    ``point_in_ring`` (same crossing arithmetic), at O(vertices) per row instead
-    of per cell.
+    Each edge is a row and emits its crossings with the grid rows that it spans, so what is
+    shuffled is one narrow row per crossing, never a ring's vertices. Per ring and
+    grid row the crossings are sorted and the cells between consecutive pairs are
+    emitted. A centre ``px`` is inside when ``x[2j] <= px < x[2j+1]``: exactly the
+    even-odd ray cast of ``point_in_ring`` (same crossing arithmetic).
     """
-    b = _bbox(valid_rings(rings)).withColumns({
-        "lat_lo": F.floor(F.col("min_lat") * step), "lat_hi": F.ceil(F.col("max_lat") * step)})
-    rows = b.select("ring_id", "location_id", "pts",
-                    F.explode(F.sequence("lat_lo", "lat_hi")).alias("lat_key"))
-    # a big ring has many rows: spread them before the per-row work
-    rows = rows.repartition("ring_id", "lat_key")
-    py = F.col("lat_key").cast("double") / step
-
-    def crossing(i):
+    def edge(i):
         a, b = F.element_at("pts", i + 1), F.element_at("pts", i + 2)
-        xi, yi, xj, yj = a["lon"], a["lat"], b["lon"], b["lat"]
-        return F.when((yi > py) != (yj > py), (xj - xi) * (py - yi) / (yj - yi) + xi)
-
-    xs = F.array_sort(F.filter(F.transform(F.sequence(F.lit(0), F.size("pts") - 2), crossing),
-                               lambda x: x.isNotNull()))
-    with_xs = rows.select("ring_id", "location_id", "lat_key", xs.alias("xs"))
-    n_pairs = (F.size("xs") / 2).cast("int")
-    pairs = F.when(n_pairs >= 1, F.transform(
-        F.sequence(F.lit(0), n_pairs - 1),
-        lambda j: F.struct(F.element_at("xs", j * 2 + 1).alias("x_in"),
-                           F.element_at("xs", j * 2 + 2).alias("x_out")))).otherwise(F.array())
+        return F.struct(a["lon"].alias("xi"), a["lat"].alias("yi"), b["lon"].alias("xj"), b["lat"].alias("yj"))
+
+    edges = valid_rings(rings).select("ring_id", "location_id", F.inline(F.transform(F.sequence(F.lit(0), F.size("pts") - 2), edge)))
+    low, high = F.least("yi", "yj"), F.greatest("yi", "yj")
+    crossed = edges.withColumn("lat_key", F.explode(F.sequence(F.floor(low * step), F.ceil(high * step))))
+    py = F.col("lat_key").cast("double") / step
+    crossed = crossed.where((F.col("yi") > py) != (F.col("yj") > py)).select(
+        "ring_id", "location_id", "lat_key",
+        ((F.col("xj") - F.col("xi")) * (py - F.col("yi")) / (F.col("yj") - F.col("yi")) + F.col("xi")).alias("x"))
+    with_xs = crossed.groupBy("ring_id", "location_id", "lat_key").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    pairs = F.transform(F.sequence(F.lit(0), (F.size("xs") / 2).cast("int") - 1),
+                        lambda j: F.struct(F.element_at("xs", j * 2 + 1).alias("x_in"), F.element_at("xs", j * 2 + 2).alias("x_out")))
     spans = with_xs.select("ring_id", "location_id", "lat_key", F.inline(pairs))
     cells = spans.select("ring_id", "location_id", "lat_key", "x_in", "x_out",
-                         F.explode(F.sequence(F.floor(F.col("x_in") * step),
-                                              F.ceil(F.col("x_out") * step))).alias("lon_key"))
+                         F.explode(F.sequence(F.floor(F.col("x_in") * step), F.ceil(F.col("x_out") * step))).alias("lon_key"))
     px = F.col("lon_key").cast("double") / step
     return (cells.where((px >= F.col("x_in")) & (px < F.col("x_out")))
-                 .select("ring_id", "location_id",
-                         F.col("lon_key").cast("int").alias("lon_key"),
+                 .select("ring_id", "location_id", F.col("lon_key").cast("int").alias("lon_key"),
                          F.col("lat_key").cast("int").alias("lat_key")))
 
 
@@ -133,7 +120,7 @@ def zone_grid(rings: DataFrame, zones: DataFrame | None = None, step: int = S.GR
                   .agg(F.min_by("location_id", "ring_id").alias("location_id")))
     if zones is not None:
         z = zones.select("location_id", "borough")
-        grid = grid.join(maybe_broadcast(z), "location_id", "left")
+        grid = grid.join(z, "location_id", "left")
         grid = grid.select("lon_key", "lat_key", "location_id", "borough")
     return grid
 
@@ -166,42 +153,60 @@ def ring_moments(rings: DataFrame) -> DataFrame:
                     ((a2 * 3 * F.col("y0") + F.col("m.cy")) * sign).alias("wy"))
 
 
+def outer_rings(rings: DataFrame) -> DataFrame:
+    """Valid rings without those that lie inside another ring of their zone, or repeat one: what
+    is left has the area of the zone's union (rings of a zone are nested or disjoint)."""
+    b = _bbox(valid_rings(rings)).withColumn("key", F.xxhash64("location_id", "pts"))
+    box = ("min_lon", "max_lon", "min_lat", "max_lat")
+    outer = b.select("location_id", F.col("ring_id").alias("o_id"), F.col("pts").alias("o_pts"), F.col("key").alias("o_key"),
+                     *[F.col(c).alias(f"o_{c}") for c in box])
+    within = ((F.col("min_lon") >= F.col("o_min_lon")) & (F.col("max_lon") <= F.col("o_max_lon"))
+              & (F.col("min_lat") >= F.col("o_min_lat")) & (F.col("max_lat") <= F.col("o_max_lat")))
+    # only rings whose box lies in the other's box are compared vertex by vertex
+    met = b.join(outer, "location_id").where((F.col("ring_id") != F.col("o_id")) & within)
+    inside = F.forall("pts", lambda p: point_in_ring(F.col("o_pts"), p["lon"], p["lat"]))
+    repeats = (F.col("key") == F.col("o_key")) & (F.col("o_id") < F.col("ring_id"))
+    hidden = met.where(repeats | ((F.col("key") != F.col("o_key")) & inside)).select("ring_id").distinct()
+    return valid_rings(rings).join(hidden, "ring_id", "left_anti")
+
+
 def zone_centroids(rings: DataFrame, zones: DataFrame | None = None, digits: int = 9) -> DataFrame:
-    """Area-weighted centroid of all rings of each zone (rings assumed disjoint)."""
-    m = ring_moments(rings)
+    """Centroid of the union of each zone's rings (a ring inside another one adds no area).
+    A zone whose rings have no area keeps its row, with NULL centre."""
+    m = ring_moments(outer_rings(rings))
+    area = F.nullif(F.col("wa"), F.lit(0.0)) * 3
     c = (m.groupBy("location_id")
           .agg(F.sum("wa").alias("wa"), F.sum("wx").alias("wx"), F.sum("wy").alias("wy"))
-          .where(F.col("wa") != 0)
           .select("location_id",
-                  F.round(F.col("wx") / (F.col("wa") * 3), digits).alias("center_lon"),
-                  F.round(F.col("wy") / (F.col("wa") * 3), digits).alias("center_lat")))
+                  F.round(F.col("wx") / area, digits).alias("center_lon"),
+                  F.round(F.col("wy") / area, digits).alias("center_lat")))
     if zones is not None:
         c = zones.select("location_id", "borough", "zone_name").join(c, "location_id", "inner")
     return c
 
 
-def geocode(df: DataFrame, grid: DataFrame, step: int = S.GRID_STEP,
-            max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def geocode(df: DataFrame, grid: DataFrame, step: int = S.GRID_STEP) -> DataFrame:
     """GPS point -> grid cell -> zone, else the published id, else NULL.
 
-    The grid is broadcast when its size check passes. Otherwise rows without a
-    GPS key get a salted key outside any real cell (|key| > 1e8) so NULL keys do
-    not pile up in one shuffle partition; they still find no cell.
+    Spark picks the join form from the grid's size (broadcast below its threshold,
+    else a shuffle that AQE may split). Points outside the grid's bounding box, missing
+    points and junk such as (0, 0) among them, get a salted key (|key| > 1e8) that no
+    cell has, so on the shuffle path they don't pile up in one partition.
     """
     g = grid.select("lon_key", "lat_key", "location_id")
-    use_broadcast = small_enough(g, max_broadcast_rows)
+    box = g.agg(F.struct(F.min("lon_key").alias("w"), F.max("lon_key").alias("e"),
+                         F.min("lat_key").alias("s"), F.max("lat_key").alias("n"))).scalar()
     keyed = df.withColumns({
         "pu_lon_k": C.grid_key("pickup_longitude", step), "pu_lat_k": C.grid_key("pickup_latitude", step),
         "do_lon_k": C.grid_key("dropoff_longitude", step), "do_lat_k": C.grid_key("dropoff_latitude", step),
     })
-    if not use_broadcast:
-        salt = (F.lit(200_000_000) + F.pmod(F.xxhash64(*df.columns), F.lit(1_000_000))).cast("int")
-        keyed = keyed.withColumns({k: F.coalesce(F.col(k), salt)
-                                   for k in ("pu_lon_k", "do_lon_k")})
+    salt = (F.lit(200_000_000) + F.pmod(F.xxhash64(*df.columns), F.lit(1_000_000))).cast("int")
+    for role in ("pu", "do"):
+        lon, lat = F.col(f"{role}_lon_k"), F.col(f"{role}_lat_k")
+        inside = lon.between(box["w"], box["e"]) & lat.between(box["s"], box["n"])
+        keyed = keyed.withColumn(f"{role}_lon_k", F.when(inside, lon).otherwise(salt))
     # one grid, two roles (pickup and drop-off), as two aliases of the same plan:
-    # the broadcast is built once and reused by the second lookup (ReusedExchange)
-    if use_broadcast:
-        g = F.broadcast(g)
+    # a broadcast is built once and reused by the second lookup (ReusedExchange)
     gp, gd = g.alias("gp"), g.alias("gd")
     on_pu = (F.col("pu_lon_k") == F.col("gp.lon_key")) & (F.col("pu_lat_k") == F.col("gp.lat_key"))
     on_do = (F.col("do_lon_k") == F.col("gd.lon_key")) & (F.col("do_lat_k") == F.col("gd.lat_key"))

@@ -11,7 +11,6 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from . import marts as M
@@ -46,9 +45,7 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
     prof = once("profile", lambda: M.hourly_profile(trips))
     pairs = once("pairs", lambda: M.zone_pairs(trips))
     flows = once("flows", lambda: M.zone_flows_from_pairs(pairs(), zones))
-    hist = once("hist", lambda: M.price_histogram(
-        spark, trips, zones, top=M.top_zone_in_scope_from_pairs(pairs(), zones),
-        years=prof().select(F.year("ts").alias("year"))))
+    hist = once("hist", lambda: M.price_histogram(trips, zones))
     monthly = once("monthly", lambda: M.fees_by_month(trips))
     return {
         "volumes": lambda: M.volumes_from_profile(prof()),

@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import columns as C
-from ..operators.clean import one_per_key
-from ..operators.joins import maybe_broadcast, small_enough
 
 FEE_AVG_COLS = {
     "extra": "surcharge_soir_nuit",
@@ -59,8 +57,8 @@ def volumes_by_type_month(trips: DataFrame) -> DataFrame:
 
 def distinct_years(trips: DataFrame) -> DataFrame:
     """Sorted distinct years, each row carrying the number of distinct years."""
-    years = trips.select("year").distinct()
-    return (years.withColumn("n_years", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
+    years = trips.agg(F.collect_set("year").alias("years"))     # one row, bounded by the calendar
+    return (years.select(F.explode("years").alias("year"), F.size("years").cast("long").alias("n_years"))
                  .orderBy("year"))
 
 
@@ -150,7 +148,7 @@ def zone_pairs(trips: DataFrame) -> DataFrame:
 
 def _top_named(counts: DataFrame, zones: DataFrame, k: int) -> DataFrame:
     """Top-k of per-pickup-zone counts ``courses`` by (borough, zone name)."""
-    z = maybe_broadcast(zones.select("location_id", "borough", "zone_name"))
+    z = zones.select("location_id", "borough", "zone_name")
     named = counts.join(z, counts.pickup_location_id == z.location_id, "inner")
     per_name = named.groupBy("borough", "zone_name").agg(F.sum("courses").alias("courses"))
     return per_name.orderBy(F.desc("courses"), "borough", "zone_name").limit(k)
@@ -171,7 +169,7 @@ def top_zones_from_pairs(pairs: DataFrame, zones: DataFrame, k: int = 10) -> Dat
 
 
 def _named_in_scope(counts: DataFrame, zones: DataFrame) -> DataFrame:
-    z = maybe_broadcast(zones.select("location_id", "zone_name"))
+    z = zones.select("location_id", "zone_name")
     return (counts.join(z, counts.pickup_location_id == z.location_id, "inner")
                   .select("location_id", "zone_name", "courses"))
 
@@ -199,8 +197,6 @@ def top_zone_in_scope_from_pairs(pairs: DataFrame, zones: DataFrame, k: int = 1)
 def _flows(pairs: DataFrame, zones: DataFrame) -> DataFrame:
     """Borough flows from per-(pickup id, drop-off id) counts ``n`` of different zones."""
     z = zones.select("location_id", "borough")
-    if small_enough(z):          # one size check for both roles of the dimension
-        z = F.broadcast(z)
     zb = z.withColumnsRenamed({"location_id": "pu_id", "borough": "depart"})
     zd = z.withColumnsRenamed({"location_id": "do_id", "borough": "arrivee"})
     return (pairs.join(zb, pairs.pickup_location_id == zb.pu_id, "inner")
@@ -232,12 +228,12 @@ def flow_nodes(flows: DataFrame, digits: int = 6) -> DataFrame:
                     F.struct(F.col("arrivee").alias("label"), F.col("courses").alias("c")))
     sizes = (flows.select(F.inline(roles))
                   .groupBy("label").agg(F.sum("c").alias("node_size")))
-    everything = Window.partitionBy(F.lit(0))
-    ordered = everything.orderBy("label").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum("node_size").over(everything)
-    cum = F.sum("node_size").over(ordered)
-    return (sizes.withColumns({"total": total, "cum": cum})
-                 .select("label", "node_size",
+    # labels are boroughs: one row holds them all, in order
+    row = sizes.agg(F.sort_array(F.collect_list(F.struct("label", "node_size"))).alias("all"), F.sum("node_size").alias("total"))
+    each = row.select("all", "total", F.posexplode("all").alias("k", "node"))
+    cum = F.aggregate(F.slice("all", 1, F.col("k") + 1), F.lit(0).cast("long"), lambda s, x: s + x["node_size"])
+    each = each.select("total", cum.alias("cum"), "node.label", "node.node_size")
+    return (each.select("label", "node_size",
                          F.round(F.col("node_size") / F.col("total"), digits).alias("share"),
                          F.round(F.lit(90.0) - F.col("cum") * 360.0 / F.col("total"), digits).alias("angle_start"),
                          F.round(F.lit(90.0) - (F.col("cum") - F.col("node_size")) * 360.0 / F.col("total"),
@@ -273,7 +269,9 @@ def flow_ribbons(flows: DataFrame, digits: int = 6) -> DataFrame:
 def flow_matrix(flows: DataFrame) -> DataFrame:
     """Dense origin x destination matrix (pivot, missing cells 0). Rows and
     columns are the union of origin and destination labels: every flow also
-    emits a zero self-cell for both of its labels, so flows is read once."""
+    emits a zero self-cell for both of its labels. The pivot asks for the labels
+    first, so the small flows are checkpointed: their input is read once."""
+    flows = flows.checkpoint()
     cells = F.array(
         F.struct(F.col("depart").alias("d"), F.col("arrivee").alias("a"), F.col("courses").cast("long").alias("c")),
         F.struct(F.col("depart").alias("d"), F.col("depart").alias("a"), F.lit(0).cast("long").alias("c")),
@@ -295,34 +293,39 @@ def price_per_distance(trips: DataFrame, digits: int = 9) -> DataFrame:
             .agg(F.round(F.avg("prix_km"), digits).alias("prix_km_moyen"), _count().alias("courses")))
 
 
-def price_histogram(spark: SparkSession, trips: DataFrame, zones: DataFrame,
-                    location_id: int | None = None, top: DataFrame | None = None,
-                    years: DataFrame | None = None) -> DataFrame:
-    """Histogram of fare/distance (bins of 0.5, ratio < 20) for one start zone
-    (default: the most frequent in-scope zone, chosen by id) per period
+def price_cells(trips: DataFrame) -> DataFrame:
+    """Trips per (start zone, year, month, price bin): zone is NULL out of scope, bin is NULL
+    out of scope or at the ratio cap. Bounded by zones x months x bins."""
+    scope = C.in_scope()
+    ratio = C.ratio("fare_amount", "trip_distance")
+    t = F.col("pickup_datetime")
+    return (trips.select(F.when(scope, F.col("pickup_location_id")).alias("zone"), F.year(t).alias("y"), F.month(t).alias("m"),
+                         F.when(scope & (ratio < S.RATIO_CAP), C.price_bin(ratio)).alias("bin"))
+                 .groupBy("zone", "y", "m", "bin").agg(_count().alias("n")))
+
+
+def price_histogram(trips: DataFrame, zones: DataFrame, location_id: int | None = None, zone_name: str | None = None) -> DataFrame:
+    """Histogram of fare/distance (bins of 0.5, ratio < 20) of one start zone per period
     ('yyyy-MM' when the data holds one year, else 'yyyy').
 
-    The zone id and the year count are scalar subqueries: Catalyst runs them
-    once and inlines the value, nothing is collected by this code. ``top`` may
-    give the one-row frame holding the chosen ``location_id`` (e.g. from the
-    zone-pair counts); ``years`` a frame whose ``year`` column holds the trip
-    years (e.g. from the hourly profile), for the one-year-or-many switch."""
-    top = (top if top is not None else top_zone_in_scope(trips, zones)).select("location_id")
-    years = (years if years is not None else trips).select("year")
-    zone_sql = str(int(location_id)) if location_id is not None else "(SELECT location_id FROM {top})"
-    return spark.sql(f"""
-        WITH base AS (
-          SELECT CASE WHEN (SELECT count(DISTINCT year) FROM {{years}}) = 1
-                      THEN format_string('%04d-%02d', year(pickup_datetime), month(pickup_datetime))
-                      ELSE format_string('%04d', year(pickup_datetime)) END AS periode,
-                 try_divide(fare_amount, trip_distance) AS prix_km
-          FROM {{trips}}
-          WHERE pickup_location_id = {zone_sql}
-            AND trip_distance BETWEEN {S.SCOPE_MIN_DISTANCE}D AND {S.SCOPE_MAX_DISTANCE}D
-            AND fare_amount > {S.SCOPE_MIN_FARE}D
-            AND try_divide(fare_amount, trip_distance) < {S.RATIO_CAP}D)
-        SELECT periode, CAST(floor(prix_km / {S.PRICE_BIN_WIDTH}D) AS INT) AS bin, count(*) AS n
-        FROM base GROUP BY periode, bin""", trips=trips, top=top, years=years)
+    The zone is ``location_id``, or the one called ``zone_name``, or by default the most
+    frequent in-scope zone (of several: most trips, then lowest id). Trips are scanned once:
+    each zone's cells become one row, one aggregate over those rows takes the
+    chosen zone's and counts the years."""
+    per_zone = price_cells(trips).groupBy("zone").agg(
+        F.sum("n").alias("courses"), F.collect_set("y").alias("years"),
+        F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("y", "m", "bin", "n"))).alias("cells"))
+    named = per_zone.join(zones.select("location_id", "zone_name"), F.col("zone") == F.col("location_id"), "left")
+    if location_id is not None:
+        wanted = F.col("zone") == int(location_id)
+    else:
+        wanted = F.col("zone_name") == zone_name if zone_name is not None else F.col("location_id").isNotNull()
+    best = F.max(F.when(wanted, F.struct("courses", -F.col("zone"), "cells")))["cells"]
+    one_year = F.size(F.array_distinct(F.flatten(F.collect_list("years")))) == 1
+    row = named.agg(best.alias("cells"), one_year.alias("one_year"))
+    cells = row.select("one_year", F.inline("cells"))
+    period = F.when(F.col("one_year"), F.format_string("%04d-%02d", "y", "m")).otherwise(F.format_string("%04d", "y"))
+    return cells.groupBy(period.alias("periode"), "bin").agg(F.sum("n").alias("n"))
 
 
 def price_density(hist: DataFrame, digits: int = 9) -> DataFrame:
@@ -332,8 +335,8 @@ def price_density(hist: DataFrame, digits: int = 9) -> DataFrame:
     per = hist.groupBy("periode").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"),
         F.min("bin").alias("pmin"), F.max("bin").alias("pmax"), F.sum("n").alias("total"))
-    everything = Window.partitionBy(F.lit(0))          # one row per period
-    bounds = per.withColumns({"lo": F.min("pmin").over(everything), "hi": F.max("pmax").over(everything)})
+    bounds = (per.agg(F.collect_list(F.struct("periode", "m", "total")).alias("periods"), F.min("pmin").alias("lo"), F.max("pmax").alias("hi"))
+                 .select("lo", "hi", F.inline("periods")))
     axis = bounds.select("periode", "m", "total", F.explode(F.sequence("lo", "hi")).alias("bin"))
     dense = axis.select("periode", "bin", "total",
                         F.coalesce(F.col("m")[F.col("bin")], F.lit(0)).cast("long").alias("n"))
@@ -362,10 +365,10 @@ def price_ridgeline(hist: DataFrame, digits: int = 9) -> DataFrame:
     order = Window.partitionBy("periode").orderBy("bin")
     s1 = dens.withColumn("s1", smooth("d", order))
     s2 = s1.withColumn("y", smooth("s1", order))
-    everything = Window.partitionBy(F.lit(0))
-    ranked = s2.withColumns({"ymax": F.max("y").over(everything),
-                             "k": F.dense_rank().over(everything.orderBy("periode")) - 1})
-    ranked = ranked.withColumn("n_periods", F.max("k").over(everything) + 1)
+    curves = s2.groupBy("periode").agg(F.collect_list(F.struct("bin", "y")).alias("points"), F.max("y").alias("top"))
+    row = curves.agg(F.sort_array(F.collect_list(F.struct("periode", "points"))).alias("curves"), F.max("top").alias("ymax"))
+    ranked = row.select("ymax", F.size("curves").alias("n_periods"), F.posexplode("curves").alias("k", "curve"))
+    ranked = ranked.select("ymax", "n_periods", "k", "curve.periode", F.inline("curve.points"))
     return ranked.select(
         "periode", "bin",
         (F.col("bin") * S.PRICE_BIN_WIDTH + S.PRICE_BIN_WIDTH / 2).alias("x"),
@@ -429,14 +432,14 @@ def price_by_weather_from_profile(prof: DataFrame, weather: DataFrame, digits: i
 
 def price_by_weather_hourly(hourly: DataFrame, weather: DataFrame, digits: int = 6) -> DataFrame:
     """Class means and deviation from in-scope ratio sums ``s`` and counts ``n`` per hour ``ts``."""
-    w = maybe_broadcast(one_per_key(weather.select("ts", "precipitation_mm"), ["ts"])
-                               .withColumn("has_weather", F.lit(True)))
+    w = weather.select("ts", "precipitation_mm", F.lit(True).alias("has_weather"))
     classes = (hourly.join(w, "ts", "left")
                      .withColumn("conditions", F.when(F.col("has_weather"),
                                                       C.weather_condition("precipitation_mm")))
                      .groupBy("conditions").agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
-    everything = Window.partitionBy(F.lit(0))
-    base = classes.withColumn("mean_all", F.sum("s").over(everything) / F.sum("n").over(everything))
+    row = classes.agg(F.collect_list(F.struct("conditions", "s", "n")).alias("classes"),
+                      (F.sum("s") / F.sum("n")).alias("mean_all"))
+    base = row.select("mean_all", F.inline("classes"))
     return (base.where(F.col("conditions").isNotNull())
                 .select("conditions", F.col("n").alias("courses"),
                         F.round(F.col("s") / F.col("n"), digits).alias("prix_km_moyen"),
@@ -444,10 +447,11 @@ def price_by_weather_hourly(hourly: DataFrame, weather: DataFrame, digits: int =
 
 
 def weather_at_trip(trips: DataFrame, zones: DataFrame, weather: DataFrame,
-                    hour: str | None = None) -> DataFrame:
+                    hour: str | None = None, head: int | None = None) -> DataFrame:
     """Weather at the pickup hour of each trip with its zone (trip x zone x weather).
     With ``hour`` ('yyyy-MM-dd HH:00:00') only trips picked up in that hour, as a
-    half-open range on the pickup time so it stays pushable."""
+    half-open range on the pickup time so it stays pushable. With ``head`` the first rows
+    in order of time, zone and measures (a sample that is the same every time)."""
     t = trips
     if hour is not None:
         start = F.lit(hour).cast("timestamp_ntz")
@@ -457,12 +461,13 @@ def weather_at_trip(trips: DataFrame, zones: DataFrame, weather: DataFrame,
             # the lake is partitioned by pickup year/month: prune to one folder
             y, m = int(hour[0:4]), int(hour[5:7])
             t = t.where((F.col("year") == y) & (F.col("month") == m))
-    z = maybe_broadcast(zones.select("location_id", "zone_name"))
-    w = maybe_broadcast(one_per_key(weather.select("ts", "temperature_c", "precipitation_mm"), ["ts"]))
+    z = zones.select("location_id", "zone_name")
+    w = weather.select("ts", "temperature_c", "precipitation_mm")
     return (t.select("pickup_datetime", "pickup_location_id")
              .join(z, F.col("pickup_location_id") == z.location_id, "inner")
              .join(w, C.hour_start("pickup_datetime") == w.ts, "inner")
-             .select("pickup_datetime", "zone_name", "temperature_c", "precipitation_mm"))
+             .select("pickup_datetime", "zone_name", "temperature_c", "precipitation_mm")
+             .transform(lambda d: d if head is None else d.orderBy(*d.columns).limit(head)))
 
 
 # --------------------------------------------------------------- KPI row
@@ -490,8 +495,7 @@ def kpi_cards(spark: SparkSession, trips: DataFrame, weather: DataFrame) -> Data
 
 def kpi_cards_from_profile(spark: SparkSession, prof: DataFrame, weather: DataFrame) -> DataFrame:
     """``kpi_cards`` from an already materialised hourly profile."""
-    w = maybe_broadcast(one_per_key(weather.select("ts", "precipitation_mm"), ["ts"])
-                               .withColumn("has_weather", F.lit(True)))
+    w = weather.select("ts", "precipitation_mm", F.lit(True).alias("has_weather"))
     return spark.sql(f"""
         WITH prof AS (SELECT * FROM {{prof}}),
         vol AS (

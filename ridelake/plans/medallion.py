@@ -6,11 +6,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.projection import ConicConformal, rings_to_wgs84
 from ..operators import geo
+from ..schema import WEATHER_SCHEMA
 from ..sources import weather as WX
 from ..streaming.incremental import incremental_load
 from . import marts as M
@@ -78,15 +78,24 @@ def build_trips_from_tree(spark: SparkSession, bronze_root: str, paths: LakePath
 
 
 def build_weather(spark: SparkSession, bronze_weather: str, paths: LakePaths) -> bool:
-    """Weather JSON -> hourly table (full overwrite by year). No input: nothing written."""
-    try:
-        hourly = WX.read_weather_json(spark, bronze_weather)
-    except AnalysisException:
+    """Weather JSON -> hourly table (full overwrite). No document, or none with an hour:
+    nothing is written and the table stays as it is."""
+    if not WX.has_documents(spark, bronze_weather):
+        return False
+    hourly = WX.read_weather_json(spark, bronze_weather)
+    if hourly.isEmpty():
         return False
     WX.write_weather(hourly, paths.weather)
     return True
 
 
+def read_weather(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """The hourly table, or an empty one of its schema when no weather was ever loaded."""
+    if not WX.has_documents(spark, paths.weather):
+        return spark.createDataFrame([], WEATHER_SCHEMA)
+    return spark.read.parquet(paths.weather)
+
+
 def quality_report(trips: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
     """Volumes (with months and zone fill rate), top-10 pickup zones and fee
     averages by year (NULL means the fee did not exist yet)."""
@@ -111,6 +120,6 @@ def build_lake(spark: SparkSession, bronze_eras: list[str], rings: DataFrame, na
     build_weather(spark, bronze_weather, paths)
     trips = spark.read.parquet(paths.trips)
     zones = spark.read.parquet(paths.zones)
-    weather = spark.read.parquet(paths.weather)
+    weather = read_weather(spark, paths)
     write_gold(spark, trips, zones, weather, paths.gold)
     return paths

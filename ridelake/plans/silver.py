@@ -14,14 +14,13 @@ pickup month put them, and leaves every other file's rows alone.
 """
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import clean, geo
-from ..sources.lake import bronze_files, loaded_sources, pending_files, record_sources
+from ..sources.lake import (bronze_files, check_layout, file_schemas, files_or_none, loaded_files, parquet_files,
+                            pending_sources, record_files)
 
 
 SOURCE_COL = "source_month"
@@ -82,42 +81,60 @@ def read_silver(spark, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_by_schema(spark: SparkSession, root: str, files: list[str],
-                   threads: int = 8) -> list[DataFrame]:
-    """Bronze files of one tree as one DataFrame per Parquet schema.
+def read_by_schema(spark: SparkSession, root: str, files: DataFrame) -> list[DataFrame]:
+    """Bronze ``files`` (column ``path``) of one tree as one DataFrame per Parquet schema.
 
-    Each file's schema comes from its own footer (Spark's schema inference, a
-    metadata read; a few run at once from driver threads); files with the
-    same schema are read together, with ``basePath`` so that
-    ``vtype``/``year``/``month`` stay partition columns. The tree costs one
-    scan per schema era, not one job per month, and a month folder holding
-    files of two schemas is still read correctly."""
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
+    The footers are read by one distributed job; what comes to the driver is one row per
+    schema and folder (a folder stands for its files when they share a schema and
+    all are wanted, else the files are named), which the reader needs there anyway.
+    ``basePath`` keeps ``vtype``/``year``/``month`` as partition columns."""
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    found = file_schemas(files).groupBy(folder.alias("folder"), "schema").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    here = parquet_files(spark, root).groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files"))
+    rows = found.join(here, "folder").select("schema", F.when(F.size("paths") == F.col("files"), F.array("folder"))
+                                             .otherwise(F.col("paths")).alias("paths")).collect()
     groups: dict[str, list[str]] = {}
-    for path, schema in zip(files, schemas):
-        groups.setdefault(schema, []).append(path)
-    return [spark.read.option("basePath", root).parquet(*paths) for paths in groups.values()]
+    for r in rows:
+        groups.setdefault(r["schema"], []).extend(r["paths"])
+    return [spark.read.option("basePath", root).parquet(*sorted(paths)) for _, paths in sorted(groups.items())]
+
+
+def _data_files(spark: SparkSession, silver_path: str, sources: DataFrame) -> list[str]:
+    """Paths of the silver files that hold rows of ``sources`` (a handful per source)."""
+    files = files_or_none(spark, silver_path)
+    if files is None or "source_month" not in files.columns:
+        return []
+    keys = files.select("path", F.col("vtype").cast("string"), F.col(SOURCE_COL).cast("string"))
+    return [r[0] for r in keys.join(sources, ["vtype", SOURCE_COL], "left_semi").select("path").collect()]
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, False)
 
 
 def load_bronze_tree(spark: SparkSession, root: str, grid: DataFrame, silver_path: str) -> int:
     """Batch incremental silver load of a bronze tree ``<root>/vtype=/year=/month=``
-    whose monthly files have drifting schemas. Months whose source is already in
-    silver are skipped (ledger = the ``source_month`` partitions of silver and
-    a hidden ``_loaded_sources`` table beside them, which also remembers months
-    whose rows were all rejected); the files of the others are read one
-    DataFrame per schema era, built into silver in one plan and written by
-    source month. Returns the number of (type, month) sources loaded.
-    Re-running after a failure repeats only what is missing, and a month
-    written twice replaces itself."""
-    todo = pending_files(bronze_files(spark, root), loaded_sources(spark, silver_path))
-    # file names only (metadata, a few per month), needed by the reader on the driver
-    rows = todo.select("path", "vtype", "source_month").collect()
-    if not rows:
+    whose monthly files have drifting schemas.
+
+    A hidden ledger beside the table names every bronze file (path, length, time) that is
+    in it, and is written after the commit; output folders never count. A source (type, month)
+    with any file that the ledger lacks is built again from all of its files and
+    replaced as a whole: a file that arrives late, a file that was rewritten and a load that
+    stopped half way through its commit all end in the same table. All pending sources
+    are one plan, read one DataFrame per schema. Returns the number of sources loaded."""
+    check_layout(spark, silver_path)
+    files = bronze_files(spark, root)
+    sources = pending_sources(files, loaded_files(spark, silver_path)).checkpoint()
+    n = sources.count()
+    if not n:
         return 0
-    files = sorted(r["path"] for r in rows)
-    sources = sorted({(r["vtype"], r["source_month"]) for r in rows})
-    write_silver(silver_trips_by_source(read_by_schema(spark, root, files), grid), silver_path)
-    # months whose rows were all rejected leave no partition: the ledger remembers them
-    record_sources(spark, silver_path, sources)
-    return len(sources)
+    todo = files.join(sources, ["vtype", SOURCE_COL], "left_semi").checkpoint()
+    before = _data_files(spark, silver_path, sources)
+    write_silver(silver_trips_by_source(read_by_schema(spark, root, todo), grid), silver_path)
+    # pickup months in which a rebuilt source has no row any more: the write did not touch them
+    _remove(spark, sorted(set(before) & set(_data_files(spark, silver_path, sources))))
+    record_files(spark, silver_path, todo)
+    return n

@@ -12,6 +12,7 @@ from .functions.projection import rings_to_wgs84, to_easting_northing
 from .operators import clean, geo
 from .plans import marts as M
 from .plans import silver as SV
+from .plans.medallion import LakePaths, build_zones
 from .session import apply_session_conf, work_path
 from .sources import lake
 from .sources import weather as WX
@@ -116,17 +117,17 @@ def _price_per_distance(fx: Fixtures) -> DataFrame:
 
 @register("price_histogram")
 def _price_histogram(fx: Fixtures) -> DataFrame:
-    return M.price_histogram(fx.spark, fx.trips, fx.zones)
+    return M.price_histogram(fx.trips, fx.zones)
 
 
 @register("price_density")
 def _price_density(fx: Fixtures) -> DataFrame:
-    return M.price_density(M.price_histogram(fx.spark, fx.trips, fx.zones))
+    return M.price_density(M.price_histogram(fx.trips, fx.zones))
 
 
 @register("price_ridgeline")
 def _price_ridgeline(fx: Fixtures) -> DataFrame:
-    return M.price_ridgeline(M.price_histogram(fx.spark, fx.trips, fx.zones))
+    return M.price_ridgeline(M.price_histogram(fx.trips, fx.zones))
 
 
 @register("heatmap_year")
@@ -353,3 +354,113 @@ def _incremental_load(fx: Fixtures) -> DataFrame:
     incremental_load(spark, bronze, grid, silver, ckpt)
     incremental_load(spark, bronze, grid, silver, ckpt)   # a rerun finds nothing new
     return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")
+
+
+@register("bronze_tree_late_file")
+def _bronze_tree_late_file(fx: Fixtures) -> DataFrame:
+    """Files that arrive later in months already loaded: the second load rebuilds those sources."""
+    spark, root, silver = fx.spark, work_path(fx.spark, "late-tree"), work_path(fx.spark, "late-silver")
+    grid = _grid(fx).checkpoint()
+    eras = [e.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
+            for e in fx.raw_eras(keep_file_month=True)]
+    for late in (False, True):       # every row goes into one of the two deliveries
+        for era in eras:
+            part = era.where((F.pmod(F.xxhash64(*era.columns), F.lit(3)) == 0) == late)
+            part.write.mode("append").partitionBy("vtype", "year", "month").parquet(root)
+        SV.load_bronze_tree(spark, root, grid, silver)
+    return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")
+
+
+@register("incremental_schema_drift")
+def _incremental_schema_drift(fx: Fixtures) -> DataFrame:
+    """One bronze tree whose later files bring fee columns that the first ones lack."""
+    spark, root = fx.spark, work_path(fx.spark, "drift-tree")
+    silver, ckpt = work_path(spark, "drift-silver"), work_path(spark, "drift-ckpt")
+    grid = _grid(fx).checkpoint()
+    for era in fx.raw_eras(keep_file_month=True):
+        (era.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
+            .write.mode("append").partitionBy("vtype", "year", "month").parquet(root))
+        incremental_load(spark, [root], grid, silver, ckpt)
+    return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")
+
+
+@register("weather_duplicate_hours")
+def _weather_duplicate_hours(fx: Fixtures) -> DataFrame:
+    """Documents that hold each hour twice, once without measures: the full row counts."""
+    path, silver = work_path(fx.spark, "dup-weather"), work_path(fx.spark, "dup-silver")
+    empty = fx.weather.select("ts", *[F.lit(None).cast(t).alias(c) for c, t in fx.weather.dtypes if c != "ts"])
+    WX.write_weather_documents(empty.unionByName(fx.weather), path)
+    WX.write_weather(WX.read_weather_json(fx.spark, path), silver)
+    return M.price_by_weather(fx.trips, fx.spark.read.parquet(silver))
+
+
+@register("weather_overwrite")
+def _weather_overwrite(fx: Fixtures) -> DataFrame:
+    """The second write replaces the whole table, also years that it does not hold."""
+    path = work_path(fx.spark, "weather-overwrite")
+    for years in (F.year("ts") < 2022, F.year("ts") >= 2022):
+        WX.write_weather(fx.weather.where(years), path)
+    return fx.spark.read.parquet(path)
+
+
+@register("weather_head")
+def _weather_head(fx: Fixtures) -> DataFrame:
+    return WX.weather_head(fx.weather)
+
+
+@register("weather_at_hour")
+def _weather_at_hour(fx: Fixtures) -> DataFrame:
+    return M.weather_at_trip(fx.trips, fx.zones, fx.weather, hour="2021-07-15 08:00:00", head=5)
+
+
+@register("weather_at_trip_head")
+def _weather_at_trip_head(fx: Fixtures) -> DataFrame:
+    return M.weather_at_trip(fx.trips, fx.zones, fx.weather, head=5)
+
+
+@register("heatmap_one_year")
+def _heatmap_one_year(fx: Fixtures) -> DataFrame:
+    return M.heatmap_year(fx.trips, year=2021)
+
+
+@register("price_histogram_zone")
+def _price_histogram_zone(fx: Fixtures) -> DataFrame:
+    return M.price_histogram(fx.trips, fx.zones, zone_name="NATION_19")
+
+
+@register("dimension_roundtrip")
+def _dimension_roundtrip(fx: Fixtures) -> DataFrame:
+    """Zone table and grid as the lake build writes them (unpartitioned), read back."""
+    paths = LakePaths(work_path(fx.spark, "dimensions"))
+    build_zones(fx.rings(), fx.zones, paths)
+    cells = fx.spark.read.parquet(paths.grid).groupBy("location_id").agg(F.count(F.lit(1)).alias("cells"))
+    return fx.spark.read.parquet(paths.zones).join(cells, "location_id", "left")
+
+
+@register("inventory_from_listing")
+def _inventory_from_listing(fx: Fixtures) -> DataFrame:
+    path = work_path(fx.spark, "listing")
+    SV.write_silver(fx.trips, path, rebalance=True)
+    return lake.partition_inventory_at(fx.spark, path)
+
+
+@register("last_published_month")
+def _last_published_month(fx: Fixtures) -> DataFrame:
+    """Months missing up to the newest one that should be published on a given day."""
+    inv = _inventory(fx).checkpoint()
+    last = lake.last_published_month("2026-06-10")
+    return lake.missing_months(lake.month_calendar(inv, first_months=SC.VEHICLES, last_month=last), inv)
+
+
+@register("zone_centroids_nested")
+def _zone_centroids_nested(fx: Fixtures) -> DataFrame:
+    """Per supplier a square with smaller squares off its centre inside: the centre is the square's."""
+    k = F.col("s_suppkey").cast("double")
+
+    def square(ring, x, y, side):
+        p = [F.struct((x + dx * side).alias("lon"), (y + dy * side).alias("lat")) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))]
+        return F.struct((F.col("s_suppkey") * 3 + ring).cast("long").alias("ring_id"), F.array(*p).alias("pts"))
+
+    x, y = -74 + F.pmod(k, F.lit(50.0)) / 64, 40 + F.floor(k / 50) / 64
+    rings = F.array(square(0, x + 1 / 1024, y + 1 / 1024, 1 / 512), square(1, x, y, 1 / 128), square(2, x + 1 / 512, y + 1 / 512, 1 / 1024))
+    return geo.zone_centroids(fx.tables.supplier.select(F.col("s_suppkey").cast("int").alias("location_id"), F.inline(rings)), digits=6)

@@ -3,11 +3,9 @@ month calendar, missing months and coverage per vehicle type."""
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schema as S
-
 PERIOD_PATTERN = r"(\d{4})-(\d{2})\.parquet$"
 
 
@@ -25,11 +23,6 @@ def partition_inventory_at(spark: SparkSession, root: str) -> DataFrame:
             .select("vtype", F.col("year").cast("int"), F.col("month").cast("int")).distinct())
 
 
-def file_inventory(df: DataFrame) -> DataFrame:
-    """Distinct source files of a file-based DataFrame, from the hidden metadata column."""
-    return df.select(F.col("_metadata.file_path").alias("file_path")).distinct()
-
-
 def parse_file_period(files: DataFrame, name_col: str = "file_name") -> DataFrame:
     """(vtype, year, month) from names ending in ``YYYY-MM.parquet``; other names
     are skipped; the plan is set-deduplicated."""
@@ -46,15 +39,16 @@ def month_calendar(inventory: DataFrame, first_months: dict[str, str] | None = N
     else the first month present) to the last month (given, else the latest
     month present in the whole inventory), one row per month."""
     inv = inventory.withColumn("m", F.make_date("year", "month", F.lit(1)))
-    firsts = inv.groupBy("vtype").agg(F.min("m").alias("first"), F.max("m").alias("last_own"))
+    firsts = inv.groupBy("vtype").agg(F.min("m").alias("first"))
     if first_months:
         pairs = F.create_map(*[x for k, v in first_months.items() for x in (F.lit(k), F.lit(v + "-01"))])
         firsts = firsts.withColumn("first", F.coalesce(F.to_date(pairs[F.col("vtype")]), F.col("first")))
     if last_month:
         last = F.to_date(F.lit(last_month + "-01"))
     else:
-        last = F.max("last_own").over(Window.partitionBy(F.lit(0)))  # one row per vtype
-    cal = firsts.withColumn("last", last).select(
+        # the newest month of any type, a scalar of the small inventory
+        last = inv.agg(F.max("m")).scalar()
+    cal = firsts.select("vtype", "first", last.alias("last")).select(
         "vtype", F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MONTH"))).alias("m"))
     return cal.select("vtype", F.year("m").alias("year"), F.month("m").alias("month"))
 
@@ -72,69 +66,92 @@ def coverage_summary(inventory: DataFrame) -> DataFrame:
                           F.min(ym).alias("first_month"), F.max(ym).alias("last_month")))
 
 
-def published_first_months() -> dict[str, str]:
-    return dict(S.VEHICLES)
-
-
 def parquet_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per Parquet file under a partitioned ``root`` (path plus the
-    partition columns). Listed by the binary-file source with the content
+    """One row per Parquet file under a partitioned ``root``: path, length, modificationTime
+    and the partition columns. Listed by the binary-file source with the content
     column pruned: no file is opened, so files of unlike schemas never meet."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                 .load(root).drop("content", "length", "modificationTime"))
+                 .load(root).drop("content"))
 
 
 def bronze_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files of a bronze tree ``<root>/vtype=/year=/month=/*.parquet``:
-    ``path, vtype, year, month, source_month`` ('yyyy-MM' of the file's month)."""
+    """Files of a bronze tree ``<root>/vtype=/year=/month=/*.parquet``: ``path, length,
+    modificationTime, vtype, year, month, source_month`` ('yyyy-MM' of the file's month)."""
     y, m = F.col("year").cast("int"), F.col("month").cast("int")
     return parquet_files(spark, root).select(
-        "path", "vtype", y.alias("year"), m.alias("month"),
+        "path", "length", "modificationTime", "vtype", y.alias("year"), m.alias("month"),
         F.format_string("%04d-%02d", y, m).alias("source_month"))
 
 
-LEDGER_DIR = "_loaded_sources"     # hidden from readers of the table (leading underscore)
+LEDGER_DIR = "_loaded_files"     # hidden from readers of the table (leading underscore)
+FILE_KEY = ["path", "length", "modificationTime"]
+LEDGER_SCHEMA = "path string, length long, modificationTime timestamp, vtype string, source_month string"
 
 
-def _listing_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def files_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """``parquet_files`` of ``path``, None when the path does not exist."""
     try:
         return parquet_files(spark, path)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
-def loaded_sources(spark: SparkSession, silver_path: str) -> DataFrame:
-    """(vtype, source_month) already loaded into a replace-by-source silver table:
-    the sources in its ledger (also those that left no row after cleaning) and
-    those present as partitions. Empty when the table does not exist yet."""
-    schema = "vtype string, source_month string"
-    empty = spark.createDataFrame([], schema)
-    files = _listing_or_none(spark, silver_path)
-    if files is None:
-        return empty
-    if "source_month" in files.columns:
-        present = files.select("vtype", F.col("source_month").cast("string"))
-    elif files.limit(1).count() == 0:
-        present = empty          # only the ledger so far: every row was rejected
-    else:
+def check_layout(spark: SparkSession, silver_path: str) -> None:
+    """Refuse a table that is not partitioned by ``source_month``: its rows can't be replaced by source."""
+    files = files_or_none(spark, silver_path)
+    if files is not None and "source_month" not in files.columns and not files.isEmpty():
         raise ValueError(f"{silver_path} is not partitioned by source_month; "
                          "load a bronze tree into a table of its own layout")
+
+
+def loaded_files(spark: SparkSession, silver_path: str) -> DataFrame:
+    """The table's ledger: every bronze file (path, length, modification time) whose source
+    was committed. Output folders never count: a commit may stop half way."""
     ledger = f"{silver_path.rstrip('/')}/{LEDGER_DIR}"
-    if _listing_or_none(spark, ledger) is not None:
-        present = present.unionByName(spark.read.schema(schema).parquet(ledger))
-    return present.distinct()
+    if files_or_none(spark, ledger) is None:
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
 
 
-def record_sources(spark: SparkSession, silver_path: str, sources: list[tuple[str, str]]) -> None:
-    """Append loaded (vtype, source_month) pairs to the table's ledger. Written
-    after the silver write: a failure in between only means those months are
-    loaded again, and their replace-by-source write replaces itself."""
-    (spark.createDataFrame(sources, "vtype string, source_month string").coalesce(1)
+def record_files(spark: SparkSession, silver_path: str, files: DataFrame) -> None:
+    """Append files to the ledger, after the commit of their rows: a failure before that
+    only means that their sources are built and replaced again."""
+    (files.select(*LEDGER_SCHEMA.replace(",", "").split()[::2]).coalesce(1)
           .write.mode("append").parquet(f"{silver_path.rstrip('/')}/{LEDGER_DIR}"))
 
 
-def pending_files(files: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Bronze files of the months whose rows are not in silver yet (anti join on the source)."""
-    return files.join(loaded, ["vtype", "source_month"], "left_anti")
+def pending_sources(files: DataFrame, loaded: DataFrame) -> DataFrame:
+    """(vtype, source_month) with at least one file that the ledger does not hold as it is now
+    (a new file, or one of another length or time)."""
+    return files.join(loaded.select(*FILE_KEY), FILE_KEY, "left_anti").select("vtype", "source_month").distinct()
+
+
+def file_schemas(files: DataFrame) -> DataFrame:
+    """``path, schema`` of each file: one job that reads the footers on the executors,
+    however many files there are. The schema text names columns and types in order."""
+    def footers(batches):      # self-contained: the executors need not have this library
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            texts = []
+            for p in paths:
+                fs, local = (pafs.LocalFileSystem(), "/" + p[5:].lstrip("/")) if p.startswith("file:") else pafs.FileSystem.from_uri(p)
+                schema = pq.read_schema(local, filesystem=fs)
+                texts.append("; ".join(f"{f.name} {f.type}" for f in schema))
+            yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(texts, pa.string())], ["path", "schema"])
+    return files.select("path").mapInArrow(footers, "path string, schema string")
+
+
+LAG_MONTHS = 2      # fixed value: the announced publication delay
+
+
+def last_published_month(today: str, lag: int = LAG_MONTHS) -> str:
+    """'yyyy-MM' of the newest month that should be there on ``today`` ('yyyy-MM-dd'): a month
+    appears ``lag`` months after its end, so ``lag`` whole months lie between it and today's."""
+    year, month = int(today[:4]), int(today[5:7])
+    at = year * 12 + (month - 1) - lag - 1
+    return f"{at // 12:04d}-{at % 12 + 1:02d}"

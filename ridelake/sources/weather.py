@@ -1,6 +1,7 @@
 """Weather: raw yearly JSON documents (parallel hourly arrays) -> hourly rows."""
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +13,8 @@ from ..operators.clean import one_per_key
 def explode_hourly(raw: DataFrame) -> DataFrame:
     """One row per hour from ``hourly{time[], <measure>[]...}``; index-aligned
     (``arrays_zip``), missing values stay NULL, measures renamed and typed.
-    Duplicate hours are reduced to one row (deterministically) so a later
-    join cannot multiply trips."""
+    Duplicate hours are reduced here, once, to the row with the most measures (ties: the
+    smallest values), so a later join cannot multiply trips and all marts see one row."""
     h = F.col("hourly")
     zipped = F.arrays_zip(*[h[v].alias(v) for v in ["time"] + S.WEATHER_VARS])
     rows = raw.select(F.inline(zipped))
@@ -49,13 +50,29 @@ def weather_documents(hourly: DataFrame) -> DataFrame:
 
 def write_weather_documents(hourly: DataFrame, path: str) -> None:
     """Bronze layout ``year=YYYY/part-*.txt``: one JSON document per year."""
-    weather_documents(hourly).write.mode("overwrite").partitionBy("year").text(path)
+    (weather_documents(hourly).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("year").text(path))
 
 
 def write_weather(hourly: DataFrame, path: str) -> None:
-    """Silver weather: full overwrite, partitioned by year."""
+    """Silver weather: full overwrite (whatever the session's overwrite mode), partitioned by year."""
     (hourly.withColumn("year", F.year("ts"))
-           .write.mode("overwrite").partitionBy("year").parquet(path))
+           .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year").parquet(path))
+
+
+def weather_head(hourly: DataFrame, n: int = 3) -> DataFrame:
+    """The first ``n`` hours, in order of time (a sorted head)."""
+    return hourly.orderBy("ts").limit(n)
+
+
+def has_documents(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists and holds any file."""
+    try:
+        return not spark.read.format("binaryFile").load(path).select("path").isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
 
 
 def years_needed(trip_years: DataFrame, weather_years: DataFrame) -> DataFrame:

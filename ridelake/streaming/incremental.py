@@ -1,9 +1,11 @@
 """Incremental, idempotent silver load with Structured Streaming.
 
-The bronze lake is one folder of monthly Parquet files per schema era. Each
-era is a Parquet file-source stream (the checkpoint is the ledger of files
-already seen), run with ``trigger(availableNow=True)`` so one call processes
-exactly the files that arrived since the last call and then stops.
+The bronze lake is one or more trees of monthly Parquet files. The stream reads
+file names only (the checkpoint is the ledger of files already seen), run with
+``trigger(availableNow=True)`` so one call processes exactly the files that
+arrived since the last call and then stops. Each micro-batch reads its files
+grouped by their own schema, so a column that first appears in a later file,
+or changes its type, is read as that file has it.
 
 ``foreachBatch`` may replay a batch after a failure; every batch therefore
 writes into its own ``ingest_batch=<era>-<id>`` partitions with dynamic
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.silver import silver_trips
+from ..plans.silver import read_by_schema, silver_trips
 
 
 def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts",
@@ -32,7 +34,8 @@ def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts"
         path = f"{root.rstrip('/')}/era{i}"
         (f.withColumns({"year": F.year(month_col), "month": F.month(month_col)})
           .drop(month_col)
-          .write.mode(mode).partitionBy("vtype", "year", "month").parquet(path))
+          .write.mode(mode).option("partitionOverwriteMode", "static")
+          .partitionBy("vtype", "year", "month").parquet(path))
         paths.append(path)
     return paths
 
@@ -40,15 +43,17 @@ def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts"
 def start_era_stream(spark: SparkSession, bronze_path: str, grid: DataFrame, silver_path: str,
                      checkpoint: str, era_name: str, max_files_per_trigger: int | None = None):
     """Start the stream of one era; returns (query, list of processed batch ids)."""
-    schema = spark.read.parquet(bronze_path).schema
-    reader = spark.readStream.schema(schema)
+    # names only: the content column is never selected, so no file is opened by the stream
+    reader = (spark.readStream.format("binaryFile").option("pathGlobFilter", "*.parquet")
+              .schema("path string, modificationTime timestamp, length long, content binary"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(bronze_path)
+    stream = reader.load(bronze_path).select("path")
     batches: list[int] = []
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        out = (silver_trips([batch.drop("year", "month")], grid)
+        frames = [f.drop("year", "month") for f in read_by_schema(batch.sparkSession, bronze_path, batch)]
+        out = (silver_trips(frames, grid)
                .withColumn("ingest_batch", F.lit(f"{era_name}-{batch_id:06d}")))
         # dynamic overwrite of this batch's own partitions: a replay replaces, never appends
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -182,4 +182,4 @@ def test_one_per_key_keeps_the_same_row_whatever_the_order(spark):
     for order in (rows, rows[::-1], rows[2:] + rows[:2]):
         df = spark.createDataFrame(order, schema).repartition(3)
         outs.append(sorted(tuple(r) for r in one_per_key(df, ["ts"]).collect()))
-    assert outs[0] == outs[1] == outs[2] == [(1, 0.2, 1.0), (2, None, 7.0)]
+    assert outs[0] == outs[1] == outs[2] == [(1, 0.2, 1.0), (2, 0.1, 2.0)]

@@ -1,4 +1,5 @@
 """Rasterising, centroids and point lookup on hand-made rings."""
+import contextlib
 import math
 
 from pyspark.sql import functions as F
@@ -7,6 +8,20 @@ from ridelake import schema as S
 from ridelake.operators import geo
 
 
+@contextlib.contextmanager
+def without_broadcast(spark):
+    """Joins take the shuffle path."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, "-1")
+        yield
+    finally:
+        for n, v in old.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
 def rings_df(spark, rings):
     rows = [(rid, loc, [(x, y) for x, y in pts]) for rid, loc, pts in rings]
     return spark.createDataFrame(rows, S.RING_SCHEMA)
@@ -73,7 +88,8 @@ def test_geocode_shuffle_path_equals_broadcast_path(spark):
     grid = geo.zone_grid(rings_df(spark, [(1, 10, square(-74.0005, 40.6005, 0.01))]))
     pts = _points(spark)
     a = sorted(map(tuple, geo.geocode(pts, grid).collect()), key=repr)
-    b = sorted(map(tuple, geo.geocode(pts, grid, max_broadcast_rows=0).collect()), key=repr)
+    with without_broadcast(spark):
+        b = sorted(map(tuple, geo.geocode(pts, grid).collect()), key=repr)
     assert a == b
 
 
@@ -137,9 +153,13 @@ def test_geocode_with_a_hot_cell_and_many_missing_points(spark):
     pts = spark.createDataFrame(rows, "pickup_longitude double, pickup_latitude double, "
                                       "dropoff_longitude double, dropoff_latitude double, "
                                       "pub_pickup_zone int, pub_dropoff_zone int")
-    a = geo.geocode(pts, grid).groupBy("pickup_location_id", "dropoff_location_id").count()
-    b = geo.geocode(pts, grid, max_broadcast_rows=0).groupBy("pickup_location_id", "dropoff_location_id").count()
-    ra, rb = sorted(map(tuple, a.collect()), key=repr), sorted(map(tuple, b.collect()), key=repr)
+    def counts():
+        found = geo.geocode(pts, grid).groupBy("pickup_location_id", "dropoff_location_id").count()
+        return sorted(map(tuple, found.collect()), key=repr)
+
+    ra = counts()
+    with without_broadcast(spark):
+        rb = counts()
     assert ra == rb
     assert sum(r[2] for r in ra) == 3000
     assert dict(((r[0], r[1]), r[2]) for r in ra)[(10, 5)] == 1000
@@ -190,3 +210,17 @@ def test_state_plane_rings_come_back_to_degrees(spark):
     # cells whose centre lies on an edge may flip under a 1e-11 degree change; nothing else
     differ = got.exceptAll(want).count() + want.exceptAll(got).count()
     assert differ <= 0.01 * want.count()
+
+
+def _square(x, y, side):
+    return [(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]
+
+
+def test_centroid_is_of_the_union_of_nested_and_repeated_rings(spark):
+    rings = [(1, 5, _square(0.0, 0.0, 10.0)), (2, 5, _square(6.0, 6.0, 2.0)), (3, 5, _square(0.0, 0.0, 10.0)),
+             (4, 6, _square(0.0, 0.0, 2.0)), (5, 6, _square(8.0, 0.0, 2.0)), (6, 7, [(1.0, 1.0), (2.0, 2.0), (3.0, 3.0), (1.0, 1.0)]),
+             (7, 8, _square(6.0, 6.0, 2.0))]
+    got = {r["location_id"]: (r["center_lon"], r["center_lat"])
+           for r in geo.zone_centroids(spark.createDataFrame(rings, S.RING_SCHEMA)).collect()}
+    # an inner ring of the same zone adds nothing, one of another zone hides nothing; no area: no centre
+    assert got == {5: (5.0, 5.0), 6: (5.0, 1.0), 7: (None, None), 8: (7.0, 7.0)}

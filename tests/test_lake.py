@@ -54,3 +54,10 @@ def test_inventory_from_the_file_listing_equals_the_scan(spark):
     scanned = lake.partition_inventory(spark.read.parquet(path))
     assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, scanned.collect()))
     assert listed.schema == scanned.schema
+
+
+def test_last_published_month():
+    from ridelake.sources.lake import last_published_month
+    assert [last_published_month(d) for d in ("2026-06-10", "2026-03-01", "2026-02-28", "2026-01-31")] == \
+        ["2026-03", "2025-12", "2025-11", "2025-10"]
+    assert last_published_month("2026-06-10", lag=0) == "2026-05"

@@ -53,13 +53,13 @@ def test_gold_marts_from_shared_aggregates_equal_direct_queries(spark):
         "fee_series": M.fee_series(trips),
         "flow_nodes": M.flow_nodes(M.zone_flows(trips, zones)),
         "flow_ribbons": M.flow_ribbons(M.zone_flows(trips, zones)),
-        "price_ridgeline": M.price_ridgeline(M.price_histogram(spark, trips, zones)),
+        "price_ridgeline": M.price_ridgeline(M.price_histogram(trips, zones)),
         "price_by_weather": M.price_by_weather(trips, weather),
         "heatmap": M.heatmap_dense(M.heatmap_year(trips)),
         "top_zones": M.top_zones(trips, zones),
         "zone_flows": M.zone_flows(trips, zones),
         "flow_matrix": M.flow_matrix(M.zone_flows(trips, zones)),
-        "price_histogram": M.price_histogram(spark, trips, zones),
+        "price_histogram": M.price_histogram(trips, zones),
         "kpi_cards": M.kpi_cards(spark, trips, weather),
     }
     for name, want in direct.items():
@@ -109,3 +109,36 @@ def test_build_lake_from_a_tree_and_state_plane_rings(spark):
     assert "source_month" in trips.columns
     kpi = spark.read.parquet(f"{paths.gold}/kpi_cards").first()
     assert kpi["total_courses"] == trips.count() > 0
+
+
+def test_weather_table_is_replaced_and_never_wiped_by_no_input(spark):
+    from pyspark.sql import functions as F
+    fx = Fixtures(spark, SF)
+    paths, bronze, empty = LakePaths(work_path(spark, "w-lake")), work_path(spark, "w-bronze"), work_path(spark, "w-empty")
+    for years in (F.year("ts") < 2021, F.year("ts") >= 2021):
+        WX.write_weather_documents(fx.weather.where(years), bronze)
+        assert build_weather(spark, bronze, paths) is True
+    want = fx.weather.where(F.year("ts") >= 2021).count()
+    assert spark.read.parquet(paths.weather).count() == want
+    spark.createDataFrame([], "value string").write.text(empty)      # a folder without a document
+    assert build_weather(spark, empty, paths) is False
+    assert spark.read.parquet(paths.weather).count() == want
+
+
+def test_duplicate_hours_keep_the_row_with_measures(spark):
+    from datetime import datetime
+    from ridelake.schema import WEATHER_SCHEMA
+    at = datetime(2021, 1, 1, 5)
+    rows = [(at, None, None, None, None, None, None, None), (at, 1.0, 2.0, 5.0, 5.0, 0.0, 3.0, 4), (at, 0.5, None, 0.0, None, None, None, None)]
+    path = work_path(spark, "dup-hours")
+    WX.write_weather_documents(spark.createDataFrame(rows, WEATHER_SCHEMA), path)
+    got = WX.read_weather_json(spark, path).collect()
+    assert len(got) == 1 and (got[0]["precipitation_mm"], got[0]["code_meteo"]) == (5.0, 4)
+
+
+def test_lake_builds_without_weather(spark):
+    fx = Fixtures(spark, SF)
+    bronze = write_bronze(fx.raw_eras(keep_file_month=True), work_path(spark, "nw-bronze"))
+    paths = build_lake(spark, bronze, fx.rings(), fx.zones, work_path(spark, "nw-none"), work_path(spark, "nw-lake"))
+    assert spark.read.parquet(f"{paths.gold}/price_by_weather").count() == 0
+    assert spark.read.parquet(f"{paths.gold}/kpi_cards").first()["delta_pluie"] == 0.0

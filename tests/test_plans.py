@@ -1,6 +1,7 @@
 """Physical-plan properties that matter at scale: pushdown, pruning, broadcast, no Python."""
 import contextlib
 import io
+import uuid
 
 import pytest
 
@@ -30,12 +31,14 @@ def lake(spark):
     return {n: spark.read.parquet(p) for n, p in paths.items()}
 
 
-def test_scope_and_zone_id_reach_the_scan(spark, lake):
-    p = plan(M.price_histogram(spark, lake["trips"], lake["zones"]))
-    assert "GreaterThan(fare_amount,2.5)" in p
-    assert "EqualTo(pickup_location_id,ScalarSubquery" in p
-    assert "ReadSchema: struct<pickup_datetime:timestamp_ntz,trip_distance:double," \
-           "pickup_location_id:int,fare_amount:double>" in p
+def test_price_histogram_scans_the_trips_once(spark, lake):
+    for kw in ({}, {"location_id": 3}, {"zone_name": "NATION_19"}):
+        p = plan(M.price_histogram(lake["trips"], lake["zones"], **kw))
+        scans = [line for line in p.splitlines() if line.startswith("ReadSchema:")]
+        assert len(scans) == 2          # trips and zones
+        assert "ReadSchema: struct<pickup_datetime:timestamp_ntz,trip_distance:double," \
+               "pickup_location_id:int,fare_amount:double>" in scans
+        assert "partial_count" in p and "Subqueries" not in p
 
 
 def test_weather_is_broadcast_after_hourly_preaggregation(lake):
@@ -78,6 +81,8 @@ def test_silver_plan_has_no_python_and_no_shuffle(spark):
     p = plan(SV.silver_trips(raw, spark.read.parquet(grid_path)))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     # the only exchanges are the broadcasts of the grid
+    # (the grid's bounding box is a one-row subquery beside the plan)
+    p = p.split("===== Subqueries =====")[0]
     exchanges = [line for line in p.splitlines() if "Exchange" in line and "(" in line and "+-" in line]
     assert exchanges and all("BroadcastExchange" in e for e in exchanges)
 
@@ -102,17 +107,46 @@ def test_grid_broadcast_is_built_once(spark):
     assert "ReusedExchange" in p
 
 
-def test_broadcast_bound_counts_bytes_as_well_as_rows(spark):
-    from ridelake.operators.joins import row_width, small_enough
-    narrow = spark.range(100).selectExpr("CAST(id AS INT) AS a", "CAST(id AS INT) AS b")
-    wide = spark.range(100).selectExpr("id", "CAST(id AS STRING) AS name", "array(id) AS xs")
-    assert row_width(narrow.schema) == 32 + 4 + 4
-    assert row_width(wide.schema) == 32 + 8 + 64 + 256
-    assert small_enough(narrow, max_rows=1000)
-    assert not small_enough(narrow, max_rows=99)
-    # 100 rows fit the row bound but not a byte budget of 99 wide rows
-    assert not small_enough(wide, max_rows=1000, max_bytes=99 * row_width(wide.schema))
-    assert small_enough(wide, max_rows=1000, max_bytes=100 * row_width(wide.schema))
+def jobs_of(spark, build):
+    """Number of Spark jobs that ``build`` starts."""
+    group = f"jobs-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, "test")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_a_query_runs_no_job(spark, lake):
+    fx = Fixtures(spark, SF)
+    grid = spark.createDataFrame([(0, 0, 1)], "lon_key int, lat_key int, location_id int")
+    eras = fx.raw_eras()
+    for build in (lambda: SV.silver_trips(eras, grid), lambda: M.top_zones(lake["trips"], lake["zones"]),
+                  lambda: M.price_by_weather(lake["trips"], lake["weather"]), lambda: M.price_histogram(lake["trips"], lake["zones"]),
+                  lambda: M.price_ridgeline(M.price_histogram(lake["trips"], lake["zones"])),
+                  lambda: M.weather_at_trip(lake["trips"], lake["zones"], lake["weather"]), lambda: M.zone_flows(lake["trips"], lake["zones"])):
+        assert jobs_of(spark, build) == 0
+    assert jobs_of(spark, lambda: lake["trips"].count()) > 0
+
+
+def test_rasteriser_shuffles_crossings_not_rings(spark):
+    fx = Fixtures(spark, SF)
+    p = plan(geo.scanline_cells(spark.createDataFrame(fx.rings().limit(3).collect(), fx.rings().schema)))
+    for block in p.split("\n\n"):
+        if "Exchange" in block.split("\n")[0]:
+            assert "pts" not in block
+
+
+def test_junk_points_get_salted_keys(spark):
+    grid = spark.createDataFrame([(-73995, 40605, 42)], "lon_key int, lat_key int, location_id int")
+    pts = [(0.0, 0.0)] * 50 + [(None, None)] * 50 + [(-73.995, 40.605)] * 5
+    df = spark.createDataFrame([(i, *p, *p, 7, None) for i, p in enumerate(pts)],
+                               "i int, pickup_longitude double, pickup_latitude double, dropoff_longitude double, "
+                               "dropoff_latitude double, pub_pickup_zone int, pub_dropoff_zone int")
+    out = geo.geocode(df, grid)
+    got = [(r["pickup_location_id"], r["dropoff_location_id"]) for r in out.orderBy("i").collect()]
+    assert got == [(7, None)] * 100 + [(42, 42)] * 5
 
 
 def test_quality_filter_runs_below_the_grid_lookups(spark):

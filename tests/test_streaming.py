@@ -109,8 +109,7 @@ def test_bronze_tree_of_unlike_schemas_loads_pending_months_only(spark):
     write("yellow", 2009, 2, [("2009-02-03 09:00:00", "2009-02-03 09:10:00", "x", -73.995, 40.605, 5.0, 6.0)], old)
     write("yellow", 2015, 1, [(datetime(2015, 1, 2, 7), datetime(2015, 1, 2, 7, 20), 3, -73.995, 40.605, 11.0, 12.0)],
           new)
-    files = [r.path for r in parquet_files(spark, root).select("path").collect()]
-    assert len(read_by_schema(spark, root, files)) == 2            # two schema eras
+    assert len(read_by_schema(spark, root, parquet_files(spark, root))) == 2            # two schema eras
 
     assert load_bronze_tree(spark, root, g, silver) == 3
     assert load_bronze_tree(spark, root, g, silver) == 0           # nothing new
@@ -128,14 +127,15 @@ def test_bronze_tree_of_unlike_schemas_loads_pending_months_only(spark):
 
 def test_tree_load_refuses_a_table_of_another_layout(spark):
     import pytest
-    from ridelake.sources.lake import loaded_sources
+    from ridelake.sources.lake import check_layout, loaded_files
     missing = work_path(spark, "no-such-table")
-    assert loaded_sources(spark, missing).count() == 0
+    check_layout(spark, missing)
+    assert loaded_files(spark, missing).count() == 0
     other = work_path(spark, "flat-table")
     spark.createDataFrame([("yellow", 2021, 1, 1.0)], "vtype string, year int, month int, x double") \
         .write.partitionBy("vtype", "year", "month").parquet(other)
     with pytest.raises(ValueError):
-        loaded_sources(spark, other)
+        check_layout(spark, other)
 
 
 def test_tree_month_with_every_row_rejected_is_loaded_once(spark):
@@ -174,3 +174,86 @@ def test_tree_arrival_order_does_not_matter(spark):
         tables.append(read_sorted(spark, silver))
     assert tables[0] == tables[1] == tables[2]
     assert len(tables[0]) == 12 and sum(1 for r in tables[0] if r[4] == 4) == 1
+
+
+def put(spark, root, month, days, part="a", hour=8, fee=None, stray=0):
+    """One file of a month with a ride per day (and one per stray in the next month); ``fee`` adds a column."""
+    rows = [(datetime(2021, month, d, hour), datetime(2021, month, d, hour, 30), -73.995, 40.605, 5.0, float(d)) for d in days]
+    rows += [(datetime(2021, month + 1, d + 1, hour), datetime(2021, month + 1, d + 1, hour, 30), -73.995, 40.605, 5.0, 50.0 + d) for d in range(stray)]
+    df = spark.createDataFrame(rows, "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+                                     "pickup_longitude double, pickup_latitude double, fare_amount double, total_amount double")
+    if fee is not None:
+        from pyspark.sql import functions as F
+        df = df.withColumn("congestion_surcharge", F.lit(fee))
+    df.coalesce(1).write.mode("append").parquet(f"{root}/vtype=yellow/year=2021/month={month:02d}")
+
+
+def totals(spark, path):
+    return sorted((r["month"], r["total_amount"]) for r in spark.read.parquet(path).collect())
+
+
+def test_tree_file_arriving_late_in_a_loaded_month(spark):
+    from ridelake.plans.silver import load_bronze_tree
+    g = grid(spark).checkpoint()
+    root, silver = work_path(spark, "late-bronze"), work_path(spark, "late-silver")
+    put(spark, root, 1, [1], stray=1)
+    assert load_bronze_tree(spark, root, g, silver) == 1
+    put(spark, root, 1, [2, 3])
+    put(spark, root, 2, [9])
+    assert load_bronze_tree(spark, root, g, silver) == 2
+    assert load_bronze_tree(spark, root, g, silver) == 0
+    assert totals(spark, silver) == [(1, 1.0), (1, 2.0), (1, 3.0), (2, 9.0), (2, 50.0)]
+
+
+def test_tree_commit_that_stopped_half_way_is_done_again(spark):
+    from pyspark.sql import functions as F
+    from ridelake.plans.silver import load_bronze_tree
+    g = grid(spark).checkpoint()
+    root, silver, whole = (work_path(spark, n) for n in ("half-bronze", "half-silver", "half-whole"))
+    put(spark, root, 1, [1, 2], stray=1)
+    assert load_bronze_tree(spark, root, g, whole) == 1
+    # only the January folder of the source was moved into place, and no ledger was written
+    (spark.read.parquet(whole).where(F.col("month") == 1).write.partitionBy("vtype", "year", "month", "source_month").parquet(silver))
+    assert load_bronze_tree(spark, root, g, silver) == 1
+    assert totals(spark, silver) == totals(spark, whole) == [(1, 1.0), (1, 2.0), (2, 50.0)]
+
+
+def test_tree_file_that_is_rewritten_leaves_no_stale_month(spark):
+    from ridelake.plans.silver import load_bronze_tree
+    g = grid(spark).checkpoint()
+    root, silver = work_path(spark, "rw-bronze"), work_path(spark, "rw-silver")
+    put(spark, root, 1, [1], stray=2)
+    put(spark, root, 2, [4])
+    assert load_bronze_tree(spark, root, g, silver) == 2
+    spark.createDataFrame([(datetime(2021, 1, 7, 8), datetime(2021, 1, 7, 9), -73.995, 40.605, 5.0, 7.0)],
+                          "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, pickup_longitude double, "
+                          "pickup_latitude double, fare_amount double, total_amount double") \
+        .write.mode("overwrite").parquet(f"{root}/vtype=yellow/year=2021/month=01")
+    assert load_bronze_tree(spark, root, g, silver) == 1
+    assert totals(spark, silver) == [(1, 7.0), (2, 4.0)]
+
+
+def test_number_of_jobs_does_not_grow_with_the_files(spark):
+    from ridelake.plans.silver import read_by_schema
+    from ridelake.sources.lake import parquet_files
+    from test_plans import jobs_of
+    few, many = work_path(spark, "few"), work_path(spark, "many")
+    put(spark, few, 1, [1])
+    put(spark, few, 2, [1], fee=1.0)
+    for m in range(1, 7):
+        for d in (1, 2):
+            put(spark, many, m, [d], fee=1.0 if m > 3 else None)
+    n = [jobs_of(spark, lambda r=r: read_by_schema(spark, r, parquet_files(spark, r))) for r in (few, many)]
+    assert n[1] <= n[0]
+
+
+def test_stream_reads_each_file_by_its_own_schema(spark):
+    g = grid(spark).checkpoint()
+    root, silver, ckpt = (work_path(spark, n) for n in ("drift-bronze", "drift-silver", "drift-ckpt"))
+    put(spark, root, 1, [1])
+    put(spark, root, 2, [2], fee=2.5)
+    assert incremental_load(spark, [root], g, silver, ckpt) == 1
+    put(spark, root, 1, [3], fee=1.5)
+    assert incremental_load(spark, [root], g, silver, ckpt) == 1
+    got = sorted((r["total_amount"], r["congestion_surcharge"]) for r in spark.read.parquet(silver).collect())
+    assert got == [(1.0, None), (2.0, 2.5), (3.0, 1.5)]
