@@ -84,6 +84,18 @@ def with_shard(rows: DataFrame, sizes: DataFrame, id_col: str, n_shards: int) ->
     return out.withColumn("shard", F.coalesce(*names, F.lit(0))).drop(*names)
 
 
+def one_task_each(rows: DataFrame, n_shards: int) -> DataFrame:
+    """``rows`` repartitioned so that every shard has a task of its own: shards go by a
+    number whose hash falls on the shard, instead of by their own number's hash,
+    which would put several into one task and leave others without."""
+    spark = rows.sparkSession
+    falls = F.pmod(F.hash("id"), F.lit(n_shards))
+    numbers = spark.range(32 * n_shards).groupBy(falls.alias("shard")).agg(F.min("id").alias("task"))
+    # one row per shard
+    return (rows.join(F.broadcast(numbers), "shard", "left").withColumn("task", F.coalesce("task", F.col("shard").cast("long")))
+            .repartition(n_shards, "task"))
+
+
 def _local(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a Hadoop-style URI."""
     if path.startswith("file:"):
@@ -169,7 +181,8 @@ def write_warc(pages: DataFrame, path: str, n_shards: int | None = None, roll_by
     everything = rows.select("id", F.sha1("payload").alias("digest"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("first"), "url", "payload")
     everything = marks.select("id", "digest", F.lit(0).alias("kind"), "first", F.lit(None).cast("string").alias("url"),
                               F.lit(None).cast("binary").alias("payload")).unionByName(everything)
-    placed = with_shard(everything, sizes, "id", n_shards).repartition(n_shards, "shard").sortWithinPartitions("shard", "id", "digest", "kind", "url")
+    placed = one_task_each(with_shard(everything, sizes, "id", n_shards), n_shards)
+    placed = placed.sortWithinPartitions("shard", "id", "digest", "kind", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file: _File | None = None

@@ -87,3 +87,10 @@ def test_records_are_standard(pages):
     for name in ("WARC-Type: response", "WARC-Record-ID: <urn:uuid:", "WARC-Date: ", "WARC-Target-URI: http://x.org/", "WARC-Payload-Digest: sha1:", "WARC-Block-Digest: sha1:", "Content-Length: "):
         assert name in head
     assert data[4:8] == b"\0\0\0\0"      # no time stamp
+
+
+@pytest.mark.parametrize("n", [1, 2, 14, 51])
+def test_every_shard_has_a_task_of_its_own(spark, n):
+    df = spark.range(n * 10).withColumn("shard", (F.col("id") % n).cast("int"))
+    parts = W.one_task_each(df, n).select("shard", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len(parts) == len({r["p"] for r in parts}) == n
