@@ -13,11 +13,6 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def try_cast(c: str | Column, type_name: str) -> Column:
-    """ANSI-safe cast: an unparsable value becomes NULL instead of failing the job."""
-    return col_of(c).try_cast(type_name)
-
-
 def money(c: str | Column) -> Column:
     """To double, NaN -> NULL."""
     x = col_of(c).try_cast("double")
@@ -107,10 +102,6 @@ def year_month(ts: str | Column) -> Column:
     return F.format_string("%04d-%02d", F.year(t), F.month(t))
 
 
-def year_text(ts: str | Column) -> Column:
-    return F.format_string("%04d", F.year(col_of(ts)))
-
-
 def iso_minute(ts: str | Column) -> Column:
     """'yyyy-MM-ddTHH:mm' of a naive timestamp, from its fields."""
     t = col_of(ts)

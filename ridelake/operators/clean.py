@@ -55,7 +55,7 @@ def clean_values(df: DataFrame) -> DataFrame:
     sentinel drop-off, fee applicability."""
     out = {
         "trip_distance": C.in_range("trip_distance", 0.0, S.MAX_DISTANCE),
-        "rate_code_id": F.col("rate_code_id").try_cast("int"),
+        "rate_code_id": C.rate_code("rate_code_id"),
         "store_and_fwd_flag": C.normalize_flag("store_and_fwd_raw"),
         "payment_type": C.normalize_category("payment_type_raw"),
         "dropoff_datetime": C.sentinel_to_null("dropoff_datetime"),

@@ -523,8 +523,7 @@ def kpi_cards_from_profile(spark: SparkSession, prof: DataFrame, weather: DataFr
                                  FROM cls WHERE conditions = 'pluie'), 0.0D), 6) AS delta_pluie
           FROM vol)
         SELECT total_courses, n_types, periode, perimetre, pct_global, prix_km_moyen, delta_pluie,
-               translate(format_number(total_courses, 0), ',', ' ') AS total_txt,
                format_string('%.2f $/km', prix_km_moyen) AS prix_txt,
                format_string('%+.1f %%', delta_pluie) AS pluie_txt,
                format_string('%.1f %%', pct_global) AS pct_txt
-        FROM k""", prof=prof, w=w)
+        FROM k""", prof=prof, w=w).withColumn("total_txt", C.thousands("total_courses"))

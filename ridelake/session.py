@@ -68,11 +68,6 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/ridelake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can list a local folder (tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def apply_session_conf(spark: SparkSession) -> None:
     """What a query needs from a session it did not create: a checkpoint folder
     (small multi-use aggregates are checkpointed). Other settings of the

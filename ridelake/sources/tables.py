@@ -19,30 +19,6 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
-    @cached_property
-    def lineitem(self) -> DataFrame:
-        return self.read("lineitem")
-
-    @cached_property
-    def orders(self) -> DataFrame:
-        return self.read("orders")
-
-    @cached_property
-    def customer(self) -> DataFrame:
-        return self.read("customer")
-
     @cached_property
     def supplier(self) -> DataFrame:
         return self.read("supplier")
-
-    @cached_property
-    def nation(self) -> DataFrame:
-        return self.read("nation")
-
-    @cached_property
-    def region(self) -> DataFrame:
-        return self.read("region")
-
-    @cached_property
-    def events(self) -> DataFrame:
-        return self.read("events")
