@@ -8,9 +8,10 @@ a looser bound moves fewer keys when a shard is added.
 
 Scale: only the number of rows per place is gathered (at most 2^RING_BITS
 numbers, whatever the corpus); the plan that it yields says which ranks of a
-place go to which shard. Rows get their rank by a window within their place,
-on rows that are equal merged into one with a count first, so neither a hot key
-nor repeated rows pile up in a task; texts never leave the scan.
+place go to which shard. Equal rows are merged into one with a count first, and
+the others of a place are dealt to ``LANES`` lanes by a hash of the whole row: a row's
+rank is its lane's start plus a window within the lane, so neither repeated rows nor
+one key with many texts pile up in a task. Texts never leave the scan.
 """
 from __future__ import annotations
 
@@ -25,6 +26,7 @@ from .common import read, written
 
 RING_BITS = 14
 VNODES = 64
+LANES = 32
 
 
 def preferences(n_shards: int, vnodes: int = VNODES) -> list[list[int]]:
@@ -78,19 +80,25 @@ def place_of(key: Column) -> Column:
 def assign(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", load: float = 1.0, vnodes: int = VNODES) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` per row of ``docs``; slots of a shard are 0, 1, ...
 
-    size: UTF-8 bytes of the text (null: none) plus 1. Within a place rows rank by hash,
+    size: UTF-8 bytes of the text (null: none) plus 1. Within a place rows rank by lane,
     doc_id (null first), checksum, size; repeated rows take neighbouring ranks."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(text).alias("text_crc32"))
     # equal rows become one with a count
     merged = written(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
-                     .withColumn("place", place_of(F.col("doc_id"))), "ring-rows")
+                     .withColumns({"place": place_of(F.col("doc_id")), "lane": F.pmod(
+                         F.xxhash64("doc_id", "size", "text_crc32"), F.lit(LANES)).cast("int")}), "ring-rows")
     counts = {r[0]: r[1] for r in merged.groupBy("place").agg(F.sum("copies")).collect()}     # at most 2^RING_BITS
     schema = "place int, first long, end long, shard int, slot long"
     parts = docs.sparkSession.createDataFrame(plan(counts, n_shards, vnodes, load), schema)
-    upto = Window.partitionBy("place").orderBy(F.xxhash64("doc_id"), "doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = merged.withColumn("to", F.sum("copies").over(upto)).withColumn("from", F.col("to") - F.col("copies"))
+    # at most LANES rows per place
+    before = Window.partitionBy("place").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
+    lanes = merged.groupBy("place", "lane").agg(F.sum("copies").alias("n")).select(
+        "place", "lane", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    upto = Window.partitionBy("place", "lane").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = merged.withColumn("to", F.sum("copies").over(upto)).join(lanes, ["place", "lane"])
+    ranked = ranked.withColumn("to", F.col("to") + F.col("start")).withColumn("from", F.col("to") - F.col("copies"))
     # a place has at most one part per shard, so the plan stays below places times shards
     met = ranked.join(F.broadcast(parts), "place").where((F.col("first") < F.col("to")) & (F.col("from") < F.col("end")))
     ranks = F.sequence(F.greatest("first", "from"), F.least("end", "to") - 1)

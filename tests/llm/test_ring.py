@@ -70,6 +70,14 @@ def test_a_hot_key_and_repeated_rows(spark):
     assert sum(n.values()) == 1000 and max(n.values()) - min(n.values()) <= 1
 
 
+def test_one_key_with_many_texts_is_dealt_over_lanes(spark):
+    df = spark.createDataFrame([(7, f"text {i}") for i in range(500)] + [(i, "t") for i in range(100, 300)], "doc_id long, text string")
+    a, b = ({(r["doc_id"], r["text_crc32"]): (r["shard"], r["slot"]) for r in R.assign(d, 16).collect()} for d in (df, df.repartition(5)))
+    assert a == b and len(a) == 700
+    n = Counter(s for s, _ in a.values())
+    assert max(n.values()) - min(n.values()) <= 1 and len(set(a.values())) == 700
+
+
 def test_fewer_rows_than_shards(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "doc_id long, text string")
     assert sorted((r["shard"], r["slot"]) for r in R.assign(df, 16).collect()) == [(0, 0), (1, 0), (2, 0)]
