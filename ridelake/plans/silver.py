@@ -81,17 +81,18 @@ def read_silver(spark, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_by_schema(spark: SparkSession, root: str, files: DataFrame) -> list[DataFrame]:
+def read_by_schema(spark: SparkSession, root: str, files: DataFrame, by_folder: bool = True) -> list[DataFrame]:
     """Bronze ``files`` (column ``path``) of one tree as one DataFrame per Parquet schema.
 
     The footers are read by one distributed job; what comes to the driver is one row per
     schema and folder (a folder stands for its files when they share a schema and
     all are wanted, else the files are named), which the reader needs there anyway.
+    ``by_folder=False`` names every file: a file that arrives meanwhile stays out.
     ``basePath`` keeps ``vtype``/``year``/``month`` as partition columns."""
     folder = F.regexp_replace("path", "/[^/]*$", "")
     found = file_schemas(files).groupBy(folder.alias("folder"), "schema").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     here = parquet_files(spark, root).groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files"))
-    rows = found.join(here, "folder").select("schema", F.when(F.size("paths") == F.col("files"), F.array("folder"))
+    rows = found.join(here, "folder").select("schema", F.when(F.lit(by_folder) & (F.size("paths") == F.col("files")), F.array("folder"))
                                              .otherwise(F.col("paths")).alias("paths")).collect()
     groups: dict[str, list[str]] = {}
     for r in rows:

@@ -52,7 +52,7 @@ def start_era_stream(spark: SparkSession, bronze_path: str, grid: DataFrame, sil
     batches: list[int] = []
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        frames = [f.drop("year", "month") for f in read_by_schema(batch.sparkSession, bronze_path, batch)]
+        frames = [f.drop("year", "month") for f in read_by_schema(batch.sparkSession, bronze_path, batch, by_folder=False)]
         out = (silver_trips(frames, grid)
                .withColumn("ingest_batch", F.lit(f"{era_name}-{batch_id:06d}")))
         # dynamic overwrite of this batch's own partitions: a replay replaces, never appends
