@@ -18,6 +18,7 @@ import pyarrow as pa
 from tokenizers import Tokenizer
 
 LEAF = 48         # symbols per leaf of long text
+AT_ONCE = 1 << 17  # symbols that are merged together, a bound on the memory of a step
 WINDOW = 4        # tokens on either side of a join at first
 
 
@@ -94,6 +95,15 @@ class Merges:
 
     def merge(self, sym: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of short words (symbols in a row, sizes) and the number of tokens of each."""
+        if len(sym) > AT_ONCE and len(sizes) > 1:
+            ends = np.cumsum(sizes)
+            cuts = np.unique(np.r_[0, np.searchsorted(ends, np.arange(AT_ONCE, len(sym), AT_ONCE)), len(sizes)])
+            starts = ends - sizes
+            parts = [self._merge(sym[starts[a]:ends[b - 1]], sizes[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        return self._merge(sym, sizes)
+
+    def _merge(self, sym: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         none = np.iinfo(np.int32).max
         counts = sizes.copy()
         done_word, done_tok = [], []

@@ -36,7 +36,7 @@ WALKS, STEPS = 4, 7       # independent walks, and steps of each
 SAMPLED = ((0, 1, 3, 6), (0, 2, 4, 6), (0, 1, 4, 6), (0, 2, 5, 6))    # steps that a sample reads, by walk
 COMMON_SHARE = 0.02       # samples made only of words in more than this share of the items are left out
 BLOCK_ITEMS = 20_000
-BATCH_BYTES = 8 << 20     # text bytes that a task works on at once (one longer text alone)
+BATCH_BYTES = 2 << 20     # text bytes that a task works on at once (one longer text alone)
 
 # A-Z lowered; other ASCII but a-z and 0-9 is a blank; bytes of other characters stay.
 _WORD_BYTES = bytes(i + 32 if 65 <= i <= 90 else i if i >= 128 or 48 <= i <= 57 or 97 <= i <= 122 else 32 for i in range(256))

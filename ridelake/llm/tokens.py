@@ -35,7 +35,7 @@ from .bpe import Merges, ranges
 from .common import read
 
 END_ID = 0
-BATCH_BYTES = 6 << 20      # text bytes that a task works on at once
+BATCH_BYTES = 2 << 20      # text bytes that a task works on at once
 # Fixed value: the pre-token pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # a blank beside other white space: such a text can't be cut at its blanks
