@@ -19,7 +19,7 @@ emits, so nearly all positions cost a few array operations.
 """
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import islice
 
@@ -34,8 +34,8 @@ from .common import read
 MAX_EDIT_SHARE = 0.2      # an item is found in a window at most this share of its words away
 WALKS, STEPS = 4, 7       # independent walks, and steps of each
 SAMPLED = ((0, 1, 3, 6), (0, 2, 4, 6), (0, 1, 4, 6), (0, 2, 5, 6))    # steps that a sample reads, by walk
-COMMON_SHARE = 0.02       # samples made only of words in more than this share of the items are left out
 BLOCK_ITEMS = 20_000
+PROPOSALS = 1 << 19       # proposed windows that are tested at once
 BATCH_BYTES = 2 << 20     # text bytes that a task works on at once (one longer text alone)
 
 # A-Z lowered; other ASCII but a-z and 0-9 is a blank; bytes of other characters stay.
@@ -80,8 +80,6 @@ class ItemIndex:
         self.limit = [int(share * len(w) + 1e-9) for w in self.words]
         rng = np.random.default_rng(seed)
         self.moves = rng.integers(0, 2, (WALKS, STEPS, len(self.vocabulary) + 1)).astype(np.int64)
-        seen = Counter(int(w) for ws in self.words for w in np.unique(ws))
-        common = {w for w, n in seen.items() if n > max(2, COMMON_SHARE * len(items))}
         rows: list[list[tuple[int, int, int, int, int]]] = [[] for _ in range(WALKS)]
         short: dict[int, list[int]] = defaultdict(list)
         for k, ws in enumerate(self.words):
@@ -96,12 +94,12 @@ class ItemIndex:
                     emitted.append(ws[np.minimum(at, len(ws) - 1)])
                 sampled = np.stack([emitted[j] for j in SAMPLED[r]], 1)
                 found += [(r, o, sampled[o]) for o in np.flatnonzero(inside)]
-            rare = [x for x in found if any(int(w) not in common for w in x[2])] or found
-            for r, o, s in rare:
+            for r, o, s in found:
                 rows[r].append((int(self._mix(s[None, :])[0]), k, int(o), int(s[0]), int(s[1])))
-            if not rare:     # too short for any walk: found by its first word
+            if not found:    # too short for any walk: found by its first word
                 short[int(ws[0])].append(k)
         self.short = {w: np.array(ks) for w, ks in short.items()}
+        self.sizes, self.limits = np.array([len(w) for w in self.words], np.int64), np.array(self.limit, np.int64)
         self.tables = []
         for r, found in enumerate(rows):
             found.sort()
@@ -122,9 +120,9 @@ class ItemIndex:
             h ^= h >> np.uint64(29)
         return h
 
-    def proposals(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, start of the proposed window) over the word numbers of a batch; starts may lie before 0."""
-        items, starts = [], []
+    def proposals(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(item, start of the proposed window) over the word numbers of a batch, in pieces of about
+        PROPOSALS; starts may lie before 0."""
         top = len(words) - 1
         known = np.flatnonzero(words > 0)
         for r, (keys, of, offset, start_marks) in enumerate(self.tables):
@@ -141,35 +139,49 @@ class ItemIndex:
                         begin, at, emitted = begin[ok], at[ok], [e[ok] for e in emitted]
             h = self._mix(np.stack(emitted, 1))
             lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
-            n = hi - lo
-            hit = np.repeat(np.arange(len(h)), n)
-            row = np.repeat(lo, n) + np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n)
-            items.append(of[row])
-            starts.append(begin[hit] - offset[row])
+            hits = np.flatnonzero(hi > lo)
+            for a, b in self._pieces((hi - lo)[hits]):
+                part = hits[a:b]
+                n = hi[part] - lo[part]
+                row = np.repeat(lo[part], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                yield of[row], np.repeat(begin[part], n) - offset[row]
         for w, ks in self.short.items():
             begin = np.flatnonzero(words == w)
-            items.append(np.tile(ks, len(begin)))
-            starts.append(np.repeat(begin, len(ks)))
-        if not items:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(items), np.concatenate(starts)
+            for a, b in self._pieces(np.full(len(begin), len(ks))):
+                yield np.tile(ks, b - a), np.repeat(begin[a:b], len(ks))
+
+    @staticmethod
+    def _pieces(n: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Runs of ``n`` with a sum of about PROPOSALS."""
+        cuts = np.flatnonzero(np.diff(np.cumsum(n) // PROPOSALS)) + 1
+        yield from zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(n)].tolist())
+
+    def _likely(self, item: np.ndarray, start: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Proposals with at least size - limit words of the item around the window."""
+        begin, reach = start - self.limits[item], self.sizes[item] + 2 * self.limits[item]
+        left, spare = np.arange(len(item)), 3 * self.limits[item]    # other words that the reach may hold
+        for d in range(int(reach.max(initial=0))):
+            if d % 8 == 0:      # most proposals end early
+                left, spare = left[spare >= 0], spare[spare >= 0]
+                own, first, size = item[left], begin[left], reach[left]
+            at = first + d
+            held = (at >= 0) & (at < len(words)) & self.holds[_hold(own, words[np.clip(at, 0, len(words) - 1)])]
+            spare = spare - ((d < size) & ~held)
+        return left[spare >= 0]
 
     def search(self, words: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(text, item number, distance, first word, words) of the verified items in a batch of
         texts, given all its word numbers in a row and where each text's words end."""
         if not len(words) or not self.words:
             return []
-        item, start = self.proposals(words)
-        sizes = np.array([len(w) for w in self.words])
-        limits = np.array(self.limit)
-        # at least size - limit words around the window must be words of the item
-        shared, begin, reach = np.zeros(len(item), np.int64), start - limits[item], sizes[item] + 2 * limits[item]
-        for d in range(int(reach.max(initial=0))):
-            at = begin + d
-            ok = (d < reach) & (at >= 0) & (at < len(words))
-            shared += ok & self.holds[_hold(item, words[np.clip(at, 0, len(words) - 1)])]
-        ok = shared >= sizes[item] - limits[item]
-        item, start = item[ok], start[ok]
+        sizes, limits = self.sizes, self.limits
+        span, kept = len(words) + int(sizes.max()), []    # a window as one number
+        for item, start in self.proposals(words):
+            one = np.unique(item * (2 * span) + start + span)
+            item, start = one // (2 * span), one % (2 * span) - span
+            ok = self._likely(item, start, words)
+            kept.append(np.stack([item[ok], start[ok]]))
+        item, start = np.concatenate([np.zeros((2, 0), np.int64), *kept], 1)
         begins = np.r_[0, ends[:-1]]
         # a window over a border of texts may belong to any of them
         todo = np.unique(np.concatenate([np.stack([np.searchsorted(

@@ -97,3 +97,23 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     whole = sorted(map(tuple, D.leaks(docs, b).collect()))
     monkeypatch.setattr(D, "BLOCK_ITEMS", 11)
     assert sorted(map(tuple, D.leaks(docs, b).collect())) == whole and whole
+
+
+def test_items_of_common_words_with_the_rare_one_replaced(spark):
+    rng = np.random.default_rng(5)
+    items, docs = [], []
+    for i in range(120):      # every word but one stands in many items
+        words = [f"common{k}" for k in rng.integers(0, 40, 30)]
+        at = int(rng.integers(0, 30))
+        items.append((i, " ".join([*words[:at], f"rare{i}", *words[at + 1:]])))
+        docs.append((i, " ".join(["x"] * 20 + [*words[:at], "other", *words[at + 1:]] + ["y"] * 20)))
+    got = D.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r["doc_id"], r["item_id"]): r["distance"] for r in got.collect()}
+    assert {k: found.get((k, k)) for k in range(120)} == {k: 1 for k in range(120)}
+
+
+def test_pieces_of_proposals_give_the_same(spark, monkeypatch):
+    docs, b = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
+    whole = sorted(map(tuple, D.leaks(docs, b).collect()))
+    monkeypatch.setattr(D, "PROPOSALS", 3)
+    assert sorted(map(tuple, D.leaks(docs, b).collect())) == whole and whole
