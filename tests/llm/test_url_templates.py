@@ -63,3 +63,18 @@ def test_number_of_a_path(spark):
     df = spark.createDataFrame([(p,) for p in ("/en/12.html", "/a9/b", "/x", "", "/" + "9" * 40, None)], "path string")
     want = [None if p is None or not (m := re.search(r"([0-9]+)[^0-9]*$", p)) or int(m[1]) >= 1 << 63 else int(m[1]) for p, in df.collect()]
     assert [r[0] for r in df.select(U._number(F.col("path"))).collect()] == want
+
+
+def test_many_equal_sections_are_judged_apart(spark):
+    urls, bad = [], {}
+    for i in range(1200):     # 100 sections of 12 pages, every tenth wholly bad, 60 more without labels, and 7 of too few pages
+        urls.append((i, f"https://wide.net/s{i % 100}/{i}"))
+        bad[i] = int(i % 10 == 3)
+    urls += [(2000 + i, f"https://wide.net/u{i % 60:02d}/{i}") for i in range(300)]
+    urls += [(3000 + i, f"https://wide.net/few{i % 7}/{i}") for i in range(28)]
+    pages, labels = spark.createDataFrame(urls, "page_id long, url string"), spark.createDataFrame([*bad.items()], "page_id long, bad int")
+    out = {r["page_id"]: r for r in U.judge(pages, labels).collect()}
+    assert {i: out[i]["verdict"] for i in range(1200)} == {i: "block" if bad[i] else "allow" for i in range(1200)}
+    assert out[3]["template"] == "/{s13|s23|s3|s33|s43|s53|s63|s73|s83|s93}/*"
+    assert out[0]["template"].startswith("/{s0|s1|s10|") and out[0]["template"].endswith("|+40}/*")
+    assert len({out[2000 + i]["template"] for i in range(300)}) == 1 and {out[3000 + i]["template"] for i in range(28)} == {"/*/*"}
