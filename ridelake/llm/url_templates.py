@@ -13,8 +13,9 @@ read). A level is one partial aggregate on (host, template, segment); values
 without support are dropped before anything else, and the written table of branches
 is joined back by its real size (broadcast, or sort-merge with AQE splitting a hot
 host). A parent may keep any number of branches; a group of more than ``NAMED``
-is named by its first ones and the number of the others. The depth is
-bounded by ``MAX_DEPTH``; deeper segments fall under the last node's ``**``.
+is named by its first ones and the number of the others. Levels beyond ``MAX_DEPTH``
+are read where some host has a value with support, over the rows that go so deep,
+each level written; wildcards at the end of such a path are one ``**``.
 """
 from __future__ import annotations
 
@@ -26,7 +27,7 @@ from pyspark.sql.window import Window
 
 from .common import read, written
 
-MAX_DEPTH = 6
+MAX_DEPTH = 6            # levels with a step each; OP5_SQL reads no deeper (no difference on the given tables)
 MIN_SUPPORT = 5          # pages that a branch has at least
 NAMED = 50               # branches of a group that its name spells out
 SHARE = 50               # OP5_SQL also asks for one in so many of the parent's pages (no difference on the given tables)
@@ -74,27 +75,59 @@ def _named(kept: DataFrame) -> DataFrame:
     return kept.join(names.select(*by, name.alias("step")), by).select("host", "template", "seg", "step")
 
 
+def _branches(rows: DataFrame, k: int) -> DataFrame:
+    """``h, t, s, step``: the branches that ``rows`` keep at level ``k``."""
+    seg = _segment(k)
+    here = rows.where(seg.isNotNull()).select("host", "template", seg.alias("seg"), "bad")
+    found = here.groupBy("host", "template", "seg").agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("m"), F.sum("bad").alias("b"))
+    kept = found.where(F.col("n") >= MIN_SUPPORT).withColumn("b", F.coalesce("b", F.lit(0)))
+    # branches of a parent by bad rate: a new group where two neighbours differ
+    along = Window.partitionBy("host", "template").orderBy(F.col("m") > 0, F.try_divide(F.col("b").cast("double"), F.col("m")), "seg")
+    m, b = F.col("m").cast("double"), F.col("b").cast("double")
+    pm, pb = F.lag("m").over(along).cast("double"), F.lag("b").over(along).cast("double")
+    differ = F.pow(b * pm - pb * m, 2) * (m + pm) > Z2 * m * pm * (b + pb) * ((m + pm) - (b + pb))
+    kept = kept.withColumn("new", F.when(pm.isNull() | ((pm == 0) & (m > 0)) | differ, 1).otherwise(0))
+    kept = _named(written(kept.select("host", "template", "seg", F.sum("new").over(along).alias("group")), "url-groups"))
+    return written(kept, "url-branches").withColumnsRenamed({"host": "h", "template": "t", "seg": "s"})
+
+
+def _placed(rows: DataFrame, k: int) -> DataFrame:
+    """``rows`` with ``step``, their branch at level ``k`` or null."""
+    kept = _branches(rows, k)
+    rows = rows.join(kept, (rows["host"] == F.col("h")) & (rows["template"] == F.col("t")) & (_segment(k) == F.col("s")), "left")
+    return rows.drop("h", "t", "s")
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, host, segs, bad) with ``template``; ``bad`` is 1, 0 or null (no label)."""
     rows = pages.withColumn("template", F.lit(""))
     depth = pages.agg(F.max(F.size("segs"))).first()[0] or 0
     for k in range(min(depth, MAX_DEPTH)):
-        seg = _segment(k)
-        here = rows.where(seg.isNotNull()).select("host", "template", seg.alias("seg"), "bad")
-        found = here.groupBy("host", "template", "seg").agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("m"), F.sum("bad").alias("b"))
-        kept = found.where(F.col("n") >= MIN_SUPPORT).withColumn("b", F.coalesce("b", F.lit(0)))
-        # branches of a parent by bad rate: a new group where two neighbours differ
-        along = Window.partitionBy("host", "template").orderBy(F.col("m") > 0, F.try_divide(F.col("b").cast("double"), F.col("m")), "seg")
-        m, b = F.col("m").cast("double"), F.col("b").cast("double")
-        pm, pb = F.lag("m").over(along).cast("double"), F.lag("b").over(along).cast("double")
-        differ = F.pow(b * pm - pb * m, 2) * (m + pm) > Z2 * m * pm * (b + pb) * ((m + pm) - (b + pb))
-        kept = kept.withColumn("new", F.when(pm.isNull() | ((pm == 0) & (m > 0)) | differ, 1).otherwise(0))
-        kept = _named(written(kept.select("host", "template", "seg", F.sum("new").over(along).alias("group")), "url-groups"))
-        kept = written(kept, "url-branches").withColumnsRenamed({"host": "h", "template": "t", "seg": "s"})
-        rows = rows.join(kept, (rows["host"] == F.col("h")) & (rows["template"] == F.col("t")) & (_segment(k) == F.col("s")), "left")
+        rows = _placed(rows, k)
         rows = rows.withColumn("template", F.when(_segment(k).isNull(), F.col("template")).otherwise(
-            F.concat("template", F.lit("/"), F.coalesce("step", F.lit("*"))))).drop("h", "t", "s", "step")
-    return rows.withColumn("template", F.when(F.size("segs") > MAX_DEPTH, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
+            F.concat("template", F.lit("/"), F.coalesce("step", F.lit("*"))))).drop("step")
+    return _deeper(rows) if depth > MAX_DEPTH else rows
+
+
+def _deeper(rows: DataFrame) -> DataFrame:
+    """``rows`` with templates of MAX_DEPTH levels, read on to the last level with a branch."""
+    rows, size = written(rows, "url-deep"), F.coalesce(F.size("segs"), F.lit(0))
+    done = [rows.where(size <= MAX_DEPTH)]
+    deep = rows.where(size > MAX_DEPTH).withColumn("told", F.lit(MAX_DEPTH))     # levels in the template
+    tail = deep.select("host", F.posexplode(F.slice("segs", MAX_DEPTH + 1, size)).alias("at", "seg"))
+    # a branch has no more support than its value has at that level of the whole host
+    able = tail.groupBy("host", "at", "seg").count().where(F.col("count") >= MIN_SUPPORT).select("at").distinct()
+
+    def told(part: DataFrame) -> DataFrame:
+        return part.withColumn("template", F.when(size > F.col("told"), F.concat("template", F.lit("/**"))).otherwise(F.col("template"))).drop("told")
+
+    for k in sorted(MAX_DEPTH + r["at"] for r in able.collect()):
+        done.append(told(deep.where(size <= k)))
+        deep = _placed(deep.where(size > k), k)
+        path = F.concat("template", F.repeat(F.lit("/*"), F.lit(k) - F.col("told")), F.lit("/"), "step")
+        deep = deep.withColumns({"template": F.coalesce(path, "template"), "told": F.when(F.col("step").isNotNull(), k + 1).otherwise(F.col("told"))})
+        deep = written(deep.drop("step"), "url-deep")
+    return reduce(DataFrame.unionByName, [*done, told(deep)])
 
 
 def rejected(rows: DataFrame) -> DataFrame:

@@ -78,3 +78,17 @@ def test_many_equal_sections_are_judged_apart(spark):
     assert out[3]["template"] == "/{s13|s23|s3|s33|s43|s53|s63|s73|s83|s93}/*"
     assert out[0]["template"].startswith("/{s0|s1|s10|") and out[0]["template"].endswith("|+40}/*")
     assert len({out[2000 + i]["template"] for i in range(300)}) == 1 and {out[3000 + i]["template"] for i in range(28)} == {"/*/*"}
+
+
+def test_deep_paths_are_read_to_the_last_branch(spark):
+    paths = [f"a.net/site/section/2024/05/12/news/{('good', 'casino')[i % 2]}" for i in range(40)]
+    paths += [f"b.net/a/b/c/d/e/f/{i}/{('good', 'casino')[i % 2]}/{i}/{i}" for i in range(40)]
+    paths += [f"c.net/1/2/3/4/5/6/7/8/9{'/x' * (i % 2)}" for i in range(10)] + ["c.net/1/2/3/4/5/6", "c.net/1", "c.net"]
+    pages = spark.createDataFrame([(i, f"https://{p}") for i, p in enumerate(paths)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "page_id long, bad int")
+    out = {r["page_id"]: (r["template"], r["verdict"]) for r in U.judge(pages, labels).collect()}
+    news, rest = "/site/section/2024/05/12/news/", "/a/b/c/d/e/f/*/"
+    assert len(out) == len(paths)
+    assert [out[i] for i in (0, 1, 40, 41)] == [(news + "good", "allow"), (news + "casino", "block"), (rest + "good/**", "allow"), (rest + "casino/**", "block")]
+    assert {v for k, v in out.items() if k < 80} == {out[i] for i in (0, 1, 40, 41)}
+    assert [out[i][0] for i in (80, 81, 90, 91, 92)] == ["/1/2/3/4/5/6/7/8/9", "/1/2/3/4/5/6/7/8/9/x", "/1/2/3/4/5/6", "/1", ""]
