@@ -8,7 +8,9 @@ Hamming distance. A window of an item's size is embedded as the walks
 restarted at each of its words; an edit then only disturbs the walks that
 read it. One bit sample is a restart plus a few steps of its walk. All
 restarts of all items are indexed for several independent walks, so a window
-within the edit limit is proposed unless every sample of it is disturbed.
+within the edit limit is proposed unless every sample of it is disturbed. Items
+of under ``SHORT`` words, too short for that, are looked up by one word more than
+their limit, of which an allowed number of edits always leaves one.
 Every proposed window is verified by exact word edit distance.
 
 Scale: the benchmark is the stated query set. It is indexed in blocks of
@@ -19,7 +21,7 @@ emits, so nearly all positions cost a few array operations.
 """
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import islice
 
@@ -34,6 +36,7 @@ from .common import read
 MAX_EDIT_SHARE = 0.2      # an item is found in a window at most this share of its words away
 WALKS, STEPS = 4, 7       # independent walks, and steps of each
 SAMPLED = ((0, 1, 3, 6), (0, 2, 4, 6), (0, 1, 4, 6), (0, 2, 5, 6))    # steps that a sample reads, by walk
+SHORT = 8                 # items of fewer words are found by single words
 BLOCK_ITEMS = 20_000
 PROPOSALS = 1 << 19       # proposed windows that are tested at once
 BATCH_BYTES = 2 << 20     # text bytes that a task works on at once (one longer text alone)
@@ -81,8 +84,13 @@ class ItemIndex:
         rng = np.random.default_rng(seed)
         self.moves = rng.integers(0, 2, (WALKS, STEPS, len(self.vocabulary) + 1)).astype(np.int64)
         rows: list[list[tuple[int, int, int, int, int]]] = [[] for _ in range(WALKS)]
-        short: dict[int, list[int]] = defaultdict(list)
+        short: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        seen = Counter(int(w) for ws in self.words for w in np.unique(ws))
         for k, ws in enumerate(self.words):
+            if len(ws) < SHORT:
+                for o in sorted(range(len(ws)), key=lambda o: seen[int(ws[o])])[:self.limit[k] + 1]:
+                    short[int(ws[o])].append((k, o))
+                continue
             found = []
             for r in range(WALKS):
                 at = np.arange(len(ws))
@@ -96,9 +104,7 @@ class ItemIndex:
                 found += [(r, o, sampled[o]) for o in np.flatnonzero(inside)]
             for r, o, s in found:
                 rows[r].append((int(self._mix(s[None, :])[0]), k, int(o), int(s[0]), int(s[1])))
-            if not found:    # too short for any walk: found by its first word
-                short[int(ws[0])].append(k)
-        self.short = {w: np.array(ks) for w, ks in short.items()}
+        self.short = {w: np.array(ks).T for w, ks in short.items()}
         self.sizes, self.limits = np.array([len(w) for w in self.words], np.int64), np.array(self.limit, np.int64)
         self.tables = []
         for r, found in enumerate(rows):
@@ -145,10 +151,10 @@ class ItemIndex:
                 n = hi[part] - lo[part]
                 row = np.repeat(lo[part], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 yield of[row], np.repeat(begin[part], n) - offset[row]
-        for w, ks in self.short.items():
+        for w, (ks, offset) in self.short.items():
             begin = np.flatnonzero(words == w)
             for a, b in self._pieces(np.full(len(begin), len(ks))):
-                yield np.tile(ks, b - a), np.repeat(begin[a:b], len(ks))
+                yield np.tile(ks, b - a), np.repeat(begin[a:b], len(ks)) - np.tile(offset, b - a)
 
     @staticmethod
     def _pieces(n: np.ndarray) -> Iterator[tuple[int, int]]:

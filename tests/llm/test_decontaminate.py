@@ -117,3 +117,16 @@ def test_pieces_of_proposals_give_the_same(spark, monkeypatch):
     whole = sorted(map(tuple, D.leaks(docs, b).collect()))
     monkeypatch.setattr(D, "PROPOSALS", 3)
     assert sorted(map(tuple, D.leaks(docs, b).collect())) == whole and whole
+
+
+def test_short_items_are_found_wherever_the_edit_is(spark):
+    items, docs = [], []
+    for n in range(1, 10):
+        words = [f"n{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        for at in range(n if n >= 5 else 1):
+            for kind in range(3 if n >= 5 else 1):      # under five words no edit is allowed
+                text = [*words[:at], *([], ["other"], ["other", words[at]])[kind], *words[at + 1:]] if n >= 5 else words
+                docs.append((n * 100 + at * 10 + kind, " ".join(["x"] * (at % 3) + text + ["y"] * kind)))
+    got = D.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect() if r["item_id"] >= 5 or r["distance"] == 0} >= {(d, d // 100) for d, _ in docs}
