@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import clean, geo
-from ..sources.lake import (bronze_files, check_layout, file_schemas, files_or_none, loaded_files, parquet_files,
-                            pending_sources, record_files)
+from ..sources import files
+from ..sources.lake import (changed_files, check_layout, file_schemas, listed_files, loaded_files, parquet_files,
+                            record_files)
 
 
 SOURCE_COL = "source_month"
@@ -81,8 +82,8 @@ def read_silver(spark, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_by_schema(spark: SparkSession, root: str, files: DataFrame, by_folder: bool = True) -> list[DataFrame]:
-    """Bronze ``files`` (column ``path``) of one tree as one DataFrame per Parquet schema.
+def read_by_schema(spark: SparkSession, root: str, wanted: DataFrame, by_folder: bool = True) -> list[DataFrame]:
+    """Bronze files ``wanted`` (column ``path``) of one tree as one DataFrame per Parquet schema.
 
     The footers are read by one distributed job; what comes to the driver is one row per
     schema and folder (a folder stands for its files when they share a schema and
@@ -90,30 +91,42 @@ def read_by_schema(spark: SparkSession, root: str, files: DataFrame, by_folder:
     ``by_folder=False`` names every file: a file that arrives meanwhile stays out.
     ``basePath`` keeps ``vtype``/``year``/``month`` as partition columns."""
     folder = F.regexp_replace("path", "/[^/]*$", "")
-    found = file_schemas(files).groupBy(folder.alias("folder"), "schema").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    here = parquet_files(spark, root).groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files"))
-    rows = found.join(here, "folder").select("schema", F.when(F.lit(by_folder) & (F.size("paths") == F.col("files")), F.array("folder"))
-                                             .otherwise(F.col("paths")).alias("paths")).collect()
+    found = file_schemas(wanted).groupBy(folder.alias("folder"), "schema").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    if by_folder:
+        here = parquet_files(spark, root).groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files"))
+        found = found.join(here, "folder").select("schema", F.when(F.size("paths") == F.col("files"), F.array("folder"))
+                                                  .otherwise(F.col("paths")).alias("paths"))
+    rows = found.select("schema", "paths").collect()
     groups: dict[str, list[str]] = {}
     for r in rows:
         groups.setdefault(r["schema"], []).extend(r["paths"])
     return [spark.read.option("basePath", root).parquet(*sorted(paths)) for _, paths in sorted(groups.items())]
 
 
-def _data_files(spark: SparkSession, silver_path: str, sources: DataFrame) -> list[str]:
-    """Paths of the silver files that hold rows of ``sources`` (a handful per source)."""
-    files = files_or_none(spark, silver_path)
-    if files is None or "source_month" not in files.columns:
-        return []
-    keys = files.select("path", F.col("vtype").cast("string"), F.col(SOURCE_COL).cast("string"))
-    return [r[0] for r in keys.join(sources, ["vtype", SOURCE_COL], "left_semi").select("path").collect()]
-
-
-def _remove(spark: SparkSession, paths: list[str]) -> None:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(conf).delete(path, False)
+def _source_folders(spark: SparkSession, silver_path: str, sources: list[tuple[str, str]]) -> dict[str, set[str]]:
+    """Folders of the silver table that hold rows of ``sources`` (type, source month), with their files'
+    names: a source has one for each pickup month in it, a handful. Only folders of the sources' types are listed."""
+    months: dict[str, list[str]] = {}
+    for vtype, month in sources:
+        months.setdefault(vtype, []).append(month)
+    out = {}
+    for vtype, wanted in months.items():
+        pattern = f"{silver_path.rstrip('/')}/vtype={vtype}/year=*/month=*/{SOURCE_COL}={{{','.join(sorted(wanted))}}}"
+        out.update({folder: files.names(spark, folder) for folder in files.matching(spark, pattern)})
+    return out
+
+
+def replace_sources(spark: SparkSession, silver_path: str, sources: list[tuple[str, str]], rows: DataFrame | None) -> None:
+    """Write ``rows``, which are all rows of ``sources`` (None: they have no file any more), in place of
+    what the table held of them. Pickup months in which a source has no row any more are not touched
+    by the write; their folders, still with the files they had before, are removed."""
+    before = _source_folders(spark, silver_path, sources)
+    if rows is not None:
+        write_silver(rows, silver_path)
+    after = _source_folders(spark, silver_path, sources) if before else {}
+    for folder, held in before.items():
+        if after.get(folder) == held:
+            files.remove(spark, folder)
 
 
 def load_bronze_tree(spark: SparkSession, root: str, grid: DataFrame, silver_path: str) -> int:
@@ -122,20 +135,18 @@ def load_bronze_tree(spark: SparkSession, root: str, grid: DataFrame, silver_pat
 
     A hidden ledger beside the table names every bronze file (path, length, time) that is
     in it, and is written after the commit; output folders never count. A source (type, month)
-    with any file that the ledger lacks is built again from all of its files and
-    replaced as a whole: a file that arrives late, a file that was rewritten and a load that
-    stopped half way through its commit all end in the same table. All pending sources
+    with any change against the ledger (a new file, a rewritten one, a vanished one) is built again from all of its
+    files and replaced as a whole: a file that arrives late, a file that was rewritten, a file that was deleted and
+    a load that stopped half way through its commit all end in the same table. All pending sources
     are one plan, read one DataFrame per schema. Returns the number of sources loaded."""
     check_layout(spark, silver_path)
-    files = bronze_files(spark, root)
-    sources = pending_sources(files, loaded_files(spark, silver_path)).checkpoint()
-    n = sources.count()
-    if not n:
+    listed = listed_files(spark, root)
+    changes = changed_files(listed, loaded_files(spark, silver_path)).checkpoint()
+    sources = [tuple(r) for r in changes.select("vtype", SOURCE_COL).distinct().collect()]     # one row a type and month
+    if not sources:
         return 0
-    todo = files.join(sources, ["vtype", SOURCE_COL], "left_semi").checkpoint()
-    before = _data_files(spark, silver_path, sources)
-    write_silver(silver_trips_by_source(read_by_schema(spark, root, todo), grid), silver_path)
-    # pickup months in which a rebuilt source has no row any more: the write did not touch them
-    _remove(spark, sorted(set(before) & set(_data_files(spark, silver_path, sources))))
-    record_files(spark, silver_path, todo)
-    return n
+    todo = listed.join(changes.select("vtype", SOURCE_COL).distinct(), ["vtype", SOURCE_COL], "left_semi")
+    frames = read_by_schema(spark, root, todo)
+    replace_sources(spark, silver_path, sources, silver_trips_by_source(frames, grid) if frames else None)
+    record_files(spark, silver_path, changes)
+    return len(sources)

@@ -14,7 +14,7 @@ from .plans import marts as M
 from .plans import silver as SV
 from .plans.medallion import LakePaths, build_zones
 from .session import apply_session_conf, work_path
-from .sources import lake
+from .sources import files, lake
 from .sources import weather as WX
 from .sources.fixtures import Fixtures
 from .streaming.incremental import incremental_load, write_bronze
@@ -384,6 +384,42 @@ def _incremental_schema_drift(fx: Fixtures) -> DataFrame:
     return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")
 
 
+@register("incremental_old_file")
+def _incremental_old_file(fx: Fixtures) -> DataFrame:
+    """The stream beside files that a source's memory would lose: the second delivery is dated years back, a file of
+    the first is rewritten under its name, and a type that was loaded by mistake is deleted."""
+    spark, root = fx.spark, work_path(fx.spark, "old-tree")
+    silver, ckpt = work_path(spark, "old-silver"), work_path(spark, "old-ckpt")
+    grid = _grid(fx).checkpoint()
+    eras = [e.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
+            for e in fx.raw_eras(keep_file_month=True)]
+
+    def deliver(late: bool) -> None:
+        for era in eras:
+            part = era.where((F.pmod(F.xxhash64(*era.columns), F.lit(3)) == 0) == late)
+            part.write.mode("append").partitionBy("vtype", "year", "month").parquet(root)
+
+    deliver(late=False)
+    mistake = eras[0].where("vtype = 'yellow'").withColumn("vtype", F.lit("mistake"))
+    mistake.write.mode("append").partitionBy("vtype", "year", "month").parquet(root)
+    # one file holds, for now, what another one of its type holds, and gets its own content later
+    name, other = lake.parquet_files(spark, root).where("vtype = 'yellow'").agg(F.min("path"), F.max("path")).first()
+    aside = f"{root}/_aside"
+    files.move(spark, name, aside)
+    files.copy(spark, other, name)
+    incremental_load(spark, [root], grid, silver, ckpt)
+    before = {r["path"] for r in lake.parquet_files(spark, root).select("path").collect()}
+    files.remove(spark, name)
+    files.move(spark, aside, name)
+    files.redate(spark, [name], 1_400_000_000)
+    deliver(late=True)
+    came = [r["path"] for r in lake.parquet_files(spark, root).select("path").collect() if r["path"] not in before]
+    files.redate(spark, came, 1_400_000_000)
+    files.remove(spark, f"{root}/vtype=mistake")
+    incremental_load(spark, [root], grid, silver, ckpt)
+    return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")
+
+
 @register("weather_duplicate_hours")
 def _weather_duplicate_hours(fx: Fixtures) -> DataFrame:
     """Documents that hold each hour twice, once without measures: the full row counts."""

@@ -86,6 +86,7 @@ def bronze_files(spark: SparkSession, root: str) -> DataFrame:
 LEDGER_DIR = "_loaded_files"     # hidden from readers of the table (leading underscore)
 FILE_KEY = ["path", "length", "modificationTime"]
 LEDGER_SCHEMA = "path string, length long, modificationTime timestamp, vtype string, source_month string"
+CHANGE_SCHEMA = LEDGER_SCHEMA + ", present boolean, load long"       # ``present`` false: the file vanished
 
 
 def files_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -106,26 +107,48 @@ def check_layout(spark: SparkSession, silver_path: str) -> None:
                          "load a bronze tree into a table of its own layout")
 
 
-def loaded_files(spark: SparkSession, silver_path: str) -> DataFrame:
-    """The table's ledger: every bronze file (path, length, modification time) whose source
-    was committed. Output folders never count: a commit may stop half way."""
-    ledger = f"{silver_path.rstrip('/')}/{LEDGER_DIR}"
-    if files_or_none(spark, ledger) is None:
+def logged(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows logged so far under ``path``, none when nothing was."""
+    if files_or_none(spark, path) is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def known_files(changes: DataFrame) -> DataFrame:
+    """The files of a log of changes as it left them (``LEDGER_SCHEMA``): the last row of each path,
+    unless that says that the file vanished."""
+    load = F.coalesce("load", F.lit(0))
+    last = changes.groupBy("path").agg(F.max_by(F.struct(*changes.columns[1:]), load).alias("was")).select("path", "was.*")
+    return last.where(F.coalesce("present", F.lit(True))).drop("present", "load")
+
+
+def changed_files(files: DataFrame, known: DataFrame) -> DataFrame:
+    """What differs between a listing and the known files (both ``LEDGER_SCHEMA``): new files of any date
+    and files of another length or time with ``present`` true, vanished ones with false."""
+    came = files.join(known, FILE_KEY, "left_anti").withColumn("present", F.lit(True))
+    gone = known.join(files, "path", "left_anti").withColumn("present", F.lit(False))
+    return came.unionByName(gone)
+
+
+def listed_files(spark: SparkSession, root: str) -> DataFrame:
+    """The files of a bronze tree (``LEDGER_SCHEMA``); a tree may have lost its last file."""
+    if "vtype" not in parquet_files(spark, root).columns:
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
+    return bronze_files(spark, root).select(*FILE_KEY, "vtype", "source_month")
 
 
-def record_files(spark: SparkSession, silver_path: str, files: DataFrame) -> None:
-    """Append files to the ledger, after the commit of their rows: a failure before that
-    only means that their sources are built and replaced again."""
-    (files.select(*LEDGER_SCHEMA.replace(",", "").split()[::2]).coalesce(1)
-          .write.mode("append").parquet(f"{silver_path.rstrip('/')}/{LEDGER_DIR}"))
+def loaded_files(spark: SparkSession, silver_path: str) -> DataFrame:
+    """The table's ledger: every bronze file (path, length, modification time) whose source
+    was committed as it is now. Output folders never count: a commit may stop half way."""
+    return known_files(logged(spark, f"{silver_path.rstrip('/')}/{LEDGER_DIR}", CHANGE_SCHEMA))
 
 
-def pending_sources(files: DataFrame, loaded: DataFrame) -> DataFrame:
-    """(vtype, source_month) with at least one file that the ledger does not hold as it is now
-    (a new file, or one of another length or time)."""
-    return files.join(loaded.select(*FILE_KEY), FILE_KEY, "left_anti").select("vtype", "source_month").distinct()
+def record_files(spark: SparkSession, silver_path: str, changes: DataFrame) -> None:
+    """Append changes to the ledger, after the commit of their rows: a failure before that
+    only means that their sources are built and replaced again."""
+    path = f"{silver_path.rstrip('/')}/{LEDGER_DIR}"
+    load = (logged(spark, path, CHANGE_SCHEMA).agg(F.max("load")).first()[0] or 0) + 1
+    changes.withColumn("load", F.lit(load).cast("long")).coalesce(1).write.mode("append").parquet(path)
 
 
 def file_schemas(files: DataFrame) -> DataFrame:

@@ -1,27 +1,29 @@
 """Incremental, idempotent silver load with Structured Streaming.
 
-The bronze lake is one or more trees of monthly Parquet files. The stream reads
-file names only (the checkpoint is the ledger of files already seen), run with
-``trigger(availableNow=True)`` so one call processes exactly the files that
-arrived since the last call and then stops. Each micro-batch reads its files
-grouped by their own schema, so a column that first appears in a later file,
-or changes its type, is read as that file has it.
-
-``foreachBatch`` may replay a batch after a failure; every batch therefore
-writes into its own ``ingest_batch=<era>-<id>`` partitions with dynamic
-partition overwrite, so a replay replaces its own output instead of appending
-a second copy. The batch level is the innermost one
-(``vtype=/year=/month=/ingest_batch=``), as ``source_month`` is for batch
-loads: the folder tree follows the readers' pruning keys first. Rows are partitioned by pickup month, never by the month of
-the file they came from, so a stray ride of the next month cannot mark that
-month as "done" (the ledger is keyed by file, not by output folder).
+The bronze lake is one or more trees of monthly Parquet files. What a load has to do is found
+by comparing each tree's listing with the tree's own ledger, not with a file source's memory (which
+forgets old files, takes a name that it has seen for done, and never notices a deletion).
+The ledger is a log of changes: path, length, time and whether the file is there. A new file
+of any date, a file rewritten under its name and a file that vanished are each a row of it. The stream
+reads that log, whose own files are written once and never change, with
+``trigger(availableNow=True)``: one call processes the changes found since the last
+call and then stops.
+
+A source is the (type, month) that a file belongs to. Each micro-batch rebuilds the sources of its changes from all
+of their files, as the newest listing names them, and replaces them as a whole: rows stand in
+``vtype=/year=/month=/source_month=<month>.<era>`` partitions, so a replay after a failure, or a second change
+of a source, replaces its own output instead of appending a second copy, and a source without files
+leaves nothing. So it ends in the same table as the tree load. Files are read grouped by their own
+schema. Rows are partitioned by pickup month, never by the month of the file they came from, so a stray ride
+of the next month cannot mark that month as "done".
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.silver import read_by_schema, silver_trips
+from ..plans.silver import SOURCE_COL, read_by_schema, replace_sources, silver_trips_by_source
+from ..sources.lake import CHANGE_SCHEMA, changed_files, check_layout, files_or_none, known_files, listed_files, logged
 
 
 def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts",
@@ -40,24 +42,50 @@ def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts"
     return paths
 
 
+LISTED = "path string, vtype string, source_month string, load long"
+
+
+def log_changes(spark: SparkSession, bronze_path: str, ledger: str, max_files: int | None = None) -> bool:
+    """Compare the tree with the ledger and log what differs (``max_files`` rows a file of the
+    log); whether the log holds anything. The files of every source concerned are listed first: a load that
+    stops in between logs nothing, and its listing is superseded by the next one. One listing of the tree a load."""
+    files = listed_files(spark, bronze_path)
+    known = logged(spark, f"{ledger}/changes", CHANGE_SCHEMA)
+    changes = changed_files(files, known_files(known)).checkpoint()
+    if changes.isEmpty():
+        return files_or_none(spark, f"{ledger}/changes") is not None
+    load = (logged(spark, f"{ledger}/listing", LISTED).agg(F.max("load")).first()[0] or 0) + 1
+    sources = changes.select("vtype", "source_month").distinct()
+    # a source without any file left is listed with a null path
+    here = sources.join(files.select("path", "vtype", "source_month"), ["vtype", "source_month"], "left")
+    here.select("path", "vtype", "source_month", F.lit(load).cast("long").alias("load")).coalesce(1).write.mode("append").parquet(f"{ledger}/listing")
+    (changes.withColumn("load", F.lit(load).cast("long")).orderBy("vtype", "source_month", "path").coalesce(1)
+        .write.mode("append").option("maxRecordsPerFile", max_files or 0).parquet(f"{ledger}/changes"))
+    return True
+
+
 def start_era_stream(spark: SparkSession, bronze_path: str, grid: DataFrame, silver_path: str,
                      checkpoint: str, era_name: str, max_files_per_trigger: int | None = None):
-    """Start the stream of one era; returns (query, list of processed batch ids)."""
-    # names only: the content column is never selected, so no file is opened by the stream
-    reader = (spark.readStream.format("binaryFile").option("pathGlobFilter", "*.parquet")
-              .schema("path string, modificationTime timestamp, length long, content binary"))
+    """Log what changed in one era's tree and start the stream over it; returns (query, list of processed batch ids)."""
+    ledger = f"{checkpoint.rstrip('/')}_files"
+    if not log_changes(spark, bronze_path, ledger, max_files_per_trigger):
+        return None, []
+    # the log's files are never purged from the source's memory
+    reader = spark.readStream.schema(CHANGE_SCHEMA).option("maxFileAge", "36500d")
     if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(bronze_path).select("path")
+        reader = reader.option("maxFilesPerTrigger", 1)
+    stream = reader.parquet(f"{ledger}/changes").select("vtype", "source_month")
     batches: list[int] = []
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        frames = [f.drop("year", "month") for f in read_by_schema(batch.sparkSession, bronze_path, batch, by_folder=False)]
-        out = (silver_trips(frames, grid)
-               .withColumn("ingest_batch", F.lit(f"{era_name}-{batch_id:06d}")))
-        # dynamic overwrite of this batch's own partitions: a replay replaces, never appends
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("vtype", "year", "month", "ingest_batch").parquet(silver_path))
+        spark, label = batch.sparkSession, F.concat(SOURCE_COL, F.lit(f".{era_name}"))
+        listed = logged(spark, f"{ledger}/listing", LISTED).join(batch.distinct(), ["vtype", "source_month"], "left_semi")
+        newest = listed.groupBy("vtype", "source_month").agg(F.max("load").alias("load"))
+        files = listed.join(newest, ["vtype", "source_month", "load"]).checkpoint()
+        sources = [tuple(r) for r in files.select("vtype", label).distinct().collect()]
+        frames = read_by_schema(spark, bronze_path, files.where("path is not null"), by_folder=False)
+        replace_sources(spark, silver_path, sources,
+                        silver_trips_by_source(frames, grid).withColumn(SOURCE_COL, label) if frames else None)
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(process)
@@ -70,11 +98,12 @@ def start_era_stream(spark: SparkSession, bronze_path: str, grid: DataFrame, sil
 
 def load_era_stream(spark: SparkSession, bronze_path: str, grid: DataFrame, silver_path: str,
                     checkpoint: str, era_name: str, max_files_per_trigger: int | None = None) -> int:
-    """Process every bronze file of one era not yet in ``checkpoint``; returns the
-    number of micro-batches run (0 when nothing was new)."""
+    """Process every change of one era's tree since the last load with this ``checkpoint``; returns the
+    number of micro-batches run (0 when nothing had changed)."""
     q, batches = start_era_stream(spark, bronze_path, grid, silver_path, checkpoint, era_name,
                                   max_files_per_trigger)
-    q.awaitTermination()
+    if q:
+        q.awaitTermination()
     return len(batches)
 
 
@@ -82,16 +111,17 @@ def incremental_load(spark: SparkSession, bronze_paths: list[str], grid: DataFra
                      silver_path: str, checkpoint_root: str,
                      max_files_per_trigger: int | None = None) -> int:
     """Run every era stream once, concurrently (each writes only its own
-    ``ingest_batch=`` partitions); returns the total number of batches processed.
+    ``source_month=`` partitions); returns the total number of batches processed.
 
-    ``max_files_per_trigger`` bounds each micro-batch (``availableNow`` still
+    ``max_files_per_trigger`` bounds the changes of a micro-batch (``availableNow`` still
     processes everything new, in several batches). For a first load of the
-    whole history this keeps each batch's job a bounded share of the input:
-    every finished batch is committed to the ledger, so a failure reruns only
+    whole history this keeps each batch's job a bounded share of the input: a failure reruns only
     the batch in flight."""
+    check_layout(spark, silver_path)
     started = [start_era_stream(spark, p, grid, silver_path, f"{checkpoint_root.rstrip('/')}/era{i}", f"era{i}",
                                 max_files_per_trigger)
                for i, p in enumerate(bronze_paths, start=1)]
     for q, _ in started:
-        q.awaitTermination()
+        if q:
+            q.awaitTermination()
     return sum(len(b) for _, b in started)

@@ -257,3 +257,70 @@ def test_stream_reads_each_file_by_its_own_schema(spark):
     assert incremental_load(spark, [root], g, silver, ckpt) == 1
     got = sorted((r["total_amount"], r["congestion_surcharge"]) for r in spark.read.parquet(silver).collect())
     assert got == [(1.0, None), (2.0, 2.5), (3.0, 1.5)]
+
+
+def write_lake_changes(spark, root):
+    """Deliveries that a stream's own memory loses: (what to do, number of sources that change)."""
+    from ridelake.sources import files, lake
+
+    def first():
+        put(spark, root, 1, [1, 2], stray=1)
+        put(spark, root, 2, [9])
+
+    def old():         # a file much older than those already loaded, in a loaded month and in a new one
+        before = files.matching(spark, f"{root}/*/*/*/*.parquet")
+        put(spark, root, 1, [3])
+        put(spark, root, 3, [4])
+        files.redate(spark, [p for p in files.matching(spark, f"{root}/*/*/*/*.parquet") if p not in before], 1_000_000_000)
+
+    def rewritten():   # other content under the same name
+        (name,) = files.matching(spark, f"{root}/vtype=yellow/year=2021/month=02/*.parquet")
+        put(spark, root, 2, [9, 10, 11])
+        other = next(p for p in files.matching(spark, f"{root}/vtype=yellow/year=2021/month=02/*.parquet") if p != name)
+        files.remove(spark, name)
+        files.move(spark, other, name)
+
+    def deleted():     # the file with the stray ride, and a whole month
+        paths = [r["path"] for r in lake.parquet_files(spark, root).where("month = 1").orderBy("modificationTime").collect()]
+        files.remove(spark, paths[-1])
+        files.remove(spark, f"{root}/vtype=yellow/year=2021/month=03")
+
+    return [(first, 2), (old, 2), (rewritten, 1), (deleted, 2)]
+
+
+def test_stream_and_tree_end_in_the_same_table_whatever_happens_to_the_files(spark):
+    from ridelake.plans.silver import load_bronze_tree
+    g = grid(spark).checkpoint()
+    root, silver, tree, ckpt = (work_path(spark, n) for n in ("any-bronze", "any-silver", "any-tree", "any-ckpt"))
+    for change, n in write_lake_changes(spark, root):
+        change()
+        assert incremental_load(spark, [root], g, silver, ckpt) == 1
+        assert load_bronze_tree(spark, root, g, tree) == n
+        whole = work_path(spark, "any-whole")
+        load_bronze_tree(spark, root, g, whole)
+        assert totals(spark, silver) == totals(spark, tree) == totals(spark, whole), change.__name__
+    assert incremental_load(spark, [root], g, silver, ckpt) == 0 and load_bronze_tree(spark, root, g, tree) == 0
+    assert totals(spark, silver) == [(1, 3.0), (2, 9.0), (2, 10.0), (2, 11.0)]
+
+
+def test_a_batch_that_failed_is_done_by_the_next_load(spark, monkeypatch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    from ridelake.streaming import incremental as I
+    g = grid(spark).checkpoint()
+    root, silver, ckpt = (work_path(spark, n) for n in ("fail-bronze", "fail-silver", "fail-ckpt"))
+    put(spark, root, 1, [1], stray=1)
+    done = I.replace_sources
+
+    def stops(*args):       # after the write, before the batch counts as done
+        done(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(I, "replace_sources", stops)
+    with pytest.raises(StreamingQueryException):
+        incremental_load(spark, [root], g, silver, ckpt)
+    monkeypatch.setattr(I, "replace_sources", done)
+    put(spark, root, 1, [2])
+    assert incremental_load(spark, [root], g, silver, ckpt) >= 1
+    assert totals(spark, silver) == [(1, 1.0), (1, 2.0), (2, 50.0)]
