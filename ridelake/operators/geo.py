@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import schema as S
 from ..functions import columns as C
@@ -153,27 +154,85 @@ def ring_moments(rings: DataFrame) -> DataFrame:
                     ((a2 * 3 * F.col("y0") + F.col("m.cy")) * sign).alias("wy"))
 
 
-def outer_rings(rings: DataFrame) -> DataFrame:
-    """Valid rings without those that lie inside another ring of their zone, or repeat one: what
-    is left has the area of the zone's union (rings of a zone are nested or disjoint)."""
-    b = _bbox(valid_rings(rings)).withColumn("key", F.xxhash64("location_id", "pts"))
+SWEEP_BANDS = 256    # bands of a zone's height in which edges are compared
+
+
+def _banded(df: DataFrame, low: str, high: str) -> DataFrame:
+    """A row for each band of its zone's height (columns ``floor, height``) that it reaches into."""
+    def band(c: str) -> Column:
+        return F.least(F.floor((F.col(c) - F.col("floor")) / F.col("height") * SWEEP_BANDS), F.lit(SWEEP_BANDS - 1))
+    return df.withColumn("band", F.explode(F.sequence(band(low), band(high))))
+
+
+def swept_moments(rings: DataFrame) -> DataFrame:
+    """``location_id, wa, wx, wy`` (as ``ring_moments``) of the union of each zone's rings, whatever way they
+    touch, overlap or repeat one another; each ring is filled by the even-odd rule.
+
+    The heights of all vertices and of all crossings of edges cut a zone into slabs, in which edges don't cross. Per
+    slab, the edges in order of x are entries and exits of their rings; where the number of rings
+    around goes from none to one or back, an edge bounds the union, and its integrals over the slab
+    count. Edges meet only in the band of the zone's height that both reach into."""
+    def edge(i):
+        a, b = F.element_at("pts", i + 1), F.element_at("pts", i + 2)
+        up = a["lat"] < b["lat"]
+        return F.struct(F.when(up, a["lon"]).otherwise(b["lon"]).alias("x1"), F.least(a["lat"], b["lat"]).alias("y1"),
+                        F.when(up, b["lon"]).otherwise(a["lon"]).alias("x2"), F.greatest(a["lat"], b["lat"]).alias("y2"))
+
+    base = _bbox(valid_rings(rings)).groupBy("location_id").agg(
+        F.min("min_lon").alias("x0"), F.min("min_lat").alias("floor"), (F.max("max_lat") - F.min("min_lat")).alias("height"))
+    edges = valid_rings(rings).select("ring_id", "location_id", F.inline(F.transform(F.sequence(F.lit(0), F.size("pts") - 2), edge)))
+    edges = edges.where("y1 < y2").join(base, "location_id")         # a level edge bounds no slab
+    edges = edges.withColumns({"x1": F.col("x1") - F.col("x0"), "x2": F.col("x2") - F.col("x0"), "y1": F.col("y1") - F.col("floor"),
+                               "y2": F.col("y2") - F.col("floor"), "y0": F.col("floor"), "floor": F.lit(0.0),
+                               "id": F.struct("ring_id", "x1", "y1", "x2", "y2")})
+    there = _banded(edges, "y1", "y2")
+    other = there.select("location_id", "band", *[F.col(c).alias(f"o_{c}") for c in ("id", "x1", "y1", "x2", "y2")])
+    met = there.join(other, ["location_id", "band"]).where(
+        (F.col("id") < F.col("o_id")) & (F.col("y1") < F.col("o_y2")) & (F.col("o_y1") < F.col("y2"))
+        & (F.least("x1", "x2") <= F.greatest("o_x1", "o_x2")) & (F.least("o_x1", "o_x2") <= F.greatest("x1", "x2")))
+    slope, o_slope = (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1")), (F.col("o_x2") - F.col("o_x1")) / (F.col("o_y2") - F.col("o_y1"))
+    at = F.try_divide(F.col("o_x1") - o_slope * F.col("o_y1") - F.col("x1") + slope * F.col("y1"), slope - o_slope)
+    zone = ["location_id", "floor", "height"]
+    crossed = met.withColumn("y", at).where((F.col("y") > F.greatest("y1", "o_y1")) & (F.col("y") < F.least("y2", "o_y2"))).select(*zone, "y")
+    heights = edges.select(*zone, F.col("y1").alias("y")).unionByName(edges.select(*zone, F.col("y2").alias("y"))).unionByName(crossed).distinct()
+    slabs = heights.withColumn("top", F.lead("y").over(Window.partitionBy("location_id").orderBy("y"))).where("top is not null")
+    slabs = _banded(slabs, "y", "y").select("location_id", "band", F.col("y").alias("lo"), F.col("top").alias("hi"))
+    cut = there.join(slabs, ["location_id", "band"]).where((F.col("y1") <= F.col("lo")) & (F.col("y2") >= F.col("hi")))
+    cut = cut.select("location_id", "ring_id", "x0", "y0", "lo", "hi", (F.col("x1") + slope * (F.col("lo") - F.col("y1"))).alias("xl"),
+                     (F.col("x1") + slope * (F.col("hi") - F.col("y1"))).alias("xh")).withColumn("mid", F.col("xl") + F.col("xh"))
+    slab = ["location_id", "lo"]
+    nth = F.row_number().over(Window.partitionBy(*slab, "ring_id").orderBy("mid"))
+    cut = cut.withColumn("turn", F.when(nth % 2 == 1, 1).otherwise(-1))
+    along = Window.partitionBy(*slab).orderBy("mid", F.col("turn").desc(), "ring_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = cut.withColumn("around", F.sum("turn").over(along))
+    side = F.when((F.col("turn") == 1) & (F.col("around") == 1), -1.0).when((F.col("turn") == -1) & (F.col("around") == 0), 1.0).otherwise(0.0)
+    h, xl, xh, lo, hi = F.col("hi") - F.col("lo"), F.col("xl"), F.col("xh"), F.col("lo"), F.col("hi")
+    sums = cut.groupBy("location_id", "x0", "y0").agg(
+        F.sum(side * h * (xl + xh) / 2).alias("a"), F.sum(side * h * (xl * xl + xl * xh + xh * xh) / 6).alias("mx"),
+        F.sum(side * h * (xl * (lo * 2 + hi) + xh * (lo + hi * 2)) / 6).alias("my"))
+    a = F.col("a")
+    return sums.select("location_id", (a * 2).alias("wa"), ((F.col("mx") + a * F.col("x0")) * 6).alias("wx"), ((F.col("my") + a * F.col("y0")) * 6).alias("wy"))
+
+
+def union_moments(rings: DataFrame) -> DataFrame:
+    """``location_id, wa, wx, wy`` of each zone's union, in parts to be added: rings whose box meets no other
+    ring's box of their zone by their own sums, the others by a sweep."""
+    b = _bbox(valid_rings(rings))
     box = ("min_lon", "max_lon", "min_lat", "max_lat")
-    outer = b.select("location_id", F.col("ring_id").alias("o_id"), F.col("pts").alias("o_pts"), F.col("key").alias("o_key"),
-                     *[F.col(c).alias(f"o_{c}") for c in box])
-    within = ((F.col("min_lon") >= F.col("o_min_lon")) & (F.col("max_lon") <= F.col("o_max_lon"))
-              & (F.col("min_lat") >= F.col("o_min_lat")) & (F.col("max_lat") <= F.col("o_max_lat")))
-    # only rings whose box lies in the other's box are compared vertex by vertex
-    met = b.join(outer, "location_id").where((F.col("ring_id") != F.col("o_id")) & within)
-    inside = F.forall("pts", lambda p: point_in_ring(F.col("o_pts"), p["lon"], p["lat"]))
-    repeats = (F.col("key") == F.col("o_key")) & (F.col("o_id") < F.col("ring_id"))
-    hidden = met.where(repeats | ((F.col("key") != F.col("o_key")) & inside)).select("ring_id").distinct()
-    return valid_rings(rings).join(hidden, "ring_id", "left_anti")
+    other = b.select("location_id", F.col("ring_id").alias("o_id"), *[F.col(c).alias(f"o_{c}") for c in box])
+    meets = ((F.col("min_lon") <= F.col("o_max_lon")) & (F.col("o_min_lon") <= F.col("max_lon"))
+             & (F.col("min_lat") <= F.col("o_max_lat")) & (F.col("o_min_lat") <= F.col("max_lat")))
+    mixed = (b.join(other, "location_id").where((F.col("ring_id") != F.col("o_id")) & meets)
+              .select(F.col("ring_id").alias("mixed_id")).distinct())
+    own = rings.join(mixed, F.col("ring_id") == F.col("mixed_id"), "left_anti")
+    together = rings.join(mixed, F.col("ring_id") == F.col("mixed_id"), "left_semi")
+    return ring_moments(own).drop("ring_id").unionByName(swept_moments(together))
 
 
 def zone_centroids(rings: DataFrame, zones: DataFrame | None = None, digits: int = 9) -> DataFrame:
-    """Centroid of the union of each zone's rings (a ring inside another one adds no area).
+    """Centroid of the union of each zone's rings (nested, touching and overlapping rings count once).
     A zone whose rings have no area keeps its row, with NULL centre."""
-    m = ring_moments(outer_rings(rings))
+    m = union_moments(rings)
     area = F.nullif(F.col("wa"), F.lit(0.0)) * 3
     c = (m.groupBy("location_id")
           .agg(F.sum("wa").alias("wa"), F.sum("wx").alias("wx"), F.sum("wy").alias("wy"))

@@ -500,3 +500,20 @@ def _zone_centroids_nested(fx: Fixtures) -> DataFrame:
     x, y = -74 + F.pmod(k, F.lit(50.0)) / 64, 40 + F.floor(k / 50) / 64
     rings = F.array(square(0, x + 1 / 1024, y + 1 / 1024, 1 / 512), square(1, x, y, 1 / 128), square(2, x + 1 / 512, y + 1 / 512, 1 / 1024))
     return geo.zone_centroids(fx.tables.supplier.select(F.col("s_suppkey").cast("int").alias("location_id"), F.inline(rings)), digits=6)
+
+
+@register("zone_centroids_overlapping")
+def _zone_centroids_overlapping(fx: Fixtures) -> DataFrame:
+    """Per supplier a square, a smaller one inside that shares two of its sides, one that overlaps it by half, a triangle across
+    both and a copy of the first: the union is a rectangle of one and a half squares, and so is the centre."""
+    k = F.col("s_suppkey").cast("double")
+    x, y, u = -74 + F.pmod(k, F.lit(50.0)) / 32, 40 + F.floor(k / 50) / 32, 1 / 128
+
+    def ring(n, *points):
+        p = [F.struct((x + px * u).alias("lon"), (y + py * u).alias("lat")) for px, py in (*points, points[0])]
+        return F.struct((F.col("s_suppkey") * 5 + n).cast("long").alias("ring_id"), F.array(*p).alias("pts"))
+
+    whole = ((0, 0), (1, 0), (1, 1), (0, 1))
+    rings = F.array(ring(0, *whole), ring(1, (0.5, 0.5), (1, 0.5), (1, 1), (0.5, 1)), ring(2, (0.5, 0), (1.5, 0), (1.5, 1), (0.5, 1)),
+                    ring(3, (0.25, 0.25), (1.25, 0.75), (0.5, 1)), ring(4, *reversed(whole)))
+    return geo.zone_centroids(fx.tables.supplier.select(F.col("s_suppkey").cast("int").alias("location_id"), F.inline(rings)), digits=6)

@@ -224,3 +224,31 @@ def test_centroid_is_of_the_union_of_nested_and_repeated_rings(spark):
            for r in geo.zone_centroids(spark.createDataFrame(rings, S.RING_SCHEMA)).collect()}
     # an inner ring of the same zone adds nothing, one of another zone hides nothing; no area: no centre
     assert got == {5: (5.0, 5.0), 6: (5.0, 1.0), 7: (None, None), 8: (7.0, 7.0)}
+
+
+def test_centroid_of_touching_and_overlapping_rings(spark):
+    """Rectangles on whole numbers against a count of unit cells, and shapes with known centres."""
+    import random
+    r = random.Random(11)
+    rings, want = [], {}
+    for zone in range(12):
+        cells = set()
+        for k in range(r.randint(2, 7)):
+            x, y, w, h = r.randint(0, 9), r.randint(0, 9), r.randint(1, 6), r.randint(1, 6)
+            cells |= {(i, j) for i in range(x, x + w) for j in range(y, y + h)}
+            pts = [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+            if r.random() < 0.5:
+                pts.reverse()
+            rings.append((zone * 10 + k, zone, [(float(a), float(b)) for a, b in [*pts, pts[0]]]))
+        want[zone] = tuple(sum(c[i] + 0.5 for c in cells) / len(cells) for i in (0, 1))
+    # shares two sides with the square around it; two triangles that cross; a triangle cut by a square's edge
+    rings += [(900, 90, _square(0.0, 0.0, 10.0)), (901, 90, _square(6.0, 6.0, 4.0)),
+              (902, 91, [(0.0, 0.0), (4.0, 0.0), (2.0, 3.0), (0.0, 0.0)]), (903, 91, [(0.0, 2.0), (4.0, 2.0), (2.0, -1.0), (0.0, 2.0)]),
+              (904, 92, _square(0.0, 0.0, 2.0)), (905, 92, [(1.0, 0.5), (1.0, 1.5), (3.0, 1.0), (1.0, 0.5)])]
+    want |= {90: (5.0, 5.0), 91: (2.0, 1.0)}
+    # the square, and of the triangle the part beyond its side: height 1, base 0.5 at x = 2
+    want[92] = ((4 * 1 + 0.25 * (2 + 1 / 3)) / 4.25, 1.0)
+    got = {x["location_id"]: (x["center_lon"], x["center_lat"]) for x in geo.zone_centroids(spark.createDataFrame(rings, S.RING_SCHEMA)).collect()}
+    assert got.keys() == want.keys()
+    for z, c in want.items():
+        assert abs(got[z][0] - c[0]) < 1e-8 and abs(got[z][1] - c[1]) < 1e-8, (z, got[z], c)
