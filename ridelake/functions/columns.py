@@ -127,3 +127,11 @@ def weather_condition(precip: str | Column) -> Column:
 def thousands(n: str | Column) -> Column:
     """Integer with a space as thousands separator: 1234567 -> '1 234 567'."""
     return F.translate(F.format_number(col_of(n).cast("long"), 0), ",", " ")
+
+
+def hour_number(ts: Column | str) -> Column:
+    """Hours from 1970 to a naive timestamp, as an integer: Parquet's page statistics are compared with integers,
+    but not with timestamps without a zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    hours = F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.date_trunc("HOUR", ts).cast("timestamp_ntz"))
+    return hours.cast("int")

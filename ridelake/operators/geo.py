@@ -244,38 +244,72 @@ def zone_centroids(rings: DataFrame, zones: DataFrame | None = None, digits: int
     return c
 
 
+def span_width(step: int) -> int:
+    """Cells of a span table's block: about 0.064 degrees, whatever the step."""
+    return max(1, 64 * step // 1000)
+
+
+def grid_spans(grid: DataFrame, step: int = S.GRID_STEP) -> DataFrame:
+    """The grid as spans: a row per (grid row, block of ``span_width`` columns) with the runs of neighbouring cells of one
+    zone in it, ``spans`` (from, to, location_id) in order. The same cells in a table that is
+    smaller by the length of the runs, so that finer grids still fit a broadcast."""
+    width = span_width(step)
+    cells = grid.select("lat_key", F.floor(F.col("lon_key") / width).cast("int").alias("block"), "lon_key", "location_id")
+    # cells of a run have the same distance to their number within the block and zone
+    nth = F.row_number().over(Window.partitionBy("lat_key", "block", "location_id").orderBy("lon_key"))
+    runs = cells.withColumn("run", F.col("lon_key") - nth).groupBy("lat_key", "block", "location_id", "run").agg(
+        F.min("lon_key").alias("from"), F.max("lon_key").alias("to"))
+    return runs.groupBy("lat_key", "block").agg(F.array_sort(F.collect_list(F.struct("from", "to", "location_id"))).alias("spans"))
+
+
 def geocode(df: DataFrame, grid: DataFrame, step: int = S.GRID_STEP) -> DataFrame:
     """GPS point -> grid cell -> zone, else the published id, else NULL.
 
+    ``grid`` is a table of cells (``zone_grid``) or of spans (``grid_spans``, of the same ``step``).
     Spark picks the join form from the grid's size (broadcast below its threshold,
     else a shuffle that AQE may split). Points outside the grid's bounding box, missing
     points and junk such as (0, 0) among them, get a salted key (|key| > 1e8) that no
     cell has, so on the shuffle path they don't pile up in one partition.
     """
-    g = grid.select("lon_key", "lat_key", "location_id")
+    by_span = "spans" in grid.columns
+    width = span_width(step)
+    if by_span:
+        g = grid.select(F.col("block").alias("lon_key"), "lat_key", "spans")
+    else:
+        g = grid.select("lon_key", "lat_key", "location_id")
     box = g.agg(F.struct(F.min("lon_key").alias("w"), F.max("lon_key").alias("e"),
                          F.min("lat_key").alias("s"), F.max("lat_key").alias("n"))).scalar()
     keyed = df.withColumns({
         "pu_lon_k": C.grid_key("pickup_longitude", step), "pu_lat_k": C.grid_key("pickup_latitude", step),
         "do_lon_k": C.grid_key("dropoff_longitude", step), "do_lat_k": C.grid_key("dropoff_latitude", step),
     })
-    salt = (F.lit(200_000_000) + F.pmod(F.xxhash64(*df.columns), F.lit(1_000_000))).cast("int")
+    # the salt only spreads points that match nothing: any columns that differ from row to row will do
+    unlike = [c for c in ("pickup_datetime", "dropoff_datetime") if c in df.columns] or df.columns
+    salt = (F.lit(200_000_000) + F.pmod(F.xxhash64(*unlike), F.lit(1_000_000))).cast("int")
     for role in ("pu", "do"):
         lon, lat = F.col(f"{role}_lon_k"), F.col(f"{role}_lat_k")
-        inside = lon.between(box["w"], box["e"]) & lat.between(box["s"], box["n"])
-        keyed = keyed.withColumn(f"{role}_lon_k", F.when(inside, lon).otherwise(salt))
+        key = F.floor(lon / width).cast("int") if by_span else lon
+        inside = key.between(box["w"], box["e"]) & lat.between(box["s"], box["n"])
+        keyed = keyed.withColumns({f"{role}_cell": lon, f"{role}_lon_k": F.when(inside, key).otherwise(salt)})
     # one grid, two roles (pickup and drop-off), as two aliases of the same plan:
     # a broadcast is built once and reused by the second lookup (ReusedExchange)
     gp, gd = g.alias("gp"), g.alias("gd")
     on_pu = (F.col("pu_lon_k") == F.col("gp.lon_key")) & (F.col("pu_lat_k") == F.col("gp.lat_key"))
     on_do = (F.col("do_lon_k") == F.col("gd.lon_key")) & (F.col("do_lat_k") == F.col("gd.lat_key"))
+
+    def zone(side: str, role: str) -> Column:
+        if not by_span:
+            return F.col(f"{side}.location_id")
+        cell = F.col(f"t.{role}_cell")
+        return F.get(F.filter(f"{side}.spans", lambda x: cell.between(x["from"], x["to"])), F.lit(0))["location_id"]
+
     keep = [c for c in df.columns if c not in (
         "pub_pickup_zone", "pub_dropoff_zone", "pickup_longitude", "pickup_latitude",
         "dropoff_longitude", "dropoff_latitude")]
     return (keyed.alias("t").join(gp, on_pu, "left").join(gd, on_do, "left")
                  .select(*[F.col(f"t.{c}") for c in keep],
-                         F.coalesce(F.col("gp.location_id"), F.col("t.pub_pickup_zone")).alias("pickup_location_id"),
-                         F.coalesce(F.col("gd.location_id"), F.col("t.pub_dropoff_zone")).alias("dropoff_location_id")))
+                         F.coalesce(zone("gp", "pu"), F.col("t.pub_pickup_zone")).alias("pickup_location_id"),
+                         F.coalesce(zone("gd", "do"), F.col("t.pub_dropoff_zone")).alias("dropoff_location_id")))
 
 
 def grid_coverage(rings: DataFrame, grid: DataFrame, step: int = S.GRID_STEP,

@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
+from ..sources.versions import replace_table
 from . import marts as M
 
 
@@ -66,7 +67,8 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
 
 def write_gold(spark: SparkSession, trips: DataFrame, zones: DataFrame, weather: DataFrame,
                root: str, names: list[str] | None = None, parallel: int = 4) -> list[str]:
-    """Write the chosen marts (default: all) as ``<root>/<name>`` Parquet tables.
+    """Write the chosen marts (default: all) as ``<root>/<name>`` Parquet tables, each replaced in one
+    step (read them with ``read_table``).
 
     The marts are independent jobs: ``parallel`` driver threads submit them at
     once, so Spark overlaps their scans and fills the task slots one job's
@@ -75,7 +77,7 @@ def write_gold(spark: SparkSession, trips: DataFrame, zones: DataFrame, weather:
     chosen = names or list(built)
 
     def write(name: str) -> str:
-        built[name]().write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+        replace_table(built[name](), f"{root.rstrip('/')}/{name}")
         return name
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:

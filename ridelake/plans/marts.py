@@ -461,6 +461,9 @@ def weather_at_trip(trips: DataFrame, zones: DataFrame, weather: DataFrame,
             # the lake is partitioned by pickup year/month: prune to one folder
             y, m = int(hour[0:4]), int(hour[5:7])
             t = t.where((F.col("year") == y) & (F.col("month") == m))
+        if "pickup_hour" in trips.columns:
+            # written silver is sorted by time: the pages of that hour
+            t = t.where(F.col("pickup_hour") == C.hour_number(start))
     z = zones.select("location_id", "zone_name")
     w = weather.select("ts", "temperature_c", "precipitation_mm")
     return (t.select("pickup_datetime", "pickup_location_id")

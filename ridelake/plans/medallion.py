@@ -12,6 +12,7 @@ from ..functions.projection import ConicConformal, rings_to_wgs84
 from ..operators import geo
 from ..schema import WEATHER_SCHEMA
 from ..sources import weather as WX
+from ..sources.versions import has_table, read_table, replace_table
 from ..streaming.incremental import incremental_load
 from . import marts as M
 from .gold import write_gold
@@ -28,6 +29,10 @@ class LakePaths:
     def grid(self) -> str:
         return f"{self.root}/silver/ref/grid_zones"
 
+    @property
+    def spans(self) -> str:
+        return f"{self.root}/silver/ref/grid_spans"
+
     @property
     def zones(self) -> str:
         return f"{self.root}/silver/ref/zones"
@@ -51,22 +56,22 @@ class LakePaths:
 
 def build_zones(rings: DataFrame, names: DataFrame, paths: LakePaths,
                 crs: ConicConformal | None = None) -> None:
-    """Zone table (id, borough, name, centroid) and the grid lookup, both written.
+    """Zone table (id, borough, name, centroid), the grid and its spans (what trips are looked up in), all written.
     With ``crs`` the ring vertices are (easting, northing) in that projection
     (the published polygons use EPSG:2263, ``NY_LONG_ISLAND_FTUS``) and are
     brought to degrees first, vertex by vertex, as built-in expressions."""
     if crs is not None:
         rings = rings.withColumn("pts", rings_to_wgs84("pts", crs))
-    geo.zone_centroids(rings, names).write.mode("overwrite").parquet(paths.zones)
-    geo.zone_grid(rings, names).write.mode("overwrite").parquet(paths.grid)
+    replace_table(geo.zone_centroids(rings, names), paths.zones)
+    replace_table(geo.zone_grid(rings, names), paths.grid)
+    replace_table(geo.grid_spans(read_table(rings.sparkSession, paths.grid)), paths.spans)
 
 
 def build_trips(spark: SparkSession, bronze_eras: list[str], paths: LakePaths,
                 max_files_per_trigger: int | None = None) -> int:
     """Incremental silver load of every bronze file not yet processed (in
     micro-batches of at most ``max_files_per_trigger`` files when given)."""
-    grid = spark.read.parquet(paths.grid)
-    return incremental_load(spark, bronze_eras, grid, paths.trips, paths.stream_checkpoint,
+    return incremental_load(spark, bronze_eras, read_table(spark, paths.spans), paths.trips, paths.stream_checkpoint,
                             max_files_per_trigger)
 
 
@@ -74,7 +79,7 @@ def build_trips_from_tree(spark: SparkSession, bronze_root: str, paths: LakePath
     """Batch incremental silver load of a bronze tree in the reference's layout
     (``vtype=/year=/month=``, drifting schemas): every month not yet in silver."""
     from .silver import load_bronze_tree
-    return load_bronze_tree(spark, bronze_root, spark.read.parquet(paths.grid), paths.trips)
+    return load_bronze_tree(spark, bronze_root, read_table(spark, paths.spans), paths.trips)
 
 
 def build_weather(spark: SparkSession, bronze_weather: str, paths: LakePaths) -> bool:
@@ -91,9 +96,9 @@ def build_weather(spark: SparkSession, bronze_weather: str, paths: LakePaths) ->
 
 def read_weather(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """The hourly table, or an empty one of its schema when no weather was ever loaded."""
-    if not WX.has_documents(spark, paths.weather):
+    if not has_table(spark, paths.weather):
         return spark.createDataFrame([], WEATHER_SCHEMA)
-    return spark.read.parquet(paths.weather)
+    return read_table(spark, paths.weather)
 
 
 def quality_report(trips: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
@@ -119,7 +124,7 @@ def build_lake(spark: SparkSession, bronze_eras: list[str], rings: DataFrame, na
         build_trips(spark, bronze_eras, paths, max_files_per_trigger)
     build_weather(spark, bronze_weather, paths)
     trips = spark.read.parquet(paths.trips)
-    zones = spark.read.parquet(paths.zones)
+    zones = read_table(spark, paths.zones)
     weather = read_weather(spark, paths)
     write_gold(spark, trips, zones, weather, paths.gold)
     return paths

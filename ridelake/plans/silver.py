@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.columns import hour_number
 from ..operators import clean, geo
 from ..sources import files
 from ..sources.lake import (changed_files, check_layout, file_schemas, listed_files, loaded_files, parquet_files,
@@ -25,6 +26,7 @@ from ..sources.lake import (changed_files, check_layout, file_schemas, listed_fi
 
 
 SOURCE_COL = "source_month"
+SORT_COL, HOUR_COL, PAGE_ROWS = "pickup_datetime", "pickup_hour", 4096
 SILVER_PARTITIONS = ("vtype", "year", "month")
 
 
@@ -67,12 +69,18 @@ def write_silver(df: DataFrame, path: str, partition_cols: tuple[str, ...] | Non
     Monthly bronze files are already clustered by month, so each task writes
     to about one partition folder and no shuffle is needed. ``rebalance=True``
     adds an AQE rebalance on the partition columns (one full shuffle) for
-    inputs that are not clustered, to avoid many small files."""
+    inputs that are not clustered, to avoid many small files.
+
+    Within a file rows are in order of pickup time, in pages of ``PAGE_ROWS`` rows, and carry the
+    number of their pickup hour: a lookup of one hour reads the pages whose index meets it, not the month."""
     if partition_cols is None:
         partition_cols = SILVER_PARTITIONS + ((SOURCE_COL,) if SOURCE_COL in df.columns else ())
     out = df.hint("rebalance", *partition_cols) if rebalance else df
+    if SORT_COL in df.columns:      # the write sorts by the partition columns anyway
+        out = out.withColumn(HOUR_COL, hour_number(SORT_COL)).sortWithinPartitions(*partition_cols, SORT_COL)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("parquet.page.row.count.limit", PAGE_ROWS)
         .partitionBy(*partition_cols)
         .parquet(path))
 

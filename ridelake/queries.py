@@ -17,6 +17,7 @@ from .session import apply_session_conf, work_path
 from .sources import files, lake
 from .sources import weather as WX
 from .sources.fixtures import Fixtures
+from .sources.versions import read_table
 from .streaming.incremental import incremental_load, write_bronze
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -260,6 +261,13 @@ def _geocode(fx: Fixtures) -> DataFrame:
                                             "dropoff_location_id")
 
 
+@register("geocode_spans")
+def _geocode_spans(fx: Fixtures) -> DataFrame:
+    """The lookup in the grid's spans gives what the lookup in its cells gives."""
+    c = clean.clean_values(clean.era_union(fx.raw_eras()))
+    return geo.geocode(c, geo.grid_spans(_grid(fx))).select("vtype", "pickup_datetime", "pickup_location_id", "dropoff_location_id")
+
+
 @register("silver_trips")
 def _silver_trips(fx: Fixtures) -> DataFrame:
     return SV.silver_trips(fx.raw_eras(), _grid(fx))
@@ -315,7 +323,7 @@ def _weather_json_explode(fx: Fixtures) -> DataFrame:
 def _weather_roundtrip(fx: Fixtures) -> DataFrame:
     path = work_path(fx.spark, "silver-weather")
     WX.write_weather(fx.weather, path)
-    return fx.spark.read.parquet(path)
+    return read_table(fx.spark, path)
 
 
 @register("silver_roundtrip")
@@ -427,7 +435,7 @@ def _weather_duplicate_hours(fx: Fixtures) -> DataFrame:
     empty = fx.weather.select("ts", *[F.lit(None).cast(t).alias(c) for c, t in fx.weather.dtypes if c != "ts"])
     WX.write_weather_documents(empty.unionByName(fx.weather), path)
     WX.write_weather(WX.read_weather_json(fx.spark, path), silver)
-    return M.price_by_weather(fx.trips, fx.spark.read.parquet(silver))
+    return M.price_by_weather(fx.trips, read_table(fx.spark, silver))
 
 
 @register("weather_overwrite")
@@ -436,7 +444,7 @@ def _weather_overwrite(fx: Fixtures) -> DataFrame:
     path = work_path(fx.spark, "weather-overwrite")
     for years in (F.year("ts") < 2022, F.year("ts") >= 2022):
         WX.write_weather(fx.weather.where(years), path)
-    return fx.spark.read.parquet(path)
+    return read_table(fx.spark, path)
 
 
 @register("weather_head")
@@ -469,8 +477,8 @@ def _dimension_roundtrip(fx: Fixtures) -> DataFrame:
     """Zone table and grid as the lake build writes them (unpartitioned), read back."""
     paths = LakePaths(work_path(fx.spark, "dimensions"))
     build_zones(fx.rings(), fx.zones, paths)
-    cells = fx.spark.read.parquet(paths.grid).groupBy("location_id").agg(F.count(F.lit(1)).alias("cells"))
-    return fx.spark.read.parquet(paths.zones).join(cells, "location_id", "left")
+    cells = read_table(fx.spark, paths.grid).groupBy("location_id").agg(F.count(F.lit(1)).alias("cells"))
+    return read_table(fx.spark, paths.zones).join(cells, "location_id", "left")
 
 
 @register("inventory_from_listing")

@@ -3,6 +3,8 @@
 They run on the driver and touch names only, never contents (``copy`` apart)."""
 from __future__ import annotations
 
+import uuid
+
 from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
@@ -73,3 +75,17 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, in one step: written beside and renamed over whatever stands there."""
+    beside = f"{path}.{uuid.uuid4().hex[:8]}"
+    write_text(spark, beside, text)
+    jvm = spark._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (beside, path))
+    _, absolute = at(spark, source.toString())
+    uri = source.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(absolute).toUri()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(uri, spark._jsc.hadoopConfiguration()).rename(source, target, options)

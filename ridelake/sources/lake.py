@@ -2,6 +2,8 @@
 month calendar, missing months and coverage per vehicle type."""
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,9 +153,16 @@ def record_files(spark: SparkSession, silver_path: str, changes: DataFrame) -> N
     changes.withColumn("load", F.lit(load).cast("long")).coalesce(1).write.mode("append").parquet(path)
 
 
+ARROW_SCHEMES = ("file", "hdfs", "gs", "gcs", "s3")     # fixed value: what footers are read from on the executors
+FOOTER_THREADS = 32
+
+
 def file_schemas(files: DataFrame) -> DataFrame:
-    """``path, schema`` of each file: one job that reads the footers on the executors,
-    however many files there are. The schema text names columns and types in order."""
+    """``path, schema`` of each file, whose text names columns and types in order.
+
+    One job reads the footers on the executors, however many files there are. On a file system that
+    only Hadoop knows (s3a, abfss, viewfs, ...) the driver reads them through Hadoop, with the
+    session's own settings and credentials, ``FOOTER_THREADS`` at a time."""
     def footers(batches):      # self-contained: the executors need not have this library
         import pyarrow as pa
         import pyarrow.fs as pafs
@@ -166,7 +175,20 @@ def file_schemas(files: DataFrame) -> DataFrame:
                 schema = pq.read_schema(local, filesystem=fs)
                 texts.append("; ".join(f"{f.name} {f.type}" for f in schema))
             yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(texts, pa.string())], ["path", "schema"])
-    return files.select("path").mapInArrow(footers, "path string, schema string")
+
+    spark, scheme = files.sparkSession, F.regexp_extract("path", "^([A-Za-z0-9+.-]+):", 1)
+    some = files.select(scheme.alias("scheme")).first()
+    if some is None or some["scheme"] in ("", *ARROW_SCHEMES):
+        return files.select("path").mapInArrow(footers, "path string, schema string")
+    conf = spark._jsc.hadoopConfiguration()
+
+    def footer(path: str) -> tuple[str, str]:
+        return path, spark._jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(
+            conf, spark._jvm.org.apache.hadoop.fs.Path(path)).getFileMetaData().getSchema().toString()
+
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        rows = list(pool.map(footer, [r["path"] for r in files.select("path").collect()]))
+    return spark.createDataFrame(rows, "path string, schema string")
 
 
 LAG_MONTHS = 2      # fixed value: the announced publication delay

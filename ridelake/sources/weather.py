@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import columns as C
 from ..operators.clean import one_per_key
+from .versions import replace_table
 
 
 def explode_hourly(raw: DataFrame) -> DataFrame:
@@ -55,9 +56,8 @@ def write_weather_documents(hourly: DataFrame, path: str) -> None:
 
 
 def write_weather(hourly: DataFrame, path: str) -> None:
-    """Silver weather: full overwrite (whatever the session's overwrite mode), partitioned by year."""
-    (hourly.withColumn("year", F.year("ts"))
-           .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year").parquet(path))
+    """Silver weather: the whole table is replaced in one step, partitioned by year (read with ``read_table``)."""
+    replace_table(hourly.withColumn("year", F.year("ts")), path, ("year",))
 
 
 def weather_head(hourly: DataFrame, n: int = 3) -> DataFrame:

@@ -4,6 +4,7 @@ from ridelake.plans import marts as M
 from ridelake.plans.medallion import LakePaths, build_lake, build_weather, quality_report
 from ridelake.plans.silver import silver_trips
 from ridelake.session import work_path
+from ridelake.sources.versions import read_table
 from ridelake.sources import weather as WX
 from ridelake.sources.fixtures import Fixtures
 from ridelake.streaming.incremental import write_bronze
@@ -21,10 +22,10 @@ def test_build_lake_end_to_end(spark):
     trips = spark.read.parquet(paths.trips)
     want = silver_trips(fx.raw_eras(), geo.zone_grid(fx.rings(), fx.zones))
     assert trips.count() == want.count()
-    assert spark.read.parquet(paths.weather).count() == fx.weather.count()
-    zones = spark.read.parquet(paths.zones)
+    assert read_table(spark, paths.weather).count() == fx.weather.count()
+    zones = read_table(spark, paths.zones)
     assert {"location_id", "borough", "zone_name", "center_lon", "center_lat"} <= set(zones.columns)
-    kpi = spark.read.parquet(f"{paths.gold}/kpi_cards").first()
+    kpi = read_table(spark, f"{paths.gold}/kpi_cards").first()
     assert kpi["total_courses"] == trips.count()
     rep = quality_report(trips, zones)
     assert rep["volumes"].agg({"courses": "sum"}).first()[0] == trips.count()
@@ -107,7 +108,7 @@ def test_build_lake_from_a_tree_and_state_plane_rings(spark):
                        bronze_tree=tree, crs=NY_LONG_ISLAND_FTUS)
     trips = spark.read.parquet(paths.trips)
     assert "source_month" in trips.columns
-    kpi = spark.read.parquet(f"{paths.gold}/kpi_cards").first()
+    kpi = read_table(spark, f"{paths.gold}/kpi_cards").first()
     assert kpi["total_courses"] == trips.count() > 0
 
 
@@ -119,10 +120,10 @@ def test_weather_table_is_replaced_and_never_wiped_by_no_input(spark):
         WX.write_weather_documents(fx.weather.where(years), bronze)
         assert build_weather(spark, bronze, paths) is True
     want = fx.weather.where(F.year("ts") >= 2021).count()
-    assert spark.read.parquet(paths.weather).count() == want
+    assert read_table(spark, paths.weather).count() == want
     spark.createDataFrame([], "value string").write.text(empty)      # a folder without a document
     assert build_weather(spark, empty, paths) is False
-    assert spark.read.parquet(paths.weather).count() == want
+    assert read_table(spark, paths.weather).count() == want
 
 
 def test_duplicate_hours_keep_the_row_with_measures(spark):
@@ -140,5 +141,5 @@ def test_lake_builds_without_weather(spark):
     fx = Fixtures(spark, SF)
     bronze = write_bronze(fx.raw_eras(keep_file_month=True), work_path(spark, "nw-bronze"))
     paths = build_lake(spark, bronze, fx.rings(), fx.zones, work_path(spark, "nw-none"), work_path(spark, "nw-lake"))
-    assert spark.read.parquet(f"{paths.gold}/price_by_weather").count() == 0
-    assert spark.read.parquet(f"{paths.gold}/kpi_cards").first()["delta_pluie"] == 0.0
+    assert read_table(spark, f"{paths.gold}/price_by_weather").count() == 0
+    assert read_table(spark, f"{paths.gold}/kpi_cards").first()["delta_pluie"] == 0.0

@@ -9,6 +9,7 @@ from ridelake.plans import marts as M
 from ridelake.plans import silver as SV
 from ridelake.operators import geo
 from ridelake.session import work_path
+from ridelake.sources.versions import read_table
 from ridelake.sources.fixtures import Fixtures
 
 SF = "/root/testdata/sf0.001"
@@ -93,8 +94,8 @@ def test_gold_marts_write_and_read_back(spark, lake):
     names = write_gold(spark, lake["trips"], lake["zones"], lake["weather"], root,
                        names=["volumes", "top_zones", "kpi_cards"])
     assert names == ["volumes", "top_zones", "kpi_cards"]
-    assert spark.read.parquet(f"{root}/kpi_cards").count() == 1
-    assert spark.read.parquet(f"{root}/top_zones").count() <= 10
+    assert read_table(spark, f"{root}/kpi_cards").count() == 1
+    assert read_table(spark, f"{root}/top_zones").count() <= 10
 
 
 def test_grid_broadcast_is_built_once(spark):
