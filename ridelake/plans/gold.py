@@ -17,8 +17,8 @@ from ..sources.versions import replace_table
 from . import marts as M
 
 
-def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
-          weather: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+def marts(spark: SparkSession, trips: DataFrame | None, zones: DataFrame, weather: DataFrame,
+          given: dict[str, Callable[[], DataFrame]] | None = None) -> dict[str, Callable[[], DataFrame]]:
     """Name -> builder of each gold mart (lazy: nothing runs until a builder is called).
 
     Several marts are views of the same small aggregate: the hourly profile
@@ -28,7 +28,8 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
     table (fees, fee series). Each is computed from the trips once, on first
     use, and checkpointed (it is bounded by the calendar, the zones or the
     bins, not by the trip volume), so building all marts scans the trip
-    table four times instead of once or more per mart.
+    table four times instead of once or more per mart. ``given`` names builders of shared aggregates
+    (``profile, pairs, hist, monthly``) to use in place of those that read the trips.
     """
     ensure_checkpoint_dir(spark)     # shared aggregates are checkpointed there
     shared: dict[str, DataFrame] = {}
@@ -43,11 +44,12 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
             return shared[name]
         return get
 
-    prof = once("profile", lambda: M.hourly_profile(trips))
-    pairs = once("pairs", lambda: M.zone_pairs(trips))
+    given = given or {}
+    prof = once("profile", given.get("profile", lambda: M.hourly_profile(trips)))
+    pairs = once("pairs", given.get("pairs", lambda: M.zone_pairs(trips)))
     flows = once("flows", lambda: M.zone_flows_from_pairs(pairs(), zones))
-    hist = once("hist", lambda: M.price_histogram(trips, zones))
-    monthly = once("monthly", lambda: M.fees_by_month(trips))
+    hist = once("hist", given.get("hist", lambda: M.price_histogram(trips, zones)))
+    monthly = once("monthly", given.get("monthly", lambda: M.fees_by_month(trips)))
     return {
         "volumes": lambda: M.volumes_from_profile(prof()),
         "fees_by_month": monthly,
@@ -65,15 +67,16 @@ def marts(spark: SparkSession, trips: DataFrame, zones: DataFrame,
     }
 
 
-def write_gold(spark: SparkSession, trips: DataFrame, zones: DataFrame, weather: DataFrame,
-               root: str, names: list[str] | None = None, parallel: int = 4) -> list[str]:
+def write_gold(spark: SparkSession, trips: DataFrame | None, zones: DataFrame, weather: DataFrame,
+               root: str, names: list[str] | None = None, parallel: int = 4,
+               given: dict[str, Callable[[], DataFrame]] | None = None) -> list[str]:
     """Write the chosen marts (default: all) as ``<root>/<name>`` Parquet tables, each replaced in one
     step (read them with ``read_table``).
 
     The marts are independent jobs: ``parallel`` driver threads submit them at
     once, so Spark overlaps their scans and fills the task slots one job's
     tail leaves idle. Each shared aggregate is still computed once."""
-    built = marts(spark, trips, zones, weather)
+    built = marts(spark, trips, zones, weather, given)
     chosen = names or list(built)
 
     def write(name: str) -> str:

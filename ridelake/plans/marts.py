@@ -2,7 +2,7 @@
 
 Each function is ``DataFrame(s) -> DataFrame``. Facts are only ever grouped
 (partial + final hash aggregation, so a hot key is combined map-side) or
-joined to dimensions behind a size check; windows run on small aggregated
+joined to dimensions after that; windows run on small aggregated
 frames only (a few hundred rows at most, bounded by the calendar or by the
 number of zones), never on facts.
 """
@@ -86,6 +86,25 @@ def fees_by_month(trips: DataFrame, digits: int = 6) -> DataFrame:
                  .orderBy("mois", "vtype"))
 
 
+def fee_sums(trips: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Sum and number of amounts of each fee by (year, month, vtype), and by ``by``: parts that can be added up."""
+    t = F.col("pickup_datetime")
+    return trips.groupBy(F.year(t).alias("y"), F.month(t).alias("m"), "vtype", *by).agg(
+        *[f(c).alias(f"{n}_{c}") for c in FEE_AVG_COLS for n, f in (("sum", F.sum), ("n", F.count))])
+
+
+def fees_from_sums(sums: DataFrame, digits: int = 6) -> DataFrame:
+    """``fees_by_month`` from the fees' sums."""
+    out = []
+    for c, name in FEE_AVG_COLS.items():
+        out.append(F.round(F.try_divide(F.sum(f"sum_{c}"), F.sum(f"n_{c}")), digits).alias(name))
+        out.append(F.round(F.sum(f"sum_{c}"), digits - 2).alias(f"{name}_total"))
+    return (sums.groupBy("y", "m", "vtype").agg(*out)
+                .select(F.format_string("%04d-%02d", "y", "m").alias("mois"), "vtype",
+                        *[c for n in FEE_AVG_COLS.values() for c in (n, f"{n}_total")])
+                .orderBy("mois", "vtype"))
+
+
 def fees_by_month_head(trips: DataFrame, vtype: str = "yellow", n: int = 14) -> DataFrame:
     """First ``n`` months of one type's fee history (a head of a sorted report)."""
     return (fees_by_month(trips.where(F.col("vtype") == vtype))
@@ -137,11 +156,11 @@ def fee_status(trips: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------- zones / flows
-def zone_pairs(trips: DataFrame) -> DataFrame:
+def zone_pairs(trips: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Trips and in-scope trips per (pickup id, drop-off id), NULL ids included.
     Bounded by the square of the number of zones, whatever the trip volume; the
     flows, the top zones and the top in-scope zone all derive from it."""
-    return (trips.groupBy("pickup_location_id", "dropoff_location_id")
+    return (trips.groupBy("pickup_location_id", "dropoff_location_id", *by)
                  .agg(_count().alias("n_all"),
                       F.count(F.when(C.in_scope(), F.lit(1))).alias("n_scope")))
 
@@ -293,15 +312,15 @@ def price_per_distance(trips: DataFrame, digits: int = 9) -> DataFrame:
             .agg(F.round(F.avg("prix_km"), digits).alias("prix_km_moyen"), _count().alias("courses")))
 
 
-def price_cells(trips: DataFrame) -> DataFrame:
+def price_cells(trips: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Trips per (start zone, year, month, price bin): zone is NULL out of scope, bin is NULL
     out of scope or at the ratio cap. Bounded by zones x months x bins."""
     scope = C.in_scope()
     ratio = C.ratio("fare_amount", "trip_distance")
     t = F.col("pickup_datetime")
     return (trips.select(F.when(scope, F.col("pickup_location_id")).alias("zone"), F.year(t).alias("y"), F.month(t).alias("m"),
-                         F.when(scope & (ratio < S.RATIO_CAP), C.price_bin(ratio)).alias("bin"))
-                 .groupBy("zone", "y", "m", "bin").agg(_count().alias("n")))
+                         F.when(scope & (ratio < S.RATIO_CAP), C.price_bin(ratio)).alias("bin"), *by)
+                 .groupBy("zone", "y", "m", "bin", *by).agg(_count().alias("n")))
 
 
 def price_histogram(trips: DataFrame, zones: DataFrame, location_id: int | None = None, zone_name: str | None = None) -> DataFrame:
@@ -312,7 +331,12 @@ def price_histogram(trips: DataFrame, zones: DataFrame, location_id: int | None
     frequent in-scope zone (of several: most trips, then lowest id). Trips are scanned once:
     each zone's cells become one row, one aggregate over those rows takes the
     chosen zone's and counts the years."""
-    per_zone = price_cells(trips).groupBy("zone").agg(
+    return price_histogram_from_cells(price_cells(trips), zones, location_id, zone_name)
+
+
+def price_histogram_from_cells(cells: DataFrame, zones: DataFrame, location_id: int | None = None, zone_name: str | None = None) -> DataFrame:
+    """``price_histogram`` from the price cells."""
+    per_zone = cells.groupBy("zone").agg(
         F.sum("n").alias("courses"), F.collect_set("y").alias("years"),
         F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("y", "m", "bin", "n"))).alias("cells"))
     named = per_zone.join(zones.select("location_id", "zone_name"), F.col("zone") == F.col("location_id"), "left")
@@ -474,13 +498,13 @@ def weather_at_trip(trips: DataFrame, zones: DataFrame, weather: DataFrame,
 
 
 # --------------------------------------------------------------- KPI row
-def hourly_profile(trips: DataFrame) -> DataFrame:
+def hourly_profile(trips: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """One row per (vtype, pickup hour) with every count the KPI row needs:
     all trips, trips with a pickup zone, in-scope trips and their ratio sum.
     Bounded by types x hours of the calendar, whatever the trip volume."""
     scope = C.in_scope()
     r = C.ratio("fare_amount", "trip_distance")
-    return (trips.groupBy("vtype", C.hour_start("pickup_datetime").alias("ts"))
+    return (trips.groupBy("vtype", C.hour_start("pickup_datetime").alias("ts"), *by)
                  .agg(_count().alias("n_all"), F.count("pickup_location_id").alias("n_zone"),
                       F.sum(F.when(scope, r)).alias("s"), F.count(F.when(scope, F.lit(1))).alias("n")))
 

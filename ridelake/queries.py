@@ -12,6 +12,7 @@ from .functions.projection import rings_to_wgs84, to_easting_northing
 from .operators import clean, geo
 from .plans import marts as M
 from .plans import silver as SV
+from .plans.refresh import refresh_gold
 from .plans.medallion import LakePaths, build_zones
 from .session import apply_session_conf, work_path
 from .sources import files, lake
@@ -525,3 +526,14 @@ def _zone_centroids_overlapping(fx: Fixtures) -> DataFrame:
     rings = F.array(ring(0, *whole), ring(1, (0.5, 0.5), (1, 0.5), (1, 1), (0.5, 1)), ring(2, (0.5, 0), (1.5, 0), (1.5, 1), (0.5, 1)),
                     ring(3, (0.25, 0.25), (1.25, 0.75), (0.5, 1)), ring(4, *reversed(whole)))
     return geo.zone_centroids(fx.tables.supplier.select(F.col("s_suppkey").cast("int").alias("location_id"), F.inline(rings)), digits=6)
+
+
+@register("gold_refresh")
+def _gold_refresh(fx: Fixtures) -> DataFrame:
+    """Gold brought up to date after a second delivery of months, from the parts of the first and the trips of the second."""
+    spark, silver, gold = fx.spark, work_path(fx.spark, "refresh-silver"), work_path(fx.spark, "refresh-gold")
+    trips = fx.trips.withColumn(SV.SOURCE_COL, year_month("pickup_datetime"))
+    for late in (False, True):
+        SV.write_silver(trips.where((F.col("month") % 3 == 0) == late), silver, rebalance=True)
+        refresh_gold(spark, silver, fx.zones, fx.weather, gold)
+    return read_table(spark, f"{gold}/fees_by_month")
