@@ -19,6 +19,8 @@ of the next month cannot mark that month as "done".
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,9 +120,12 @@ def incremental_load(spark: SparkSession, bronze_paths: list[str], grid: DataFra
     whole history this keeps each batch's job a bounded share of the input: a failure reruns only
     the batch in flight."""
     check_layout(spark, silver_path)
-    started = [start_era_stream(spark, p, grid, silver_path, f"{checkpoint_root.rstrip('/')}/era{i}", f"era{i}",
-                                max_files_per_trigger)
-               for i, p in enumerate(bronze_paths, start=1)]
+    def start(i: int):
+        return start_era_stream(spark, bronze_paths[i], grid, silver_path, f"{checkpoint_root.rstrip('/')}/era{i + 1}",
+                                f"era{i + 1}", max_files_per_trigger)
+
+    with ThreadPoolExecutor(max(1, len(bronze_paths))) as pool:      # the trees are listed at the same time
+        started = list(pool.map(start, range(len(bronze_paths))))
     for q, _ in started:
         if q:
             q.awaitTermination()
