@@ -158,3 +158,31 @@ def load_bronze_tree(spark: SparkSession, root: str, grid: DataFrame, silver_pat
     replace_sources(spark, silver_path, sources, silver_trips_by_source(frames, grid) if frames else None)
     record_files(spark, silver_path, changes)
     return len(sources)
+
+
+def compact_silver(spark: SparkSession, silver_path: str, target_bytes: int = 128 << 20) -> int:
+    """Rewrite the folders of a table loaded by ``load_bronze_tree`` that hold more files than their bytes need at
+    ``target_bytes`` a file; the number of folders rewritten. Others are not read.
+
+    A folder holds one source's rows of one pickup month, and stays so: rows are dealt to its new files by
+    their day, in order of time. The sources concerned leave the ledger first and come back into it last, so a
+    rewrite that stops half way is made good by the next load, which builds them from bronze again."""
+    keys = [*SILVER_PARTITIONS, SOURCE_COL]
+    listed = parquet_files(spark, silver_path).select("length", *[F.col(k).cast("string").alias(k) for k in keys])
+    folders = listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("files"), F.ceil(F.sum("length") / target_bytes).cast("int").alias("fit"))
+    todo = folders.where("files > fit").checkpoint()
+    rows = todo.collect()        # one row a folder to rewrite: (type, source month) and a pickup month
+    if not rows:
+        return 0
+    sources = todo.select("vtype", SOURCE_COL).distinct()
+    known = loaded_files(spark, silver_path).join(sources, ["vtype", SOURCE_COL], "left_semi").checkpoint()
+    record_files(spark, silver_path, known.withColumn("present", F.lit(False)))
+    wanted = [F.struct(*[F.lit(r[k]) for k in keys]) for r in rows]
+    trips = spark.read.parquet(silver_path)
+    here = trips.where(F.struct(*[F.col(k).cast("string") for k in keys]).isin(*wanted))
+    fit = todo.select(*[F.col(k).cast(trips.schema[k].dataType).alias(k) for k in keys], "fit")
+    slot = F.floor((F.dayofmonth(SORT_COL) - 1) / 31 * F.col("fit"))
+    dealt = here.join(F.broadcast(fit), keys).repartition(sum(r["fit"] for r in rows), *keys, slot)     # folders: as many rows as ``rows``
+    write_silver(dealt.select(*trips.columns), silver_path)
+    record_files(spark, silver_path, known.withColumn("present", F.lit(True)))
+    return len(rows)

@@ -324,3 +324,39 @@ def test_a_batch_that_failed_is_done_by_the_next_load(spark, monkeypatch):
     put(spark, root, 1, [2])
     assert incremental_load(spark, [root], g, silver, ckpt) >= 1
     assert totals(spark, silver) == [(1, 1.0), (1, 2.0), (2, 50.0)]
+
+
+def test_compaction_keeps_rows_and_replacement_by_source(spark, monkeypatch):
+    import pytest
+
+    from ridelake.plans import silver as SV
+    from ridelake.sources.lake import parquet_files
+    g = grid(spark).checkpoint()
+    root, silver = work_path(spark, "cp-bronze"), work_path(spark, "cp-silver")
+    for d in (1, 2, 3):
+        put(spark, root, 1, [d], stray=d % 2)
+    put(spark, root, 2, [9])
+    assert SV.load_bronze_tree(spark, root, g, silver) == 2
+    # many small files, as a load with more tasks leaves them
+    spark.read.parquet(silver).where(f"{SOURCE_COL} = '2021-01'").repartition(7).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("vtype", "year", "month", SOURCE_COL).parquet(silver)
+    want = totals(spark, silver)
+    files_in = lambda: {r[0]: r[1] for r in parquet_files(spark, silver).groupBy(SOURCE_COL).count().collect()}      # noqa: E731
+    assert files_in()["2021-01"] > 2
+
+    done = SV.write_silver
+    monkeypatch.setattr(SV, "write_silver", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        SV.compact_silver(spark, silver)
+    monkeypatch.setattr(SV, "write_silver", done)
+    assert SV.load_bronze_tree(spark, root, g, silver) == 1          # the source is built again
+    assert totals(spark, silver) == want
+
+    spark.read.parquet(silver).where(f"{SOURCE_COL} = '2021-01'").repartition(7).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("vtype", "year", "month", SOURCE_COL).parquet(silver)
+    assert SV.compact_silver(spark, silver) >= 1 and SV.compact_silver(spark, silver) == 0
+    assert files_in() == {"2021-01": 2, "2021-02": 1} and totals(spark, silver) == want
+    assert SV.load_bronze_tree(spark, root, g, silver) == 0
+    put(spark, root, 1, [4])
+    assert SV.load_bronze_tree(spark, root, g, silver) == 1
+    assert totals(spark, silver) == sorted([*want, (1, 4.0)])
