@@ -30,14 +30,19 @@ SYMBOLS = "#*$%&|<>"
 @dataclass(frozen=True)
 class HostRules:
     """``fail_symbols``/``fail_dup_lines``/``fail_word_chars``: limits of the document
-    rules beside the base rule. A host whose shrunk failure rate reaches ``block_rate``
-    loses all its documents; one that reaches ``watch_rate`` loses those that fail any rule."""
+    rules beside the base rule. A host is compared with the corpus: if the odds of its shrunk failure rate are
+    ``block_lift`` times the corpus's or more, it loses all its documents, from ``watch_lift`` times on
+    those that fail any rule. Either takes ``min_failures`` failures, and more than chance explains."""
     symbols_per_word: float = 0.2
     dup_lines: int = 10
     min_word_chars: float = 2.0
     max_word_chars: float = 15.0
-    block_rate: float = 0.6
-    watch_rate: float = 0.4
+    block_lift: float = 3.0
+    watch_lift: float = 2.0
+    min_failures: int = 5
+
+
+Z2 = 3.8416              # squared normal quantile of 95 %
 
 
 def measures(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
@@ -93,20 +98,27 @@ def host_verdicts(measured: DataFrame, host_col: str, failed: Column, rules: Hos
     hosts = written(measured.where(F.col(host_col).isNotNull()).groupBy(F.col(host_col).alias("host")).agg(
         F.count(F.lit(1)).alias("docs"), F.sum(F.when(failed, 1).otherwise(0)).alias("failures")), "host-counts")
     n, k = F.col("docs"), F.col("failures")
-    # exact integer sums, so that the prior doesn't depend on the order of addition
+    # exact sums, so that the prior doesn't depend on the order of addition
     t = hosts.agg(F.count(F.lit(1)).alias("h"), F.sum(n).alias("n"), F.sum(k).alias("k"),
-                  F.sum((n * n).cast("decimal(38,0)")).alias("nn")).first()
+                  F.sum((n * n).cast("decimal(38,0)")).alias("nn"),
+                  F.sum(F.round(k * k / n, 9).cast("decimal(38,9)")).alias("kkn")).first()
     if not t["h"]:
         return hosts.select("host", "docs", "failures", F.lit(0.0).alias("rate"), F.lit("ok").alias("verdict"))
     total, m = float(t["n"]), t["k"] / t["n"]
-    spread = hosts.agg(F.sum(n * F.pow(k / n - F.lit(m), 2)).alias("s")).first()["s"]
+    spread = float(t["kkn"]) - t["k"] * m          # sum of n (k / n - m)^2
     freedom = total - float(t["nn"]) / total - (t["h"] - 1)
     between = (spread - m * (1 - m) * (t["h"] - 1)) / freedom if freedom > 0 else 0.0
     strength = max(m * (1 - m) / between - 1, 0.0) if between > 0 else None
     rate = F.lit(m) if strength is None else (k + F.lit(strength * m)) / (n + F.lit(strength))
     rate = F.round(rate, 9)
+    more = k - n * F.lit(m)
+    sure = (k >= rules.min_failures) & (more > 0) & (more * more > F.lit(Z2) * n * F.lit(m) * F.lit(1 - m))
+
+    def lifted(times: float) -> Column:
+        return sure & (rate * F.lit(1 - m) >= F.lit(times) * F.lit(m) * (F.lit(1.0) - rate))
+
     return hosts.select("host", "docs", "failures", rate.alias("rate"), F.when(
-        rate >= rules.block_rate, "block").when(rate >= rules.watch_rate, "watch").otherwise("ok").alias("verdict"))
+        lifted(rules.block_lift), "block").when(lifted(rules.watch_lift), "watch").otherwise("ok").alias("verdict"))
 
 
 def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", rules: HostRules = HostRules(),
@@ -160,14 +172,15 @@ rules AS (SELECT *, (base_failed OR n_symbols > 0.2 * n_words OR n_dup_lines > 1
                      OR word_chars < 2.0 * n_words OR word_chars > 15.0 * n_words) AS failed FROM judged),
 hosts AS (SELECT source, count(*)::DOUBLE AS n, count(*) FILTER (failed)::DOUBLE AS k
           FROM rules WHERE source IS NOT NULL GROUP BY source),
-corpus AS (SELECT count(*) AS h, sum(n) AS n, sum(k) / sum(n) AS m, sum(n * n) AS nn FROM hosts),
-spread AS (SELECT (sum(hosts.n * pow(k / hosts.n - m, 2)) - any_value(m * (1 - m) * (h - 1)))
-                  / any_value(corpus.n - nn / corpus.n - (h - 1)) AS b, any_value(m) AS m FROM hosts, corpus),
-shrunk AS (SELECT source, CASE WHEN b > 0 THEN (k + greatest(m * (1 - m) / b - 1, 0) * m)
-                                            / (hosts.n + greatest(m * (1 - m) / b - 1, 0)) ELSE m END AS rate
+corpus AS (SELECT count(*) AS h, sum(n) AS n, sum(k) / sum(n) AS m, sum(n * n) AS nn,
+                  sum(round(k * k / n, 9)::DECIMAL(38, 9))::DOUBLE - sum(k) * (sum(k) / sum(n)) AS s FROM hosts),
+spread AS (SELECT (s - m * (1 - m) * (h - 1)) / (n - nn / n - (h - 1)) AS b, m FROM corpus),
+shrunk AS (SELECT source, n, k, m, round(CASE WHEN b > 0 THEN (k + greatest(m * (1 - m) / b - 1, 0) * m)
+                                                          / (hosts.n + greatest(m * (1 - m) / b - 1, 0)) ELSE m END, 9) AS rate
            FROM hosts, spread),
-verdicts AS (SELECT source, CASE WHEN round(rate, 9) >= 0.6 THEN 'block' WHEN round(rate, 9) >= 0.4 THEN 'watch' ELSE 'ok' END AS v
-             FROM shrunk)
+sure AS (SELECT *, k >= 5 AND k - n * m > 0 AND (k - n * m) * (k - n * m) > 3.8416::DOUBLE * n * m * (1 - m) AS sure FROM shrunk),
+verdicts AS (SELECT source, CASE WHEN sure AND rate * (1 - m) >= 3 * m * (1 - rate) THEN 'block'
+                                 WHEN sure AND rate * (1 - m) >= 2 * m * (1 - rate) THEN 'watch' ELSE 'ok' END AS v FROM sure)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, v AS host_verdict,
        NOT base_failed AND (v IS NULL OR v = 'ok' OR (v = 'watch' AND NOT failed)) AS kept
 FROM rules LEFT JOIN verdicts ON rules.source = verdicts.source

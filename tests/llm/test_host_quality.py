@@ -59,3 +59,35 @@ def test_odd_rows_and_clashing_names(spark, odd_docs):
     for r in res:
         assert r[got["base_failed"]] == brute(r["text"])[-1]
         assert r[got["kept"]] is not None
+
+
+def corpus(spread=True):
+    """Twenty hosts with every tenth document noisy, one with 39 of 100, one with 24, one with two documents."""
+    good = " ".join(f"w{i}" for i in range(60))
+    noisy = " ".join(f"w{i}#*$" for i in range(60))
+    shares = {f"h{k:02d}": (100, 10) for k in range(20)} | ({"bad": (100, 39), "odd": (100, 24), "tiny": (2, 2)} if spread else {})
+    rows = [(h, noisy if i < bad else good) for h, (n, bad) in shares.items() for i in range(n)] + [(None, noisy), ("h01", "too short"), ("h02", None)]
+    return [(i, t, h) for i, (h, t) in enumerate(rows)]
+
+
+def test_limits_are_relative_to_the_corpus(spark, tmp_path):
+    """The method decides: documents that pass the base rule go by their host's verdict. Same rows as the SQL."""
+    import duckdb
+    for name, spread in (("a", True), ("b", False)):
+        spark.createDataFrame(corpus(spread), "doc_id long, text string, source string").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        out = H.op1_host_quality_rules(spark, f"{tmp_path}/{name}")
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/{name}/documents.parquet/*.parquet')")
+        want = con.sql(H.OP1_SQL)
+        cols = want.columns
+        got = sorted(tuple(r) for r in out.select(*cols).collect())
+        assert got == sorted(want.fetchall())
+        of = {r[0]: dict(zip(cols, r)) for r in got}
+        verdicts = {h: of[i]["host_verdict"] for i, _, h in corpus(spread)}
+        lost = {i for i, r in of.items() if not r["kept"] and not r["base_failed"]}
+        if spread:
+            assert (verdicts.pop("bad"), verdicts.pop("odd"), verdicts.pop("tiny"), verdicts.pop(None)) == ("block", "watch", "ok", None)
+            assert lost == {i for i, t, h in corpus() if h == "bad" or (h == "odd" and "#" in t)}
+        else:
+            assert not lost and verdicts.pop(None) is None
+        assert set(verdicts.values()) == {"ok"}
