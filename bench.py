@@ -91,7 +91,7 @@ def main() -> int:
     timed("fee_status", lambda: run(M.fee_status(trips)))
     timed("top_zones", lambda: run(M.top_zones(trips, zones)))
     timed("flow_ribbons", lambda: run(M.flow_ribbons(M.zone_flows(trips, zones))))
-    timed("flow_matrix", lambda: run(M.flow_matrix(M.zone_flows(trips, zones))))
+    timed("flow_matrix", lambda: run(M.flow_matrix(M.zone_flows(trips, zones), M.borough_labels(zones))))
     timed("price_ridgeline", lambda: run(M.price_ridgeline(M.price_histogram(trips, zones))))
     timed("heatmap_dense", lambda: run(M.heatmap_dense(M.heatmap_year(trips))))
     timed("price_by_weather", lambda: run(M.price_by_weather(trips, weather)))

@@ -55,7 +55,7 @@ def marts(spark: SparkSession, trips: DataFrame | None, zones: DataFrame, weathe
         "fees_by_month": monthly,
         "fee_series": lambda: M.fee_series_from_monthly(monthly()),
         "zone_flows": flows,
-        "flow_matrix": lambda: M.flow_matrix(flows()),
+        "flow_matrix": lambda: M.flow_matrix(flows(), M.borough_labels(zones)),
         "flow_nodes": lambda: M.flow_nodes(flows()),
         "flow_ribbons": lambda: M.flow_ribbons(flows()),
         "price_histogram": hist,

@@ -262,34 +262,62 @@ def flow_nodes(flows: DataFrame, digits: int = 6) -> DataFrame:
 def flow_ribbons(flows: DataFrame, digits: int = 6) -> DataFrame:
     """Ribbon end angles: outgoing cursor per origin in destination order, incoming
     cursor per destination in origin order, both from the sector's start angle;
-    internal flows consume angle but are not drawn."""
-    # flows (a small aggregate) feeds both the node sizes and the ribbon cursors:
-    # materialise it once instead of re-running the trip scan for each use
-    flows = flows.checkpoint()
-    nodes = flow_nodes(flows, digits=12).select("label", "node_size", "angle_start")
-    f = flows.where(F.col("courses") > 0)
-    out_w = Window.partitionBy("depart").orderBy("arrivee").rowsBetween(Window.unboundedPreceding, -1)
-    in_w = Window.partitionBy("arrivee").orderBy("depart").rowsBetween(Window.unboundedPreceding, -1)
-    f = f.withColumns({"out_before": F.coalesce(F.sum("courses").over(out_w), F.lit(0)),
-                       "in_before": F.coalesce(F.sum("courses").over(in_w), F.lit(0))})
-    o = nodes.withColumnsRenamed({"label": "depart", "node_size": "o_size", "angle_start": "o_start"})
-    d = nodes.withColumnsRenamed({"label": "arrivee", "node_size": "d_size", "angle_start": "d_start"})
-    f = f.join(o, "depart").join(d, "arrivee")
-    out_start = F.col("o_start") + F.col("out_before") * 360.0 / F.col("o_size")
-    out_end = F.col("o_start") + (F.col("out_before") + F.col("courses")) * 360.0 / F.col("o_size")
-    in_start = F.col("d_start") + F.col("in_before") * 360.0 / F.col("d_size")
-    in_end = F.col("d_start") + (F.col("in_before") + F.col("courses")) * 360.0 / F.col("d_size")
+    internal flows consume angle but are not drawn. Null labels sort first and have no ribbon.
+
+    Flows are boroughs squared: one row holds them all, so that sizes, sector starts and
+    cursors are sums over that row and the flows' input is read once."""
+    row = flows.agg(F.collect_list(F.struct("depart", "arrivee", "courses")).alias("all"))
+    f = row.select("all", F.inline("all")).where(
+        (F.col("courses") > 0) & F.col("depart").isNotNull() & F.col("arrivee").isNotNull())
+
+    def total(part) -> F.Column:
+        return F.aggregate("all", F.lit(0).cast("long"), lambda s, x: s + x["courses"] * part(x))
+
+    def number(test: F.Column, unknown: bool) -> F.Column:
+        return F.coalesce(test, F.lit(unknown)).cast("long")
+
+    def size(label: F.Column) -> F.Column:
+        return total(lambda x: number(x["depart"] == label, False) + number(x["arrivee"] == label, False))
+
+    def upto(label: F.Column) -> F.Column:
+        return total(lambda x: number(x["depart"] <= label, True) + number(x["arrivee"] <= label, True))
+
+    d, a = F.col("depart"), F.col("arrivee")
+    f = f.select("depart", "arrivee", "courses", total(lambda x: F.lit(2).cast("long")).alias("total"),
+                 size(d).alias("o_size"), upto(d).alias("o_cum"), size(a).alias("d_size"), upto(a).alias("d_cum"),
+                 total(lambda x: number(x["depart"] == d, False) * number(x["arrivee"] < a, True)).alias("out_before"),
+                 total(lambda x: number(x["arrivee"] == a, False) * number(x["depart"] < d, True)).alias("in_before"))
+
+    def angle(role: str, before: F.Column) -> F.Column:
+        start = F.round(F.lit(90.0) - F.col(f"{role}_cum") * 360.0 / F.col("total"), 12)
+        return F.round(start + before * 360.0 / F.col(f"{role}_size"), digits)
+
+    out, into = F.col("out_before"), F.col("in_before")
     return f.select("depart", "arrivee", "courses",
-                    F.round(out_start, digits).alias("out_start"), F.round(out_end, digits).alias("out_end"),
-                    F.round(in_start, digits).alias("in_start"), F.round(in_end, digits).alias("in_end"),
+                    angle("o", out).alias("out_start"), angle("o", out + F.col("courses")).alias("out_end"),
+                    angle("d", into).alias("in_start"), angle("d", into + F.col("courses")).alias("in_end"),
                     (F.col("depart") != F.col("arrivee")).alias("drawn"))
 
 
-def flow_matrix(flows: DataFrame) -> DataFrame:
-    """Dense origin x destination matrix (pivot, missing cells 0). Rows and
-    columns are the union of origin and destination labels: every flow also
-    emits a zero self-cell for both of its labels. The pivot asks for the labels
+def borough_labels(zones: DataFrame) -> list[str]:
+    """The boroughs of the zone table, in order (a few names; a job on that table alone)."""
+    return [r[0] for r in zones.where(F.col("borough").isNotNull()).select("borough").distinct().orderBy("borough").collect()]
+
+
+def flow_matrix(flows: DataFrame, labels: list[str] | None = None) -> DataFrame:
+    """Dense origin x destination matrix (pivot, missing cells 0).
+
+    With ``labels`` (those of ``borough_labels``, say) the matrix has these rows and columns and building it
+    runs no job. Without, rows and columns are the union of origin and destination labels: every flow
+    also emits a zero self-cell for both of its labels, and the pivot asks for the labels
     first, so the small flows are checkpointed: their input is read once."""
+    if labels is not None:
+        spark = flows.sparkSession
+        empty = spark.createDataFrame([(x,) for x in labels], "d string").select("d", F.col("d").alias("a"), F.lit(0).cast("long").alias("c"))
+        cells = flows.select(F.col("depart").alias("d"), F.col("arrivee").alias("a"), F.col("courses").cast("long").alias("c"))
+        return (cells.where(F.col("d").isin(labels)).unionByName(empty)
+                     .groupBy(F.col("d").alias("depart")).pivot("a", labels).agg(F.sum("c"))
+                     .na.fill(0).orderBy("depart"))
     flows = flows.checkpoint()
     cells = F.array(
         F.struct(F.col("depart").alias("d"), F.col("arrivee").alias("a"), F.col("courses").cast("long").alias("c")),
@@ -328,28 +356,29 @@ def price_histogram(trips: DataFrame, zones: DataFrame, location_id: int | None
     ('yyyy-MM' when the data holds one year, else 'yyyy').
 
     The zone is ``location_id``, or the one called ``zone_name``, or by default the most
-    frequent in-scope zone (of several: most trips, then lowest id). Trips are scanned once:
-    each zone's cells become one row, one aggregate over those rows takes the
-    chosen zone's and counts the years."""
+    frequent in-scope zone (of several: most trips, then lowest id). It is chosen on one row per zone
+    (zone, count); its cells are then taken from the same aggregate, whose shuffle is used twice,
+    so trips are scanned once."""
     return price_histogram_from_cells(price_cells(trips), zones, location_id, zone_name)
 
 
 def price_histogram_from_cells(cells: DataFrame, zones: DataFrame, location_id: int | None = None, zone_name: str | None = None) -> DataFrame:
     """``price_histogram`` from the price cells."""
-    per_zone = cells.groupBy("zone").agg(
-        F.sum("n").alias("courses"), F.collect_set("y").alias("years"),
-        F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("y", "m", "bin", "n"))).alias("cells"))
+    per_zone = cells.groupBy("zone").agg(F.sum("n").alias("courses"), F.min("y").alias("y0"), F.max("y").alias("y1"))
     named = per_zone.join(zones.select("location_id", "zone_name"), F.col("zone") == F.col("location_id"), "left")
     if location_id is not None:
         wanted = F.col("zone") == int(location_id)
     else:
         wanted = F.col("zone_name") == zone_name if zone_name is not None else F.col("location_id").isNotNull()
-    best = F.max(F.when(wanted, F.struct("courses", -F.col("zone"), "cells")))["cells"]
-    one_year = F.size(F.array_distinct(F.flatten(F.collect_list("years")))) == 1
-    row = named.agg(best.alias("cells"), one_year.alias("one_year"))
-    cells = row.select("one_year", F.inline("cells"))
+    best = F.max(F.when(wanted, F.struct("courses", (-F.col("zone")).alias("minus"))))
+    choice = (named.agg(best.alias("best"), (F.min("y0") == F.max("y1")).alias("one_year"))
+                   .where(F.col("best").isNotNull()).select((-F.col("best.minus")).alias("chosen"), "one_year"))
+    # null-safe equality and a test on the sum, not the bin: a filter that could move below the
+    # aggregate would make its two uses differ, and the trips would be read twice
+    own = cells.join(choice, F.col("zone").eqNullSafe(F.col("chosen")))
     period = F.when(F.col("one_year"), F.format_string("%04d-%02d", "y", "m")).otherwise(F.format_string("%04d", "y"))
-    return cells.groupBy(period.alias("periode"), "bin").agg(F.sum("n").alias("n"))
+    return (own.groupBy(period.alias("periode"), "bin").agg(F.sum(F.when(F.col("bin").isNotNull(), F.col("n"))).alias("n"))
+               .where(F.col("n").isNotNull()))
 
 
 def price_density(hist: DataFrame, digits: int = 9) -> DataFrame:
@@ -512,45 +541,32 @@ def hourly_profile(trips: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def kpi_cards(spark: SparkSession, trips: DataFrame, weather: DataFrame) -> DataFrame:
     """The six headline values (numbers and their display strings) in one row.
 
-    Trips are scanned once, into the hourly profile, which is checkpointed
-    (reliably, in the shared checkpoint folder) because four parts of the
-    row read it; volumes by (type, year), the zone fill rate, the global mean
-    fare per distance and the rain deviation all come from that small frame
+    Trips are scanned once, into the hourly profile; volumes by (type, year), the zone
+    fill rate, the global mean fare per distance and the rain deviation all come from it
     (means as sum / count)."""
-    return kpi_cards_from_profile(spark, hourly_profile(trips).checkpoint(), weather)
+    return kpi_cards_from_profile(spark, hourly_profile(trips), weather)
 
 
 def kpi_cards_from_profile(spark: SparkSession, prof: DataFrame, weather: DataFrame) -> DataFrame:
-    """``kpi_cards`` from an already materialised hourly profile."""
-    w = weather.select("ts", "precipitation_mm", F.lit(True).alias("has_weather"))
-    return spark.sql(f"""
-        WITH prof AS (SELECT * FROM {{prof}}),
-        vol AS (
-          SELECT vtype, year(ts) AS year, sum(n_all) AS courses,
-                 round(sum(n_zone) / sum(n_all) * 100, 1) AS pct
-          FROM prof GROUP BY vtype, year(ts)),
-        hours AS (SELECT ts, sum(s) AS s, sum(n) AS n FROM prof GROUP BY ts),
-        cls AS (
-          SELECT CASE WHEN w.has_weather THEN
-                   CASE WHEN w.precipitation_mm > {S.RAIN_THRESHOLD_MM}D THEN 'pluie' ELSE 'sec' END END AS conditions,
-                 sum(h.s) AS s, sum(h.n) AS n
-          FROM hours h LEFT JOIN {{w}} w ON h.ts = w.ts
-          GROUP BY 1),
-        m AS (SELECT sum(s) / sum(n) AS mean_all FROM cls),
-        k AS (
-          SELECT CAST(sum(courses) AS BIGINT) AS total_courses,
-                 count(DISTINCT vtype) AS n_types,
-                 CASE WHEN min(year) = max(year) THEN CAST(min(year) AS STRING)
-                      ELSE CAST(min(year) AS STRING) || '-' || CAST(max(year) AS STRING) END AS periode,
-                 round(sum(courses * pct) / sum(courses), 1) AS pct_global,
-                 array_join(transform(array_sort(collect_list(named_struct('v', vtype, 'y', year))),
-                                      x -> x.v || ' ' || CAST(x.y AS STRING)), ', ') AS perimetre,
-                 round((SELECT mean_all FROM m), 6) AS prix_km_moyen,
-                 round(coalesce((SELECT 100 * (s / n / (SELECT mean_all FROM m) - 1)
-                                 FROM cls WHERE conditions = 'pluie'), 0.0D), 6) AS delta_pluie
-          FROM vol)
-        SELECT total_courses, n_types, periode, perimetre, pct_global, prix_km_moyen, delta_pluie,
-               format_string('%.2f $/km', prix_km_moyen) AS prix_txt,
-               format_string('%+.1f %%', delta_pluie) AS pluie_txt,
-               format_string('%.1f %%', pct_global) AS pct_txt
-        FROM k""", prof=prof, w=w).withColumn("total_txt", C.thousands("total_courses"))
+    """``kpi_cards`` from the hourly profile, which is read once: the weather joins it (one row
+    an hour at most), sums per type and year follow, and one aggregate over those."""
+    rainy = weather.groupBy("ts").agg(F.max(F.col("precipitation_mm") > S.RAIN_THRESHOLD_MM).alias("rainy"))
+    rain = F.col("rainy")
+    vol = (prof.join(rainy, "ts", "left").groupBy("vtype", F.year("ts").alias("year"))
+               .agg(F.sum("n_all").alias("courses"), F.round(F.sum("n_zone") / F.sum("n_all") * 100, 1).alias("pct"),
+                    F.sum("s").alias("s"), F.sum("n").alias("n"),
+                    F.sum(F.when(rain, F.col("s"))).alias("rain_s"), F.sum(F.when(rain, F.col("n"))).alias("rain_n")))
+    first, last = F.min("year").cast("string"), F.max("year").cast("string")
+    scope = F.transform(F.array_sort(F.collect_list(F.struct("vtype", "year"))),
+                        lambda x: F.concat_ws(" ", x["vtype"], x["year"].cast("string")))
+    mean = F.sum("s") / F.sum("n")
+    row = vol.agg(F.sum("courses").cast("long").alias("total_courses"), F.countDistinct("vtype").alias("n_types"),
+                  F.when(first == last, first).otherwise(F.concat(first, F.lit("-"), last)).alias("periode"),
+                  F.array_join(scope, ", ").alias("perimetre"),
+                  F.round(F.sum(F.col("courses") * F.col("pct")) / F.sum("courses"), 1).alias("pct_global"),
+                  F.round(mean, 6).alias("prix_km_moyen"),
+                  F.round(F.coalesce(100 * (F.sum("rain_s") / F.sum("rain_n") / mean - 1), F.lit(0.0)), 6).alias("delta_pluie"))
+    return row.select("*", F.format_string("%.2f $/km", "prix_km_moyen").alias("prix_txt"),
+                      F.format_string("%+.1f %%", "delta_pluie").alias("pluie_txt"),
+                      F.format_string("%.1f %%", "pct_global").alias("pct_txt"),
+                      C.thousands("total_courses").alias("total_txt"))

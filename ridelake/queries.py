@@ -109,7 +109,7 @@ def _flow_ribbons(fx: Fixtures) -> DataFrame:
 
 @register("flow_matrix")
 def _flow_matrix(fx: Fixtures) -> DataFrame:
-    return M.flow_matrix(M.zone_flows(fx.trips, fx.zones))
+    return M.flow_matrix(M.zone_flows(fx.trips, fx.zones), M.borough_labels(fx.zones))
 
 
 @register("price_per_distance")

@@ -1,5 +1,6 @@
 """Window-style analyses: density, smoothing, chord sectors and ribbons."""
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ridelake.plans import marts as M
@@ -71,6 +72,33 @@ def test_flow_matrix_dense_square(spark):
     assert (b["A"], b["B"], b["C"]) == (2, 0, 0)
 
 
+def test_flow_matrix_with_given_labels(spark):
+    m = M.flow_matrix(flows_df(spark), ["A", "B", "C", "D"])
+    assert m.columns == ["depart", "A", "B", "C", "D"]
+    assert [tuple(r) for r in m.collect()] == [("A", 3, 5, 0, 0), ("B", 2, 0, 0, 0), ("C", 0, 10, 0, 0), ("D", 0, 0, 0, 0)]
+    zones = spark.createDataFrame([(1, "C"), (2, "A"), (3, None), (4, "A")], "location_id int, borough string")
+    assert M.borough_labels(zones) == ["A", "C"]
+
+
+def test_ribbons_with_null_labels_and_without_flows(spark):
+    rows = [("A", "B", 5), (None, "B", 4), ("A", None, 3), ("B", "A", 0)]
+    schema = "depart string, arrivee string, courses bigint"
+    rib = [tuple(r) for r in M.flow_ribbons(spark.createDataFrame(rows, schema)).collect()]
+    # sizes: null 7, A 8, B 9; null labels come first in every sector
+    assert rib == [("A", "B", 5, round(90 - 225 + 135, 6), 90 - 225 + 360.0, round(90 - 360 + 160, 6), 90.0, True)]
+    assert M.flow_ribbons(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("kw", [{}, {"location_id": 2}, {"zone_name": "two"}, {"zone_name": "none"}])
+def test_histogram_zone_choice(spark, kw):
+    cells = [(1, 2020, 1, 4, 5), (1, 2021, 2, None, 9), (2, 2020, 1, 6, 14), (3, 2020, 1, 7, 50), (None, 2022, 5, 3, 99), (None, 2022, 5, None, 7)]
+    zones = spark.createDataFrame([(1, "one"), (2, "two")], "location_id int, zone_name string")
+    got = M.price_histogram_from_cells(spark.createDataFrame(cells, "zone int, y int, m int, bin int, n long"), zones, **kw)
+    # zone 3 is not in the zone table; zones 1 and 2 are equal, the lower id wins; no zone: no rows, the null zone's least of all
+    want = {"{}": [("2020", 4, 5)], "none": []}
+    assert [tuple(r) for r in got.collect()] == want.get(str(kw) if not kw else kw.get("zone_name"), [("2020", 6, 14)])
+
+
 def test_heatmap_dense_fills_168_cells(spark):
     heat = spark.createDataFrame([(2020, "yellow", 0, 8, 4)],
                                  "year int, vtype string, jour int, heure int, courses bigint")

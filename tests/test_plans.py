@@ -34,14 +34,29 @@ def lake(spark):
 
 def test_price_histogram_scans_the_trips_once(spark, lake):
     for kw in ({}, {"location_id": 3}, {"zone_name": "NATION_19"}):
-        p = plan(M.price_histogram(lake["trips"], lake["zones"], **kw))
+        q = M.price_histogram(lake["trips"], lake["zones"], **kw)
+        assert q.collect()              # the adaptive plan is final after execution
+        p = plan(q)
+        final = p[p.index("Final Plan"):p.index("Initial Plan")]
+        # trips, and zones unless the zone is given by its id
+        assert final.count("Scan parquet") == (1 if "location_id" in kw else 2) and "ReusedExchange" in final
         scans = [line for line in p.splitlines() if line.startswith("ReadSchema:")]
-        assert len(scans) == 2          # trips and zones
         assert "ReadSchema: struct<pickup_datetime:timestamp_ntz,trip_distance:double," \
                "pickup_location_id:int,fare_amount:double>" in scans
         assert "partial_count" in p and "Subqueries" not in p
 
 
+def test_price_histogram_chooses_the_zone_on_counts(spark, lake):
+    # zone cells never meet in one row: lists of cells are nowhere in the plan
+    p = plan(M.price_histogram(lake["trips"], lake["zones"]))
+    assert "collect_list" not in p and "collect_set" not in p
+
+
+def test_kpi_row_scans_the_trips_once(spark, lake):
+    p = plan(M.kpi_cards(spark, lake["trips"], lake["weather"]))
+    assert len([line for line in p.splitlines() if line.startswith("ReadSchema:")]) == 2       # trips and weather
+
+
 def test_weather_is_broadcast_after_hourly_preaggregation(lake):
     p = plan(M.price_by_weather(lake["trips"], lake["weather"]))
     assert "BroadcastHashJoin" in p
@@ -126,7 +141,10 @@ def test_building_a_query_runs_no_job(spark, lake):
     for build in (lambda: SV.silver_trips(eras, grid), lambda: M.top_zones(lake["trips"], lake["zones"]),
                   lambda: M.price_by_weather(lake["trips"], lake["weather"]), lambda: M.price_histogram(lake["trips"], lake["zones"]),
                   lambda: M.price_ridgeline(M.price_histogram(lake["trips"], lake["zones"])),
-                  lambda: M.weather_at_trip(lake["trips"], lake["zones"], lake["weather"]), lambda: M.zone_flows(lake["trips"], lake["zones"])):
+                  lambda: M.weather_at_trip(lake["trips"], lake["zones"], lake["weather"]), lambda: M.zone_flows(lake["trips"], lake["zones"]),
+                  lambda: M.flow_ribbons(M.zone_flows(lake["trips"], lake["zones"])),
+                  lambda: M.flow_matrix(M.zone_flows(lake["trips"], lake["zones"]), ["a", "b"]),
+                  lambda: M.kpi_cards(spark, lake["trips"], lake["weather"])):
         assert jobs_of(spark, build) == 0
     assert jobs_of(spark, lambda: lake["trips"].count()) > 0
 
