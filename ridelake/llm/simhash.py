@@ -9,15 +9,17 @@ around them. Meeting pairs are verified on all 64 bits.
 
 Scale: the search is linear in the distinct fingerprints times the ball size;
 segments get wider as the corpus grows (about log2 of the fingerprints), so
-buckets stay small. A bucket with more members than ``block`` is split into
-pairs of blocks over many tasks; inside a task a bucket's links are reduced to
-a spanning star before they leave it, so groups of near copies never become
-all pairs. Components come from star contractions on that forest.
+buckets stay small. Members and probes of a bucket are both counted, and where either
+pass ``block`` the bucket is split into pairs of blocks over many tasks; inside a task a bucket's
+links are reduced to a spanning star before they leave it, so groups of near copies never become
+all pairs. Components come from star contractions on that forest; a root with
+many fingerprints is salted.
 """
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ from .components import components
 SEED = 42
 _TO_BLANK = bytes(32 if 9 <= i <= 13 else i for i in range(256))
 _SHINGLES_AT_ONCE = 1 << 16
+_SALTS = 16
 
 
 def fingerprint(text: bytes, size: int = 4) -> int:
@@ -55,10 +58,10 @@ def fingerprint(text: bytes, size: int = 4) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, size: int = 4, id_col: str = "doc_id", text_col: str = "text", others: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, row_key, text_hash, fp`` (fp as a signed 64-bit number) per row; null text is
-    empty. The two hashes, of id and text and of the text, stand for the row in joins."""
-    key, text_hash = _keys(id_col, text_col)
+    empty. The two hashes, of id, text and ``others`` and of the text, stand for the row in joins."""
+    key, text_hash = _keys(id_col, text_col, others)
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("row_key"), text_hash.alias("text_hash"),
                        F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("body"))
 
@@ -70,8 +73,14 @@ def fingerprints(docs: DataFrame, size: int = 4, id_col: str = "doc_id", text_co
     return cols.mapInArrow(run, "doc_id long, row_key long, text_hash long, fp long")
 
 
-def _keys(id_col: str, text_col: str) -> tuple[Column, Column]:
-    return F.xxhash64(F.col(id_col), F.col(text_col)), F.xxhash64(F.col(text_col))
+def _keys(id_col: str, text_col: str, others: tuple[str, ...]) -> tuple[Column, Column]:
+    return F.xxhash64(F.col(id_col), F.col(text_col), *[F.col(f"`{c}`") for c in others]), F.xxhash64(F.col(text_col))
+
+
+def _hashable(docs: DataFrame, *without: str) -> tuple[str, ...]:
+    """The other columns that Spark can hash (maps and variants can't be)."""
+    return tuple(f.name for f in docs.schema if f.name not in without
+                 and not any(t in f.dataType.simpleString() for t in ("map<", "variant")))
 
 
 def segments(max_bits: int, count: int) -> list[tuple[int, int, int]]:
@@ -82,26 +91,74 @@ def segments(max_bits: int, count: int) -> list[tuple[int, int, int]]:
     return [(sum(widths[:i]), w, base - 1 + (i < rest)) for i, w in enumerate(widths) if base + (i < rest) > 0]
 
 
+def _balls(fp: np.ndarray, part: tuple[int, int, int]) -> Iterator[np.ndarray]:
+    """The segment's values around those of ``fp``, one array per flipped set of bits."""
+    shift, width, radius = part
+    value = (fp >> np.uint64(shift)) & np.uint64((1 << width) - 1)
+    for r in range(radius + 1):
+        for bits in combinations(range(width), r):
+            yield value ^ np.uint64(sum(1 << b for b in bits))
+
+
 def _entries(fp: np.ndarray, parts: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket, fingerprint and membership of all filings and probes. A pair that differs
     in a segment is found from its smaller value, so only probes above the own value go out."""
     buckets, fps, member = [], [], []
-    for k, (shift, width, radius) in enumerate(parts):
-        value = (fp >> np.uint64(shift)) & np.uint64((1 << width) - 1)
-        name = np.uint64(k << 60)
+    for k, part in enumerate(parts):
+        around = _balls(fp, part)
+        value, name = next(around), np.uint64(k << 60)
         buckets.append(value | name)
         fps.append(fp)
         member.append(np.ones(len(fp), bool))
-        for r in range(1, radius + 1):
-            for bits in combinations(range(width), r):
-                other = value ^ np.uint64(sum(1 << b for b in bits))
-                up = other > value
-                buckets.append(other[up] | name)
-                fps.append(fp[up])
-                member.append(np.zeros(int(up.sum()), bool))
+        for other in around:
+            up = other > value
+            buckets.append(other[up] | name)
+            fps.append(fp[up])
+            member.append(np.zeros(int(up.sum()), bool))
     return np.concatenate(buckets), np.concatenate(fps), np.concatenate(member)
 
 
+def _reach(bucket: np.ndarray, n: np.ndarray, parts: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that get probes from the members of others, and how many, in any order."""
+    buckets, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for k, (_, width, radius) in enumerate(parts):
+        here = (bucket >> np.uint64(60)) == k
+        around = _balls(bucket[here], (0, width, radius))
+        value, name = next(around), np.uint64(k << 60)
+        for other in around:
+            up = other > value
+            buckets.append(other[up] | name)
+            counts.append(n[here][up])
+    return np.concatenate(buckets), np.concatenate(counts)
+
+
+def hot_buckets(fps: DataFrame, parts: list[tuple[int, int, int]], block: int) -> DataFrame:
+    """``bucket, members, probes``: the blocks of the members and of the probes of each bucket where
+    either pass ``block``.
+
+    Whole counts are kept of the values that matter: what others bring to a bucket is,
+    over all of a ball, below one block, which the probes' blocks have room for."""
+    own = F.explode(F.array(*[F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)).bitwiseOR(F.lit(k << 60).cast("long"))
+                              for k, (s, w, _) in enumerate(parts)]))
+    ball = max(sum(comb(w, i) for i in range(r + 1)) for _, w, r in parts)
+    counts = written(fps.select(own.alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+                     .where(F.col("n") > max(1, block // ball)), "simhash-counts")
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            for a in range(0, len(n), 1024):
+                b, m = _reach(bucket[a:a + 1024].view(np.uint64), n[a:a + 1024], parts)
+                yield pa.RecordBatch.from_arrays([pa.array(b.view(np.int64)), pa.array(m)], ["bucket", "p"])
+
+    probes = counts.mapInArrow(reach, "bucket long, p long").withColumn("n", F.lit(0).cast("long"))
+    both = probes.unionByName(counts.withColumn("p", F.lit(0).cast("long"))).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("p").alias("p"))
+    return written(both.where((F.col("n") > block) | (F.col("p") > block)).select(
+        "bucket", F.greatest(F.lit(1), F.ceil(F.col("n") / block)).cast("int").alias("members"),
+        (F.ceil(F.col("p") / block) + F.when(F.col("p") > 0, 1).otherwise(0)).cast("int").alias("probes"))
+        .withColumn("probes", F.greatest(F.lit(1), "probes")), "simhash-large")
+
+
 class Forest:
     """Union-find over an array of values by vectorised label spreading."""
 
@@ -164,17 +221,20 @@ def near_links(fps: DataFrame, max_bits: int = 4, n_segments: int | None = None,
                 yield pa.RecordBatch.from_arrays([pa.array(b.view(np.int64)), pa.array(f.view(np.int64)), pa.array(m)], ["bucket", "fp", "member"])
 
     entries = fps.select("fp").mapInArrow(file_and_probe, "bucket long, fp long, member boolean")
-    # members per bucket, without the probes: what a task would have to hold
-    own = F.explode(F.array(*[F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)).bitwiseOR(F.lit(k << 60).cast("long"))
-                              for k, (s, w, _) in enumerate(parts)]))
-    large = written(fps.select(own.alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-                    .where(F.col("n") > block).select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "simhash-large")
-    mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    keyed = (entries.join(large, "bucket", "left")
-             .withColumn("other", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
-             .withColumn("lo", F.when(F.col("blocks").isNull(), 0).otherwise(F.least("other", mine)))
-             .withColumn("hi", F.when(F.col("blocks").isNull(), 0).otherwise(F.greatest("other", mine)))
-             .select("bucket", "lo", "hi", (~F.col("member")).alias("probe"), "fp"))
+    # a pair of member blocks is (lo, hi); a block of members with a block of probes is (lo, members + number)
+    def mine(blocks: str) -> Column:
+        return F.pmod(F.xxhash64("fp"), F.col(blocks)).cast("int")
+
+    def numbers(blocks: str, place) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(blocks) - 1), lambda x: F.struct(place(x)[0].alias("lo"), place(x)[1].alias("hi")))
+
+    own, probe = mine("members"), mine("probes")
+    places = (F.when(F.col("members").isNull(), F.array(F.struct(F.lit(0).alias("lo"), F.lit(0).alias("hi"))))
+              .when(F.col("member"), F.concat(numbers("members", lambda x: (F.least(x, own), F.greatest(x, own))),
+                                              numbers("probes", lambda x: (own, F.col("members") + x))))
+              .otherwise(numbers("members", lambda x: (x, F.col("members") + probe))))
+    keyed = (entries.join(hot_buckets(fps, parts, block), "bucket", "left").withColumn("at", F.explode(places))
+             .select("bucket", "at.lo", "at.hi", (~F.col("member")).alias("probe"), "fp"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -200,16 +260,21 @@ def near_links(fps: DataFrame, max_bits: int = 4, n_segments: int | None = None,
             .mapInArrow(verify, "a long, b long"))
 
 
-def _found(docs: DataFrame, size: int, max_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def _found(docs: DataFrame, size: int, max_bits: int, id_col: str, text_col: str, others: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """The written marks of all rows, and ``fp, root, component_id`` of each distinct fingerprint."""
-    marks = written(fingerprints(docs, size, id_col, text_col), "simhash-marks")
+    marks = written(fingerprints(docs, size, id_col, text_col, others), "simhash-marks")
     distinct = written(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     trees = components(written(near_links(distinct, max_bits), "simhash-links"))
     # one row per fingerprint: its root (itself without links), then each root's smallest document
     rooted = written(distinct.join(trees.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marks, written(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
+    # rows of a root with others go by salt, each with a copy of the root's smallest
+    salt = F.when(F.col("fp") == F.col("root"), 0).otherwise(F.pmod(F.xxhash64("fp"), F.lit(_SALTS))).cast("int")
+    salts = F.when(F.col("n") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
+    least = (rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
+             .select("root", "component_id", F.explode(salts).alias("salt")))
+    final = rooted.withColumn("salt", salt).join(least, ["root", "salt"])
+    return marks, written(final.select("fp", "root", "component_id"), "simhash-components")
 
 
 def groups(docs: DataFrame, size: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,15 +290,16 @@ def groups(docs: DataFrame, size: int = 4, max_bits: int = 4, id_col: str = "doc
 
 def one_per_group(docs: DataFrame, size: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` of which each group keeps one: the smallest doc_id (null last),
-    of equal ids the smallest text hash, of repeated rows any one."""
-    marks, final = _found(docs, size, max_bits, id_col, text_col)
+    of equal ids the smallest text hash, of equal texts the smallest hash of all columns (but maps)."""
+    others = _hashable(docs, id_col, text_col)
+    marks, final = _found(docs, size, max_bits, id_col, text_col, others)
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash", "row_key")
     # one winner per fingerprint first (map-side), then per component
     win = marks.groupBy("fp").agg(F.min(order).alias("w")).join(final, "fp")
     win = win.groupBy("root").agg(F.min("w").alias("w"))
     a, b = free_names(docs, "row_key", "text_hash")
     kept = written(win.select(F.col("w.row_key").alias(a), F.col("w.text_hash").alias(b)), "simhash-kept")
-    key, text_hash = _keys(id_col, text_col)
+    key, text_hash = _keys(id_col, text_col, others)
     # one shuffle of the texts: repeated rows meet in the partition of the join
     rows = docs.withColumns({a: key, b: text_hash}).join(kept, [a, b])
     return rows.dropDuplicates([a, b]).select(*[F.col(f"`{c}`") for c in docs.columns])

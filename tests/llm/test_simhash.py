@@ -96,3 +96,30 @@ def test_groups_and_survivors(spark, odd_docs):
     assert kept.columns == df.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(
         str(min((x for x in m if x is not None), default=None)) for m in members.values())
+
+
+def test_probes_of_a_hot_value_are_split(spark):
+    # few members in each bucket beside one hot value of the first segment: its 3,000 probes are many tasks' work
+    parts, block = S.segments(4, 3), 64
+    rng = random.Random(8)
+    shift, width, radius = parts[0]
+    assert radius == 1
+    rest = [rng.getrandbits(64 - width) for _ in range(3000)]
+    fps = {(r << width) | 5 for r in rest} | {(r << width) | 5 | 1 << 9 for r in rest[:3]} | {(rest[7] ^ 3) << width | 5 | 1 << 9}
+    signed = [int(np.uint64(f).astype(np.int64)) for f in sorted(fps)]
+    df = spark.createDataFrame([(f,) for f in signed], "fp long")
+    hot = {r["bucket"]: (r["members"], r["probes"]) for r in S.hot_buckets(df, parts, block).collect()}
+    assert hot[5] == (47, 1) and hot[5 | 1 << 9] == (1, 48)
+    got = {tuple(sorted((r["a"], r["b"]))) for r in S.near_links(df, 4, 3, block).collect()}
+    trees = {r["node"]: r["root"] for r in C.components(spark.createDataFrame(list(got), "a long, b long")).collect()}
+    want = brute_groups(sorted(fps))
+    labels = [trees.get(x, x) for x in signed]
+    assert len(set(zip(labels, want))) == len(set(labels)) == len(set(want)) < len(fps)
+
+
+def test_ties_are_broken_by_the_other_columns(spark):
+    rows = [(1, "same text here", f"s{i}", {"k": i}) for i in range(40)]
+    schema = "doc_id long, text string, source string, extra map<string,int>"
+    kept = {S.one_per_group(spark.createDataFrame(r, schema).repartition(n)).collect()[0]["source"]
+            for r, n in ((rows, 3), (rows[::-1], 5), (rows[20:] + rows[:20], 1))}
+    assert len(kept) == 1
