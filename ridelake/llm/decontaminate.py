@@ -1,20 +1,22 @@
 """Benchmark decontamination by random-walk embedding, bit sampling and exact edit distance.
 
-Texts and items are compared as word sequences (A-Z lowered, ASCII punctuation
-taken as blank). The CGK walk reads a sequence by steps: step t emits the
+Texts and items are compared as word sequences: compatibility forms unified (NFKC),
+lower case, punctuation (of ASCII, symbols too) taken as blank, each character of a script
+without blanks (Han, kana, Thai and so on) a word. The CGK walk reads a sequence by steps: step t emits the
 current word and moves on when a random bit of (t, word) is set, so equal
 stretches emit equal symbols after a few steps and edit distance becomes
 Hamming distance. A window of an item's size is embedded as the walks
 restarted at each of its words; an edit then only disturbs the walks that
 read it. One bit sample is a restart plus a few steps of its walk. All
-restarts of all items are indexed for several independent walks, so a window
-within the edit limit is proposed unless every sample of it is disturbed. Items
-of under ``SHORT`` words, too short for that, are looked up by one word more than
+restarts of an item are indexed for as many independent walks as the target recall
+asks for (``walks_for``: by the item's length and limit, for edits spread as badly as
+they can be). Items of under ``SHORT`` words, too short for that, are looked up by one word more than
 their limit, of which an allowed number of edits always leaves one.
 Every proposed window is verified by exact word edit distance.
 
-Scale: the benchmark is the stated query set. It is indexed in blocks of
-``BLOCK_ITEMS`` items (broadcast; a few MB), each compared with all documents
+Scale: the benchmark is the stated query set. It is indexed in blocks of at most
+``BLOCK_ITEMS`` items and ``BLOCK_WORDS`` words (one longer item alone), one block at a time: what a
+block finds is written and its broadcast released before the next. A block is compared with all documents
 in one pass without a shuffle. A batch's words become integers in Arrow, the
 walks run over all positions at once and stop at the first step that no item
 emits, so nearly all positions cost a few array operations.
@@ -23,7 +25,8 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import islice
+from math import ceil, comb, log
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -31,22 +34,56 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import free_names, read, written
 
 MAX_EDIT_SHARE = 0.2      # an item is found in a window at most this share of its words away
-WALKS, STEPS = 4, 7       # independent walks, and steps of each
-SAMPLED = ((0, 1, 3, 6), (0, 2, 4, 6), (0, 1, 4, 6), (0, 2, 5, 6))    # steps that a sample reads, by walk
+RECALL = 0.999            # target: least chance that an item within its limit is proposed
+STEPS = 7                 # steps of a walk
+SAMPLED = ((0, 1, 3, 6), (0, 2, 4, 6), (0, 1, 4, 6), (0, 2, 5, 6))    # steps that a sample reads, by walk in turn
 SHORT = 8                 # items of fewer words are found by single words
-BLOCK_ITEMS = 20_000
+BLOCK_ITEMS, BLOCK_WORDS = 20_000, 1 << 20
 PROPOSALS = 1 << 19       # proposed windows that are tested at once
 BATCH_BYTES = 2 << 20     # text bytes that a task works on at once (one longer text alone)
 
 # A-Z lowered; other ASCII but a-z and 0-9 is a blank; bytes of other characters stay.
 _WORD_BYTES = bytes(i + 32 if 65 <= i <= 90 else i if i >= 128 or 48 <= i <= 57 or 97 <= i <= 122 else 32 for i in range(256))
+# Characters beyond ASCII that are no letter, digit, mark or symbol; scripts that are written without blanks.
+_BLANK = r"[^\x00-\x7f\p{L}\p{N}\p{M}\p{S}]"
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
+
+
+def _folded(texts: pa.Array) -> pa.Array:
+    """Texts (null: empty) whose words are what lies between the blanks of ``_WORD_BYTES``."""
+    texts = pc.fill_null(pc.cast(texts, pa.large_binary()), b"")
+    ascii_only = pc.string_is_ascii(pc.cast(texts, pa.large_string(), safe=False))
+    if pc.all(ascii_only).as_py():
+        return texts
+    other = pc.invert(ascii_only)
+    part = pa.array([normalize("NFKC", x.decode("utf-8", "replace")).lower() for x in texts.filter(other).to_pylist()], pa.large_string())
+    part = pc.replace_substring_regex(part, _BLANK, " ")
+    unspaced = pc.match_substring_regex(part, _UNSPACED)
+    if pc.any(unspaced).as_py():
+        part = pc.replace_with_mask(part, unspaced, pc.replace_substring_regex(part.filter(unspaced), _UNSPACED, r" \1 "))
+    return pc.replace_with_mask(texts, other, pc.cast(part, pa.large_binary()))
 
 
 def item_words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").translate(_WORD_BYTES).split()
+    folded = _folded(pa.array([(text or "").encode("utf-8", "replace")], pa.binary()))
+    return folded[0].as_py().translate(_WORD_BYTES).split()
+
+
+def walks_for(words: int, limit: int, recall: float = RECALL) -> int:
+    """Walks after which an item of ``words`` words is proposed with chance ``recall``, when ``limit``
+    edits part the other words into stretches as even, so as short, as can be.
+
+    A walk that starts a stretch of g words stays in it, and so emits what the item's does, when at most
+    g - 1 of its STEPS - 1 moves go on: a binomial chance. A walk is lost only if it leaves every stretch."""
+    even, more = divmod(words - limit, limit + 1)
+
+    def lost(g: int) -> float:
+        return 1 - sum(comb(STEPS - 1, k) for k in range(min(g, STEPS))) / 2 ** (STEPS - 1)
+    missed = lost(even) ** (limit + 1 - more) * lost(even + 1) ** more
+    return 1 if missed <= 1 - recall else ceil(log(1 - recall) / log(missed))
 
 
 def edit_distance(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
@@ -82,42 +119,44 @@ class ItemIndex:
         self.words = [np.array([number[w] for w in ws], np.int32) for _, ws in items]
         self.limit = [int(share * len(w) + 1e-9) for w in self.words]
         rng = np.random.default_rng(seed)
-        self.moves = rng.integers(0, 2, (WALKS, STEPS, len(self.vocabulary) + 1)).astype(np.int64)
-        rows: list[list[tuple[int, int, int, int, int]]] = [[] for _ in range(WALKS)]
+        need = [walks_for(len(w), e) if len(w) >= SHORT else 0 for w, e in zip(self.words, self.limit)]
+        walks = max(need, default=0)
+        self.moves = rng.integers(0, 2, (walks, STEPS, len(self.vocabulary) + 1)).astype(np.int64)
         short: dict[int, list[tuple[int, int]]] = defaultdict(list)
         seen = Counter(int(w) for ws in self.words for w in np.unique(ws))
         for k, ws in enumerate(self.words):
             if len(ws) < SHORT:
                 for o in sorted(range(len(ws)), key=lambda o: seen[int(ws[o])])[:self.limit[k] + 1]:
                     short[int(ws[o])].append((k, o))
-                continue
-            found = []
-            for r in range(WALKS):
-                at = np.arange(len(ws))
-                emitted = [ws[at]]
-                inside = np.ones(len(ws), bool)
-                for t in range(1, STEPS):
-                    at = at + self.moves[r, t - 1][ws[np.minimum(at, len(ws) - 1)]]
-                    inside &= at < len(ws)
-                    emitted.append(ws[np.minimum(at, len(ws) - 1)])
-                sampled = np.stack([emitted[j] for j in SAMPLED[r]], 1)
-                found += [(r, o, sampled[o]) for o in np.flatnonzero(inside)]
-            for r, o, s in found:
-                rows[r].append((int(self._mix(s[None, :])[0]), k, int(o), int(s[0]), int(s[1])))
         self.short = {w: np.array(ks).T for w, ks in short.items()}
         self.sizes, self.limits = np.array([len(w) for w in self.words], np.int64), np.array(self.limit, np.int64)
-        self.tables = []
-        for r, found in enumerate(rows):
-            found.sort()
-            keys = np.array([x[0] for x in found], np.uint64)
-            starts = np.zeros(1 << _START_BITS, bool)      # by the first two symbols of the walk's samples
-            starts[_start(np.array([x[3] for x in found], np.int32), np.array([x[4] for x in found], np.int32))] = True
-            self.tables.append((keys, np.array([x[1] for x in found], np.int64), np.array([x[2] for x in found], np.int64), starts))
+        self.tables = [self._table(r, [k for k, n in enumerate(need) if n > r]) for r in range(walks)]
         # words by item, as marks that may also say yes to others (only the exact distance decides)
         self.holds = np.zeros(1 << _HOLD_BITS, bool)
         for k, ws in enumerate(self.words):
             self.holds[_hold(np.full(len(ws), k), ws)] = True
 
+    def _table(self, r: int, items: list[int]) -> tuple[np.ndarray, ...]:
+        """Samples of walk ``r`` at every restart of the items, by key, with marks of their first
+        word and of their first two symbols."""
+        parts = []
+        for k in items:
+            ws = self.words[k]
+            at, emitted, inside = np.arange(len(ws)), [ws], np.ones(len(ws), bool)
+            for t in range(1, STEPS):
+                at = at + self.moves[r, t - 1][ws[np.minimum(at, len(ws) - 1)]]
+                inside &= at < len(ws)
+                emitted.append(ws[np.minimum(at, len(ws) - 1)])
+            o = np.flatnonzero(inside)
+            s = np.stack([emitted[j] for j in SAMPLED[r % len(SAMPLED)]], 1)[o]
+            parts.append((self._mix(s), np.full(len(o), k), o, s[:, 0], s[:, 1]))
+        keys, of, offset, one, two = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((offset, of, keys))
+        first, starts = np.zeros(len(self.vocabulary) + 1, bool), np.zeros(1 << _START_BITS, bool)
+        first[one] = True
+        starts[_start(one, two)] = True
+        return keys[order], of[order], offset[order], first, starts
+
     @staticmethod
     def _mix(symbols: np.ndarray) -> np.ndarray:
         h = np.zeros(len(symbols), np.uint64)
@@ -131,14 +170,12 @@ class ItemIndex:
         PROPOSALS; starts may lie before 0."""
         top = len(words) - 1
         known = np.flatnonzero(words > 0)
-        for r, (keys, of, offset, start_marks) in enumerate(self.tables):
-            if not len(keys):
-                continue
-            begin = at = known
+        for r, (keys, of, offset, first, start_marks) in enumerate(self.tables):
+            begin = at = known[first[words[known]]]
             emitted = [words[at]]
             for t in range(1, STEPS):
                 at = np.minimum(at + self.moves[r, t - 1][words[at]], top)
-                if t in SAMPLED[r]:
+                if t in SAMPLED[r % len(SAMPLED)]:
                     emitted.append(words[at])
                     if len(emitted) == 2:    # most positions end here
                         ok = np.flatnonzero(start_marks[_start(*emitted)])
@@ -220,8 +257,7 @@ class ItemIndex:
 
 def _numbers(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of all texts in a row, and where each text's words end."""
-    texts = pc.fill_null(pc.cast(texts, pa.large_binary()), b"")
-    texts = pa.concat_arrays([texts])       # offsets from 0
+    texts = pa.concat_arrays([_folded(texts)])       # offsets from 0
     offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
     body = texts.buffers()[2].to_pybytes().translate(_WORD_BYTES) if texts.buffers()[2] else b""
     # a blank per text keeps the words of neighbours apart
@@ -248,10 +284,36 @@ def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(a)
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, share: float) -> Iterator[ItemIndex]:
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, share: float) -> Iterator[tuple[ItemIndex, bool]]:
+    """The index of each block, and whether it is the last one. The driver holds one block's
+    items, and those read on to see whether more follow."""
     rows = benchmark.select(F.col(id_col).cast("long"), text_col).orderBy(*benchmark.select(id_col, text_col).columns).toLocalIterator()
-    while block := list(islice(rows, BLOCK_ITEMS)):
-        yield ItemIndex([(r[0], item_words(r[1])) for r in block], share)
+    block: list[tuple[int, list[bytes]]] = []
+    held = 0
+    for r in rows:
+        words = item_words(r[1])
+        if block and (len(block) == BLOCK_ITEMS or held + len(words) > BLOCK_WORDS):
+            yield ItemIndex(block, share), False
+            block, held = [], 0
+        block.append((r[0], words))
+        held += len(words)
+    if block:
+        yield ItemIndex(block, share), True
+
+
+FOUND = "doc_id long, item_id long, distance long, first_word long, n_words long"
+
+
+def _searched(docs: DataFrame, sent, at: int, schema: str, row) -> DataFrame:
+    """``row(batch, finds, index)`` for each run of ``docs``; column number ``at`` holds the texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = sent.value
+        vocabulary = pa.array([w.decode("utf-8", "replace") for w in index.vocabulary], pa.large_string())
+        for batch in batches:
+            for part in _slices(batch, at):
+                yield row(part, index.search(*_numbers(part.column(at), vocabulary)), index)
+
+    return docs.mapInArrow(run, schema)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -260,46 +322,57 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
     One row per text, item and separate place. Null or empty texts hold nothing; null
     or empty items are found nowhere; repeated rows of either side each give their rows;
-    a null id stays null. An item of under five words allows no edit."""
+    a null id stays null. An item of under five words allows no edit. Of several blocks all but the
+    last are searched, and their finds written, when this is called."""
     spark, out = docs.sparkSession, None
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    for index in _blocks(benchmark, item_col, item_text_col, share):
-        sent = spark.sparkContext.broadcast(index)
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            idx = sent.value
-            vocabulary = pa.array([w.decode("utf-8", "replace") for w in idx.vocabulary], pa.large_string())
-            for batch in batches:
-                for part in _slices(batch, 1):
-                    found = idx.search(*_numbers(part.column(1), vocabulary))
-                    ids = part.column(0).take(pa.array([x[0] for x in found], pa.int64()))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array([idx.ids[x[1]] for x in found], pa.int64()),
-                                                      *[pa.array([x[c] for x in found], pa.int64()) for c in (2, 3, 4)]],
-                                                     ["doc_id", "item_id", "distance", "first_word", "n_words"])
-
-        part = cols.mapInArrow(run, "doc_id long, item_id long, distance long, first_word long, n_words long")
+    def row(batch: pa.RecordBatch, found: list, index: ItemIndex) -> pa.RecordBatch:
+        ids = batch.column(0).take(pa.array([x[0] for x in found], pa.int64()))
+        return pa.RecordBatch.from_arrays([ids, pa.array([index.ids[x[1]] for x in found], pa.int64()),
+                                           *[pa.array([x[c] for x in found], pa.int64()) for c in (2, 3, 4)]],
+                                          ["doc_id", "item_id", "distance", "first_word", "n_words"])
+
+    for index, last in _blocks(benchmark, item_col, item_text_col, share):
+        sent = spark.sparkContext.broadcast(index)
+        part = _searched(cols, sent, 1, FOUND, row)
+        if not last:
+            part = written(part, "leaks-block")
+            sent.destroy()
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], "doc_id long, item_id long, distance long, first_word long, n_words long")
+    return out if out is not None else spark.createDataFrame([], FOUND)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", share: float = MAX_EDIT_SHARE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text holds no item (null and empty texts stay)."""
-    at, schema = docs.columns.index(text_col), docs.schema
-    for index in _blocks(benchmark, item_col, item_text_col, share):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+    """The rows of ``docs``, all columns, whose text holds no item (null and empty texts stay).
+
+    A leak depends on the text alone: blocks before the last write 128-bit hashes of the texts with an
+    item, and rows of such texts are left out by an anti join."""
+    at, schema, text = docs.columns.index(text_col), docs.schema, F.col(f"`{text_col}`")
+    one, two = free_names(docs, "text_hash", "text_hash2")
+    keys = docs.select(F.xxhash64(text).alias(one), F.xxhash64(F.lit(1), text).alias(two), text.alias("text"))
+    gone = None
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            idx = sent.value
-            vocabulary = pa.array([w.decode("utf-8", "replace") for w in idx.vocabulary], pa.large_string())
-            for batch in batches:
-                for part in _slices(batch, at):
-                    clean = np.ones(part.num_rows, bool)
-                    for x in idx.search(*_numbers(part.column(at), vocabulary)):
-                        clean[x[0]] = False
-                    yield part.filter(pa.array(clean))
-
-        docs = docs.mapInArrow(run, schema)
+    def hashes(batch: pa.RecordBatch, found: list, index: ItemIndex) -> pa.RecordBatch:
+        return batch.take(pa.array(sorted({x[0] for x in found}), pa.int64())).select([one, two])
+
+    def clean(batch: pa.RecordBatch, found: list, index: ItemIndex) -> pa.RecordBatch:
+        keep = np.ones(batch.num_rows, bool)
+        keep[[x[0] for x in found]] = False
+        return batch.filter(pa.array(keep))
+
+    for index, last in _blocks(benchmark, item_col, item_text_col, share):
+        sent = docs.sparkSession.sparkContext.broadcast(index)
+        if last:
+            docs = _searched(docs, sent, at, schema, clean)
+        else:
+            part = written(_searched(keys, sent, 2, f"`{one}` long, `{two}` long", hashes).distinct(), "leaks-texts")
+            sent.destroy()
+            gone = part if gone is None else gone.unionByName(part)
+    if gone is not None:
+        hashed = docs.withColumns({one: F.xxhash64(text), two: F.xxhash64(F.lit(1), text)})
+        docs = hashed.join(gone, [one, two], "left_anti").select(*[F.col(f"`{c}`") for c in schema.names])
     return docs
 
 

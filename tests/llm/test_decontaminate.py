@@ -95,8 +95,64 @@ def test_odd_rows_short_items_and_clashing_names(spark, odd_docs):
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     docs, b = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(map(tuple, D.leaks(docs, b).collect()))
-    monkeypatch.setattr(D, "BLOCK_ITEMS", 11)
-    assert sorted(map(tuple, D.leaks(docs, b).collect())) == whole and whole
+    kept = sorted(r["doc_id"] for r in D.without_leaks(docs, b).collect())
+    for name, size in (("BLOCK_ITEMS", 11), ("BLOCK_WORDS", 300)):
+        with monkeypatch.context() as m:
+            m.setattr(D, name, size)
+            assert sorted(map(tuple, D.leaks(docs, b).collect())) == whole and whole
+            assert sorted(r["doc_id"] for r in D.without_leaks(docs, b).collect()) == kept
+
+
+def test_blocks_are_bounded_by_items_and_words(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(n))) for i, n in enumerate([5, 90, 400, 3, 3, 3, 3, 80, 20])]
+    monkeypatch.setattr(D, "BLOCK_ITEMS", 3)
+    monkeypatch.setattr(D, "BLOCK_WORDS", 100)
+    got = [(i.ids, last) for i, last in D._blocks(spark.createDataFrame(rows, "item_id long, text string"), "item_id", "text", 0.2)]
+    assert got == [([0, 1], False), ([2], False), ([3, 4, 5], False), ([6, 7], False), ([8], True)]
+
+
+def test_words_of_unicode_texts():
+    def words(t):
+        return [w.decode() for w in D.item_words(t)]
+    assert words("“Don’t – stop…”") == words('"Don\'t - stop..."') == ["don", "t", "stop"]
+    assert words("ÄRGER Über Öl") == words("ärger über öl") == ["ärger", "über", "öl"]
+    assert words("\uff21\uff22\uff23 ﬁne e\u0301") == ["abc", "fine", "é"]
+    assert words("日本語です") == ["日", "本", "語", "で", "す"]
+    assert words("plain ascii, no change") == ["plain", "ascii", "no", "change"]
+    assert words(None) == words("") == words("…  ·") == []
+    assert words("bad \ud800 end")[0] == "bad"
+
+
+def test_unicode_items_are_found(spark):
+    quoted = "“It’s the model’s answer – not the author’s – that counts here,” she said."
+    japanese = "東京は日本の首都であり世界最大の都市圏です"
+    items = [(1, quoted), (2, "Ärger Über Öl"), (3, japanese)]
+    docs = [(1, "x y " + quoted.replace("“", '"').replace("”", '"').replace("’", "'").replace("–", "-") + " z"), (2, "viel ärger über öl heute"),
+            (3, "これは前置きです。" + japanese + "という文が続きます。"), (4, "nothing of it, déjà vu 日本語"), (5, None)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in D.leaks(d, b).collect()) == [(1, 1, 0), (2, 2, 0), (3, 3, 0)]
+    assert sorted(r["doc_id"] for r in D.without_leaks(d, b).collect()) == [4, 5]
+
+
+def test_walks_follow_from_the_target():
+    assert all(D.walks_for(n, 0) == 1 for n in (8, 20)) and D.walks_for(8, 1, 0.9) < D.walks_for(8, 1, 0.999)
+    assert D.walks_for(60, 12) <= D.walks_for(20, 4) <= D.walks_for(10, 2)
+
+
+@pytest.mark.parametrize("n", [8, 10, 12, 15, 20, 30, 60])
+def test_recall_reaches_the_target_with_edits_spread_evenly(n):
+    rng, e = np.random.default_rng(n), n // 5
+    items = [(i, [b"w%d" % w for w in rng.choice(50_000, n, replace=False)]) for i in range(400)]
+    index = D.ItemIndex(items)
+    number = {w: k for k, w in enumerate(index.vocabulary, 1)}
+    words, ends = [], []
+    for i, ws in items:
+        kept = np.array([number[w] for w in ws])
+        kept[[((k + 1) * (n + 1)) // (e + 1) - 1 for k in range(e)]] = 0       # other words
+        words += [0] * 5 + kept.tolist() + [0] * 5
+        ends.append(len(words))
+    found = {(t, k) for t, k, *_ in index.search(np.array(words, np.int32), np.array(ends))}
+    assert sum((i, i) in found for i in range(400)) >= 398
 
 
 def test_items_of_common_words_with_the_rare_one_replaced(spark):
