@@ -89,10 +89,13 @@ def walks_for(words: int, limit: int, recall: float = RECALL) -> int:
 def edit_distance(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
     """Least word edit distance of ``item`` to any stretch of ``region``, and where the first such stretch ends."""
     ramp = np.arange(len(region) + 1)
-    row = np.zeros(len(region) + 1, np.int64)
+    row, step = np.zeros(len(region) + 1, np.int64), np.empty(len(region) + 1, np.int64)
     for i, w in enumerate(item, 1):
-        step = np.minimum(row[:-1] + (region != w), row[1:] + 1)
-        row = np.minimum.accumulate(np.r_[i, step] - ramp) + ramp
+        step[0] = i
+        np.minimum(row[:-1] + (region != w), row[1:] + 1, out=step[1:])
+        step -= ramp
+        np.minimum.accumulate(step, out=row)
+        row += ramp
     end = int(row.argmin())
     return int(row[end]), end
 
@@ -200,16 +203,24 @@ class ItemIndex:
         yield from zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(n)].tolist())
 
     def _likely(self, item: np.ndarray, start: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Proposals with at least size - limit words of the item around the window."""
-        begin, reach = start - self.limits[item], self.sizes[item] + 2 * self.limits[item]
-        left, spare = np.arange(len(item)), 3 * self.limits[item]    # other words that the reach may hold
+        """Proposals whose window may be within the limit. A word that the item lacks costs an edit: the words
+        that are inside the window wherever its ends lie hold at most limit of them, and the
+        widest window three times as many (limit edits, and what lies outside)."""
+        size, limit = self.sizes[item], self.limits[item]
+        left = self._few_others(item, start + limit, size - 2 * limit, limit, words)
+        wide = self._few_others(item[left], (start - limit)[left], (size + 2 * limit)[left], 3 * limit[left], words)
+        return left[wide]
+
+    def _few_others(self, item: np.ndarray, begin: np.ndarray, reach: np.ndarray, spare: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The stretches of ``reach`` words from ``begin`` with at most ``spare`` words that the item lacks."""
+        left = np.arange(len(item))
         for d in range(int(reach.max(initial=0))):
-            if d % 8 == 0:      # most proposals end early
-                left, spare = left[spare >= 0], spare[spare >= 0]
-                own, first, size = item[left], begin[left], reach[left]
-            at = first + d
-            held = (at >= 0) & (at < len(words)) & self.holds[_hold(own, words[np.clip(at, 0, len(words) - 1)])]
-            spare = spare - ((d < size) & ~held)
+            if d % 4 == 0:      # most proposals end early
+                ok = spare >= 0
+                left, spare, item, begin, reach = left[ok], spare[ok], item[ok], begin[ok], reach[ok]
+            at = begin + d
+            held = (at >= 0) & (at < len(words)) & self.holds[_hold(item, words[np.clip(at, 0, len(words) - 1)])]
+            spare = spare - ((d < reach) & ~held)
         return left[spare >= 0]
 
     def search(self, words: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
@@ -220,7 +231,8 @@ class ItemIndex:
         sizes, limits = self.sizes, self.limits
         span, kept = len(words) + int(sizes.max()), []    # a window as one number
         for item, start in self.proposals(words):
-            one = np.unique(item * (2 * span) + start + span)
+            one = np.sort(item * (2 * span) + start + span)
+            one = one[np.r_[True, one[1:] != one[:-1]][:len(one)]]
             item, start = one // (2 * span), one % (2 * span) - span
             ok = self._likely(item, start, words)
             kept.append(np.stack([item[ok], start[ok]]))
