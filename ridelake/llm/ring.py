@@ -11,7 +11,8 @@ numbers, whatever the corpus); the plan that it yields says which ranks of a
 place go to which shard. Equal rows are merged into one with a count first, and
 the others of a place are dealt to ``LANES`` lanes by a hash of the whole row: a row's
 rank is its lane's start plus a window within the lane, so neither repeated rows nor
-one key with many texts pile up in a task. Texts never leave the scan.
+one key with many texts pile up in a task; the copies of one row leave as ranges of
+``PIECE`` ranks, which are dealt out before they become rows. Texts never leave the scan.
 """
 from __future__ import annotations
 
@@ -27,6 +28,7 @@ from .common import read, written
 RING_BITS = 14
 VNODES = 64
 LANES = 32
+PIECE = 1024      # ranks of one merged row that a task expands at once
 
 
 def preferences(n_shards: int, vnodes: int = VNODES) -> list[list[int]]:
@@ -101,8 +103,10 @@ def assign(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
     ranked = ranked.withColumn("to", F.col("to") + F.col("start")).withColumn("from", F.col("to") - F.col("copies"))
     # a place has at most one part per shard, so the plan stays below places times shards
     met = ranked.join(F.broadcast(parts), "place").where((F.col("first") < F.col("to")) & (F.col("from") < F.col("end")))
-    ranks = F.sequence(F.greatest("first", "from"), F.least("end", "to") - 1)
-    return met.withColumn("rank", F.explode(ranks)).select(
+    met = met.withColumns({"low": F.greatest("first", "from"), "high": F.least("end", "to")})
+    pieces = met.withColumn("low", F.explode(F.sequence("low", F.col("high") - 1, F.lit(PIECE).cast("long"))))
+    ranks = F.sequence("low", F.least("high", F.col("low") + PIECE) - 1)
+    return pieces.repartition("place", "low").withColumn("rank", F.explode(ranks)).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("slot") + F.col("rank") - F.col("first")).alias("slot"))
 
 

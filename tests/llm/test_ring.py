@@ -81,3 +81,31 @@ def test_one_key_with_many_texts_is_dealt_over_lanes(spark):
 def test_fewer_rows_than_shards(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "doc_id long, text string")
     assert sorted((r["shard"], r["slot"]) for r in R.assign(df, 16).collect()) == [(0, 0), (1, 0), (2, 0)]
+
+
+def test_preferences_are_the_nodes_in_clockwise_order():
+    import hashlib
+    nodes = [(hashlib.md5(f"shard {s} node {v}".encode()).hexdigest(), s) for s in range(9) for v in range(R.VNODES)]
+    size, got = 1 << R.RING_BITS, R.preferences(9)
+    for place in [0, 1, size - 1, *random.Random(2).sample(range(size), 150)]:
+        # the ring turned so that the place comes first
+        turned = sorted(nodes, key=lambda n: ((int(n[0], 16) * size // (1 << 128) - place) % size, n[0]))
+        want = []
+        for _, s in turned:
+            if s not in want:
+                want.append(s)
+        assert got[place] == want
+
+
+def test_copies_of_one_row_leave_in_pieces(spark):
+    df = spark.createDataFrame([(7, "same")], "doc_id long, text string").crossJoin(spark.range(50_000)).drop("id")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = R.assign(df, 16)
+        per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 50_000 and max(per_task) <= 0.5 * 50_000
+        n = Counter(r["shard"] for r in out.collect())
+        assert set(n.values()) == {3125}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
