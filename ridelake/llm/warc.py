@@ -1,8 +1,8 @@
 """Deterministic sharded WARC writer and reader.
 
 Pages are cut into ranges of page_id of near equal bytes; the cuts come from an
-exact histogram (fixed number of cells, heavy cells refined), not from a
-sample, so the same pages and shard count give the same files, byte for byte.
+exact histogram (fixed number of cells, heavy cells refined; rows of one id, or of none, that
+would pass a shard are divided by digest), not from a sample, so the same pages and shard count give the same files, byte for byte.
 A task writes its range in order of page_id, one gzip member per record, and
 starts a new file before one would pass ``roll_bytes`` compressed. Files are
 written under temporary names and renamed when complete; the manifest (a Parquet
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from .common import read
+from .common import read, written
 
 CELL_BITS = 12
 ROLL_BYTES = 256 << 20
@@ -44,16 +44,23 @@ def _order(col: Column) -> Column:
     return col.bitwiseXOR(F.lit(-(1 << 63)))
 
 
-def with_shard(rows: DataFrame, sizes: DataFrame, id_col: str, n_shards: int) -> DataFrame:
+def with_shard(rows: DataFrame, sizes: DataFrame, id_col: str, n_shards: int, tie: Column | None = None) -> DataFrame:
     """``rows`` with ``shard``: ranges of ``id_col`` (null first) of near equal bytes, given
-    ``sizes`` (id, size). An id is never divided. The histogram has at most
+    ``sizes`` (id, size). An id larger than a shard (or null) is divided by ``tie``, a number from 0 to
+    below 1 per row, and not at all without it. The histogram has at most
     2^CELL_BITS cells per level, and only cells larger than a shard are refined."""
     spark = rows.sparkSession
     key = _order(F.col("id"))
-    lo, hi, total = sizes.where("id is not null").agg(F.min("id"), F.max("id"), F.sum("size")).first()
+    lo, hi, known, unknown = sizes.agg(F.min("id"), F.max("id"), F.sum(F.when(F.col("id").isNotNull(), F.col("size"))),
+                                       F.sum(F.when(F.col("id").isNull(), F.col("size")))).first()
+    unknown = (unknown or 0) if tie is not None else 0
+    target = max(1, -(-((known or 0) + unknown) // n_shards))
+
+    def divided(before: Column, size: Column) -> Column:
+        return F.least(F.floor((before + tie * size) / target), F.lit(n_shards - 1)).cast("int")
+    null_shard = divided(F.lit(0), F.lit(unknown)) if unknown > target else F.lit(0)
     if lo is None:
-        return rows.withColumn("shard", F.lit(0))
-    target = max(1, -(-total // n_shards))
+        return rows.withColumn("shard", null_shard)
     top = 1 << 63
     shift = max(0, ((lo ^ top) & (2 * top - 1) ^ (hi ^ top) & (2 * top - 1)).bit_length() - CELL_BITS)
     cells: dict[tuple[int, int], int] = {}
@@ -72,16 +79,21 @@ def with_shard(rows: DataFrame, sizes: DataFrame, id_col: str, n_shards: int) ->
         for c in heavy:
             del cells[(shift, c)]
         upper, shift = shift, max(0, shift - CELL_BITS)
-    before, levels = 0, {}
+    before, levels = unknown, {}
     for (s, c), n in sorted(cells.items(), key=lambda x: (x[0][1] % (1 << (64 - x[0][0]))) << x[0][0]):
-        levels.setdefault(s, []).append((c, min(n_shards - 1, (before + n // 2) // target)))
+        own = before if tie is not None and s == 0 and n > target else None
+        levels.setdefault(s, []).append((c, min(n_shards - 1, (before + n // 2) // target), own, n))
         before += n
     out, names = rows, []
     for k, (s, found) in enumerate(sorted(levels.items())):
-        table = spark.createDataFrame(found, f"_cell{k} long, _shard{k} int")
+        table = spark.createDataFrame(found, f"_cell{k} long, _shard{k} int, _before{k} long, _size{k} long")
         out = out.join(F.broadcast(table), F.shiftrightunsigned(_order(F.col(id_col)), s) == F.col(f"_cell{k}"), "left").drop(f"_cell{k}")
+        if any(x[2] is not None for x in found):
+            at = F.when(F.col(f"_before{k}").isNotNull(), divided(F.col(f"_before{k}"), F.col(f"_size{k}"))).otherwise(F.col(f"_shard{k}"))
+            out = out.withColumn(f"_shard{k}", at)
+        out = out.drop(f"_before{k}", f"_size{k}")
         names.append(f"_shard{k}")
-    return out.withColumn("shard", F.coalesce(*names, F.lit(0))).drop(*names)
+    return out.withColumn("shard", F.coalesce(*names, null_shard)).drop(*names)
 
 
 def one_task_each(rows: DataFrame, n_shards: int) -> DataFrame:
@@ -102,7 +114,8 @@ def _local(path: str) -> tuple[pafs.FileSystem, str]:
         return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
     if "://" not in path:
         return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(path)
+    # Hadoop's names of the s3 scheme
+    return pafs.FileSystem.from_uri("s3://" + path.split("://", 1)[1] if path.startswith(("s3a://", "s3n://")) else path)
 
 
 def base32_sha1(data: bytes) -> str:
@@ -174,14 +187,16 @@ def write_warc(pages: DataFrame, path: str, n_shards: int | None = None, roll_by
     n_shards = n_shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     body = F.coalesce(F.encode(F.col(payload_col).cast("string"), "UTF-8"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), body.alias("payload"))
-    narrow = rows.select("id", F.sha1("payload").alias("digest"))
+    # payloads are read twice: once for this narrow table, once to be written
+    narrow = written(rows.select("id", F.sha1("payload").alias("digest"), (F.octet_length("payload") + 512).cast("long").alias("size")), "warc-narrow")
     repeated = narrow.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     marks = narrow.join(repeated, "digest").where(~F.col("id").eqNullSafe(F.col("first"))).select("id", "digest", "first").distinct()
-    sizes = rows.select("id", (F.octet_length("payload") + 512).cast("long").alias("size"))
     everything = rows.select("id", F.sha1("payload").alias("digest"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("first"), "url", "payload")
     everything = marks.select("id", "digest", F.lit(0).alias("kind"), "first", F.lit(None).cast("string").alias("url"),
                               F.lit(None).cast("binary").alias("payload")).unionByName(everything)
-    placed = one_task_each(with_shard(everything, sizes, "id", n_shards), n_shards)
+    # the digest's first 32 bits divide an id that is larger than a shard
+    tie = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") / float(1 << 32)
+    placed = one_task_each(with_shard(everything, narrow, "id", n_shards, tie), n_shards)
     placed = placed.sortWithinPartitions("shard", "id", "digest", "kind", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -94,3 +94,32 @@ def test_every_shard_has_a_task_of_its_own(spark, n):
     df = spark.range(n * 10).withColumn("shard", (F.col("id") % n).cast("int"))
     parts = W.one_task_each(df, n).select("shard", F.spark_partition_id().alias("p")).distinct().collect()
     assert len(parts) == len({r["p"] for r in parts}) == n
+
+
+def test_rows_without_id_and_of_one_id_are_divided(spark, tmp_path):
+    rows = [(None, "u", f"none {i} " * 20) for i in range(400)] + [(5, "u", f"five {i} " * 20) for i in range(400)] + [(i, "u", "x") for i in range(10, 60)]
+    W.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmp_path}/w", 8)
+    assert got(spark, f"{tmp_path}/w") == brute(rows)
+    files = {r["shard"]: r["records"] for r in spark.read.parquet(f"{tmp_path}/w/_manifest").collect()}
+    assert len(files) == 8 and max(files.values()) <= 200
+    # shards stay ranges of (page_id, digest), null first
+    order = spark.createDataFrame([(p, W.base32_sha1(h.encode()), h) for p, _, h in rows], "id long, d string, h string").withColumn("digest", F.sha1("h"))
+    sizes = order.select("id", F.lit(100).cast("long").alias("size"))
+    tie = F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") / float(1 << 32)
+    shards = [r["shard"] for r in W.with_shard(order, sizes, "id", 8, tie).orderBy("id", "digest").collect()]
+    assert shards == sorted(shards) and set(shards) == set(range(8))
+
+
+def test_all_rows_without_id(spark, tmp_path):
+    rows = [(None, "u", f"none {i}") for i in range(100)]
+    W.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmp_path}/w", 4)
+    assert got(spark, f"{tmp_path}/w") == brute(rows)
+    assert spark.read.parquet(f"{tmp_path}/w/_manifest").select("shard").distinct().count() == 4
+
+
+def test_s3a_is_read_as_s3(monkeypatch):
+    asked = []
+    monkeypatch.setattr(W.pafs, "FileSystem", type("Fake", (), {"from_uri": staticmethod(lambda p: asked.append(p) or (None, p))}))
+    W._local("s3a://lake/warc")
+    W._local("hdfs://n/warc")
+    assert asked == ["s3://lake/warc", "hdfs://n/warc"]
