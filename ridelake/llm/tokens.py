@@ -148,10 +148,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
                  encoding: str = "delta", row_group_bytes: int = 64 << 20, page_bytes: int = 256 << 10) -> None:
     """Token file of ``docs`` under ``path``: doc_id, shard, at (position in the shard), n_tokens, ids.
 
-    Rows go in ascending doc_id (null first; rows of equal doc_id by their text). Each
+    Rows go in ascending doc_id (null first; rows of equal doc_id by a hash of their text, so that
+    a heavy id is divided among shards, then by text). Each
     document's ids end with ``end_id``; a null or empty text has that one alone."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange("doc_id", "hash")
+    rows = rows.sortWithinPartitions("doc_id", "hash", "text").drop("hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, at = ByteEncoder(tokenizer), TaskContext.get().partitionId(), 0

@@ -103,6 +103,22 @@ def test_token_file(spark, odd_docs, tmp_path, encoding):
     assert all(c.has_offset_index for c in column)
 
 
+def test_rows_of_one_id_are_divided(spark, tmp_path):
+    docs = spark.createDataFrame([(None if i % 2 else 7, f"text {i} " * 5) for i in range(4000)] + [(9, "last")], "doc_id long, text string")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"      # such small partitions would be joined
+    old = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        tokens.write_tokens(docs, f"{tmp_path}/t", P.path(FILES[0]))
+    finally:
+        spark.conf.set(name, old)
+    rows = spark.read.parquet(f"{tmp_path}/t").groupBy("shard").count().collect()
+    assert len(rows) >= 4 and max(r["count"] for r in rows) <= 1200
+    got = sorted(tokens.read_tokens(spark, f"{tmp_path}/t").collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 2000 + [7] * 2000 + [9]
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:]))
+
+
 def test_metadata_is_read_without_the_ids(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     tokens.write_tokens(docs, f"{tmp_path}/t", P.path(FILES[0]))
