@@ -154,13 +154,14 @@ def ring_moments(rings: DataFrame) -> DataFrame:
                     ((a2 * 3 * F.col("y0") + F.col("m.cy")) * sign).alias("wy"))
 
 
-SWEEP_BANDS = 256    # bands of a zone's height in which edges are compared
+SWEEP_BANDS = 256    # at most so many bands of a zone's height in which edges are compared
+BAND_EDGES = 64      # edges of a zone for each band: a zone of a few edges is one band
 
 
 def _banded(df: DataFrame, low: str, high: str) -> DataFrame:
-    """A row for each band of its zone's height (columns ``floor, height``) that it reaches into."""
+    """A row for each band of its zone's height (columns ``floor, height, bands``) that it reaches into."""
     def band(c: str) -> Column:
-        return F.least(F.floor((F.col(c) - F.col("floor")) / F.col("height") * SWEEP_BANDS), F.lit(SWEEP_BANDS - 1))
+        return F.least(F.floor((F.col(c) - F.col("floor")) / F.col("height") * F.col("bands")), F.col("bands") - 1)
     return df.withColumn("band", F.explode(F.sequence(band(low), band(high))))
 
 
@@ -171,7 +172,9 @@ def swept_moments(rings: DataFrame) -> DataFrame:
     The heights of all vertices and of all crossings of edges cut a zone into slabs, in which edges don't cross. Per
     slab, the edges in order of x are entries and exits of their rings; where the number of rings
     around goes from none to one or back, an edge bounds the union, and its integrals over the slab
-    count. Edges meet only in the band of the zone's height that both reach into."""
+    count. Edges meet only in the band of the zone's height that both reach into, and the more edges a zone has, the
+    more bands. Edges and slabs are made from a small table of rings, by whose size Spark would take them for small
+    and send them all to the driver to broadcast: the joins are told to shuffle."""
     def edge(i):
         a, b = F.element_at("pts", i + 1), F.element_at("pts", i + 2)
         up = a["lat"] < b["lat"]
@@ -179,25 +182,26 @@ def swept_moments(rings: DataFrame) -> DataFrame:
                         F.when(up, b["lon"]).otherwise(a["lon"]).alias("x2"), F.greatest(a["lat"], b["lat"]).alias("y2"))
 
     base = _bbox(valid_rings(rings)).groupBy("location_id").agg(
-        F.min("min_lon").alias("x0"), F.min("min_lat").alias("floor"), (F.max("max_lat") - F.min("min_lat")).alias("height"))
+        F.min("min_lon").alias("x0"), F.min("min_lat").alias("floor"), (F.max("max_lat") - F.min("min_lat")).alias("height"),
+        F.least(F.ceil(F.sum(F.size("pts")) / BAND_EDGES), F.lit(SWEEP_BANDS)).alias("bands"))
     edges = valid_rings(rings).select("ring_id", "location_id", F.inline(F.transform(F.sequence(F.lit(0), F.size("pts") - 2), edge)))
-    edges = edges.where("y1 < y2").join(base, "location_id")         # a level edge bounds no slab
+    edges = edges.where("y1 < y2").join(base.hint("merge"), "location_id")         # a level edge bounds no slab
     edges = edges.withColumns({"x1": F.col("x1") - F.col("x0"), "x2": F.col("x2") - F.col("x0"), "y1": F.col("y1") - F.col("floor"),
                                "y2": F.col("y2") - F.col("floor"), "y0": F.col("floor"), "floor": F.lit(0.0),
                                "id": F.struct("ring_id", "x1", "y1", "x2", "y2")})
     there = _banded(edges, "y1", "y2")
     other = there.select("location_id", "band", *[F.col(c).alias(f"o_{c}") for c in ("id", "x1", "y1", "x2", "y2")])
-    met = there.join(other, ["location_id", "band"]).where(
+    met = there.join(other.hint("merge"), ["location_id", "band"]).where(
         (F.col("id") < F.col("o_id")) & (F.col("y1") < F.col("o_y2")) & (F.col("o_y1") < F.col("y2"))
         & (F.least("x1", "x2") <= F.greatest("o_x1", "o_x2")) & (F.least("o_x1", "o_x2") <= F.greatest("x1", "x2")))
     slope, o_slope = (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1")), (F.col("o_x2") - F.col("o_x1")) / (F.col("o_y2") - F.col("o_y1"))
     at = F.try_divide(F.col("o_x1") - o_slope * F.col("o_y1") - F.col("x1") + slope * F.col("y1"), slope - o_slope)
-    zone = ["location_id", "floor", "height"]
+    zone = ["location_id", "floor", "height", "bands"]
     crossed = met.withColumn("y", at).where((F.col("y") > F.greatest("y1", "o_y1")) & (F.col("y") < F.least("y2", "o_y2"))).select(*zone, "y")
     heights = edges.select(*zone, F.col("y1").alias("y")).unionByName(edges.select(*zone, F.col("y2").alias("y"))).unionByName(crossed).distinct()
     slabs = heights.withColumn("top", F.lead("y").over(Window.partitionBy("location_id").orderBy("y"))).where("top is not null")
     slabs = _banded(slabs, "y", "y").select("location_id", "band", F.col("y").alias("lo"), F.col("top").alias("hi"))
-    cut = there.join(slabs, ["location_id", "band"]).where((F.col("y1") <= F.col("lo")) & (F.col("y2") >= F.col("hi")))
+    cut = there.join(slabs.hint("merge"), ["location_id", "band"]).where((F.col("y1") <= F.col("lo")) & (F.col("y2") >= F.col("hi")))
     cut = cut.select("location_id", "ring_id", "x0", "y0", "lo", "hi", (F.col("x1") + slope * (F.col("lo") - F.col("y1"))).alias("xl"),
                      (F.col("x1") + slope * (F.col("hi") - F.col("y1"))).alias("xh")).withColumn("mid", F.col("xl") + F.col("xh"))
     slab = ["location_id", "lo"]
@@ -222,8 +226,9 @@ def union_moments(rings: DataFrame) -> DataFrame:
     other = b.select("location_id", F.col("ring_id").alias("o_id"), *[F.col(c).alias(f"o_{c}") for c in box])
     meets = ((F.col("min_lon") <= F.col("o_max_lon")) & (F.col("o_min_lon") <= F.col("max_lon"))
              & (F.col("min_lat") <= F.col("o_max_lat")) & (F.col("o_min_lat") <= F.col("max_lat")))
-    mixed = (b.join(other, "location_id").where((F.col("ring_id") != F.col("o_id")) & meets)
+    mixed = (b.join(other.hint("merge"), "location_id").where((F.col("ring_id") != F.col("o_id")) & meets)
               .select(F.col("ring_id").alias("mixed_id")).distinct())
+    mixed = mixed.hint("merge")       # as many rows as rings, but taken for few
     own = rings.join(mixed, F.col("ring_id") == F.col("mixed_id"), "left_anti")
     together = rings.join(mixed, F.col("ring_id") == F.col("mixed_id"), "left_semi")
     return ring_moments(own).drop("ring_id").unionByName(swept_moments(together))

@@ -172,7 +172,7 @@ def test_state_plane_rings_come_back_to_degrees(spark):
                                                to_easting_northing, to_lon_lat)
     from ridelake.plans.medallion import LakePaths, build_zones
     from ridelake.session import work_path
-from ridelake.sources.versions import read_table
+    from ridelake.sources.versions import read_table
     from ridelake.sources.fixtures import Fixtures
 
     # the worked example for a two-parallel conic conformal projection published
@@ -253,3 +253,22 @@ def test_centroid_of_touching_and_overlapping_rings(spark):
     assert got.keys() == want.keys()
     for z, c in want.items():
         assert abs(got[z][0] - c[0]) < 1e-8 and abs(got[z][1] - c[1]) < 1e-8, (z, got[z], c)
+
+
+def test_sweep_of_many_small_zones_stays_off_the_driver(spark):
+    """Rings made from a short table of keys look small to Spark: nothing that is made from them is broadcast, and a zone
+    of a few edges is one band, not one for each 256th of its height."""
+    from pyspark.sql import functions as F
+    k = F.col("id").cast("double")
+
+    def square(n, x, y, side):
+        p = [F.struct((x + dx * side).alias("lon"), (y + dy * side).alias("lat")) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))]
+        return F.struct((F.col("id") * 2 + n).alias("ring_id"), F.array(*p).alias("pts"))
+
+    rings = spark.range(300).select(F.col("id").cast("int").alias("location_id"),
+                                    F.inline(F.array(square(0, k, k, 1.0), square(1, k + 0.5, k, 1.0))))
+    df = geo.zone_centroids(rings)
+    assert "BroadcastHashJoin" not in df._jdf.queryExecution().sparkPlan().toString()
+    assert {(r[0], r[1], r[2]) for r in df.collect()} == {(i, i + 0.75, i + 0.5) for i in range(300)}
+    zone = rings.select(F.lit(0.0).alias("floor"), F.lit(8.0).alias("height"), F.lit(1).alias("bands"), F.lit(0.0).alias("lo"), F.lit(8.0).alias("hi"))
+    assert geo._banded(zone, "lo", "hi").count() == zone.count()
