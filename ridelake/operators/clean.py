@@ -1,7 +1,7 @@
 """Silver cleaning: era canonicalisation, value cleaning, quality filter.
 
-Every step is a single ``select`` of built-in expressions, so the whole chain
-collapses into one projection inside the scan's whole-stage codegen.
+Every step is a single ``select`` of built-in expressions inside the scan's whole-stage codegen, with
+no shuffle; what the quality filter reads is computed once a row.
 """
 from __future__ import annotations
 
@@ -50,9 +50,18 @@ def era_union(frames: list[DataFrame], keep: tuple[str, ...] = ("vtype",)) -> Da
     return reduce(lambda a, b: a.unionByName(b), canon)
 
 
+def computed_once(df: DataFrame, *names: str) -> DataFrame:
+    """The same rows; ``names`` are computed once a row. A condition on them that comes later would else be moved below the
+    joins of ``df``, to the scan, with their whole expressions (text to time among them) in place of each mention of them:
+    conditions on what a generator gives stay behind it."""
+    rest = [c for c in df.columns if c not in names]
+    return df.select(*rest, F.inline(F.array(F.struct(*names)))).select(*df.columns)
+
+
 def clean_values(df: DataFrame) -> DataFrame:
     """Value rules on canonical columns: range guard, rate code, flag, category,
     sentinel drop-off, fee applicability."""
+    df = computed_once(df, "pickup_datetime", "dropoff_datetime", "total_amount")
     out = {
         "trip_distance": C.in_range("trip_distance", 0.0, S.MAX_DISTANCE),
         "rate_code_id": C.rate_code("rate_code_id"),

@@ -183,3 +183,18 @@ def test_one_per_key_keeps_the_same_row_whatever_the_order(spark):
         df = spark.createDataFrame(order, schema).repartition(3)
         outs.append(sorted(tuple(r) for r in one_per_key(df, ["ts"]).collect()))
     assert outs[0] == outs[1] == outs[2] == [(1, 0.2, 1.0), (2, 0.1, 2.0)]
+
+
+def test_filter_reads_computed_times_above_the_join(spark):
+    """The quality filter's times are computed once a row, not anew in a condition moved to the scan for each mention of them."""
+    n = F.col("id")
+    left = spark.range(40).select(
+        "id", F.lit("yellow").alias("vtype"), F.when(n % 4 == 0, "n/a").otherwise(F.format_string("2021-01-01 10:%02d:00", n)).alias("Trip_Pickup_DateTime"),
+        F.when(n % 5 == 0, F.lit(None)).otherwise(F.format_string("2021-01-01 11:%02d:00", n)).alias("Trip_Dropoff_DateTime"),
+        F.when(n % 7 == 0, -1.0).otherwise(3.0).alias("Total_Amt"))
+    raw = left.join(spark.range(40).hint("merge"), "id")
+    df = clean.quality_filter(clean.clean_values(clean.era_union([raw])))
+    filters = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x]
+    assert any("pickup_datetime" in x for x in filters) and not any("n/a" in x for x in filters), filters
+    assert df.count() == sum(i % 4 != 0 and i % 7 != 0 for i in range(40))
+    assert df.columns == clean.clean_values(clean.era_union([raw])).columns
