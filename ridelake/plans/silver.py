@@ -127,10 +127,13 @@ def _source_folders(spark: SparkSession, silver_path: str, sources: list[tuple[s
 def replace_sources(spark: SparkSession, silver_path: str, sources: list[tuple[str, str]], rows: DataFrame | None) -> None:
     """Write ``rows``, which are all rows of ``sources`` (None: they have no file any more), in place of
     what the table held of them. Pickup months in which a source has no row any more are not touched
-    by the write; their folders, still with the files they had before, are removed."""
+    by the write; their folders, still with the files they had before, are removed.
+
+    Beside a grid too large to broadcast the lookups deal rows by cell, whatever months they came from: rows are dealt
+    by folder before the write, so that the table's files grow with its bytes, not with folders times tasks."""
     before = _source_folders(spark, silver_path, sources)
     if rows is not None:
-        write_silver(rows, silver_path)
+        write_silver(rows, silver_path, rebalance=True)
     after = _source_folders(spark, silver_path, sources) if before else {}
     for folder, held in before.items():
         if after.get(folder) == held:

@@ -19,7 +19,7 @@ from .sources import files, lake
 from .sources import weather as WX
 from .sources.fixtures import Fixtures
 from .sources.versions import read_table
-from .streaming.incremental import incremental_load, write_bronze
+from .streaming.incremental import append_bronze, incremental_load, write_bronze
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -313,6 +313,12 @@ def _weather_years_needed(fx: Fixtures) -> DataFrame:
 
 
 # --------------------------------------------------------------- sources and sinks (written, read back)
+def _file_months(fx: Fixtures) -> list[DataFrame]:
+    """The raw eras with the year and month of the file that each row sits in."""
+    return [e.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
+            for e in fx.raw_eras(keep_file_month=True)]
+
+
 @register("weather_json_explode")
 def _weather_json_explode(fx: Fixtures) -> DataFrame:
     path = work_path(fx.spark, "bronze-weather")
@@ -344,9 +350,8 @@ def _bronze_tree_load(fx: Fixtures) -> DataFrame:
     # the reference's bronze layout: one vtype=/year=/month= tree (month of the file),
     # files of all schema eras side by side
     root = work_path(spark, "bronze-tree")
-    for era in fx.raw_eras(keep_file_month=True):
-        (era.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
-            .write.mode("append").partitionBy("vtype", "year", "month").parquet(root))
+    for era in _file_months(fx):
+        append_bronze(era, root)
     silver = work_path(spark, "silver-tree")
     grid = _grid(fx).checkpoint()     # computed once, read by both loads
     SV.load_bronze_tree(spark, root, grid, silver)
@@ -370,12 +375,10 @@ def _bronze_tree_late_file(fx: Fixtures) -> DataFrame:
     """Files that arrive later in months already loaded: the second load rebuilds those sources."""
     spark, root, silver = fx.spark, work_path(fx.spark, "late-tree"), work_path(fx.spark, "late-silver")
     grid = _grid(fx).checkpoint()
-    eras = [e.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
-            for e in fx.raw_eras(keep_file_month=True)]
+    eras = _file_months(fx)
     for late in (False, True):       # every row goes into one of the two deliveries
         for era in eras:
-            part = era.where((F.pmod(F.xxhash64(*era.columns), F.lit(3)) == 0) == late)
-            part.write.mode("append").partitionBy("vtype", "year", "month").parquet(root)
+            append_bronze(era.where((F.pmod(F.xxhash64(*era.columns), F.lit(3)) == 0) == late), root)
         SV.load_bronze_tree(spark, root, grid, silver)
     return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")
 
@@ -386,9 +389,8 @@ def _incremental_schema_drift(fx: Fixtures) -> DataFrame:
     spark, root = fx.spark, work_path(fx.spark, "drift-tree")
     silver, ckpt = work_path(spark, "drift-silver"), work_path(spark, "drift-ckpt")
     grid = _grid(fx).checkpoint()
-    for era in fx.raw_eras(keep_file_month=True):
-        (era.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
-            .write.mode("append").partitionBy("vtype", "year", "month").parquet(root))
+    for era in _file_months(fx):
+        append_bronze(era, root)
         incremental_load(spark, [root], grid, silver, ckpt)
     return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")
 
@@ -400,17 +402,15 @@ def _incremental_old_file(fx: Fixtures) -> DataFrame:
     spark, root = fx.spark, work_path(fx.spark, "old-tree")
     silver, ckpt = work_path(spark, "old-silver"), work_path(spark, "old-ckpt")
     grid = _grid(fx).checkpoint()
-    eras = [e.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
-            for e in fx.raw_eras(keep_file_month=True)]
+    eras = _file_months(fx)
 
     def deliver(late: bool) -> None:
         for era in eras:
-            part = era.where((F.pmod(F.xxhash64(*era.columns), F.lit(3)) == 0) == late)
-            part.write.mode("append").partitionBy("vtype", "year", "month").parquet(root)
+            append_bronze(era.where((F.pmod(F.xxhash64(*era.columns), F.lit(3)) == 0) == late), root)
 
     deliver(late=False)
     mistake = eras[0].where("vtype = 'yellow'").withColumn("vtype", F.lit("mistake"))
-    mistake.write.mode("append").partitionBy("vtype", "year", "month").parquet(root)
+    append_bronze(mistake, root)
     # one file holds, for now, what another one of its type holds, and gets its own content later
     name, other = lake.parquet_files(spark, root).where("vtype = 'yellow'").agg(F.min("path"), F.max("path")).first()
     aside = f"{root}/_aside"

@@ -28,6 +28,16 @@ from ..plans.silver import SOURCE_COL, read_by_schema, replace_sources, silver_t
 from ..sources.lake import CHANGE_SCHEMA, changed_files, check_layout, files_or_none, known_files, listed_files, logged
 
 
+BRONZE_PARTITIONS = ("vtype", "year", "month")
+
+
+def append_bronze(frame: DataFrame, root: str, mode: str = "append") -> None:
+    """Write rows below ``root/vtype=/year=/month=``. Rows that come out of a join are not clustered by month: they are
+    dealt by folder first, or every task would leave a file in every folder, and each load has to list and open them all."""
+    (frame.hint("rebalance", *BRONZE_PARTITIONS).write.mode(mode).option("partitionOverwriteMode", "static")
+        .partitionBy(*BRONZE_PARTITIONS).parquet(root))
+
+
 def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts",
                  mode: str = "overwrite") -> list[str]:
     """Write raw era frames as a bronze lake ``<root>/era<i>/vtype=/year=/month=``.
@@ -36,10 +46,7 @@ def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts"
     paths = []
     for i, f in enumerate(frames, start=1):
         path = f"{root.rstrip('/')}/era{i}"
-        (f.withColumns({"year": F.year(month_col), "month": F.month(month_col)})
-          .drop(month_col)
-          .write.mode(mode).option("partitionOverwriteMode", "static")
-          .partitionBy("vtype", "year", "month").parquet(path))
+        append_bronze(f.withColumns({"year": F.year(month_col), "month": F.month(month_col)}).drop(month_col), path, mode)
         paths.append(path)
     return paths
 

@@ -360,3 +360,21 @@ def test_compaction_keeps_rows_and_replacement_by_source(spark, monkeypatch):
     put(spark, root, 1, [4])
     assert SV.load_bronze_tree(spark, root, g, silver) == 1
     assert totals(spark, silver) == sorted([*want, (1, 4.0)])
+
+
+def test_rows_that_are_not_clustered_by_month_leave_one_file_a_folder(spark):
+    """Bronze and silver files grow with bytes, not with tasks times folders."""
+    from pyspark.sql import functions as F
+    from ridelake.plans.silver import replace_sources
+    from ridelake.sources.lake import parquet_files
+    month = (F.col("id") % 6 + 1).cast("int")
+    ts = F.make_timestamp_ntz(F.lit(2021), month, F.lit(15), F.lit(8), F.lit(0), F.lit(0))
+    raw = spark.range(240, numPartitions=8).select(
+        F.lit("yellow").alias("vtype"), ts.alias("_file_ts"), ts.alias("tpep_pickup_datetime"), ts.alias("tpep_dropoff_datetime"),
+        F.lit(-73.995).alias("pickup_longitude"), F.lit(40.605).alias("pickup_latitude"), F.lit(1.0).alias("fare_amount"), F.lit(2.0).alias("total_amount"))
+    [era] = write_bronze([raw], work_path(spark, "dealt-bronze"))
+    assert parquet_files(spark, era).count() == 6 and spark.read.parquet(era).count() == 240
+    silver = work_path(spark, "dealt-silver")
+    unclustered = spark.read.parquet(era).repartition(8)
+    replace_sources(spark, silver, [("yellow", f"2021-{m:02d}") for m in range(1, 7)], silver_trips_by_source([unclustered], grid(spark)))
+    assert parquet_files(spark, silver).count() == 6 and spark.read.parquet(silver).count() == 240
