@@ -58,7 +58,8 @@ def refresh_parts(spark: SparkSession, silver_path: str, root: str) -> tuple[lis
     if changed:
         trips = trips_of(spark, silver_path, changed)
         for name, (build, _, _) in PARTS.items():
-            (build(trips).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            # dealt by source: a file or two a source, not one a task and source
+            (build(trips).hint("rebalance", *SOURCE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*SOURCE).parquet(f"{root}/{name}"))
     for vtype, month in gone:
         for name in PARTS:

@@ -49,3 +49,19 @@ def test_refresh_equals_a_full_build_and_reads_changed_sources_only(spark, monke
     write_gold(spark, now, fx.zones, fx.weather, whole, names=list(MARTS))
     for name in MARTS:
         assert rows(read_table(spark, f"{gold}/{name}")) == rows(read_table(spark, f"{whole}/{name}")), name
+
+
+def test_parts_are_one_file_a_source(spark):
+    """However many tasks build the parts, a source's part is not a file of each of them."""
+    fx = Fixtures(spark, SF)
+    silver, root = work_path(spark, "parts-silver"), work_path(spark, "parts-root")
+    trips = fx.trips.where("year = 2021").withColumn(SV.SOURCE_COL, F.format_string("%04d-%02d", "year", "month"))
+    SV.write_silver(trips, silver, rebalance=True)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        changed, _ = R.refresh_parts(spark, silver, root)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for name in R.PARTS:
+        held = R.parquet_files(spark, f"{root}/{name}").groupBy(*R.SOURCE).count().collect()
+        assert 0 < len(held) <= len(changed) and all(r["count"] == 1 for r in held), name
