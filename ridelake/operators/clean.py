@@ -44,6 +44,11 @@ def canonicalize(df: DataFrame, keep: tuple[str, ...] = ("vtype",)) -> DataFrame
     return df.select(*exprs)
 
 
+def has_points(columns: list[str]) -> bool:
+    """Whether files with these columns can hold a GPS point: both coordinates of the pick-up or of the drop-off."""
+    return any(all(pick_source(columns, S.COLMAP[f"{role}_{axis}"]) for axis in ("longitude", "latitude")) for role in ("pickup", "dropoff"))
+
+
 def era_union(frames: list[DataFrame], keep: tuple[str, ...] = ("vtype",)) -> DataFrame:
     """Canonicalise each schema era and concatenate them by name (one plan, one write)."""
     canon = [canonicalize(f, keep) for f in frames]

@@ -88,7 +88,9 @@ def scanline_cells(rings: DataFrame, step: int = S.GRID_STEP) -> DataFrame:
     crossed = crossed.where((F.col("yi") > py) != (F.col("yj") > py)).select(
         "ring_id", "location_id", "lat_key",
         ((F.col("xj") - F.col("xi")) * (py - F.col("yi")) / (F.col("yj") - F.col("yi")) + F.col("xi")).alias("x"))
-    with_xs = crossed.groupBy("ring_id", "location_id", "lat_key").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    # a crossing is a few bytes and its row's cells are many: a number of partitions that is named is not made smaller
+    keys, tasks = ["ring_id", "location_id", "lat_key"], int(rings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    with_xs = crossed.repartition(tasks, *keys).groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("xs"))
     pairs = F.transform(F.sequence(F.lit(0), (F.size("xs") / 2).cast("int") - 1),
                         lambda j: F.struct(F.element_at("xs", j * 2 + 1).alias("x_in"), F.element_at("xs", j * 2 + 2).alias("x_out")))
     spans = with_xs.select("ring_id", "location_id", "lat_key", F.inline(pairs))
@@ -257,14 +259,22 @@ def span_width(step: int) -> int:
 def grid_spans(grid: DataFrame, step: int = S.GRID_STEP) -> DataFrame:
     """The grid as spans: a row per (grid row, block of ``span_width`` columns) with the runs of neighbouring cells of one
     zone in it, ``spans`` (from, to, location_id) in order. The same cells in a table that is
-    smaller by the length of the runs, so that finer grids still fit a broadcast."""
+    smaller by the length of the runs, so that finer grids still fit a broadcast. A cell that
+    the grid names several times is in as many spans."""
     width = span_width(step)
     cells = grid.select("lat_key", F.floor(F.col("lon_key") / width).cast("int").alias("block"), "lon_key", "location_id")
-    # cells of a run have the same distance to their number within the block and zone
-    nth = F.row_number().over(Window.partitionBy("lat_key", "block", "location_id").orderBy("lon_key"))
-    runs = cells.withColumn("run", F.col("lon_key") - nth).groupBy("lat_key", "block", "location_id", "run").agg(
-        F.min("lon_key").alias("from"), F.max("lon_key").alias("to"))
-    return runs.groupBy("lat_key", "block").agg(F.array_sort(F.collect_list(F.struct("from", "to", "location_id"))).alias("spans"))
+    along = Window.partitionBy("lat_key", "block", "location_id").orderBy("lon_key")
+    cells = cells.withColumn("copies", F.count(F.lit(1)).over(along.rangeBetween(0, 0)))
+    begins = (F.col("lon_key") - F.lag("lon_key").over(along) > 1) | (F.col("copies") != F.lag("copies").over(along))
+    cells = cells.withColumn("begins", F.when(begins, 1).otherwise(0))
+    cells = cells.withColumn("run", F.sum("begins").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    runs = cells.groupBy("lat_key", "block", "location_id", "run").agg(
+        F.min("lon_key").alias("from"), F.max("lon_key").alias("to"), F.max("copies").alias("copies"))
+    span = F.array_repeat(F.struct("from", "to", "location_id"), F.col("copies").cast("int"))
+    return runs.groupBy("lat_key", "block").agg(F.array_sort(F.flatten(F.collect_list(span))).alias("spans"))
+
+
+POINT_COLS = ("pub_pickup_zone", "pub_dropoff_zone", "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
 
 
 def geocode(df: DataFrame, grid: DataFrame, step: int = S.GRID_STEP) -> DataFrame:
@@ -302,19 +312,28 @@ def geocode(df: DataFrame, grid: DataFrame, step: int = S.GRID_STEP) -> DataFram
     on_pu = (F.col("pu_lon_k") == F.col("gp.lon_key")) & (F.col("pu_lat_k") == F.col("gp.lat_key"))
     on_do = (F.col("do_lon_k") == F.col("gd.lon_key")) & (F.col("do_lat_k") == F.col("gd.lat_key"))
 
-    def zone(side: str, role: str) -> Column:
-        if not by_span:
-            return F.col(f"{side}.location_id")
+    def zones(side: str, role: str) -> Column:
         cell = F.col(f"t.{role}_cell")
-        return F.get(F.filter(f"{side}.spans", lambda x: cell.between(x["from"], x["to"])), F.lit(0))["location_id"]
-
-    keep = [c for c in df.columns if c not in (
-        "pub_pickup_zone", "pub_dropoff_zone", "pickup_longitude", "pickup_latitude",
-        "dropoff_longitude", "dropoff_latitude")]
-    return (keyed.alias("t").join(gp, on_pu, "left").join(gd, on_do, "left")
-                 .select(*[F.col(f"t.{c}") for c in keep],
-                         F.coalesce(zone("gp", "pu"), F.col("t.pub_pickup_zone")).alias("pickup_location_id"),
-                         F.coalesce(zone("gd", "do"), F.col("t.pub_dropoff_zone")).alias("dropoff_location_id")))
+        return F.transform(F.filter(f"{side}.spans", lambda x: cell.between(x["from"], x["to"])), lambda x: x["location_id"])
+
+    keep = [c for c in df.columns if c not in POINT_COLS]
+    found = keyed.alias("t").join(gp, on_pu, "left").join(gd, on_do, "left")
+    kept = [F.col(f"t.{c}") for c in (*keep, "pub_pickup_zone", "pub_dropoff_zone")]
+    if by_span:      # as the join with cells: a row for each time that the grid names the point's cell, else one
+        found = found.select(*kept, F.explode_outer(zones("gp", "pu")).alias("pu_zone"), zones("gd", "do").alias("do_zones"))
+        found = found.withColumn("do_zone", F.explode_outer("do_zones"))
+    else:
+        found = found.select(*kept, F.col("gp.location_id").alias("pu_zone"), F.col("gd.location_id").alias("do_zone"))
+    return found.select(*keep, F.coalesce("pu_zone", "pub_pickup_zone").alias("pickup_location_id"),
+                        F.coalesce("do_zone", "pub_dropoff_zone").alias("dropoff_location_id"))
+
+
+def published_zones(df: DataFrame, grid: DataFrame) -> DataFrame:
+    """``geocode`` of rows without any point, without the lookups: the published ids, in the type that ``geocode`` gives."""
+    zone = F.element_at("spans", 1)["location_id"] if "spans" in grid.columns else F.col("location_id")
+    kind = grid.select(zone.alias("z")).schema["z"].dataType
+    ids = [F.coalesce(F.lit(None).cast(kind), F.col(f"pub_{role}_zone")).alias(f"{role}_location_id") for role in ("pickup", "dropoff")]
+    return df.select(*[c for c in df.columns if c not in POINT_COLS], *ids)
 
 
 def grid_coverage(rings: DataFrame, grid: DataFrame, step: int = S.GRID_STEP,

@@ -14,12 +14,15 @@ pickup month put them, and leaves every other file's rows alone.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.columns import hour_number
 from ..operators import clean, geo
+from ..session import release_shuffles
 from ..sources import files
 from ..sources.lake import (changed_files, check_layout, file_schemas, listed_files, loaded_files, parquet_files,
                             record_files)
@@ -49,10 +52,12 @@ def silver_trips_by_source(raw_frames: list[DataFrame], grid: DataFrame,
 
 def silver_trips(raw_frames: list[DataFrame], grid: DataFrame, strict: bool = False,
                  keep: tuple[str, ...] = ("vtype",)) -> DataFrame:
-    canon = clean.era_union(raw_frames, keep=keep)
-    cleaned = clean.clean_values(canon)
-    located = geo.geocode(cleaned, grid)
-    kept = clean.quality_filter(located, strict=strict)
+    # files of an era without coordinates take no part in the lookups, which shuffle rows beside a large grid
+    with_points = [f for f in raw_frames if clean.has_points(f.columns)]
+    without = [f for f in raw_frames if not clean.has_points(f.columns)]
+    parts = [(frames, zones) for frames, zones in ((with_points, geo.geocode), (without, geo.published_zones)) if frames]
+    located = [zones(clean.clean_values(clean.era_union(frames, keep=keep)), grid) for frames, zones in parts]
+    kept = clean.quality_filter(reduce(lambda a, b: a.unionByName(b), located), strict=strict)
     extra = [k for k in keep if k != "vtype"]
     return clean.with_partition_columns(kept).select(*S.FINAL_COLS, "year", "month", *extra)
 
@@ -140,6 +145,35 @@ def replace_sources(spark: SparkSession, silver_path: str, sources: list[tuple[s
             files.remove(spark, folder)
 
 
+LOAD_BYTES = 1 << 30     # of bronze files in one plan: what its shuffles leave on the executors' disks is a few times that
+
+
+def load_portions(sources: DataFrame, todo: DataFrame) -> list[list[tuple[str, str]]]:
+    """``sources`` (type, source month) in portions whose files in ``todo`` (with ``length``) hold ``LOAD_BYTES``, or one
+    source each that holds more. A load goes through them one after another, so that the room its shuffles take
+    doesn't grow with the history."""
+    held = todo.groupBy("vtype", SOURCE_COL).agg(F.sum("length").alias("bytes"))
+    portions, room = [], 0
+    for r in sorted(sources.join(held, ["vtype", SOURCE_COL], "left").collect(), key=str):     # one row a type and month
+        size = r["bytes"] or 0
+        if not portions or size > room:
+            portions.append([])
+            room = LOAD_BYTES
+        portions[-1].append((r["vtype"], r[SOURCE_COL]))
+        room -= size
+    return portions
+
+
+def of_portion(rows: DataFrame, portion: list[tuple[str, str]], portions: list) -> DataFrame:
+    """Those of ``rows`` that belong to the sources of ``portion``."""
+    if len(portions) == 1:
+        return rows
+    months: dict[str, list[str]] = {}
+    for vtype, month in portion:
+        months.setdefault(vtype, []).append(month)
+    return rows.where(reduce(lambda a, b: a | b, [F.col("vtype").eqNullSafe(v) & F.col(SOURCE_COL).isin(*m) for v, m in months.items()]))
+
+
 def load_bronze_tree(spark: SparkSession, root: str, grid: DataFrame, silver_path: str) -> int:
     """Batch incremental silver load of a bronze tree ``<root>/vtype=/year=/month=``
     whose monthly files have drifting schemas.

@@ -14,12 +14,12 @@ from .plans import marts as M
 from .plans import silver as SV
 from .plans.refresh import refresh_gold
 from .plans.medallion import LakePaths, build_zones
-from .session import apply_session_conf, work_path
+from .session import apply_session_conf, release_shuffles, work_path
 from .sources import files, lake
 from .sources import weather as WX
 from .sources.fixtures import Fixtures
 from .sources.versions import read_table
-from .streaming.incremental import append_bronze, incremental_load, write_bronze
+from .streaming.incremental import BRONZE_PARTITIONS, append_bronze, incremental_load, write_bronze
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -314,9 +314,32 @@ def _weather_years_needed(fx: Fixtures) -> DataFrame:
 
 # --------------------------------------------------------------- sources and sinks (written, read back)
 def _file_months(fx: Fixtures) -> list[DataFrame]:
-    """The raw eras with the year and month of the file that each row sits in."""
+    """The raw eras with the year and month of the file that each row sits in, dealt by file."""
     return [e.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts")
-            for e in fx.raw_eras(keep_file_month=True)]
+            for e in fx.raw_eras(keep_file_month=True, dealt=True)]
+
+
+def _deliveries(fx: Fixtures) -> str:
+    """A folder with the raw eras in two deliveries, ``era<i>/late=<true or false>/vtype=/year=/month=``: the tables are read
+    and joined once for both. Every row is in one of them."""
+    aside = work_path(fx.spark, "deliveries")
+    for i, era in enumerate(_file_months(fx), start=1):
+        late = F.pmod(F.xxhash64(*era.columns), F.lit(3)) == 0
+        era.withColumn("late", late).write.partitionBy("late", *BRONZE_PARTITIONS).parquet(f"{aside}/era{i}")
+        release_shuffles(fx.spark)
+    return aside
+
+
+def _deliver(fx: Fixtures, aside: str, late: bool, root: str) -> None:
+    for era in sorted(files.matching(fx.spark, f"{aside}/era*")):
+        files.move_tree(fx.spark, f"{era}/late={str(late).lower()}", root, "late-" if late else "")
+
+
+def _written_spans(fx: Fixtures) -> DataFrame:
+    """The grid's spans, written once and read by every load: a row for up to 64 cells, and of a size that Spark knows."""
+    path = work_path(fx.spark, "spans")
+    geo.grid_spans(_grid(fx)).write.parquet(path)
+    return fx.spark.read.parquet(path)
 
 
 @register("weather_json_explode")
@@ -388,9 +411,9 @@ def _incremental_schema_drift(fx: Fixtures) -> DataFrame:
     """One bronze tree whose later files bring fee columns that the first ones lack."""
     spark, root = fx.spark, work_path(fx.spark, "drift-tree")
     silver, ckpt = work_path(spark, "drift-silver"), work_path(spark, "drift-ckpt")
-    grid = _grid(fx).checkpoint()
+    grid = _written_spans(fx)
     for era in _file_months(fx):
-        append_bronze(era, root)
+        append_bronze(era, root, dealt=True)
         incremental_load(spark, [root], grid, silver, ckpt)
     return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")
 
@@ -401,16 +424,10 @@ def _incremental_old_file(fx: Fixtures) -> DataFrame:
     the first is rewritten under its name, and a type that was loaded by mistake is deleted."""
     spark, root = fx.spark, work_path(fx.spark, "old-tree")
     silver, ckpt = work_path(spark, "old-silver"), work_path(spark, "old-ckpt")
-    grid = _grid(fx).checkpoint()
-    eras = _file_months(fx)
-
-    def deliver(late: bool) -> None:
-        for era in eras:
-            append_bronze(era.where((F.pmod(F.xxhash64(*era.columns), F.lit(3)) == 0) == late), root)
-
-    deliver(late=False)
-    mistake = eras[0].where("vtype = 'yellow'").withColumn("vtype", F.lit("mistake"))
-    append_bronze(mistake, root)
+    grid, aside = _written_spans(fx), _deliveries(fx)
+    mistake = spark.read.parquet(f"{aside}/era1").where("vtype = 'yellow'").drop("late").withColumn("vtype", F.lit("mistake"))
+    append_bronze(mistake, root, dealt=True)
+    _deliver(fx, aside, False, root)
     # one file holds, for now, what another one of its type holds, and gets its own content later
     name, other = lake.parquet_files(spark, root).where("vtype = 'yellow'").agg(F.min("path"), F.max("path")).first()
     aside = f"{root}/_aside"
@@ -421,7 +438,7 @@ def _incremental_old_file(fx: Fixtures) -> DataFrame:
     files.remove(spark, name)
     files.move(spark, aside, name)
     files.redate(spark, [name], 1_400_000_000)
-    deliver(late=True)
+    _deliver(fx, aside, True, root)
     came = [r["path"] for r in lake.parquet_files(spark, root).select("path").collect() if r["path"] not in before]
     files.redate(spark, came, 1_400_000_000)
     files.remove(spark, f"{root}/vtype=mistake")

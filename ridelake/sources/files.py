@@ -48,6 +48,24 @@ def copy(spark: SparkSession, source: str, target: str) -> None:
     spark._jvm.org.apache.hadoop.fs.FileUtil.copy(a, p, b, q, False, spark._jsc.hadoopConfiguration())
 
 
+def move_tree(spark: SparkSession, source: str, target: str, prefix: str = "") -> None:
+    """Move the files below ``source`` to the same places below ``target``: folders that are new there as a whole, files of
+    others one by one, with ``prefix`` before their names (one task gives its files in all folders the same name)."""
+    fs, p = at(spark, source)
+    _, q = at(spark, target)
+    if not fs.exists(p):
+        return
+    if not fs.exists(q):
+        fs.mkdirs(q.getParent())
+        return move(spark, source, target)
+    for f in fs.listStatus(p):
+        name = f.getPath().getName()
+        if f.isDirectory():
+            move_tree(spark, f"{source}/{name}", f"{target}/{name}", prefix)
+        elif not name.startswith(("_", ".")):
+            move(spark, f"{source}/{name}", f"{target}/{prefix}{name}")
+
+
 def redate(spark: SparkSession, paths: list[str], seconds: int) -> None:
     """Set the modification time of files (seconds since 1970), as a copy that keeps times does."""
     for path in paths:

@@ -154,6 +154,8 @@ _GPS = """
      + l_orderkey % (CASE WHEN (l_suppkey + l_linenumber) % 5 = 4 THEN 48 ELSE 198 END)) AS doy
 """
 
+FILE_TS = "CASE WHEN day(pu) = 1 AND l_orderkey % 3 = 0 THEN pu - INTERVAL '1' DAY ELSE pu END"
+
 FX_RAW_ROWS = """
 SELECT b.*, """ + _GPS + """,
   CASE WHEN l_partkey % 97 = 0 THEN {ntz} '1989-01-01 00:00:00'
@@ -164,7 +166,7 @@ SELECT b.*, """ + _GPS + """,
        ELSE CAST(l_partkey % 700 AS DOUBLE) / 10 - 3 END AS dist,
   l_extendedprice / 1500 AS fare,
   l_extendedprice / 1500 + l_discount * 10 + CAST(0.5 AS DOUBLE) AS tot,
-  CASE WHEN day(pu) = 1 AND l_orderkey % 3 = 0 THEN pu - INTERVAL '1' DAY ELSE pu END AS file_ts
+  """ + FILE_TS + """ AS file_ts
 FROM {fx_base} b
 """
 
@@ -324,9 +326,15 @@ class Fixtures:
     def weather(self) -> DataFrame:
         return self.view("fx_weather_hourly")
 
-    def raw_eras(self, keep_file_month: bool = False) -> list[DataFrame]:
+    def raw_eras(self, keep_file_month: bool = False, dealt: bool = False) -> list[DataFrame]:
         """The three raw schema eras; ``_file_ts`` (month of the file a row sits in)
-        is kept only for writing a bronze lake."""
+        is kept only for writing a bronze lake. ``dealt``: rows come clustered by the type and month of their file, dealt
+        as the narrow rows of the base and not as the wide ones of the eras."""
+        if dealt:
+            here = Fixtures(self.spark, self.tables.root)
+            base = here.view("fx_base").withColumns({"_year": F.expr(f"year({FILE_TS})"), "_month": F.expr(f"month({FILE_TS})")})
+            here._cache["fx_base"] = base.hint("rebalance", "vtype", "_year", "_month").drop("_year", "_month")
+            return here.raw_eras(keep_file_month)
         eras = [self.view(f"fx_raw_era{i}") for i in (1, 2, 3)]
         return eras if keep_file_month else [e.drop("_file_ts") for e in eras]
 

@@ -24,18 +24,20 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.silver import SOURCE_COL, read_by_schema, replace_sources, silver_trips_by_source
+from ..plans.silver import SOURCE_COL, load_portions, of_portion, read_by_schema, replace_sources, silver_trips_by_source
+from ..session import release_shuffles
 from ..sources.lake import CHANGE_SCHEMA, changed_files, check_layout, files_or_none, known_files, listed_files, logged
 
 
 BRONZE_PARTITIONS = ("vtype", "year", "month")
 
 
-def append_bronze(frame: DataFrame, root: str, mode: str = "append") -> None:
+def append_bronze(frame: DataFrame, root: str, mode: str = "append", dealt: bool = False) -> None:
     """Write rows below ``root/vtype=/year=/month=``. Rows that come out of a join are not clustered by month: they are
-    dealt by folder first, or every task would leave a file in every folder, and each load has to list and open them all."""
-    (frame.hint("rebalance", *BRONZE_PARTITIONS).write.mode(mode).option("partitionOverwriteMode", "static")
-        .partitionBy(*BRONZE_PARTITIONS).parquet(root))
+    dealt by folder first, or every task would leave a file in every folder, and each load has to list and open them all.
+    ``dealt``: they are by now."""
+    out = frame if dealt else frame.hint("rebalance", *BRONZE_PARTITIONS)
+    out.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*BRONZE_PARTITIONS).parquet(root)
 
 
 def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts",
@@ -51,7 +53,7 @@ def write_bronze(frames: list[DataFrame], root: str, month_col: str = "_file_ts"
     return paths
 
 
-LISTED = "path string, vtype string, source_month string, load long"
+LISTED = "path string, vtype string, source_month string, length long, load long"
 
 
 def log_changes(spark: SparkSession, bronze_path: str, ledger: str, max_files: int | None = None) -> bool:
@@ -66,8 +68,8 @@ def log_changes(spark: SparkSession, bronze_path: str, ledger: str, max_files: i
     load = (logged(spark, f"{ledger}/listing", LISTED).agg(F.max("load")).first()[0] or 0) + 1
     sources = changes.select("vtype", "source_month").distinct()
     # a source without any file left is listed with a null path
-    here = sources.join(files.select("path", "vtype", "source_month"), ["vtype", "source_month"], "left")
-    here.select("path", "vtype", "source_month", F.lit(load).cast("long").alias("load")).coalesce(1).write.mode("append").parquet(f"{ledger}/listing")
+    here = sources.join(files.select("path", "vtype", "source_month", "length"), ["vtype", "source_month"], "left")
+    here.select("path", "vtype", "source_month", "length", F.lit(load).cast("long").alias("load")).coalesce(1).write.mode("append").parquet(f"{ledger}/listing")
     (changes.withColumn("load", F.lit(load).cast("long")).orderBy("vtype", "source_month", "path").coalesce(1)
         .write.mode("append").option("maxRecordsPerFile", max_files or 0).parquet(f"{ledger}/changes"))
     return True
@@ -91,10 +93,14 @@ def start_era_stream(spark: SparkSession, bronze_path: str, grid: DataFrame, sil
         listed = logged(spark, f"{ledger}/listing", LISTED).join(batch.distinct(), ["vtype", "source_month"], "left_semi")
         newest = listed.groupBy("vtype", "source_month").agg(F.max("load").alias("load"))
         files = listed.join(newest, ["vtype", "source_month", "load"]).checkpoint()
-        sources = [tuple(r) for r in files.select("vtype", label).distinct().collect()]
-        frames = read_by_schema(spark, bronze_path, files.where("path is not null"), by_folder=False)
-        replace_sources(spark, silver_path, sources,
-                        silver_trips_by_source(frames, grid).withColumn(SOURCE_COL, label) if frames else None)
+        portions = load_portions(files.select("vtype", SOURCE_COL).distinct(), files)
+        for portion in portions:
+            here = of_portion(files, portion, portions).where("path is not null")
+            frames = read_by_schema(spark, bronze_path, here, by_folder=False)
+            replace_sources(spark, silver_path, [(vtype, f"{month}.{era_name}") for vtype, month in portion],
+                            silver_trips_by_source(frames, grid).withColumn(SOURCE_COL, label) if frames else None)
+            if len(portions) > 1:
+                release_shuffles(spark)
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(process)

@@ -272,3 +272,10 @@ def test_sweep_of_many_small_zones_stays_off_the_driver(spark):
     assert {(r[0], r[1], r[2]) for r in df.collect()} == {(i, i + 0.75, i + 0.5) for i in range(300)}
     zone = rings.select(F.lit(0.0).alias("floor"), F.lit(8.0).alias("height"), F.lit(1).alias("bands"), F.lit(0.0).alias("lo"), F.lit(8.0).alias("hi"))
     assert geo._banded(zone, "lo", "hi").count() == zone.count()
+
+
+def test_cells_are_made_by_as_many_tasks_as_shuffles_have_partitions(spark):
+    # the crossings of a large grid fit one coalesced partition, its cells don't
+    rings = rings_df(spark, [(i, i, square(-74.0005 + 0.01 * i, 40.6005, 0.01)) for i in range(8)])
+    cells = geo.scanline_cells(rings)
+    assert cells.count() == 800 and cells.select(F.spark_partition_id().alias("p")).distinct().count() > 3

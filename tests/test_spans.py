@@ -97,3 +97,38 @@ def test_a_tree_on_a_file_system_that_only_hadoop_knows(spark):
     got = spark.read.parquet(silver)
     assert got.count() == 4 and got.where("congestion_surcharge = 2.5").count() == 2
     assert SV.load_bronze_tree(spark, "viewfs://spans/in", grid, silver) == 0
+
+
+def test_cells_that_the_grid_names_several_times_match_as_often_in_spans(spark):
+    cells = [(x, y, z) for x in (*range(-74020, -74004), *range(-73990, -73970)) for y in range(40590, 40640) for z in (1, 2) if (x + y) % 7 != z]
+    cells += [c for c in cells if c[0] % 3] + [c for c in cells if c[0] == -74010 and c[1] % 2] + [(-74007, 40600, None)]
+    grid = spark.createDataFrame(cells, "lon_key int, lat_key int, location_id int")
+    pts = points(spark)
+    by_cell, by_span = geo.geocode(pts, grid), geo.geocode(pts, geo.grid_spans(grid))
+    want = sorted(map(tuple, by_cell.collect()), key=repr)
+    assert len(want) > pts.count() and sorted(map(tuple, by_span.collect()), key=repr) == want and by_span.dtypes == by_cell.dtypes
+
+
+def test_rows_of_files_without_coordinates_are_not_shuffled(spark):
+    ids = work_path(spark, "ids-only")
+    spark.sql("select 'fhv' vtype, timestamp_ntz'2023-03-01 08:00:00' pickup_datetime, timestamp_ntz'2023-03-01 08:30:00' dropOff_datetime, "
+              "4 PULocationID, cast(null as int) DOLocationID, id / 2 trip_miles from range(40)").write.parquet(ids)
+    rings = spark.createDataFrame([(1, 42, ring(-74.0, 40.6, 0.05, 0.05))], S.RING_SCHEMA)
+    gps = spark.createDataFrame([("yellow", datetime(2021, 3, 1, 8), datetime(2021, 3, 1, 9), -73.98, 40.62, None, 5.0)] * 3,
+                                "vtype string, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, pickup_longitude double, "
+                                "pickup_latitude double, dropoff_longitude double, dropoff_latitude double")
+    cells = geo.zone_grid(rings).checkpoint()
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    for grid in (cells, geo.grid_spans(cells).checkpoint()):
+        old = spark.conf.get(name)
+        spark.conf.set(name, "-1")
+        try:
+            buf = io.StringIO()
+            with contextlib.redirect_stdout(buf):
+                SV.silver_trips([spark.read.parquet(ids)], grid).explain()
+            assert "hashpartitioning" not in buf.getvalue() and "Join" not in buf.getvalue()
+        finally:
+            spark.conf.set(name, old)
+        found = SV.silver_trips([spark.read.parquet(ids), gps], grid)
+        assert sorted((r["vtype"], r["pickup_location_id"], r["dropoff_location_id"], r["n"]) for r in found.groupBy(
+            "vtype", "pickup_location_id", "dropoff_location_id").agg(F.count(F.lit(1)).alias("n")).collect()) == [("fhv", 4, None, 40), ("yellow", 42, None, 3)]

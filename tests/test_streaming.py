@@ -1,6 +1,8 @@
 """Incremental load: a rerun adds nothing, arrival order does not matter."""
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from ridelake.operators import geo
 from ridelake.plans.silver import SOURCE_COL, silver_trips, silver_trips_by_source, write_silver
 from ridelake.schema import RING_SCHEMA
@@ -378,3 +380,49 @@ def test_rows_that_are_not_clustered_by_month_leave_one_file_a_folder(spark):
     unclustered = spark.read.parquet(era).repartition(8)
     replace_sources(spark, silver, [("yellow", f"2021-{m:02d}") for m in range(1, 7)], silver_trips_by_source([unclustered], grid(spark)))
     assert parquet_files(spark, silver).count() == 6 and spark.read.parquet(silver).count() == 240
+
+
+def test_shuffle_files_of_finished_jobs_are_removed(spark):
+    import time
+
+    from ridelake.session import release_shuffles
+
+    def shuffle_files():
+        kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f.rpartition("/")[2] for f in kept.split("\n") if "shuffle_" in f and f.endswith(".data")}
+
+    before = shuffle_files()
+    spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(work_path(spark, "released"))
+    mine, until = shuffle_files() - before, time.time() + 20
+    assert mine
+    release_shuffles(spark)
+    while mine & shuffle_files() and time.time() < until:
+        time.sleep(0.2)
+    assert not mine & shuffle_files()
+
+
+def test_two_deliveries_hold_every_row_once(spark):
+    """Rows dealt as the base's narrow ones and written once for both deliveries are the rows of the eras."""
+    from ridelake import queries as Q
+    from ridelake.sources.fixtures import Fixtures
+    from ridelake.sources.lake import parquet_files
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    aside, root = Q._deliveries(fx), work_path(spark, "dl-tree")
+    plain = [e.withColumns({"year": F.year("_file_ts"), "month": F.month("_file_ts")}).drop("_file_ts") for e in fx.raw_eras(keep_file_month=True)]
+    held = lambda frames: sum((f.agg(F.coalesce(F.sum(F.xxhash64(*sorted(f.columns)).cast("decimal(38,0)")), F.lit(0))).first()[0] for f in frames))     # noqa: E731
+    early = [e.where(F.pmod(F.xxhash64(*e.columns), F.lit(3)) != 0) for e in plain]
+    for late, want in ((False, early), (True, plain)):
+        Q._deliver(fx, aside, late, root)
+        here = read_by_schema_of(spark, root)
+        assert sum(f.count() for f in here) == sum(f.count() for f in want) and held(here) == held(want)
+    assert parquet_files(spark, aside).count() == 0
+    # the tables are read once an era, and rows are dealt before they grow to the era's columns
+    for era in fx.raw_eras(keep_file_month=True, dealt=True):
+        text = era._jdf.queryExecution().optimizedPlan().toString()
+        assert text.index("RebalancePartitions") > text.index("Project") and "pux" not in text[text.index("RebalancePartitions"):]
+
+
+def read_by_schema_of(spark, root):
+    from ridelake.plans.silver import read_by_schema
+    from ridelake.sources.lake import parquet_files
+    return read_by_schema(spark, root, parquet_files(spark, root))
