@@ -397,11 +397,9 @@ def _incremental_load(fx: Fixtures) -> DataFrame:
 def _bronze_tree_late_file(fx: Fixtures) -> DataFrame:
     """Files that arrive later in months already loaded: the second load rebuilds those sources."""
     spark, root, silver = fx.spark, work_path(fx.spark, "late-tree"), work_path(fx.spark, "late-silver")
-    grid = _grid(fx).checkpoint()
-    eras = _file_months(fx)
-    for late in (False, True):       # every row goes into one of the two deliveries
-        for era in eras:
-            append_bronze(era.where((F.pmod(F.xxhash64(*era.columns), F.lit(3)) == 0) == late), root)
+    grid, aside = _written_spans(fx), _deliveries(fx)
+    for late in (False, True):
+        _deliver(fx, aside, late, root)
         SV.load_bronze_tree(spark, root, grid, silver)
     return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")
 
