@@ -182,19 +182,21 @@ def load_bronze_tree(spark: SparkSession, root: str, grid: DataFrame, silver_pat
     in it, and is written after the commit; output folders never count. A source (type, month)
     with any change against the ledger (a new file, a rewritten one, a vanished one) is built again from all of its
     files and replaced as a whole: a file that arrives late, a file that was rewritten, a file that was deleted and
-    a load that stopped half way through its commit all end in the same table. All pending sources
-    are one plan, read one DataFrame per schema. Returns the number of sources loaded."""
+    a load that stopped half way through its commit all end in the same table. Pending sources of up to ``LOAD_BYTES``
+    together are one plan, read one DataFrame per schema, and are committed together. Returns the number of sources loaded."""
     check_layout(spark, silver_path)
     listed = listed_files(spark, root)
     changes = changed_files(listed, loaded_files(spark, silver_path)).checkpoint()
-    sources = [tuple(r) for r in changes.select("vtype", SOURCE_COL).distinct().collect()]     # one row a type and month
-    if not sources:
-        return 0
-    todo = listed.join(changes.select("vtype", SOURCE_COL).distinct(), ["vtype", SOURCE_COL], "left_semi")
-    frames = read_by_schema(spark, root, todo)
-    replace_sources(spark, silver_path, sources, silver_trips_by_source(frames, grid) if frames else None)
-    record_files(spark, silver_path, changes)
-    return len(sources)
+    sources = changes.select("vtype", SOURCE_COL).distinct()
+    todo = listed.join(sources, ["vtype", SOURCE_COL], "left_semi")
+    portions = load_portions(sources, todo)
+    for portion in portions:
+        frames = read_by_schema(spark, root, of_portion(todo, portion, portions))
+        replace_sources(spark, silver_path, portion, silver_trips_by_source(frames, grid) if frames else None)
+        record_files(spark, silver_path, of_portion(changes, portion, portions))
+        if len(portions) > 1:
+            release_shuffles(spark)
+    return sum(map(len, portions))
 
 
 def compact_silver(spark: SparkSession, silver_path: str, target_bytes: int = 128 << 20) -> int:

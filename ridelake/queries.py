@@ -374,9 +374,10 @@ def _bronze_tree_load(fx: Fixtures) -> DataFrame:
     # files of all schema eras side by side
     root = work_path(spark, "bronze-tree")
     for era in _file_months(fx):
-        append_bronze(era, root)
+        append_bronze(era, root, dealt=True)
+        release_shuffles(spark)
     silver = work_path(spark, "silver-tree")
-    grid = _grid(fx).checkpoint()     # computed once, read by both loads
+    grid = _written_spans(fx)     # computed once, read by both loads
     SV.load_bronze_tree(spark, root, grid, silver)
     SV.load_bronze_tree(spark, root, grid, silver)   # a rerun finds nothing pending
     return spark.read.parquet(silver).select(*SC.FINAL_COLS, "year", "month")

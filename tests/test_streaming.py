@@ -426,3 +426,38 @@ def read_by_schema_of(spark, root):
     from ridelake.plans.silver import read_by_schema
     from ridelake.sources.lake import parquet_files
     return read_by_schema(spark, root, parquet_files(spark, root))
+
+
+def test_loads_go_through_the_sources_in_portions(spark, monkeypatch):
+    """However long the history is, one plan reads ``LOAD_BYTES`` of it; what is committed stays when a later portion fails."""
+    import pytest
+
+    from ridelake.plans import silver as SV
+    from ridelake.sources.lake import loaded_files
+    from ridelake.streaming import incremental as I
+    g = grid(spark).checkpoint()
+    root = work_path(spark, "pt-bronze")
+    for month in (1, 2, 3):
+        put(spark, root, month, [3, 4], stray=True)
+    whole, silver, stream = (work_path(spark, f"pt-{n}") for n in ("whole", "silver", "stream"))
+    assert SV.load_bronze_tree(spark, root, g, whole) == 3
+    monkeypatch.setattr(SV, "LOAD_BYTES", 1)
+    written, real = [], SV.replace_sources
+
+    def replace(spark, path, sources, rows):
+        if len(written) == 2 and path == silver:
+            written.append("lost")
+            raise RuntimeError("lost")
+        real(spark, path, sources, rows)
+        written.append(sources)
+
+    monkeypatch.setattr(SV, "replace_sources", replace)
+    monkeypatch.setattr(I, "replace_sources", replace)
+    with pytest.raises(RuntimeError):
+        SV.load_bronze_tree(spark, root, g, silver)
+    assert written == [[("yellow", "2021-01")], [("yellow", "2021-02")], "lost"] and loaded_files(spark, silver).count() == 2
+    assert SV.load_bronze_tree(spark, root, g, silver) == 1 and SV.load_bronze_tree(spark, root, g, silver) == 0
+    assert totals(spark, silver) == totals(spark, whole)
+    written.clear()
+    assert incremental_load(spark, [root], g, stream, work_path(spark, "pt-ckpt")) == 1
+    assert written == [[("yellow", f"2021-{m:02d}.era1")] for m in (1, 2, 3)] and totals(spark, stream) == totals(spark, whole)
