@@ -63,7 +63,7 @@ def silver_trips(raw_frames: list[DataFrame], grid: DataFrame, strict: bool = Fa
 
 
 def write_silver(df: DataFrame, path: str, partition_cols: tuple[str, ...] | None = None,
-                 rebalance: bool = False) -> None:
+                 rebalance: bool = False, mode: str = "overwrite") -> None:
     """Partitioned Parquet write. Dynamic partition overwrite replaces only the
     partitions present in ``df``. With a ``source_month`` column (default
     layout ``vtype=/year=/month=/source_month=``) a partition holds one source
@@ -74,7 +74,7 @@ def write_silver(df: DataFrame, path: str, partition_cols: tuple[str, ...] | Non
     Monthly bronze files are already clustered by month, so each task writes
     to about one partition folder and no shuffle is needed. ``rebalance=True``
     adds an AQE rebalance on the partition columns (one full shuffle) for
-    inputs that are not clustered, to avoid many small files.
+    inputs that are not clustered, to avoid many small files. ``mode="append"`` adds to what is there.
 
     Within a file rows are in order of pickup time, in pages of ``PAGE_ROWS`` rows, and carry the
     number of their pickup hour: a lookup of one hour reads the pages whose index meets it, not the month."""
@@ -83,7 +83,7 @@ def write_silver(df: DataFrame, path: str, partition_cols: tuple[str, ...] | Non
     out = df.hint("rebalance", *partition_cols) if rebalance else df
     if SORT_COL in df.columns:      # the write sorts by the partition columns anyway
         out = out.withColumn(HOUR_COL, hour_number(SORT_COL)).sortWithinPartitions(*partition_cols, SORT_COL)
-    (out.write.mode("overwrite")
+    (out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("parquet.page.row.count.limit", PAGE_ROWS)
         .partitionBy(*partition_cols)

@@ -362,8 +362,13 @@ def _silver_roundtrip(fx: Fixtures) -> DataFrame:
     # each row keeps the month of the file it came from (replace-by-source layout)
     eras = [SV.tag_source(e, year_month("_file_ts")).drop("_file_ts")
             for e in fx.raw_eras(keep_file_month=True)]
-    # the fixture rows come out of a join, not clustered by month: rebalance first
-    SV.write_silver(SV.silver_trips(eras, _grid(fx), keep=("vtype", SV.SOURCE_COL)), path, rebalance=True)
+    grid = _written_spans(fx)
+    # one era after another, so that the shuffles of one are gone when the next one's begin. The fixture rows come
+    # out of a join, not clustered by month: rebalance first
+    for i, era in enumerate(eras):
+        SV.write_silver(SV.silver_trips([era], grid, keep=("vtype", SV.SOURCE_COL)), path, rebalance=True,
+                        mode="append" if i else "overwrite")
+        release_shuffles(fx.spark)
     return SV.read_silver(fx.spark, path).select(*SC.FINAL_COLS, "year", "month")
 
 

@@ -461,3 +461,12 @@ def test_loads_go_through_the_sources_in_portions(spark, monkeypatch):
     written.clear()
     assert incremental_load(spark, [root], g, stream, work_path(spark, "pt-ckpt")) == 1
     assert written == [[("yellow", f"2021-{m:02d}.era1")] for m in (1, 2, 3)] and totals(spark, stream) == totals(spark, whole)
+
+
+def test_rows_are_added_to_a_written_table(spark):
+    g = grid(spark).checkpoint()
+    silver = work_path(spark, "added")
+    for mode in ("overwrite", "append"):
+        [era] = write_bronze([month_file(spark, 3)], work_path(spark, "added-bronze"))
+        write_silver(silver_trips_by_source([spark.read.parquet(era)], g), silver, rebalance=True, mode=mode)
+    assert spark.read.parquet(silver).count() == 6
