@@ -428,10 +428,10 @@ def _incremental_old_file(fx: Fixtures) -> DataFrame:
     the first is rewritten under its name, and a type that was loaded by mistake is deleted."""
     spark, root = fx.spark, work_path(fx.spark, "old-tree")
     silver, ckpt = work_path(spark, "old-silver"), work_path(spark, "old-ckpt")
-    grid, aside = _written_spans(fx), _deliveries(fx)
-    mistake = spark.read.parquet(f"{aside}/era1").where("vtype = 'yellow'").drop("late").withColumn("vtype", F.lit("mistake"))
+    grid, deliveries = _written_spans(fx), _deliveries(fx)
+    mistake = spark.read.parquet(f"{deliveries}/era1").where("vtype = 'yellow'").drop("late").withColumn("vtype", F.lit("mistake"))
     append_bronze(mistake, root, dealt=True)
-    _deliver(fx, aside, False, root)
+    _deliver(fx, deliveries, False, root)
     # one file holds, for now, what another one of its type holds, and gets its own content later
     name, other = lake.parquet_files(spark, root).where("vtype = 'yellow'").agg(F.min("path"), F.max("path")).first()
     aside = f"{root}/_aside"
@@ -442,7 +442,7 @@ def _incremental_old_file(fx: Fixtures) -> DataFrame:
     files.remove(spark, name)
     files.move(spark, aside, name)
     files.redate(spark, [name], 1_400_000_000)
-    _deliver(fx, aside, True, root)
+    _deliver(fx, deliveries, True, root)
     came = [r["path"] for r in lake.parquet_files(spark, root).select("path").collect() if r["path"] not in before]
     files.redate(spark, came, 1_400_000_000)
     files.remove(spark, f"{root}/vtype=mistake")
